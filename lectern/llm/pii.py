@@ -150,7 +150,7 @@ def disguised(text: str) -> list[tuple[str, int, int]]:
     if not text.isascii() and HIDING.search(text):
         r.apply(_look_alikes(text))
     low = r.text.lower()
-    if sum(x in low for x in ("zero", "two", "three", "four", "five", "six", "seven", "eight", "nine")) > 1:
+    if any(x in low for x in ("zero", "two", "three", "four", "five", "six", "seven", "eight", "nine")):
         r.apply(_spelled(r.text))
     if any(x in low for x in ("[", "(", "{", "<")) and any(x in low for x in ("at", "@", "dot")):
         r.apply(_signs(r.text))

@@ -12,7 +12,7 @@ Edge cases: a null or empty text has no words and fails the base rule (n_words <
 its own. Labels without a document, with null quality or a null id are ignored; repeated labels of one id count once, as
 good only if all say so. A stratum without enough good labels certifies nothing, so only the base rule rejects there.
 Repeated rows get equal results. Input columns pass through unchanged, whatever their names: what is computed lies in one
-struct column, QUALITY.
+struct column, QUALITY (and, on the way, in columns that begin with it).
 """
 
 from __future__ import annotations
@@ -42,18 +42,20 @@ RULES = {
 }
 
 
-def measured(df: DataFrame, text: str = "text") -> DataFrame:
-    """df with the struct QUALITY: the counts of the contract and the measures of RULES.
+def measured(df: DataFrame, text: str = "text", keep_text: bool = True) -> DataFrame:
+    """df, without its text on request, with the struct QUALITY: the counts of the contract and the measures of RULES.
 
-    Each step is a projection of its own and uses a computed array at least twice, so that Catalyst does not move the
-    making of an array into a lambda.
+    Each step is a projection over plain columns and uses a computed array at least twice: so Catalyst keeps the steps
+    apart and moves the making of no array into a lambda. The rows are written to the shared folder: texts are read and
+    measured once, and filters on measures are not pushed into their making.
     """
-    kept = df.columns
+    left = [f"`{x}`" for x in df.columns if keep_text or x != text]
+    kept = [f"`{x}`" for x in df.columns]
     t = F.coalesce(F.col(text), F.lit(""))
-    c = lambda name: F.col(f"{QUALITY}.{name}")
+    c = lambda name: F.col(f"{QUALITY}_{name}")
 
-    def step(frame: DataFrame, **columns: Column) -> DataFrame:
-        return frame.select(*[F.col(f"`{x}`") for x in kept], F.struct(*[v.alias(k) for k, v in columns.items()]).alias(QUALITY))
+    def step(frame: DataFrame, *carried: str, **columns: Column) -> DataFrame:
+        return frame.select(*kept, *[c(k) for k in carried], *[v.alias(f"{QUALITY}_{k}") for k, v in columns.items()])
 
     df = step(
         df,
@@ -65,54 +67,44 @@ def measured(df: DataFrame, text: str = "text") -> DataFrame:
     )
     df = step(
         df,
+        "n_symbols",
+        "n_upper",
+        "n_exclaims",
         n_words=F.size(c("words")).cast("long"),
         word_chars=F.length(F.array_join(c("words"), "")).cast("long"),
         n_lines=F.size(c("lines")).cast("long"),
         n_dup_lines=(F.size(c("lines")) - F.size(F.array_distinct(c("lines")))).cast("long"),
         hashes=F.transform(c("words"), lambda w: F.xxhash64(w)),
-        **{k: c(k) for k in ("n_symbols", "n_upper", "n_exclaims")},
     )
     counts = ("n_words", "word_chars", "n_lines", "n_dup_lines", "n_symbols", "n_upper", "n_exclaims")
-    df = step(
-        df,
-        windows=F.when(F.size(c("hashes")) >= WINDOW, F.transform(F.sequence(F.lit(1), F.greatest(F.size(c("hashes")) - (WINDOW - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(c("hashes"), i, WINDOW)))),
-        **{k: c(k) for k in counts},
-    )
+    starts = F.sequence(F.lit(1), F.greatest(F.size(c("hashes")) - (WINDOW - 1), F.lit(1)))
+    df = step(df, *counts, windows=F.when(F.size(c("hashes")) >= WINDOW, F.transform(starts, lambda i: F.xxhash64(F.slice(c("hashes"), i, WINDOW)))))
     repeated = F.size(F.array_distinct(c("windows"))) < F.size(c("windows"))
-    df = step(
-        df,
-        ordered=F.when(repeated, F.sort_array(F.transform(c("windows"), lambda h, i: F.struct(h.alias("h"), i.alias("i"))))),
-        **{k: c(k) for k in counts},
-    )
+    df = step(df, *counts, ordered=F.when(repeated, F.sort_array(F.transform(c("windows"), lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
     beside = lambda x, k: (x["h"] == F.get(c("ordered"), k - 1)["h"]) | (x["h"] == F.get(c("ordered"), k + 1)["h"])
-    df = step(
-        df,
-        starts=F.when(c("ordered").isNotNull(), F.sort_array(F.transform(F.filter(c("ordered"), lambda x, k: F.coalesce(beside(x, k), F.lit(False))), lambda x: x["i"]))),
-        **{k: c(k) for k in counts},
-    )
+    twice = F.filter(c("ordered"), lambda x, k: F.coalesce(beside(x, k), F.lit(False)))
+    df = step(df, *counts, starts=F.when(c("ordered").isNotNull(), F.sort_array(F.transform(twice, lambda x: x["i"]))))
     covered = F.aggregate(
         c("starts"),
         F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).cast("long").alias("n")),
         lambda a, x: F.struct(x.alias("last"), (a["n"] + F.least(F.lit(WINDOW), x - a["last"])).alias("n")),
         lambda a: a["n"],
     )
-    df = step(df, n_repeat_words=F.coalesce(covered, F.lit(0).cast("long")), **{k: c(k) for k in counts})
+    kept = left
+    df = step(df, *counts, n_repeat_words=F.coalesce(covered, F.lit(0).cast("long")))
     per = lambda n, d: F.coalesce(c(n) / F.nullif(c(d), F.lit(0)), F.lit(0.0))
-    return step(
-        df,
-        n_repeat_words=c("n_repeat_words"),
-        **{k: c(k) for k in counts},
-        base_failed=(c("n_words") < 20) | (100 * c("n_repeat_words") > 30 * c("n_words")),
-        scores=F.struct(
-            per("n_symbols", "word_chars").alias("symbols"),
-            per("n_repeat_words", "n_words").alias("repeats"),
-            per("n_dup_lines", "n_lines").alias("dup_lines"),
-            per("n_upper", "word_chars").alias("capitals"),
-            per("n_exclaims", "word_chars").alias("exclaims"),
-            per("word_chars", "n_words").alias("long_words"),
-            (-per("word_chars", "n_words")).alias("short_words"),
-        ),
+    scores = F.struct(
+        per("n_symbols", "word_chars").alias("symbols"),
+        per("n_repeat_words", "n_words").alias("repeats"),
+        per("n_dup_lines", "n_lines").alias("dup_lines"),
+        per("n_upper", "word_chars").alias("capitals"),
+        per("n_exclaims", "word_chars").alias("exclaims"),
+        per("word_chars", "n_words").alias("long_words"),
+        (-per("word_chars", "n_words")).alias("short_words"),
     )
+    base_failed = (c("n_words") < 20) | (100 * c("n_repeat_words") > 30 * c("n_words"))
+    fields = [c(k).alias(k) for k in (*counts, "n_repeat_words")]
+    return written(df.select(*left, F.struct(*fields, base_failed.alias("base_failed"), scores.alias("scores")).alias(QUALITY)), "measured")
 
 
 def binomial_tail(k: Column, n: Column, p: float) -> Column:

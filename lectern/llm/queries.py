@@ -7,18 +7,38 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, mixing, pii, quality_rules, simhash
-from .common import table, written
+from . import decontamination, html_text, lm_scoring, mixing, pii, quality_classifier, quality_rules, secrets, simhash, warc
+from .common import table
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table(spark, sf_dir, "documents"))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(table(spark, sf_dir, "pages"))
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.report(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
@@ -29,7 +49,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    rows = written(quality_rules.measured(docs.select("doc_id", "lang", "text")).drop("text"), "measured")
+    rows = quality_rules.measured(docs.select("doc_id", "lang", "text"), keep_text=False)
     q = lambda name: F.col(f"{quality_rules.QUALITY}.{name}").alias(name)
     out = quality_rules.judged(rows, quality_rules.certified(rows, table(spark, sf_dir, "labels")))
     return out.select("doc_id", *map(q, ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")))
@@ -37,8 +57,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_classifier": op1_quality_classifier,
         "op2_simhash": op2_simhash,
+        "op3_html_text": op3_html_text,
         "op4_decontamination": op4_decontamination,
+        "op5_warc_fixity": op5_warc_fixity,
+        "op6_secrets": op6_secrets,
+        "op7_lm_scoring": op7_lm_scoring,
         "op8_mixing": op8_mixing,
         "op9_pii": op9_pii,
         "op10_quality_rules": op10_quality_rules,

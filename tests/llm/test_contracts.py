@@ -73,3 +73,71 @@ def test_op8(spark, sf, docs):
         largest[s] = max(largest[s], r.size)
     assert all(abs(taken[s] - target[s]) <= largest[s] for s in order)
     assert sorted(rows) == sorted(q.op8_mixing(spark, sf).collect())
+
+
+def test_op6(spark, sf, docs):
+    rows = q.op6_secrets(spark, sf).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        want = brute.secrets(docs[r.doc_id].text)
+        assert r.base_sha256 == brute.sha(want)
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(x[0] == k for x in want) for k in ("assign", "access", "hex")]
+        assert {f"{k}:{a}:{b}" for k, a, b in want} <= set(r.spans.split(",")) | {""}
+
+
+def test_op1(spark, sf, docs):
+    import zlib
+
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = q.op1_quality_classifier(spark, sf).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
+    held = [r for r in rows if r.held_out and r.doc_id in labels]
+    assert sum(r.predicted == labels[r.doc_id] for r in held) >= 0.9 * len(held)
+
+
+def test_op3(spark, sf):
+    import re
+    from html import unescape
+
+    pages = {r.page_id: r for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    rows = q.op3_html_text(spark, sf).collect()
+    assert sorted(r.page_id for r in rows) == sorted(pages)
+    for r in rows:
+        # The generator's pages have one article each, with blocks h1 and p.
+        article = re.search(r"<article>(.*)</article>", pages[r.page_id].html, re.DOTALL)[1]
+        parts = re.split(r"</?(?:h1|p)>", re.sub(r"</?b>|<br>", " ", article))
+        want = "\n".join(x for x in (" ".join(unescape(p).split()) for p in parts) if x)
+        assert r.text == want and r.n_chars == len(want) and r.url == pages[r.page_id].url
+
+
+def test_op5(spark, sf):
+    import hashlib
+    import zlib
+
+    pages = {r.page_id: r for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    rows = q.op5_warc_fixity(spark, sf).collect()
+    assert sorted(r.page_id for r in rows) == sorted(pages)
+    for r in rows:
+        body = (pages[r.page_id].html or "").encode()
+        key = hashlib.md5(f"{r.page_id}\n{r.url}".encode()).hexdigest()
+        uid = "-".join((key[:8], key[8:12], key[12:16], key[16:20], key[20:]))
+        head = f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:uuid:{uid}>\r\nWARC-Target-URI: {r.url}\r\nWARC-Date: 2024-01-01T00:00:00Z\r\nWARC-Page-ID: {r.page_id}\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(body)}\r\n\r\n"
+        data = head.encode() + body + b"\r\n\r\n"
+        assert (r.length, r.sha256) == (len(data), hashlib.sha256(data).hexdigest())
+        assert r.intact == (zlib.crc32(str(r.page_id).encode()) % 97 != 0)
+    at = {}
+    for r in sorted(rows, key=lambda r: (r.file, r.ordinal)):
+        assert r.offset == at.get(r.file, 0)
+        at[r.file] = r.offset + r.length
+
+
+def test_op7(spark, sf, docs):
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = q.op7_lm_scoring(spark, sf).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    for r in rows:
+        n = len((docs[r.doc_id].text or "").encode().split())
+        assert r.n_words == n and r.log_probability <= 0 and (r.mean is None) == (n == 0)
+    mean = lambda k: (lambda x: sum(x) / len(x))([r.mean for r in rows if labels.get(r.doc_id) == k and r.mean is not None])
+    assert mean(1) > mean(0)
