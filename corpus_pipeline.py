@@ -11,7 +11,7 @@ from lectern.llm.common import table, written
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    rows = written(quality_rules.measured(docs), "measured")
+    rows = quality_rules.measured(docs)
     cutoffs = quality_rules.certified(rows, table(spark, sf_dir, "labels"))
     return quality_rules.judged(rows, cutoffs).where(F.col(quality_rules.QUALITY).kept).drop(quality_rules.QUALITY)
 
