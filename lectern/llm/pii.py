@@ -45,6 +45,8 @@ HIDING = re.compile("[­Ͱ-ϿЀ-ԯ​-‍‐-–․⁠。﻿！-～]")
 DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 _DIGIT_WORD = r"(?:zero|oh|one|two|three|four|five|six|seven|eight|nine|[0-9])"
 SPELLED = re.compile(rf"(?i)(?<![^\W_])(?:plus[\x20-]+)?{_DIGIT_WORD}(?:[\x20-]{{1,3}}{_DIGIT_WORD}){{6,}}(?![^\W_])")
+_PART = rf"(?:{_DIGIT_WORD}(?:[\x20-]{_DIGIT_WORD}){{0,2}}|[0-9]{{1,3}})"
+SPELLED_IP = re.compile(rf"(?i)(?<![^\W_]){_PART}(?:\x20(?:dot|point)\x20{_PART}){{3}}(?![^\W_])")
 SIGNS = re.compile(r"(?i)[\x20]{0,3}[\[({<][\x20]{0,3}(at|@|dot|\.)[\x20]{0,3}[\])}>][\x20]{0,3}")
 _LABEL = r"[A-Za-z0-9-]{1,63}"
 BARE = re.compile(rf"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}(?:\x20dot\x20[A-Za-z0-9_%+-]{{1,64}})?(\x20at\x20|@){_LABEL}(?:(?:\x20dot\x20|\.){_LABEL}){{0,4}}\x20dot\x20[A-Za-z]{{2,24}}(?![A-Za-z0-9-])")
@@ -136,6 +138,14 @@ def _spelled(text: str) -> list[tuple[int, int, str]]:
     return edits
 
 
+def _spelled_ip(text: str) -> list[tuple[int, int, str]]:
+    edits = []
+    for m in SPELLED_IP.finditer(text):
+        parts = [re.split(r"[\x20-]+", x) for x in re.split(r"\x20(?:dot|point)\x20", m.group().lower())]
+        edits.append((*m.span(), ".".join("".join(DIGIT_WORDS.get(x, x) for x in p) for p in parts)))
+    return edits
+
+
 def _signs(text: str) -> list[tuple[int, int, str]]:
     return [(*m.span(), "@" if m[1].lower() in ("at", "@") else ".") for m in SIGNS.finditer(text)]
 
@@ -152,6 +162,8 @@ def disguised(text: str) -> list[tuple[str, int, int]]:
     low = r.text.lower()
     if any(x in low for x in ("zero", "two", "three", "four", "five", "six", "seven", "eight", "nine")):
         r.apply(_spelled(r.text))
+    if " dot " in low or " point " in low:
+        r.apply(_spelled_ip(r.text))
     if any(x in low for x in ("[", "(", "{", "<")) and any(x in low for x in ("at", "@", "dot")):
         r.apply(_signs(r.text))
     if " dot " in low:

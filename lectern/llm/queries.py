@@ -1,4 +1,4 @@
-"""One query for each operator, over its whole table, and SQL where it can say the same."""
+"""One query for each operator, over its whole table; oracle_sql, from sql.py, has SQL where it can say the same."""
 
 from __future__ import annotations
 
@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from . import decontamination, html_text, lm_scoring, mixing, pii, quality_classifier, quality_rules, secrets, simhash, warc
 from .common import table
+from .sql import oracle_sql
+
+__all__ = ["oracle_sql", "queries"]
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +71,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_pii": op9_pii,
         "op10_quality_rules": op10_quality_rules,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}

@@ -1,7 +1,7 @@
 """WARC files with a Merkle fixity audit.
 
-Pages are laid out as WARC records: each task of the input fills files of about FILE_BYTES, so a file and its records'
-order follow from the data alone and no key gathers a third of them. Records are hashed; 16 neighbours in offset order
+Pages are laid out as WARC records: each task of the input fills files of about FILE_BYTES, so nothing is shuffled for
+the layout and no key gathers a third of the records. Records are hashed; 16 neighbours in offset order
 make a node, 16 nodes the next, up to a root for each file and one for the replica. Two replicas are compared from the
 root down: only the children of nodes that differ are read at the next level, down to the damaged offset ranges.
 
@@ -18,7 +18,6 @@ import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import new_path, tuned, written
 
@@ -48,17 +47,29 @@ def record(page_id: Column, url: Column, html: Column) -> Column:
 def laid_out(pages: DataFrame) -> DataFrame:
     """(file, ordinal, offset, length, page_id, url, record): a row for each page, written to the shared folder.
 
-    Offsets are running sums inside one part of the input; only lengths are sorted for them.
+    Each task numbers and measures the records that it reads, and begins a new file when one is full.
     """
-    numbered = pages.select("page_id", "url", record(F.col("page_id"), F.col("url"), F.col("html")).alias("record"), F.monotonically_increasing_id().alias("seq"))
-    rows = written(numbered, "warc-records")
-    lengths = rows.select("seq", (F.octet_length("record") + len(END)).cast("long").alias("length"))
-    part = F.shiftright("seq", 33)
-    sums = lengths.withColumn("part", part).withColumn("to", F.sum("length").over(Window.partitionBy("part").orderBy("seq")))
-    files = sums.select("seq", "length", (F.col("part") * FILES_A_PART + F.floor((F.col("to") - F.col("length")) / FILE_BYTES)).alias("file"))
-    inside = Window.partitionBy("file").orderBy("seq")
-    places = files.select("seq", "file", "length", (F.row_number().over(inside) - 1).cast("long").alias("ordinal"), (F.sum("length").over(inside) - F.col("length")).alias("offset"))
-    return rows.join(places, "seq").select("file", "ordinal", "offset", "length", "page_id", "url", "record")
+    tuned(pages.sparkSession)
+    rows = pages.select("page_id", "url", record(F.col("page_id"), F.col("url"), F.col("html")).alias("record"))
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        from pyspark import TaskContext
+
+        file, ordinal, offset = TaskContext.get().partitionId() * FILES_A_PART, 0, 0
+        for batch in batches:
+            places = []
+            for n in pc.binary_length(batch.column("record")).to_pylist():
+                if offset >= FILE_BYTES:
+                    file, ordinal, offset = file + 1, 0, 0
+                places.append((file, ordinal, offset, n + len(END)))
+                ordinal, offset = ordinal + 1, offset + n + len(END)
+            numbers = [pa.array([x[i] for x in places], type=pa.int64()) for i in range(4)]
+            yield pa.RecordBatch.from_arrays([*numbers, *batch.columns], names=["file", "ordinal", "offset", "length", *batch.schema.names])
+
+    kind = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
+    return written(rows.mapInArrow(run, f"file long, ordinal long, offset long, length long, page_id {kind['page_id']}, url {kind['url']}, record string"), "warc-records")
 
 
 def write_files(records: DataFrame, path: str) -> None:
@@ -99,8 +110,8 @@ def read_leaves(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(run, "file long, ordinal long, offset long, length long, digest string")
 
 
-def leaves(records: DataFrame) -> DataFrame:
-    return records.select("file", "ordinal", "offset", "length", F.sha2(F.concat(F.col("record"), F.lit(END)).cast("binary"), 256).alias("digest"))
+def leaves(records: DataFrame, *also: str) -> DataFrame:
+    return records.select(*also, "file", "ordinal", "offset", "length", F.sha2(F.concat(F.col("record"), F.lit(END)).cast("binary"), 256).alias("digest"))
 
 
 def above(nodes: DataFrame, keys: list[str], number: str) -> DataFrame:
@@ -174,10 +185,9 @@ def damaged(records: DataFrame, every: int = 97) -> DataFrame:
 def report(pages: DataFrame) -> DataFrame:
     """Every page with its place in the archive and whether the second replica holds it unharmed."""
     spark = pages.sparkSession
-    records = written(laid_out(pages), "warc-laid-out")
+    records = laid_out(pages)
     path = new_path(spark, "warc-replica")
     write_files(damaged(records), path)
-    ours, theirs = written(leaves(records), "leaves"), written(read_leaves(spark, path), "replica-leaves")
+    ours, theirs = written(leaves(records, "page_id", "url"), "leaves"), written(read_leaves(spark, path), "replica-leaves")
     bad = compared(ours, theirs).withColumn("harmed", F.lit(True))
-    places = records.select("file", "ordinal", "page_id", "url").join(ours, ["file", "ordinal"])
-    return places.join(bad, ["file", "ordinal"], "left").select("page_id", "url", "file", "ordinal", "offset", "length", F.col("digest").alias("sha256"), F.col("harmed").isNull().alias("intact"))
+    return ours.join(bad, ["file", "ordinal"], "left").select("page_id", "url", "file", "ordinal", "offset", "length", F.col("digest").alias("sha256"), F.col("harmed").isNull().alias("intact"))

@@ -141,3 +141,18 @@ def test_op7(spark, sf, docs):
         assert r.n_words == n and r.log_probability <= 0 and (r.mean is None) == (n == 0)
     mean = lambda k: (lambda x: sum(x) / len(x))([r.mean for r in rows if labels.get(r.doc_id) == k and r.mean is not None])
     assert mean(1) > mean(0)
+
+
+@pytest.mark.parametrize("name", ["op4_decontamination", "op10_quality_rules"])
+def test_sql(spark, sf, name):
+    from collections import Counter
+
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "labels"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    got = q.queries()[name](spark, sf)
+    want = con.sql(q.oracle_sql()[name])
+    assert sorted(got.columns) == sorted(want.columns)
+    assert Counter(tuple(r[c] for c in want.columns) for r in got.collect()) == Counter(want.fetchall())

@@ -165,6 +165,9 @@ def test_pii(docs, none):
         ("call five five five one two three four five six seven now", "five five five one two three four five six seven", "phone"),
         ("card ４１１１ １１１１ １１１１ １１１１ ok", "４１１１ １１１１ １１１１ １１１１", "card"),
         ("card four one one one one one one one one one one one one one one one ok", "four one one one one one one one one one one one one one one one", "card"),
+        ("host one nine two dot one six eight dot zero dot one up", "one nine two dot one six eight dot zero dot one", "ip"),
+        ("host 192 dot 168 dot 0 dot 12 up", "192 dot 168 dot 0 dot 12", "ip"),
+        ("Write jane dot doe AT example DOT com!", "jane dot doe AT example DOT com", "email"),
         ("host 10​.20​.30​.40 up", "10​.20​.30​.40", "ip"),
     ],
 )
