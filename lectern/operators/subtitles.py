@@ -20,10 +20,14 @@ def timed(turns: DataFrame, key: str, order: str, text: str) -> DataFrame:
     return turns.withColumn("number", F.row_number().over(w)).withColumn("end_s", upto / CHARS_A_SECOND).withColumn("start_s", (upto - F.length(text)) / CHARS_A_SECOND)
 
 
+def rendered(segments: DataFrame, key: str, text: str) -> DataFrame:
+    """One row for each segment with rendered times and collapsed content, blank ones included."""
+    return segments.select(key, F.col("number").cast("bigint").alias("number"), srt_time(F.col("start_s")).alias("start_time"), srt_time(F.col("end_s")).alias("end_time"), collapsed(F.col(text)).alias("content"))
+
+
 def cues(segments: DataFrame, key: str, text: str) -> DataFrame:
     """One row for each cue that is shown: numbers keep the gaps that blank segments leave."""
-    shown = segments.withColumn("content", collapsed(F.col(text))).where(F.col("content") != "")
-    return shown.select(key, F.col("number").cast("bigint").alias("number"), srt_time(F.col("start_s")).alias("start_time"), srt_time(F.col("end_s")).alias("end_time"), "content")
+    return rendered(segments, key, text).where(F.col("content") != "")
 
 
 def block(number: Column, start: Column, end: Column, content: Column) -> Column:
@@ -31,11 +35,11 @@ def block(number: Column, start: Column, end: Column, content: Column) -> Column
 
 
 def documents(cue_rows: DataFrame, key: str) -> DataFrame:
-    """One subtitle file for each key: blocks in order, a blank line between them, one line end at the close."""
-    one = F.struct("number", block(F.col("number"), F.col("start_time"), F.col("end_time"), F.col("content")).alias("block"))
+    """One subtitle file for each key: shown blocks in order, a blank line between them, one line end at the close."""
+    one = F.when(F.col("content") != "", F.struct("number", block(F.col("number"), F.col("start_time"), F.col("end_time"), F.col("content")).alias("block")))
     ordered = F.transform(F.sort_array(F.collect_list(one)), lambda x: x["block"])
     body = F.regexp_replace(F.array_join(ordered, "\n"), r"\n+\z", "")
-    return cue_rows.groupBy(key).agg(F.concat(body, F.lit("\n")).alias("srt"), F.count(F.lit(1)).alias("n_cues"))
+    return cue_rows.groupBy(key).agg(F.concat(body, F.lit("\n")).alias("srt"), F.count(one).alias("n_cues"))
 
 
 def parsed(files: DataFrame, key: str, srt: str) -> DataFrame:

@@ -87,17 +87,17 @@ def q09_mux_four(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracks.where("es_s is not null and en_s is not null").withColumn("duration_s", F.least("video_s", "audio_s", "es_s", "en_s"))
 
 
-def _cues(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
-    return subtitles.cues(subtitles.timed(turns, "conv_id", "turn", "text"), "conv_id", "text")
+    return subtitles.timed(turns, "conv_id", "turn", "text")
 
 
 def q10_srt_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return subtitles.documents(_cues(spark, sf_dir), "conv_id")
+    return subtitles.documents(subtitles.rendered(_segments(spark, sf_dir), "conv_id", "text"), "conv_id")
 
 
 def q11_srt_cues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cues(spark, sf_dir)
+    return subtitles.cues(_segments(spark, sf_dir), "conv_id", "text")
 
 
 def q12_srt_translate_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
