@@ -13,6 +13,7 @@ each; extra columns are not read. Nothing is cut off, however long a page is.
 from __future__ import annotations
 
 import re
+from hashlib import blake2b
 from html import unescape
 
 from pyspark.sql import DataFrame
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import tuned, written
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""", re.DOTALL)
+TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^<>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*+)>""", re.DOTALL)
 ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
 
@@ -56,11 +57,9 @@ def names_of(attributes: str) -> tuple[list[str], set[str]]:
     return classes, said
 
 
-class Block:
-    __slots__ = ("parts", "links", "path")
-
-    def __init__(self, path):
-        self.parts, self.links, self.path = [], 0, path
+def below(above: str, label: str) -> str:
+    """The path of a container: its own tag and classes, after a hash of all above it, so that deep paths stay short."""
+    return f"{blake2b(above.encode(), digest_size=8).hexdigest()}>{label}"
 
 
 def blocks_of(html: str | None):
@@ -168,7 +167,7 @@ def blocks_of(html: str | None):
         if container:
             above = containers[-1][1] if containers else ""
             made += 1
-            containers.append((made, f"{above}>{'.'.join([tag, *sorted(classes)])}"))
+            containers.append((made, below(above, ".".join([tag, *sorted(set(classes))]))))
         stack.append((tag, container))
         if not left_out and tag not in ("html", "body") and (tag in LEFT_OUT or not said.isdisjoint(OTHER) or (attributes and HIDDEN.search(attributes))):
             left_out = len(stack)
