@@ -32,12 +32,12 @@ def discovered(spark: SparkSession, folder: str, pattern: str, min_bytes: int =
 
 def subtitle_files(spark: SparkSession, folder: str) -> DataFrame:
     """(path, srt): subtitle files as whole texts."""
-    return spark.read.option("wholetext", "true").option("pathGlobFilter", "*.srt").text(folder).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("srt"))
+    return spark.read.option("pathGlobFilter", "*.srt").text(folder, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("srt"))
 
 
 def json_files(spark: SparkSession, folder: str) -> DataFrame:
     """(path, json): result files of the recogniser as whole texts."""
-    return spark.read.option("wholetext", "true").option("pathGlobFilter", "*.json").text(folder).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("json"))
+    return spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("json"))
 
 
 def write_documents(documents: DataFrame, key: str, srt: str, folder: str) -> None:
