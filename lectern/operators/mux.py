@@ -8,17 +8,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def in_order(order: str, value: Column) -> Column:
+    """An aggregate: the values of a talk's chunks as an array in numeric order."""
+    return F.transform(F.sort_array(F.collect_list(F.struct(F.col(order).alias("n"), value.alias("x")))), lambda e: e["x"])
+
+
+def manifest_of(order: str, name: Column) -> Column:
+    """An aggregate: the list of a talk's chunks, one line each."""
+    return F.array_join(in_order(order, F.concat(F.lit("file '"), name, F.lit("'"))), "\n")
+
+
 def manifest(chunks: DataFrame, key: str, order: str, name: Column) -> DataFrame:
-    """The list of a talk's chunks in numeric order, one line each."""
-    line = F.concat(F.lit("file '"), name, F.lit("'"))
-    ordered = F.transform(F.sort_array(F.collect_list(F.struct(F.col(order).alias("n"), line.alias("line")))), lambda x: x["line"])
-    return chunks.groupBy(key).agg(F.array_join(ordered, "\n").alias("manifest"), F.count(F.lit(1)).alias("n_chunks"))
+    return chunks.groupBy(key).agg(manifest_of(order, name).alias("manifest"), F.count(F.lit(1)).alias("n_chunks"))
+
+
+def concatenated_of(order: str, text: str) -> Column:
+    """An aggregate: chunks joined end to end."""
+    return F.array_join(in_order(order, F.col(text)), "")
 
 
-def concatenated(chunks: DataFrame, key: str, order: str, text: str) -> DataFrame:
-    """Chunks joined end to end in numeric order."""
-    ordered = F.transform(F.sort_array(F.collect_list(F.struct(F.col(order).alias("n"), F.col(text).alias("x")))), lambda x: x["x"])
-    return chunks.groupBy(key).agg(F.array_join(ordered, "").alias("whole"))
+def first_of(value: Column, order: str, when: Column) -> Column:
+    """An aggregate: the value of the first chunk for which a condition holds; null if there is none."""
+    return F.min_by(value, F.when(when, F.col(order)))
 
 
 def muxed(tracks: list[DataFrame], key: str, durations: list[str], shortest: bool = True) -> DataFrame:

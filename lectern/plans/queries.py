@@ -61,17 +61,17 @@ def q06_pending_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q07_ordered_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations")
-    lists = mux.manifest(turns, "conv_id", "turn", txt.padded(F.col("turn"), "chunk_", ".wav"))
-    whole = mux.concatenated(turns, "conv_id", "turn", "text")
-    return lists.join(whole, "conv_id").select("conv_id", "manifest", "n_chunks", F.md5(F.col("whole").cast("binary")).alias("whole_md5"), F.length("whole").cast("bigint").alias("whole_chars"))
+    whole = mux.concatenated_of("turn", "text")
+    lists = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(mux.manifest_of("turn", txt.padded(F.col("turn"), "chunk_", ".wav")).alias("manifest"), F.count(F.lit(1)).alias("n_chunks"), whole.alias("whole"))
+    return lists.select("conv_id", "manifest", "n_chunks", F.md5(F.col("whole").cast("binary")).alias("whole_md5"), F.length("whole").cast("bigint").alias("whole_chars"))
 
 
 def q08_mux_two(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations")
-    first = lambda role: turns.where(F.col("role") == role).groupBy("conv_id").agg(F.min_by(F.length("text") / 16.0, "turn").alias(f"{role}_s"))
-    both = mux.muxed([first("user"), first("assistant")], "conv_id", ["user_s", "assistant_s"])
-    return both.withColumn("longest_s", F.greatest("user_s", "assistant_s"))
+    # Both tracks come from one aggregate: an inner join of two would shuffle the turns twice.
+    first = lambda role: mux.first_of(F.length("text") / 16.0, "turn", F.col("role") == role)
+    both = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(first("user").alias("user_s"), first("assistant").alias("assistant_s"))
+    both = both.where("user_s is not null and assistant_s is not null")
+    return both.withColumn("duration_s", F.least("user_s", "assistant_s")).withColumn("longest_s", F.greatest("user_s", "assistant_s"))
 
 
 def q09_mux_four(spark: SparkSession, sf_dir: str) -> DataFrame:
