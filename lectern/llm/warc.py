@@ -74,7 +74,8 @@ def laid_out(pages: DataFrame) -> DataFrame:
 
 def write_files(records: DataFrame, path: str) -> None:
     """One gzipped WARC file for each file number, below file=N. A file never spans two tasks."""
-    rows = records.select("file", "ordinal", "record").repartition("file").sortWithinPartitions("file", "ordinal")
+    n = max(1, records.select("file").distinct().count())  # so that a task has a few files, however many there are
+    rows = records.select("file", "ordinal", "record").repartition(n, "file").sortWithinPartitions("file", "ordinal")
     rows.select("record", "file").write.partitionBy("file").option("lineSep", END).option("compression", "gzip").text(path)
 
 
