@@ -1,12 +1,18 @@
 """Document scores by masked pseudo-likelihood under a bidirectional window network trained in numpy.
 
-Every word is predicted from the two words on either side of it, itself masked. Words are hashed to BUCKETS; a bucket
-belongs to one of CLASSES. The network gives log p(class | both sides); counts over the whole corpus give
-log p(bucket | class); their sum over all words is the log pseudo-likelihood of a document.
+Every word is predicted from the two words on either side of it, itself masked. All words of the corpus are counted by
+Spark, as themselves. The HEAD most frequent have a place of their own: classes of MEMBERS neighbours in frequency, and
+the network gives log p(class | both sides) and log p(member | class, both sides). All rarer words share one more class,
+whose members are groups of words by how they end; log p(word | group) is the word's share of the group's count. The sum
+over all words is the log pseudo-likelihood of a document, and the probabilities of all words of the corpus, given any
+two sides, add up to 1 less a count kept in each group for words not met.
 
-Training is data-parallel: each task counts all of its words and takes one pass of gradient steps over every STRIDE-th
-position of all of its documents from a common start; Spark averages the rows of the weight tables, weighted by how often
-each task has met them. What tasks send grows with the corpus; the tables themselves have a fixed size.
+Training is data-parallel: each task takes one pass of gradient steps over all positions of all of its documents from a
+common start, the shares of the counts; Spark averages the rows of the weight tables, weighted by how often each task has
+met them. The counts grow with the corpus; the network has a fixed size: rare neighbours share rows by hash.
+
+The LEXICON most frequent words are broadcast; the counts of the others are joined to the words of the documents, and
+as all words that are in many places are in the broadcast, no key of that join is large.
 
 Edge cases: null and empty texts have 0 words and a log probability of 0; their mean is null. Words beyond either end of a
 text are a padding word. Repeated rows are scored each, and count each time. Extra columns are not read. An empty table
@@ -15,148 +21,270 @@ gives an empty result. Weights depend, within rounding, on how the input is spli
 
 from __future__ import annotations
 
+import math
 import zlib
+from collections import Counter
 from itertools import chain
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import tuned
+from .common import tuned, written
 
-BUCKETS, CLASSES, WIDTH, SIDE, STRIDE, SEED = 1 << 14, 64, 16, 2, 16, 11
-RATE, STEP, CHUNK = 0.5, 2048, 65536
+LEXICON, HEAD, MEMBERS, RARE_ROWS, WIDTH, SIDE, SEED = 1 << 18, 4096, 64, 12288, 16, 2, 11
+RATE, STEP, CHUNK, COUNTED_AT_ONCE = 0.5, 16384, 32768, 1 << 17
 SMALL_BYTES = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def ids_of(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The buckets of all words with SIDE paddings around each text; where words stand; how many each text has."""
+def words_of(texts: list[bytes | None]) -> tuple[list[bytes], np.ndarray]:
+    """All words, and how many each text has."""
     split = [(t or b"").translate(SMALL_BYTES).split() for t in texts]
-    counts = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
-    ids = np.fromiter(map(zlib.crc32, chain.from_iterable(split)), dtype=np.int64, count=int(counts.sum())) & (BUCKETS - 1)
-    at = np.arange(len(ids)) + SIDE * (np.repeat(np.arange(len(counts)), counts) + 1)
-    padded = np.full(len(ids) + SIDE * (len(counts) + 1), BUCKETS, dtype=np.int64)
-    padded[at] = ids
-    return padded, at, counts
+    return list(chain.from_iterable(split)), np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+
+
+def counted(docs: DataFrame) -> DataFrame:
+    """(word, n): every word of the corpus and how often it occurs."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        def sent(counts):
+            return pa.RecordBatch.from_arrays([pa.array(list(counts), type=pa.binary()), pa.array(list(counts.values()), type=pa.int64())], names=["word", "n"])
+
+        counts = Counter()
+        for batch in batches:
+            counts.update(words_of(batch.column("text").to_pylist())[0])
+            if len(counts) >= COUNTED_AT_ONCE:
+                yield sent(counts)
+                counts = Counter()
+        if counts:
+            yield sent(counts)
+
+    return docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def group(word: bytes) -> int:
+    return zlib.crc32(word[-2:]) % MEMBERS
+
+
+def group_column(word: Column) -> Column:
+    return F.pmod(F.crc32(F.substring(word, -2, 2)), F.lit(MEMBERS)).cast("int")
+
+
+class Lexicon(dict):
+    """The code of each word: its rank if it is broadcast, or one that tells its group and its row of the network."""
+
+    def __init__(self, words: list[bytes], counts: np.ndarray, totals: np.ndarray, head: int = HEAD, members: int = MEMBERS, rare_rows: int = RARE_ROWS):
+        super().__init__(zip(words, range(len(words))))
+        self.size, self.head, self.members, self.rare_rows = len(words), min(head, len(words)), members, rare_rows
+        self.rare_class, self.rows = -(-head // members), head + rare_rows  # one more row is the padding
+        rare = words[self.head :]
+        hashed = np.concatenate([np.fromiter((self.place(w) for w in rare), dtype=np.int64, count=len(rare)), np.arange(rare_rows * members), [rare_rows * members]])
+        rank = np.arange(self.head)
+        self.row = np.concatenate([rank, head + hashed // members]).astype(np.uint16)
+        self.of = np.concatenate([rank // members, np.full(len(hashed), self.rare_class)]).astype(np.uint8)
+        self.member = np.concatenate([rank % members, hashed % members]).astype(np.uint8)
+        self.padding = len(self.row) - 1
+        #: log p(word | member); what is not broadcast is added by a join
+        self.within = np.zeros(len(self.row))
+        self.within[self.head : self.size] = np.log(counts[self.head :]) - np.log(totals + 1)[self.member[self.head : self.size]]
+        self.prior = np.full((self.rare_class + 1, members), 1e-6)
+        np.add.at(self.prior, (self.of[: self.head], self.member[: self.head]), counts[: self.head])
+        self.prior[-1] += totals + 1
+
+    def place(self, word: bytes) -> int:
+        return zlib.crc32(word) % self.rare_rows * self.members + zlib.crc32(word[-2:]) % self.members
+
+    def __missing__(self, word: bytes) -> int:
+        return self.size + self.place(word)
+
+    def codes(self, words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The codes of all words with SIDE paddings around each text; where words stand."""
+        at = np.arange(len(words)) + SIDE * (np.repeat(np.arange(len(counts)), counts) + 1)
+        padded = np.full(len(words) + SIDE * (len(counts) + 1), self.padding, dtype=np.int64)
+        padded[at] = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
+        return padded, at
+
+
+def softmax(z: np.ndarray) -> np.ndarray:
+    """Over columns: numpy sums and compares whole rows much faster."""
+    z -= z.max(axis=0)
+    np.exp(z, out=z)
+    z /= z.sum(axis=0)
+    return z
 
 
 class Window:
-    """Tables of left and right neighbours (a row for each bucket and the padding), and a softmax over classes."""
+    """Tables of left and right neighbours, a softmax over classes, and one over the members of each class."""
 
-    def __init__(self):
+    def __init__(self, lexicon: Lexicon):
         rng = np.random.default_rng(SEED)
-        self.left = rng.normal(0, 0.3, (BUCKETS + 1, WIDTH)).astype(np.float32)
-        self.right = rng.normal(0, 0.3, (BUCKETS + 1, WIDTH)).astype(np.float32)
-        self.out = np.zeros((CLASSES, WIDTH), dtype=np.float32)
-        self.bias = np.zeros((CLASSES // WIDTH, WIDTH), dtype=np.float32)
+        self.lexicon, m, classes = lexicon, lexicon.members, lexicon.rare_class + 1
+        self.left = rng.normal(0, 0.3, (lexicon.rows + 1, WIDTH)).astype(np.float32)
+        self.right = rng.normal(0, 0.3, (lexicon.rows + 1, WIDTH)).astype(np.float32)
+        self.out = np.zeros((classes, WIDTH), dtype=np.float32)
+        self.inner = np.zeros((classes * m, WIDTH), dtype=np.float32)
+        of = lexicon.prior.sum(axis=1)
+        self.bias = np.zeros((-(-classes // WIDTH), WIDTH), dtype=np.float32)
+        self.bias.reshape(-1)[:classes] = np.log(of / of.sum())
+        self.tilt = np.log(lexicon.prior / of[:, None]).astype(np.float32).reshape(-1, WIDTH)
 
     def tables(self) -> dict[str, np.ndarray]:
-        return {"left": self.left, "right": self.right, "out": self.out, "bias": self.bias}
+        return {k: getattr(self, k) for k in ("left", "right", "out", "inner", "bias", "tilt")}
 
-    def hidden(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
-        h = self.left[ids[at - 1]] + self.right[ids[at + 1]]
+    def hidden(self, rows: np.ndarray, at: np.ndarray) -> np.ndarray:
+        h = self.left[rows[at - 1]] + self.right[rows[at + 1]]
         for d in range(2, SIDE + 1):
-            h += self.left[ids[at - d]] / d
-            h += self.right[ids[at + d]] / d
+            h += self.left[rows[at - d]] / d
+            h += self.right[rows[at + d]] / d
         return np.tanh(h, out=h)
 
-    def log_classes(self, h: np.ndarray) -> np.ndarray:
-        z = h @ self.out.T + self.bias.reshape(-1)
-        z -= z.max(axis=1, keepdims=True)
-        z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-        return z
-
-    def step(self, ids: np.ndarray, at: np.ndarray) -> None:
-        """One step of gradient descent on the positions at."""
-        n, h = len(at), self.hidden(ids, at)
-        e = np.exp(self.log_classes(h))
-        e[np.arange(n), ids[at] & (CLASSES - 1)] -= 1
-        back = (e @ self.out) * (1 - h * h) * (RATE / n)
-        self.out -= RATE / n * (e.T @ h)
-        self.bias -= (RATE / n * e.sum(axis=0)).reshape(self.bias.shape).astype(np.float32)
+    def classes(self, h: np.ndarray) -> np.ndarray:
+        """p(class | both sides), a column for each position."""
+        return softmax(self.out @ h.T + self.bias.reshape(-1)[: len(self.out), None])
+
+    def by_class(self, of: np.ndarray):
+        """(class, places of it, its member weights, its member biases) of each class that occurs."""
+        m, order = self.lexicon.members, np.argsort(of, kind="stable")
+        tilt = self.tilt.reshape(-1, m)
+        ends = np.cumsum(np.bincount(of, minlength=len(self.out)))
+        for c in np.flatnonzero(np.diff(ends, prepend=0)).tolist():
+            yield c, order[(ends[c - 1] if c else 0) : ends[c]], self.inner[c * m : c * m + m], tilt[c]
+
+    def step(self, rows: np.ndarray, of: np.ndarray, member: np.ndarray, at: np.ndarray) -> None:
+        """One step of gradient descent on the positions at, whose words have these classes and members."""
+        n, h = len(at), self.hidden(rows, at)
+        e = self.classes(h)
+        e[of, np.arange(n)] -= 1
+        back = e.T @ self.out
+        self.out -= RATE / n * (e @ h)
+        self.bias.reshape(-1)[: len(self.out)] -= RATE / n * e.sum(axis=1)
+        for _, where, weights, tilt in self.by_class(of):
+            k, some = len(where), h[where]
+            e = softmax(weights @ some.T + tilt[:, None])
+            e[member[where], np.arange(k)] -= 1
+            back[where] += e.T @ weights
+            # As for rows below: classes met seldom move by more than their share.
+            weights -= RATE / math.sqrt(n * k) * (e @ some)
+            tilt -= RATE / math.sqrt(n * k) * e.sum(axis=1)
+        back *= (1 - h * h) * np.float32(RATE / n)
         for table, sign in ((self.left, -1), (self.right, 1)):
             for d in range(1, SIDE + 1):
-                where = ids[at + sign * d]
+                where = rows[at + sign * d]
                 order = np.argsort(where, kind="stable")
-                starts = np.flatnonzero(np.concatenate(([True], where[order][1:] != where[order][:-1])))
+                there = where[order]
+                starts = np.flatnonzero(np.concatenate(([True], there[1:] != there[:-1])))
                 # Rows met seldom move by their own share: without this, rare words would stay where they began.
                 sums = np.add.reduceat(back[order], starts, axis=0)
                 times = np.diff(np.append(starts, n))[:, None]
-                table[where[order][starts]] -= sums * (n / times) / np.sqrt(n / times) / d
+                sums *= (np.sqrt(n / times) / d).astype(np.float32)
+                table[there[starts]] -= sums
 
-    def log_probabilities(self, ids: np.ndarray, at: np.ndarray, within: np.ndarray) -> np.ndarray:
-        out = np.empty(len(at))
+    def log_probabilities(self, codes: np.ndarray, at: np.ndarray) -> np.ndarray:
+        out, lexicon = np.empty(len(at)), self.lexicon
+        rows = lexicon.row[codes]
         for k in range(0, len(at), CHUNK):
             a = at[k : k + CHUNK]
-            z = self.log_classes(self.hidden(ids, a))
-            words = ids[a]
-            out[k : k + CHUNK] = z[np.arange(len(a)), words & (CLASSES - 1)] + within[words]
+            words = codes[a]
+            h, of, member = self.hidden(rows, a), lexicon.of[words], lexicon.member[words]
+            p = self.classes(h)[of, np.arange(len(a))].astype(np.float64)
+            for _, where, weights, tilt in self.by_class(of):
+                p[where] *= softmax(weights @ h[where].T + tilt[:, None])[member[where], np.arange(len(where))]
+            out[k : k + CHUNK] = np.log(np.maximum(p, 1e-60)) + lexicon.within[words]
         return out
 
 
-def trained(docs: DataFrame) -> tuple[dict[str, np.ndarray], np.ndarray]:
-    """The averaged tables and log p(bucket | class)."""
-    tuned(docs.sparkSession)
+def trained(docs: DataFrame) -> tuple[tuple, dict[str, np.ndarray], DataFrame]:
+    """What makes the lexicon, the averaged tables, and (word, log_share) of the words that are not broadcast."""
+    spark = tuned(docs.sparkSession)
+    counts = written(counted(docs), "word-counts")
+    band = F.floor(F.log2("n") * 8)
+    # A few hundred bands at most, whatever the corpus; a band is broadcast whole or not at all.
+    size, least = 0, None
+    for b, n in sorted(((r["b"], r["n"]) for r in counts.groupBy(band.alias("b")).agg(F.count("*").alias("n")).collect()), reverse=True):
+        if size + n > LEXICON:
+            break
+        size, least = size + n, b
+    common = F.lit(False) if least is None else band >= least
+    found = counts.where(common).toArrow()
+    ranked = sorted(zip(found.column("n").to_pylist(), found.column("word").to_pylist()), key=lambda x: (-x[0], x[1]))
+    words, times = [w for _, w in ranked], np.array([n for n, _ in ranked], dtype=np.float64)
+    totals = np.zeros(MEMBERS)
+    for r in counts.groupBy(group_column(F.col("word")).alias("g")).agg(F.sum("n").alias("n")).collect():
+        totals[r["g"]] = r["n"]
+    for w, n in zip(words[:HEAD], times[:HEAD]):
+        totals[group(w)] -= n
+    parts = (words, times, totals, HEAD, MEMBERS, RARE_ROWS)
+    shared = spark.sparkContext.broadcast(parts)
 
     def run(batches):
         import pyarrow as pa
 
-        net, counts, met = Window(), np.zeros(BUCKETS, dtype=np.int64), {"left": np.zeros(BUCKETS + 1, dtype=np.int64), "right": np.zeros(BUCKETS + 1, dtype=np.int64)}
-        steps, offset = 0, 0
+        lexicon = Lexicon(*shared.value)
+        net, m, steps = Window(lexicon), lexicon.members, 0
+        met = {"left": np.zeros(lexicon.rows + 1, dtype=np.int64), "right": np.zeros(lexicon.rows + 1, dtype=np.int64)}
+        classes = np.zeros(lexicon.rare_class + 1, dtype=np.int64)
         for batch in batches:
-            ids, at, _ = ids_of(batch.column("text").to_pylist())
-            counts += np.bincount(ids[at], minlength=BUCKETS)
-            some = at[offset % STRIDE :: STRIDE]
-            offset += 1
-            for k in range(0, len(some), STEP):
-                a = some[k : k + STEP]
-                net.step(ids, a)
+            codes, at = lexicon.codes(*words_of(batch.column("text").to_pylist()))
+            rows = lexicon.row[codes]
+            for k in range(0, len(at), STEP):
+                a = at[k : k + STEP]
+                of = lexicon.of[codes[a]]
+                net.step(rows, of, lexicon.member[codes[a]], a)
                 steps += 1
+                classes += np.bincount(of, minlength=len(classes))
                 for d in range(1, SIDE + 1):
-                    met["left"] += np.bincount(ids[a - d], minlength=BUCKETS + 1)
-                    met["right"] += np.bincount(ids[a + d], minlength=BUCKETS + 1)
-        if not steps and not counts.any():
+                    met["left"] += np.bincount(rows[a - d], minlength=lexicon.rows + 1)
+                    met["right"] += np.bincount(rows[a + d], minlength=lexicon.rows + 1)
+        if not steps:
             return
+        met |= {"inner": np.repeat(classes, m), "tilt": np.repeat(classes, m // WIDTH)}
         for name, table in net.tables().items():
-            weight = met.get(name, np.full(len(table), max(steps, 1)))
+            weight = met.get(name, np.full(len(table), steps))
             rows = np.flatnonzero(weight)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows)), pa.array(rows, type=pa.int64()), pa.array(weight[rows], type=pa.int64()), pa.array(list(table[rows]), type=pa.list_(pa.float32()))], names=["name", "row", "weight", "v"])
-        rows = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(["count"] * len(rows)), pa.array(rows, type=pa.int64()), pa.array(counts[rows], type=pa.int64()), pa.array([None] * len(rows), type=pa.list_(pa.float32()))], names=["name", "row", "weight", "v"])
 
-    parts = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "name string, row long, weight long, v array<float>")
+    sent = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "name string, row long, weight long, v array<float>")
     share = F.col("weight").cast("double")
-    means = parts.groupBy("name", "row").agg(F.sum("weight").alias("weight"), F.array(*[F.sum(F.get("v", F.lit(k)) * share) / F.sum(share) for k in range(WIDTH)]).alias("v"))
-    tables, counts = Window().tables(), np.ones(BUCKETS)
-    # At most 2 BUCKETS + 2 + CLASSES + 4 rows of WIDTH numbers and BUCKETS counts, whatever the corpus.
+    means = sent.groupBy("name", "row").agg(F.array(*[F.sum(F.get("v", F.lit(k)) * share) / F.sum(share) for k in range(WIDTH)]).alias("v"))
+    tables = Window(Lexicon(*parts)).tables()
+    # The size of the network in rows of WIDTH numbers, whatever the corpus.
     for r in means.toLocalIterator():
-        if r["name"] == "count":
-            counts[r["row"]] += r["weight"]
-        else:
-            tables[r["name"]][r["row"]] = r["v"]
-    of = np.arange(BUCKETS) & (CLASSES - 1)
-    return tables, np.log(counts) - np.log(np.bincount(of, weights=counts))[of]
+        tables[r["name"]][r["row"]] = r["v"]
+    log_total = F.array(*[F.lit(float(x)) for x in np.log(totals + 1)])
+    return parts, tables, counts.where(~common).select("word", (F.log("n") - F.get(log_total, group_column(F.col("word")))).alias("log_share"))
 
 
-def scored(docs: DataFrame, model: tuple[dict[str, np.ndarray], np.ndarray]) -> DataFrame:
+def scored(docs: DataFrame, model: tuple[tuple, dict[str, np.ndarray], DataFrame]) -> DataFrame:
     """(doc_id, n_words, log_probability, mean): a row for each document."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    parts, tables, others = model
+    shared = docs.sparkSession.sparkContext.broadcast((parts, tables))
 
     def run(batches):
         import pyarrow as pa
 
-        tables, within = shared.value
-        net = Window()
-        net.left, net.right, net.out, net.bias = (tables[k] for k in ("left", "right", "out", "bias"))
+        parts, tables = shared.value
+        net = Window(lexicon := Lexicon(*parts))
+        for name, table in tables.items():
+            setattr(net, name, table)
         for batch in batches:
-            ids, at, counts = ids_of(batch.column("text").to_pylist())
-            sums = np.concatenate(([0.0], np.cumsum(net.log_probabilities(ids, at, within))))
+            words, counts = words_of(batch.column("text").to_pylist())
+            codes, at = lexicon.codes(words, counts)
+            sums = np.concatenate(([0.0], np.cumsum(net.log_probabilities(codes, at))))
             ends = np.cumsum(counts)
             total = sums[ends] - sums[ends - counts]
-            mean = [t / n if n else None for t, n in zip(total.tolist(), counts.tolist())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, type=pa.int64()), pa.array(total, type=pa.float64()), pa.array(mean, type=pa.float64())], names=["doc_id", "n_words", "log_probability", "mean"])
+            rare = np.flatnonzero(codes[at] >= lexicon.size)
+            offsets = np.concatenate(([0], np.searchsorted(rare, ends)))
+            others = pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), pa.array([words[i] for i in rare.tolist()], type=pa.binary()))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(counts, type=pa.int64()), pa.array(total, type=pa.float64()), others], names=["row", "doc_id", "n_words", "sum", "others"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, n_words long, log_probability double, mean double")
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    rows = written(numbered.mapInArrow(run, "row long, doc_id long, n_words long, sum double, others array<binary>"), "lm-scores")
+    least = F.coalesce("log_share", F.lit(-math.log(float(parts[2].sum()) + 1)))  # of a word that training has not met
+    added = rows.select("row", F.explode("others").alias("word")).join(others, "word", "left").groupBy("row").agg(F.sum(least).alias("added"))
+    total = F.col("sum") + F.coalesce("added", F.lit(0.0))
+    return rows.join(added, "row", "left").select("doc_id", "n_words", total.alias("log_probability"), F.when(F.col("n_words") > 0, total / F.col("n_words")).alias("mean"))
 
 
 def report(docs: DataFrame) -> DataFrame:
