@@ -6,14 +6,15 @@ make a node, 16 nodes the next, up to a root for each file and one for the repli
 root down: only the children of nodes that differ are read at the next level, down to the damaged offset ranges.
 
 Edge cases: null url or html are written as empty; null ids too. Repeated rows are records of their own. A record that
-one replica lacks counts as damaged. An empty table has no files and an empty report. Damage to record headers is
-survived by searching for the next record.
+one replica lacks counts as damaged. An empty table has no files and an empty report. Each record is a gzip member that
+says which record it is: a member with damage, or a lost one, is one damaged record, and reading goes on at the next.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import struct
 import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +24,8 @@ from .common import new_path, tuned, written
 
 FILE_BYTES, FAN_OUT, FILES_A_PART = 8 << 20, 16, 1 << 20
 END = "\r\n\r\n"
+#: Each member has less than 16 MB, so the last byte of its size is 0; larger records have several.
+MAGIC, MEMBER_BYTES, READ_BYTES = b"\x1f\x8b\x08\x04", (1 << 24) - 1, 1 << 13
 
 
 def record(page_id: Column, url: Column, html: Column) -> Column:
@@ -69,32 +72,63 @@ def laid_out(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*numbers, *batch.columns], names=["file", "ordinal", "offset", "length", *batch.schema.names])
 
     kind = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
-    return written(rows.mapInArrow(run, f"file long, ordinal long, offset long, length long, page_id {kind['page_id']}, url {kind['url']}, record string"), "warc-records")
+    placed = rows.mapInArrow(run, f"file long, ordinal long, offset long, length long, page_id {kind['page_id']}, url {kind['url']}, record string")
+    path = new_path(pages.sparkSession, "warc-records")
+    placed.write.option("compression", "zstd").parquet(path)  # members of one record each take more room than whole files
+    return pages.sparkSession.read.schema(placed.schema).parquet(path)
+
+
+def member(data: bytes, ordinal: int, part: int) -> bytes:
+    """One gzip member; its header says, under a checksum, which record of the file it holds."""
+    said = struct.pack("<QI", ordinal, part)
+    extra = b"WF" + struct.pack("<H", len(said) + 4) + said + struct.pack("<I", zlib.crc32(said))
+    packed = zlib.compressobj(6, zlib.DEFLATED, -15)
+    head = MAGIC + b"\0\0\0\0\0\xff" + struct.pack("<H", len(extra)) + extra
+    return head + packed.compress(data) + packed.flush() + struct.pack("<II", zlib.crc32(data), len(data))
 
 
 def write_files(records: DataFrame, path: str) -> None:
-    """One gzipped WARC file for each file number, below file=N. A file never spans two tasks."""
+    """One WARC file for each file number, below file=N, with a gzip member for each record. A file never spans two tasks."""
     n = max(1, records.select("file").distinct().count())  # so that a task has a few files, however many there are
-    rows = records.select("file", "ordinal", "record").repartition(n, "file").sortWithinPartitions("file", "ordinal")
-    rows.select("record", "file").write.partitionBy("file").option("lineSep", END).option("compression", "gzip").text(path)
 
+    def run(batches):
+        import pyarrow as pa
 
-def split_records(data: bytes):
-    """Yields (offset, bytes) of the records of one WARC file, closing line ends included."""
-    at = 0
-    while at < len(data):
-        head = data.find(b"\r\n\r\n", at)
-        size = re.search(rb"\r\nContent-Length: *(\d+)(?:\r\n|$)", data[at:head]) if head >= 0 and data.startswith(b"WARC/1.", at) else None
-        end = head + 4 + int(size[1]) + 4 if size else -1
-        if not size or end > len(data) or (end < len(data) and not data.startswith(b"WARC/1.", end)):
-            following = data.find(b"\r\n\r\nWARC/1.", at + 1)
-            end = following + 4 if following >= 0 else len(data)
-        yield at, data[at:end]
-        at = end
+        for batch in batches:
+            rows = []
+            for file, ordinal, text in zip(batch.column("file").to_pylist(), batch.column("ordinal").to_pylist(), batch.column("record")):
+                data = text.as_buffer().to_pybytes() + END.encode()
+                # The last byte of a member's size is 0, and Spark writes it: it is the line separator.
+                rows += [(file, ordinal, part, member(data[k : k + MEMBER_BYTES], ordinal, part)[:-1]) for part, k in enumerate(range(0, len(data), MEMBER_BYTES))]
+            kinds = {"file": pa.int64(), "ordinal": pa.int64(), "part": pa.int32(), "member": pa.binary()}
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], type=t) for i, t in enumerate(kinds.values())], names=list(kinds))
+
+    members = records.select("file", "ordinal", "record").mapInArrow(run, "file long, ordinal long, part int, member binary")
+    rows = members.repartition(n, "file").sortWithinPartitions("file", "ordinal", "part")
+    rows.select(F.col("member").cast("string").alias("member"), "file").write.partitionBy("file").option("lineSep", "\0").option("compression", "none").text(path)
+
+
+def split_members(content: bytes):
+    """Yields (ordinal, bytes) of each member that is whole; what cannot be read is skipped up to the next member."""
+    at = content.find(MAGIC)
+    while at >= 0:
+        said, check, end = content[at + 16 : at + 28], content[at + 28 : at + 32], 0
+        if content[at + 12 : at + 14] == b"WF" and len(check) == 4 and zlib.crc32(said) == struct.unpack("<I", check)[0]:
+            unpacked, parts, stop = zlib.decompressobj(31), [], at
+            try:
+                while not unpacked.eof and stop < len(content):
+                    parts.append(unpacked.decompress(content[stop : stop + READ_BYTES]))
+                    stop = min(stop + READ_BYTES, len(content))
+                end = stop - len(unpacked.unused_data) if unpacked.eof else 0
+            except zlib.error:
+                pass
+            if end:
+                yield struct.unpack("<QI", said)[0], b"".join(parts)
+        at = content.find(MAGIC, end or at + 1)
 
 
 def read_leaves(spark: SparkSession, path: str) -> DataFrame:
-    """(file, ordinal, offset, length, digest) of the records in the files that write_files() wrote."""
+    """(file, ordinal, digest) of the records in the files that write_files() wrote; records that cannot be read have no row."""
     tuned(spark)
 
     def run(batches):
@@ -102,13 +136,13 @@ def read_leaves(spark: SparkSession, path: str) -> DataFrame:
 
         for batch in batches:
             for name, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-                data = zlib.decompress(content.as_py(), 31)
-                file = int(re.search(r"/file=(\d+)/", name)[1])
-                rows = [(k, at, len(x), hashlib.sha256(x).hexdigest()) for k, (at, x) in enumerate(split_records(data))]
-                yield pa.RecordBatch.from_arrays([pa.array([file] * len(rows), type=pa.int64()), *[pa.array([r[i] for r in rows], type=t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string()))]], names=["file", "ordinal", "offset", "length", "digest"])
+                file, digests = int(re.search(r"/file=(\d+)/", name)[1]), {}
+                for ordinal, data in split_members(content.as_py()):
+                    digests.setdefault(ordinal, hashlib.sha256()).update(data)
+                yield pa.RecordBatch.from_arrays([pa.array([file] * len(digests), type=pa.int64()), pa.array(list(digests), type=pa.int64()), pa.array([d.hexdigest() for d in digests.values()], type=pa.string())], names=["file", "ordinal", "digest"])
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt.gz").load(path).select("path", "content")
-    return files.mapInArrow(run, "file long, ordinal long, offset long, length long, digest string")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(path).select("path", "content")
+    return files.mapInArrow(run, "file long, ordinal long, digest string")
 
 
 def leaves(records: DataFrame, *also: str) -> DataFrame:
@@ -190,5 +224,5 @@ def report(pages: DataFrame) -> DataFrame:
     path = new_path(spark, "warc-replica")
     write_files(damaged(records), path)
     ours, theirs = written(leaves(records, "page_id", "url"), "leaves"), written(read_leaves(spark, path), "replica-leaves")
-    bad = compared(ours, theirs).withColumn("harmed", F.lit(True))
+    bad = compared(ours, theirs).distinct().withColumn("harmed", F.lit(True))
     return ours.join(bad, ["file", "ordinal"], "left").select("page_id", "url", "file", "ordinal", "offset", "length", F.col("digest").alias("sha256"), F.col("harmed").isNull().alias("intact"))
