@@ -45,20 +45,13 @@ def resampled_length(n: Column, old_rate: int, new_rate: int) -> Column:
     return F.greatest(F.lit(1), F.rint(n * F.lit(float(new_rate)) / F.lit(float(old_rate))).cast("int"))
 
 
-def resampled(samples: Column, old_rate: int, new_rate: int) -> Column:
-    """Linear interpolation between sample centres; equal rates and empty signals are unchanged."""
-    if old_rate == new_rate:
-        return samples
-    n = F.size(samples)
-    m = resampled_length(n, old_rate, new_rate)
+def source_position(i: Column, n: Column, m: Column) -> Column:
+    """Where point i of m lies among n points whose cells cover the same time; never before the first."""
+    return F.greatest((i + 0.5) * (n.cast("double") / m.cast("double")) - 0.5, F.lit(0.0))
 
-    def at(i: Column) -> Column:
-        x = F.greatest((i + 0.5) * (n.cast("double") / m.cast("double")) - 0.5, F.lit(0.0))
-        low = F.least(F.floor(x).cast("int"), n - 1)
-        high = F.least(low + 1, n - 1)
-        return F.get(samples, low) * (1.0 - (x - low)) + F.get(samples, high) * (x - low)
 
-    return F.when(n == 0, samples).otherwise(F.transform(F.sequence(F.lit(0), m - 1), at))
+def between(low: Column, high: Column, fraction: Column) -> Column:
+    return low * (1.0 - fraction) + high * fraction
 
 
 def energy(samples: Column) -> Column:
@@ -86,3 +79,12 @@ def audio_metadata(rows: Column, sample_rate: int) -> Column:
         F.lit(0).alias("bits_per_sample"),
         F.lit("UNKNOWN").alias("encoding"),
     )
+
+
+#: The names of resampling methods that may be asked for; all mean linear interpolation here.
+METHODS = ("sinc_fast", "sinc_best", "kaiser_fast", "kaiser_best")
+
+
+def checked_method(method: Column) -> Column:
+    """The method actually used; an unknown name is an error."""
+    return F.when(method.isin(*METHODS), F.lit("linear")).otherwise(F.raise_error(F.concat(F.lit("method must be one of " + ", ".join(METHODS) + ": "), F.coalesce(method, F.lit("null")))))

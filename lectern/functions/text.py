@@ -25,8 +25,10 @@ def srt_time(seconds: Column) -> Column:
 
 def srt_milliseconds(time: Column) -> Column:
     """The milliseconds that a rendered time stands for; null if it is not one."""
-    part = lambda k: F.regexp_extract(time, r"^\s*(\d+):(\d{2}):(\d{2})[,.](\d{3})\s*$", k).try_cast("bigint")
-    return part(1) * 3_600_000 + part(2) * 60_000 + part(3) * 1000 + part(4)
+    parts = F.split(F.trim(time), "[:,.]")
+    part = lambda k, digits: F.when(F.length(F.get(parts, F.lit(k))) == digits, F.get(parts, F.lit(k))).try_cast("bigint")
+    hours = F.get(parts, F.lit(0)).try_cast("bigint")
+    return F.when(F.size(parts) == 4, hours * 3_600_000 + part(1, 2) * 60_000 + part(2, 2) * 1000 + part(3, 3))
 
 
 def collapsed(text: Column) -> Column:
@@ -77,3 +79,23 @@ def padded(index: Column, prefix: str, suffix: str) -> Column:
 def container_path(path: Column, root: str) -> Column:
     """A host path as seen in the container: the root itself, what lies below it, or the path unchanged below the mount."""
     return F.when(path == root, F.lit("/workspace")).otherwise(F.concat(F.lit("/workspace/"), F.when(F.startswith(path, F.lit(root + "/")), F.substring(path, F.lit(len(root) + 2), F.length(path))).otherwise(path)))
+
+
+def one_decimal(x: Column) -> Column:
+    """A number of at least 0 with one decimal, halves to even."""
+    tenths = F.rint(x * 10).cast("bigint")
+    return F.concat(F.floor(tenths / 10).cast("string"), F.lit("."), F.pmod(tenths, F.lit(10)).cast("string"))
+
+
+def minutes_text(seconds: Column) -> Column:
+    return F.concat(one_decimal(seconds / 60), F.lit(" min"))
+
+
+def gigabytes_text(size: Column) -> Column:
+    return F.concat(one_decimal(size / F.lit(float(1 << 30))), F.lit(" GB"))
+
+
+def ratio(text: Column) -> Column:
+    """The quotient that a text such as 30000/1001 stands for; null if it is none or its divisor is 0."""
+    part = lambda k: F.split_part(text, F.lit("/"), F.lit(k)).try_cast("double")
+    return F.when(F.contains(text, F.lit("/")), part(1) / F.nullif(part(2), F.lit(0.0))).otherwise(text.try_cast("double"))

@@ -37,3 +37,14 @@ def muxed(tracks: list[DataFrame], key: str, durations: list[str], shortest: boo
     joined = reduce(lambda a, b: a.join(b, key), tracks)
     pick = F.least if shortest else F.greatest
     return joined.withColumn("duration_s", pick(*durations))
+
+
+#: The streams of a final file in order, with the language and title of the subtitle tracks.
+STREAMS = ((0, "video", None, None), (1, "audio", None, None), (2, "subtitle", "spa", "Español"), (3, "subtitle", "eng", "English"))
+
+
+def streams(talks: DataFrame, key: str, durations: list[str]) -> DataFrame:
+    """(key, stream, kind, language, title, source_s, duration_s): the four streams of each muxed talk, cut to its duration_s."""
+    one = lambda s, d: F.struct(F.lit(s[0]).alias("stream"), F.lit(s[1]).alias("kind"), F.lit(s[2]).cast("string").alias("language"), F.lit(s[3]).cast("string").alias("title"), F.col(d).alias("source_s"))
+    rows = talks.select(key, "duration_s", F.explode(F.array(*map(one, STREAMS, durations))).alias("s"))
+    return rows.select(key, "s.stream", "s.kind", "s.language", "s.title", "s.source_s", "duration_s")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -25,6 +25,26 @@ def pending(work: DataFrame, outputs: DataFrame, key: str, size: str | None = No
     return work.join(have.select(key), key, "left_anti")
 
 
+def split_policy(chunks: DataFrame, key: str, present: Column, expected: Column) -> DataFrame:
+    """For each talk, whether its chunks count as split: if any is there, as batch jobs decide, or only if all are.
+
+    partial marks the talks on which the two differ: a split that broke off is taken for a whole one.
+    """
+    out = chunks.groupBy(key).agg(F.count_if(present).alias("n_present"), expected.cast("bigint").alias("n_expected"))
+    some, every = F.col("n_present") > 0, F.col("n_present") >= F.col("n_expected")
+    return out.select("*", some.alias("skip_split"), every.alias("complete"), (some & ~every).alias("partial"))
+
+
+def mark_done(outputs: DataFrame, key: str, size: str, folder: str, min_bytes: int = 1000) -> None:
+    """Adds the outputs that are large enough to the done table in folder; a key may be marked more than once."""
+    outputs.where(done(F.col(size), min_bytes)).select(key).write.mode("append").parquet(folder)
+
+
+def marked_done(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """The keys in the done table, each once."""
+    return spark.read.schema(schema).parquet(folder).distinct()
+
+
 def progress(chunks: DataFrame, by: str, expected: str, is_done: str) -> DataFrame:
     """total, done and remaining chunks, and whether enough are there."""
     return chunks.groupBy(by).agg(

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lectern.sources.shared import written
+
 EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
@@ -14,11 +16,9 @@ def micros(ts: str) -> Column:
     return F.expr(f"timestampdiff(MICROSECOND, {EPOCH}, `{ts}`)")
 
 
-def fixed(df: DataFrame, ts: str, seconds: int) -> DataFrame:
-    """df with chunk_start (µs since 1970) and offset_us within it: tumbling chunks whose clocks start anew."""
-    width = seconds * 1_000_000
-    at = micros(ts)
-    return df.withColumn("offset_us", F.pmod(at, F.lit(width))).withColumn("chunk_start", at - F.col("offset_us"))
+def offset_in(ts: str, seconds: Column) -> Column:
+    """Microseconds since the start of the tumbling chunk that a timestamp lies in."""
+    return F.pmod(micros(ts), seconds.cast("bigint") * 1_000_000)
 
 
 def floored_count(seconds: Column, chunk: int) -> Column:
@@ -44,16 +44,21 @@ def overlapping(df: DataFrame, duration: str, chunk: int, overlap: int) -> DataF
     return rows.withColumn("length", F.least(F.lit(float(chunk)) + early, F.col(duration) - F.col("start")))
 
 
-def ranked(df: DataFrame, order: str, name: str, parts: int = 32) -> DataFrame:
-    """df with name: each row's place (from 0) in the order of a column, ties by chance, without one task for all.
+def ranked(df: DataFrame, order: str, name: str, rows_a_range: int = 1 << 20) -> DataFrame:
+    """df with name: each row's place (from 0) in the order of a column, nulls first, ties by chance; no task sees all rows.
 
-    Rows are dealt to ranges and numbered inside each; the counts of the ranges, one short row each, give where they start.
+    Rows are dealt to sorted ranges - rows of one value too, by a random second key - and written once, each with its range
+    and its number in it. Counts and places then come from the same table; the counts, one short row for each range of
+    rows_a_range rows, give where a range starts.
     """
-    ranged = df.repartitionByRange(parts, order).withColumn("__part", F.spark_partition_id())
-    counts = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
-    before = counts.select(F.col("__part"), F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
-    inside = F.row_number().over(Window.partitionBy("__part").orderBy(order)) - 1
-    return ranged.withColumn(name, inside).join(F.broadcast(before), "__part").withColumn(name, (F.col(name) + F.col("__before")).cast("bigint")).drop("__part", "__before")
+    parts = max(1, -(-df.count() // rows_a_range))
+    dealt = df.withColumn("__tie", F.rand(7)).repartitionByRange(parts, order, "__tie").sortWithinPartitions(order, "__tie").drop("__tie")
+    ranged = written(dealt.withColumn("__at", F.monotonically_increasing_id()), "ranged")
+    part, inside = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = ranged.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    before = counts.select("__part", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    # One row for a million: left to Spark, which broadcasts so short a table and shuffles a long one.
+    return ranged.join(before, part == F.col("__part")).withColumn(name, (inside + F.col("__before")).cast("bigint")).drop("__at", "__part", "__before")
 
 
 def mini_batches(df: DataFrame, order: str, size: int = 200) -> DataFrame:

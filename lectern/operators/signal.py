@@ -1,11 +1,12 @@
-"""Signals in long form, a row for each sample: what outgrows a row stays distributed."""
+"""Long signals: chunk rows (keys, start, samples) with bounded arrays, or a row for each sample. No signal has to fit in a row."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from lectern.functions.signal import fade_in
+from lectern.functions.signal import between, clamp, downmix, energy, fade_in, peak, resampled_length, source_position
 
 
 def exploded(df: DataFrame, keys: list[str], samples: str) -> DataFrame:
@@ -13,6 +14,65 @@ def exploded(df: DataFrame, keys: list[str], samples: str) -> DataFrame:
     return df.select(*keys, F.posexplode(samples).alias("pos", "v"))
 
 
+def whole(df: DataFrame, keys: list[str], samples: str) -> DataFrame:
+    """Signals that are one chunk each, as haloed() gives them, without a shuffle. Empty ones have no row."""
+    return df.where(F.size(samples) > 0).select(*keys, F.lit(0).cast("bigint").alias("start"), F.col(samples).alias("samples"), F.size(samples).cast("bigint").alias("n"), F.lit(None).cast("double").alias("after"))
+
+
+def haloed(chunks: DataFrame, keys: list[str]) -> DataFrame:
+    """Chunks with n, the samples of their whole signal, and after, the first sample of the next chunk (null for the last).
+
+    Only the first sample and the size of each chunk are sorted; arrays are moved once, by the join.
+    """
+    by = Window.partitionBy(*keys)
+    heads = chunks.where(F.size("samples") > 0).select(*keys, "start", F.size("samples").alias("__size"), F.get("samples", F.lit(0)).alias("__first"))
+    heads = heads.select(*keys, "start", F.sum("__size").over(by).cast("bigint").alias("n"), F.lead("__first").over(by.orderBy("start")).alias("after"))
+    return chunks.select(*keys, "start", "samples").join(heads, [*keys, "start"])
+
+
+def resampled(chunks: DataFrame, keys: list[str], old_rate: int, new_rates: list[int]) -> DataFrame:
+    """(keys, rate, pos, v): chunks with a halo at other rates, by linear interpolation between sample centres.
+
+    Each chunk makes the points whose left neighbour it holds. Positions are rows before they are computed with, so all
+    arithmetic is on plain columns; all rates are made from one scan. Equal rates leave samples as they are.
+    """
+    n, start, end = F.col("n"), F.col("start"), F.col("start") + F.size("samples")
+    rates = chunks.select("*", F.explode(F.array(*map(F.lit, new_rates))).alias("rate"))
+    length = F.lit(None).cast("bigint")
+    for new in new_rates:
+        length = F.when(F.col("rate") == new, resampled_length(n, old_rate, new).cast("bigint")).otherwise(length)
+    rates = rates.select("*", length.alias("m"))
+    m = F.col("m")
+    # One point more than needed at either end; those that belong to a neighbour are filtered by their exact place.
+    reach = lambda edge: ((edge.cast("double") + 0.5) * m / n - 0.5).cast("bigint")
+    first = F.when(start == 0, F.lit(0).cast("bigint")).otherwise(F.greatest(reach(start) - 1, F.lit(0)))
+    last = F.greatest(F.when(end >= n, m - 1).otherwise(F.least(reach(end) + 1, m - 1)), first)
+    points = rates.select("*", F.explode(F.sequence(first, last)).alias("pos"))
+    placed = points.select("*", source_position(F.col("pos"), n, m).alias("x")).select("*", F.least(F.floor("x"), n - 1).alias("low"))
+    here = placed.where((F.col("low") >= start) & (F.col("low") < end)).select("*", F.get("samples", (F.col("low") - start).cast("int")).alias("a"))
+    # Beyond the last sample the last one stands.
+    right = F.when(F.col("low") + 1 >= n, F.col("a")).otherwise(F.coalesce(F.get("samples", (F.col("low") + 1 - start).cast("int")), F.col("after")))
+    return here.select(*keys, "rate", F.col("pos").cast("int").alias("pos"), between(F.col("a"), right, F.col("x") - F.col("low")).alias("v"))
+
+
+def asr_ready(stereo: DataFrame, keys: list[str], left: str, right: str, old_rate: int = 48000, new_rate: int = 16000) -> DataFrame:
+    """(keys, rate, pos, v): what a recogniser takes - the mean of both channels, at its rate. One chunk for each signal."""
+    mono = stereo.select(*keys, downmix(F.col(left), F.col(right)).alias("mono"))
+    return resampled(whole(mono, keys, "mono"), keys, old_rate, [new_rate])
+
+
+def levels(chunks: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, rms, peak) of signals in chunks; three numbers of each chunk are shuffled."""
+    part = chunks.select(*keys, energy(F.col("samples")).alias("e"), F.size("samples").alias("size"), peak(F.col("samples")).alias("p"))
+    return part.groupBy(*keys).agg(F.sqrt(F.sum("e") / F.sum("size")).alias("rms"), F.max("p").alias("peak"))
+
+
+def normalised(chunks: DataFrame, keys: list[str], to_peak: float) -> DataFrame:
+    """(keys, start, samples): each signal times one gain, so that its largest sample is to_peak; silence stays silence."""
+    gains = levels(chunks, keys).select(*keys, F.when(F.col("peak") > 0, to_peak / F.col("peak")).otherwise(F.lit(1.0)).alias("gain"))
+    return chunks.join(gains, keys).select(*keys, "start", F.transform("samples", lambda v: clamp(v * F.col("gain"))).alias("samples"))
+
+
 def crossfaded(chunks: DataFrame, key: str, idx: str, samples: str, overlap: int, last_idx: str) -> DataFrame:
     """(key, pos, v): chunks of equal length laid over each other by overlap samples, fading linearly.
 

@@ -43,14 +43,23 @@ def documents(cue_rows: DataFrame, key: str) -> DataFrame:
 
 
 def parsed(files: DataFrame, key: str, srt: str) -> DataFrame:
-    """The cues of subtitle files: a leading mark of byte order and carriage returns are dropped; blocks start with a number and a time."""
-    clean = F.replace(F.regexp_replace(F.col(srt), "^﻿", ""), F.lit("\r\n"), F.lit("\n"))
+    """The cues of subtitle files: a leading mark of byte order and carriage returns are dropped; blocks start with a number and a time.
+
+    A block is cut at its first two line ends, its second line at the arrow; blocks without a number or two times are not cues.
+    """
+    clean = F.replace(F.regexp_replace(F.col(srt), "^\ufeff", ""), F.lit("\r\n"), F.lit("\n"))
     rows = files.select(key, F.posexplode(F.split(clean, r"\n{2,}(?=\d+[ \t]*\n\d+:)")).alias("pos", "block"))
-    pattern = r"^\s*(\d+)[ \t]*\n([0-9:.,]+)[ \t]*-->[ \t]*([0-9:.,]+)[^\n]*\n?([\s\S]*?)\n*\z"
-    part = lambda k: F.regexp_extract("block", pattern, k)
-    return rows.where(F.col("block").rlike(pattern)).select(
-        key, "pos", part(1).try_cast("bigint").alias("number"), srt_milliseconds(part(2)).alias("start_ms"), srt_milliseconds(part(3)).alias("end_ms"), part(4).alias("content")
+    lines = rows.select(key, "pos", F.split(F.regexp_replace("block", r"^\s+", ""), "\n", 3).alias("lines"))
+    times = lines.select(key, "pos", "lines", F.split(F.get("lines", F.lit(1)), r"[ \t]*-->[ \t]*", 2).alias("times"))
+    cut = times.select(
+        key,
+        "pos",
+        F.trim(F.get("lines", F.lit(0))).try_cast("bigint").alias("number"),
+        srt_milliseconds(F.get("times", F.lit(0))).alias("start_ms"),
+        srt_milliseconds(F.regexp_extract(F.get("times", F.lit(1)), r"^[0-9:.,]+", 0)).alias("end_ms"),
+        F.regexp_replace(F.coalesce(F.get("lines", F.lit(2)), F.lit("")), r"\n+\z", "").alias("content"),
     )
+    return cut.where("number is not null and start_ms is not null and end_ms is not null")
 
 
 def translated(cue_rows: DataFrame, text: str, translate: Callable[[Column], Column] = lambda x: x) -> DataFrame:

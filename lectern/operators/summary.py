@@ -18,6 +18,18 @@ def result_json(columns: list[str]) -> Column:
     return F.to_json(F.struct(*columns))
 
 
+def summary_document(results: DataFrame, key: str, order: str, columns: list[str]) -> DataFrame:
+    """(key, json, n_items): the results of each batch, in order, as one JSON array with an indent of 2; other alphabets stay readable.
+
+    A batch's document is one row, as it is one file.
+    """
+    field = lambda c: F.concat(F.lit(f'    "{c}": '), F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", ""))
+    item = F.concat(F.lit("  {\n"), F.concat_ws(",\n", *map(field, columns)), F.lit("\n  }"))
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), item.alias("x")))), lambda e: e["x"])
+    out = results.groupBy(key).agg(ordered.alias("items"))
+    return out.select(key, F.concat(F.lit("[\n"), F.array_join("items", ",\n"), F.lit("\n]")).alias("json"), F.size("items").cast("bigint").alias("n_items"))
+
+
 def eta(results: DataFrame, key: str, order: list[str], elapsed: str) -> DataFrame:
     """After each item: items done, seconds elapsed (summed as decimals, so order of addition does not show), mean and time left.
 

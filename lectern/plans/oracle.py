@@ -34,13 +34,16 @@ def notches(base: str) -> str:
     return f"list_transform(list_filter(range(1, 11), lambda h: {base} * h <= 900), lambda h: 'bandreject=f=' || ({base} * h)::VARCHAR || ':w=' || (h + 7)::VARCHAR)"
 
 
-def resampled(new: int) -> str:
-    n = 64
+def resampled(new: int, n: int = 64, source: str = "waves") -> str:
     m = max(1, round(n * new / 48000))
     x = f"greatest((i + 0.5::DOUBLE) * ({n}::DOUBLE / {m}::DOUBLE) - 0.5::DOUBLE, 0.0::DOUBLE)"
     return f"""SELECT vec_id, {new} AS rate, i::INT AS pos,
        x[lo + 1] * (1.0::DOUBLE - (p - lo)) + x[least(lo + 1, {n - 1}) + 1] * (p - lo) AS v
-FROM (SELECT *, least(floor(p)::INT, {n - 1}) AS lo FROM (SELECT vec_id, x, i, {x} AS p FROM waves, range(0, {m}) t(i)))"""
+FROM (SELECT *, least(floor(p)::INT, {n - 1}) AS lo FROM (SELECT vec_id, x, i, {x} AS p FROM {source}, range(0, {m}) t(i)))"""
+
+
+def one_decimal(x: str) -> str:
+    return f"(round_even({x} * 10, 0)::BIGINT // 10) || '.' || (round_even({x} * 10, 0)::BIGINT % 10)"
 
 
 WAVES = "waves AS (SELECT vec_id, label, list_transform(embedding, lambda v: v::DOUBLE) AS x FROM embeddings)"
@@ -116,11 +119,34 @@ s AS (SELECT *, greatest(0.0::DOUBLE, idx * 300.0::DOUBLE - CASE WHEN idx > 0 TH
 SELECT doc_id, idx, start, least(CASE WHEN idx > 0 THEN 302.0::DOUBLE ELSE 300.0::DOUBLE END, duration_s - start) AS length, idx > 0 AS has_overlap_start, {CHUNK.format("idx")} AS name FROM s""",
     "q27_slot_dispatch": """WITH r AS (SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderdate ORDER BY o_orderkey) AS place FROM orders)
 SELECT o_orderkey, place, CASE WHEN place <= 3 THEN 0 WHEN place <= 4 THEN 1 END::INT AS device, CASE WHEN place <= 4 THEN 'running' ELSE 'waiting' END AS state FROM r""",
-    "q28_mini_batches": """WITH p AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS place FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL))
-SELECT doc_id, place, place // 200 AS batch_id FROM p""",
+    "q28_mini_batches": """WITH p AS (SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) - 1 AS place FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL))
+SELECT doc_id, lang, place, place // 200 AS batch_id FROM p""",
     "q29_prefix_limit": """SELECT event_id, user_id FROM (SELECT *, min(ts) OVER (PARTITION BY user_id) AS first_ts FROM events) WHERE epoch_us(ts) - epoch_us(first_ts) < 300000000""",
     "q30_external_transform": f"""WITH {WAVES} SELECT vec_id, CASE WHEN label = 9 THEN 'error' ELSE 'ok' END AS status, CASE WHEN label = 9 THEN 'label 9' ELSE '' END AS error,
        i::INT AS pos, CASE WHEN label = 9 THEN x[i + 1] ELSE x[i + 1] / 2 END AS v FROM waves, range(0, 64) t(i)""",
+    "q21b_asr_audio": f"""WITH {WAVES}, mono AS (SELECT vec_id, list_transform(range(1, 33), lambda i: (x[i] + x[i + 32]) / 2) AS x FROM waves) {resampled(16000, 32, "mono")}""",
+    "q22b_normalised_samples": f"""WITH {WAVES}, l AS (SELECT vec_id, x, 0.5::DOUBLE / list_max(list_transform(x, lambda v: abs(v))) AS gain FROM waves)
+SELECT vec_id, i::INT AS pos, greatest(-1.0::DOUBLE, least(1.0::DOUBLE, x[i + 1] * gain)) AS v FROM l, range(0, 64) t(i)""",
+    "q31_video_probe": """WITH e AS (SELECT event_id, (props->>'$.k')::INT AS k, CASE WHEN event_id % 7 = 0 THEN '0/0' WHEN event_id % 3 = 0 THEN '30000/1001' WHEN event_id % 3 = 1 THEN '25/1' ELSE user_id::VARCHAR END AS r FROM events)
+SELECT event_id, k * 16 AS width, k * 9 AS height, r AS r_frame_rate,
+       CASE WHEN contains(r, '/') THEN split_part(r, '/', 1)::DOUBLE / nullif(split_part(r, '/', 2)::DOUBLE, 0) ELSE r::DOUBLE END AS fps FROM e""",
+    "q32_chunk_set_skip": """WITH t AS (SELECT conv_id, count(*) FILTER (length(text) > 300) AS n_present, (max(turn) + 1)::BIGINT AS n_expected FROM conversations GROUP BY 1)
+SELECT *, n_present > 0 AS skip_split, n_present >= n_expected AS complete, n_present > 0 AND n_present < n_expected AS partial FROM t""",
+    "q33_summary_document": """SELECT conv_id, '[' || chr(10) || string_agg('  {' || chr(10) || '    "turn": ' || turn || ',' || chr(10) || '    "role": "' || role || '",' || chr(10) || '    "chars": ' || length(text) || ',' || chr(10)
+       || '    "ok": ' || (length(text) > 300)::VARCHAR || chr(10) || '  }', ',' || chr(10) ORDER BY turn) || chr(10) || ']' AS json, count(*) AS n_items FROM conversations GROUP BY 1""",
+    "q34_wav_round_trip": f"""WITH {WAVES} SELECT vec_id, c::INT AS channel, 48000 AS sample_rate, i::INT AS pos,
+       (round_even(greatest(-1.0::DOUBLE, least(1.0::DOUBLE, x[c * 32 + i + 5] * 4)) * 32767.0::DOUBLE, 0)::FLOAT / 32768::FLOAT)::DOUBLE AS v FROM waves, range(0, 2) a(c), range(0, 20) b(i)""",
+    "q35_final_streams": """WITH t AS (SELECT conv_id, (max(turn) - min(turn) + 1) * 30.0::DOUBLE AS video_s, sum(length(text)) / 16.0::DOUBLE AS audio_s,
+  sum(length(text)) FILTER (role = 'user') / 16.0::DOUBLE AS es_s, sum(length(text)) FILTER (role = 'assistant') / 16.0::DOUBLE AS en_s FROM conversations GROUP BY 1),
+m AS (SELECT *, least(video_s, audio_s, es_s, en_s) AS duration_s FROM t WHERE es_s IS NOT NULL AND en_s IS NOT NULL)
+SELECT conv_id, 0 AS stream, 'video' AS kind, NULL::VARCHAR AS language, NULL::VARCHAR AS title, video_s AS source_s, duration_s FROM m
+UNION ALL SELECT conv_id, 1, 'audio', NULL, NULL, audio_s, duration_s FROM m
+UNION ALL SELECT conv_id, 2, 'subtitle', 'spa', 'Español', es_s, duration_s FROM m
+UNION ALL SELECT conv_id, 3, 'subtitle', 'eng', 'English', en_s, duration_s FROM m""",
+    "q36_done_table": "SELECT doc_id, n_chars FROM documents WHERE NOT ((doc_id % 2 = 0 OR doc_id % 3 = 0) AND n_chars > 1000)",
+    "q37_report_texts": f"WITH {TALKS} SELECT doc_id, {one_decimal('(duration_s / 60)')} || ' min' AS minutes, {one_decimal('(n_chars * 1048576.0::DOUBLE / 1073741824.0::DOUBLE)')} || ' GB' AS size FROM talks",
+    "q38_settings": """SELECT event_id, CASE WHEN event_id % 3 = 1 THEN event_type ELSE 'safe' END AS audio_mode, '300' AS chunk_seconds,
+       ['sinc_fast', 'sinc_best', 'kaiser_fast', 'kaiser_best'][user_id % 4 + 1] AS asked_method, 'linear' AS used_method FROM events""",
 }
 
 

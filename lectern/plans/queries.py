@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from lectern.functions import signal as sig
 from lectern.functions import text as txt
 from lectern.operators import filters, mux, pending, plugins, segments, signal, subtitles, summary
+from lectern.sources import files
 from lectern.sources.files import table
+from lectern.sources.shared import new_path
 
 ROOT = "/srv/talks"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,8 +41,8 @@ def q02_probe_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q03_segment_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("ts")
     rows = events.select("ts", F.explode(F.array(F.lit(300), F.lit(900))).alias("chunk_s"))
-    at, width = segments.micros("ts"), F.col("chunk_s").cast("bigint") * 1_000_000
-    cut = rows.select("chunk_s", F.pmod(at, width).alias("offset_us"), (at - F.pmod(at, width)).alias("chunk_start_us"))
+    at, offset = segments.micros("ts"), segments.offset_in("ts", F.col("chunk_s"))
+    cut = rows.select("chunk_s", offset.alias("offset_us"), (at - offset).alias("chunk_start_us"))
     return cut.groupBy("chunk_s", "chunk_start_us").agg(F.count(F.lit(1)).alias("n"), F.min("offset_us").alias("first_offset_us"), F.max("offset_us").alias("last_offset_us"))
 
 
@@ -175,14 +177,21 @@ def q20b_audio_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q21_resample_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = _waves(spark, sf_dir)
-    one = lambda new: signal.exploded(x.select("vec_id", F.lit(new).alias("rate"), sig.resampled(F.col("x"), 48000, new).alias("y")), ["vec_id", "rate"], "y")
-    return one(16000).unionByName(one(96000))
+    return signal.resampled(signal.whole(_waves(spark, sf_dir), ["vec_id"], "x"), ["vec_id"], 48000, [16000, 96000])
+
+
+def q21b_asr_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    two = _waves(spark, sf_dir).select("vec_id", F.slice("x", 1, 32).alias("left"), F.slice("x", 33, 32).alias("right"))
+    return signal.asr_ready(two, ["vec_id"], "left", "right")
 
 
 def q22_level_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = F.col("x")
-    return _waves(spark, sf_dir).select("vec_id", sig.rms(x).alias("rms"), sig.peak(x).alias("peak"), (0.5 / sig.peak(x)).alias("peak_gain"), (0.1 / sig.rms(x)).alias("rms_gain"))
+    found = signal.levels(signal.whole(_waves(spark, sf_dir), ["vec_id"], "x"), ["vec_id"])
+    return found.select("vec_id", "rms", "peak", (0.5 / F.col("peak")).alias("peak_gain"), (0.1 / F.col("rms")).alias("rms_gain"))
+
+
+def q22b_normalised_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signal.exploded(signal.normalised(signal.whole(_waves(spark, sf_dir), ["vec_id"], "x"), ["vec_id"], 0.5), ["vec_id"], "samples")
 
 
 def q23_progress_eta(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,8 +218,8 @@ def q27_slot_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q28_mini_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = pending.pending(talks(spark, sf_dir), table(spark, sf_dir, "labels"), "doc_id").select("doc_id")
-    return segments.mini_batches(left, "doc_id", 200).select("doc_id", "place", "batch_id")
+    left = pending.pending(talks(spark, sf_dir), table(spark, sf_dir, "labels"), "doc_id").select("doc_id", "lang")
+    return segments.mini_batches(left, "doc_id", 200).select("doc_id", "lang", "place", "batch_id")
 
 
 def q29_prefix_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,26 +228,84 @@ def q29_prefix_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q30_external_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     def load():
-        """Stands for a model: halves samples, and fails on every vector of label 9."""
+        """Stands for a model: halves samples, and cannot do vectors of label 9."""
 
         def model(batch: pd.DataFrame) -> pd.DataFrame:
-            if (batch["label"] == 9).any():
-                raise ValueError("label 9")
-            return batch.assign(x=[v / 2 for v in batch["x"]])
+            bad = batch["label"] == 9
+            return batch.assign(x=batch["x"].where(bad, batch["x"] / 2), error=bad.map({True: "label 9", False: ""}))
 
         return model
 
-    rows = _waves(spark, sf_dir).join(table(spark, sf_dir, "embeddings").select("vec_id", "label"), "vec_id")
-    out = plugins.transformed(rows.select("vec_id", "label", "x"), load, "vec_id bigint, label int, x array<double>, status string, error string")
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", sig.doubles(F.col("embedding")).alias("x"))
+    out = plugins.transformed(rows, load, "vec_id bigint, label int, x array<double>, status string, error string")
     return out.select("vec_id", "status", "error", F.posexplode("x").alias("pos", "v"))
 
 
+def q31_video_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    rate = F.when(F.col("event_id") % 7 == 0, "0/0").when(F.col("event_id") % 3 == 0, "30000/1001").when(F.col("event_id") % 3 == 1, "25/1").otherwise(F.col("user_id").cast("string"))
+    probe = F.concat_ws(",", (F.get_json_object("props", "$.k").cast("int") * 16).cast("string"), (F.get_json_object("props", "$.k").cast("int") * 9).cast("string"), rate)
+    parts = e.select("event_id", F.split(probe, ",").alias("p"))
+    field = lambda k: F.get("p", F.lit(k))
+    return parts.select("event_id", field(0).cast("int").alias("width"), field(1).cast("int").alias("height"), field(2).alias("r_frame_rate"), txt.ratio(field(2)).alias("fps"))
+
+
+def q32_chunk_set_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return pending.split_policy(turns, "conv_id", F.length("text") > 300, F.max("turn") + 1)
+
+
+def q33_summary_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.length("text").alias("chars"), (F.length("text") > 300).alias("ok"))
+    return summary.summary_document(rows, "conv_id", "turn", ["turn", "role", "chars", "ok"])
+
+
+def q34_wav_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    two = _waves(spark, sf_dir).select("vec_id", sig.channels(F.transform("x", lambda v: v * 4), 2, 32).alias("channels"))
+    read = files.wav_decoded(files.wav_encoded(two, ["vec_id"], "channels", 48000), ["vec_id"], offset=4, frames=20)
+    rows = read.select("vec_id", "channel", "sample_rate", F.posexplode("samples").alias("pos", "v"))
+    return rows.select("vec_id", "channel", "sample_rate", "pos", F.col("v").cast("double").alias("v"))
+
+
+def q35_final_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.length("text").alias("chars"))
+    track = lambda rows, value, name: rows.groupBy("conv_id").agg((value).alias(name))
+    tracks = [
+        track(turns, (F.max("turn") - F.min("turn") + 1) * 30.0, "video_s"),
+        track(turns, F.sum("chars") / 16.0, "audio_s"),
+        track(turns.where("role = 'user'"), F.sum("chars") / 16.0, "es_s"),
+        track(turns.where("role = 'assistant'"), F.sum("chars") / 16.0, "en_s"),
+    ]
+    names = ["video_s", "audio_s", "es_s", "en_s"]
+    return mux.streams(mux.muxed(tracks, "conv_id", names), "conv_id", names)
+
+
+def q36_done_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = new_path(spark, "done")
+    sizes = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    pending.mark_done(sizes.where("doc_id % 2 = 0"), "doc_id", "n_chars", done)
+    pending.mark_done(sizes.where("doc_id % 3 = 0"), "doc_id", "n_chars", done)
+    return pending.pending(talks(spark, sf_dir), pending.marked_done(spark, done, "doc_id bigint"), "doc_id").select("doc_id", "n_chars")
+
+
+def q37_report_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return talks(spark, sf_dir).select("doc_id", txt.minutes_text(F.col("duration_s")).alias("minutes"), txt.gigabytes_text(F.col("n_chars") * F.lit(float(1 << 20))).alias("size"))
+
+
+def q38_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    given = F.when(F.col("event_id") % 3 == 0, F.lit("")).when(F.col("event_id") % 3 == 1, F.col("event_type"))
+    asked = F.element_at(F.array(*map(F.lit, sig.METHODS)), (F.col("user_id") % 4 + 1).cast("int"))
+    return e.select("event_id", txt.setting(given, "safe").alias("audio_mode"), txt.setting(F.lit(""), "300").alias("chunk_seconds"), asked.alias("asked_method"), sig.checked_method(asked).alias("used_method"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         q01_discover_talks, q02_probe_duration, q03_segment_fixed, q04_chunk_progress, q05_skip_policies, q06_pending_chunks, q07_ordered_concat, q08_mux_two, q09_mux_four, q10_srt_document,
         q11_srt_cues, q12_srt_translate_roundtrip, q13_language_route, q14_package_lookup, q15_batch_summary, q15b_batch_json, q16_regen_decisions, q17_filter_chain, q18_container_path, q19_clamp_and_shape, q20_downmix,
-        q20b_audio_metadata, q21_resample_linear, q22_level_normalise, q23_progress_eta, q24_crossfade_concat, q25_segment_truncated, q26_segment_overlap, q27_slot_dispatch, q28_mini_batches, q29_prefix_limit, q30_external_transform,
+        q20b_audio_metadata, q21_resample_linear, q21b_asr_audio, q22_level_normalise, q22b_normalised_samples, q23_progress_eta, q24_crossfade_concat, q25_segment_truncated, q26_segment_overlap, q27_slot_dispatch, q28_mini_batches, q29_prefix_limit, q30_external_transform,
+        q31_video_probe, q32_chunk_set_skip, q33_summary_document, q34_wav_round_trip, q35_final_streams, q36_done_table, q37_report_texts, q38_settings,
     )
 }
 

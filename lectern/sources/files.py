@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import io
 import struct
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,46 +49,122 @@ def write_summary(results: DataFrame, folder: str) -> None:
     results.select(F.to_json(F.struct(*results.columns)).alias("value")).write.mode("overwrite").text(folder)
 
 
-def wav_samples(data: bytes) -> tuple[int, int, list[int]]:
-    """Rate, channels and interleaved 16-bit samples of a RIFF file."""
+def write_summary_document(documents: DataFrame, key: str, json: str, folder: str) -> None:
+    """One JSON file below key=… for each batch."""
+    documents.select(key, F.col(json).alias("value")).write.mode("overwrite").partitionBy(key).text(folder)
+
+
+def wav_info(data: bytes) -> tuple[int, int, int, bytes]:
+    """Rate, channels, bits (32 means floats) and the sample bytes of a RIFF file."""
     if data[:4] != b"RIFF" or data[8:12] != b"WAVE":
         raise ValueError("not a WAV file")
-    at, rate, channels = 12, 0, 0
+    at, rate, channels, bits = 12, 0, 0, 0
     while at + 8 <= len(data):
         name, size = data[at : at + 4], struct.unpack("<I", data[at + 4 : at + 8])[0]
         body = data[at + 8 : at + 8 + size]
         if name == b"fmt ":
             kind, channels, rate, _, _, bits = struct.unpack("<HHIIHH", body[:16])
-            if bits != 16 or kind not in (1, 0xFFFE):
-                raise ValueError("only 16-bit PCM is read")
+            kind = struct.unpack("<H", body[24:26])[0] if kind == 0xFFFE and len(body) >= 26 else kind
+            if (kind, bits) not in ((1, 16), (3, 32)):
+                raise ValueError("only 16-bit PCM and 32-bit float samples are read")
         elif name == b"data":
-            return rate, channels, list(struct.unpack(f"<{len(body) // 2}h", body[: len(body) // 2 * 2]))
+            return rate, channels, bits, body
         at += 8 + size + size % 2
     raise ValueError("no samples")
 
 
-def wav_bytes(rate: int, channels: int, samples: list[int]) -> bytes:
-    """A RIFF file of interleaved 16-bit samples."""
-    body = struct.pack(f"<{len(samples)}h", *samples)
-    out = io.BytesIO()
-    out.write(b"RIFF" + struct.pack("<I", 36 + len(body)) + b"WAVEfmt " + struct.pack("<IHHIIHH", 16, 1, channels, rate, rate * channels * 2, channels * 2, 16) + b"data" + struct.pack("<I", len(body)) + body)
-    return out.getvalue()
+def wav_frames(data: bytes, offset: int = 0, frames: int = -1):
+    """Rate and a float32 array [channel, frame], always of two dimensions, of at most frames frames from offset (-1: all)."""
+    import numpy as np
+
+    rate, channels, bits, body = wav_info(data)
+    whole = len(body) // (bits // 8 * channels)
+    first = min(max(offset, 0), whole)
+    last = whole if frames < 0 else min(first + frames, whole)
+    x = np.frombuffer(body, dtype="<i2" if bits == 16 else "<f4", count=(last - first) * channels, offset=first * channels * (bits // 8))
+    x = x.reshape(-1, channels).T
+    return rate, x.astype(np.float32) / np.float32(32768) if bits == 16 else x.astype(np.float32)
+
+
+def wav_bytes(rate: int, frames, floats: bool = False) -> bytes:
+    """A RIFF file of one signal, or of several channels.
+
+    One dimension is one channel, more than two are an error. Samples are clamped to [-1, 1]; of two dimensions the first is
+    the channels if it is at most 16 and not larger than the second. 32-bit floats, or 16-bit numbers with halves to even.
+    """
+    import numpy as np
+
+    x = np.asarray(frames, dtype=np.float64)
+    x = x[None, :] if x.ndim == 1 else x
+    if x.ndim != 2:
+        raise ValueError(f"expected audio of 1 or 2 dimensions, got {x.ndim}")
+    x = np.clip(x, -1.0, 1.0)
+    x = x.T if x.shape[0] <= 16 and x.shape[1] >= x.shape[0] else x
+    channels, bits = x.shape[1], 32 if floats else 16
+    body = x.astype("<f4").tobytes() if floats else np.rint(np.nan_to_num(x) * 32767.0).astype("<i2").tobytes()
+    head = struct.pack("<IHHIIHH", 16, 3 if floats else 1, channels, rate, rate * channels * bits // 8, channels * bits // 8, bits)
+    return b"RIFF" + struct.pack("<I", 36 + len(body)) + b"WAVEfmt " + head + b"data" + struct.pack("<I", len(body)) + body
+
+
+def wav_name(path: Column, suffix: str | None = None, folder: str | None = None) -> Column:
+    """Where a signal is written: its own path, with _suffix before the extension, and in folder where one is given."""
+    name = path if suffix is None else F.regexp_replace(path, r"^(.+?)(\.[^./]*)?$", "$1_" + suffix + "$2")
+    return name if folder is None else F.concat(F.lit(folder.rstrip("/") + "/"), file_name(name))
+
+
+def wav_encoded(signals: DataFrame, keys: list[str], channels: str, rate: int, floats: bool = False) -> DataFrame:
+    """(keys, content): each row's array of channels as the bytes of a WAV file."""
+    kind = T.StructType([*(signals.schema[k] for k in keys), T.StructField("content", T.BinaryType())])
+
+    def run(batches):
+        for batch in batches:
+            yield batch[keys].assign(content=[wav_bytes(rate, [list(c) for c in x], floats) for x in batch[channels]])
+
+    return signals.select(*keys, channels).mapInPandas(run, kind)
 
 
-def wav_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, sample_rate, channel, pos, v): a row for each sample, scaled to [-1, 1)."""
-    schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("sample_rate", T.IntegerType()), T.StructField("channel", T.IntegerType()), T.StructField("pos", T.LongType()), T.StructField("v", T.DoubleType())])
+def wav_decoded(contents: DataFrame, keys: list[str], offset: int = 0, frames: int = -1, chunk: int = 1 << 16) -> DataFrame:
+    """(keys, sample_rate, channel, start, samples): chunk rows of float samples, from offset and for at most frames frames."""
+    kind = T.StructType([*(contents.schema[k] for k in keys), *T.StructType.fromDDL("sample_rate int, channel int, start long, samples array<float>").fields])
 
     def run(batches):
-        import numpy as np
         import pandas as pd
 
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                rate, channels, samples = wav_samples(content)
-                x = np.asarray(samples, dtype=np.float64).reshape(-1, channels) / 32768.0
-                for c in range(channels):
-                    yield pd.DataFrame({"path": path, "sample_rate": np.int32(rate), "channel": np.int32(c), "pos": np.arange(len(x)), "v": x[:, c]})
+            for _, row in batch.iterrows():
+                rate, x = wav_frames(bytes(row["content"]), offset, frames)
+                cuts = [(c, k, x[c, k : k + chunk]) for c in range(len(x)) for k in range(0, x.shape[1], chunk)]
+                if cuts:
+                    yield pd.DataFrame({**{k: [row[k]] * len(cuts) for k in keys}, "sample_rate": rate, "channel": [c[0] for c in cuts], "start": [c[1] for c in cuts], "samples": [c[2] for c in cuts]})
+
+    return contents.select(*keys, "content").mapInPandas(run, kind)
+
 
+def wav_files(spark: SparkSession, folder: str, offset: int = 0, frames: int = -1) -> DataFrame:
+    """(path, sample_rate, channel, start, samples) of the WAV files in a folder."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").load(folder)
-    return files.select("path", "content").mapInPandas(run, schema)
+    return wav_decoded(files.select("path", "content"), ["path"], offset, frames)
+
+
+def write_wav_files(contents: DataFrame, path: str) -> DataFrame:
+    """Writes each content to its path, by way of a new name, so that no half file is ever seen; gives (path, size).
+
+    The folder has to be one that all executors reach. A task that is run again writes the same files anew.
+    """
+
+    def run(batches):
+        import os
+
+        import pandas as pd
+        from pyarrow import fs
+
+        for batch in batches:
+            for name, content in zip(batch["path"], batch["content"]):
+                store, at = fs.FileSystem.from_uri(name) if "://" in name else (fs.LocalFileSystem(), name.removeprefix("file:"))
+                part = f"{at}.{os.getpid()}.part"
+                with store.open_output_stream(part) as out:
+                    out.write(bytes(content))
+                store.move(part, at)
+            yield pd.DataFrame({"path": batch["path"], "size": [len(c) for c in batch["content"]]})
+
+    return contents.select(F.col(path).alias("path"), "content").mapInPandas(run, "path string, size long")

@@ -90,6 +90,48 @@ def test_ranked_and_batches(spark):
     assert [(r.i, r.place, r.batch_id) for r in sorted(got)] == [(v, k, k // 200) for k, v in enumerate(sorted(ids))]
 
 
+def test_ranks_with_a_payload(spark):
+    """Three million rows, a third of them with one value: each place once, in order."""
+    n = 3_000_000
+    df = spark.range(0, n, 1, 16).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.xxhash64("id")).alias("o"), F.concat(F.lit("payload "), F.col("id")).alias("p"))
+    out = segments.ranked(df, "o", "place", 200_000).cache()
+    assert tuple(out.agg(F.count("*"), F.countDistinct("place"), F.min("place"), F.max("place"), F.countDistinct("p")).first()) == (n, n, 0, n - 1, n)
+    pairs = out.select("place", "o", F.floor(F.col("place") / 1000).alias("run"))
+    bounds = [tuple(r) for r in pairs.groupBy("run").agg(F.min("o").alias("a"), F.max("o").alias("b")).orderBy("run").select("a", "b").collect()]
+    assert all(x[1] <= y[0] for x, y in zip(bounds, bounds[1:]))
+    out.unpersist()
+    assert segments.ranked(df.limit(0), "o", "place").count() == 0
+
+
+def test_split_policy_and_done_table(spark, tmp_path):
+    df = spark.createDataFrame([(1, True, 2), (1, False, 2), (2, True, 1), (3, False, 1)], "k long, there boolean, n long")
+    got = {r.k: (r.n_present, r.skip_split, r.complete, r.partial) for r in pending.split_policy(df, "k", F.col("there"), F.max("n")).collect()}
+    assert got == {1: (1, True, False, True), 2: (1, True, True, False), 3: (0, False, False, False)}
+    sizes = spark.createDataFrame([(1, 1000), (2, 1001), (2, 5000), (3, None)], "k long, size long")
+    for _ in range(2):
+        pending.mark_done(sizes, "k", "size", str(tmp_path / "done"))
+    assert [r.k for r in pending.marked_done(spark, str(tmp_path / "done"), "k long").collect()] == [2]
+
+
+def test_summary_document(spark):
+    import json
+
+    df = spark.createDataFrame([(1, 2, 'é "x"\n', None), (1, 1, "a", 1.5), (2, 1, "", 2.0)], "b long, o long, t string, v double")
+    got = {r.b: r for r in summary.summary_document(df, "b", "o", ["o", "t", "v"]).collect()}
+    want = [{"o": 1, "t": "a", "v": 1.5}, {"o": 2, "t": 'é "x"\n', "v": None}]
+    assert got[1].json == json.dumps(want, indent=2, ensure_ascii=False) and got[1].n_items == 2
+
+
+def test_texts_and_ratios(spark):
+    value = lambda f, x, t: one(spark, f(F.col("x")), x=(t, x))
+    assert [value(txt.minutes_text, s, "double") for s in (0.0, 59.0, 3600.4)] == ["0.0 min", "1.0 min", "60.0 min"]
+    assert value(txt.gigabytes_text, 3 << 29, "long") == "1.5 GB"
+    assert [value(txt.ratio, t, "string") for t in ("25/1", "30000/1001", "0/0", "x", "24", None)] == [25.0, 30000 / 1001, None, None, 24.0, None]
+    assert value(sig.checked_method, "kaiser_best", "string") == "linear"
+    with pytest.raises(Exception, match="method must be one of"):
+        value(sig.checked_method, "cubic", "string")
+
+
 def test_skip_policies(spark):
     sizes = [None, 0, 1, 1000, 1001, 1024, 1025, 10000, 10001]
     df = spark.createDataFrame([(s,) for s in sizes], "s long").select("s", *pending.policies(F.col("s")))
@@ -141,7 +183,30 @@ def resample(x, old, new):
 @pytest.mark.parametrize(("n", "old", "new"), [(8, 48000, 16000), (5, 16000, 48000), (1, 48000, 16000), (3, 2, 2), (64, 48000, 44100)])
 def test_resample(spark, n, old, new):
     x = [math.sin(k) for k in range(n)]
-    assert one(spark, sig.resampled(F.col("x"), old, new), x=("array<double>", x)) == resample(x, old, new)
+    got = signal.resampled(signal.whole(spark.createDataFrame([(1, x)], "k long, x array<double>"), ["k"], "x"), ["k"], old, [new]).orderBy("pos").collect()
+    assert [r.v for r in got] == resample(x, old, new) and [r.pos for r in got] == list(range(len(got)))
+    cut = spark.createDataFrame([(1, k, x[k : k + 3]) for k in range(0, n, 3)], "k long, start long, samples array<double>").repartition(3)
+    got = signal.resampled(signal.haloed(cut, ["k"]), ["k"], old, [new]).orderBy("pos").collect()
+    assert [r.v for r in got] == resample(x, old, new) and [r.pos for r in got] == list(range(len(got)))
+
+
+def test_a_long_signal(spark):
+    """Ten million samples in chunks of 65,536: a straight line stays one, whatever the rate."""
+    n, size = 10_000_000, 1 << 16
+    ids = spark.range(-(-n // size)).select(F.lit(1).alias("k"), (F.col("id") * size).alias("start"))
+    chunks = ids.select("k", "start", F.transform(F.sequence(F.col("start"), F.least(F.col("start") + size, F.lit(n)) - 1), lambda i: i.cast("double")).alias("samples"))
+    out = signal.resampled(signal.haloed(chunks, ["k"]), ["k"], 48000, [16000])
+    m = round(n / 3)
+    r = out.agg(F.count("*"), F.countDistinct("pos"), F.max("pos"), F.max(F.abs(F.col("v") - ((F.col("pos") + 0.5) * (n / m) - 0.5)))).first()
+    assert tuple(r)[:3] == (m, m, m - 1) and r[3] < 1e-6
+    loud = signal.levels(chunks, ["k"]).first()
+    assert loud.peak == n - 1 and loud.rms == pytest.approx(math.sqrt(sum(x * x for x in range(n)) / n))
+
+
+def test_normalised(spark):
+    df = spark.createDataFrame([(1, 0, [0.1, -0.2]), (1, 2, [0.4]), (2, 0, [0.0, 0.0])], "k long, start long, samples array<double>")
+    got = {(r.k, r.start): r.samples for r in signal.normalised(df, ["k"], 0.5).collect()}
+    assert got == {(1, 0): [0.1 * 1.25, -0.2 * 1.25], (1, 2): [0.5], (2, 0): [0.0, 0.0]}
 
 
 def test_shapes(spark):
@@ -172,6 +237,10 @@ def test_mux_and_manifest(spark):
     a, b = spark.createDataFrame([(1, 2.0), (2, 3.0)], "k long, a double"), spark.createDataFrame([(1, 5.0)], "k long, b double")
     assert [tuple(r) for r in mux.muxed([a, b], "k", ["a", "b"]).collect()] == [(1, 2.0, 5.0, 2.0)]
     assert mux.muxed([a, b], "k", ["a", "b"], shortest=False).first().duration_s == 5.0
+    four = spark.createDataFrame([(1, 4.0, 3.0, 2.0, 1.0, 1.0)], "k long, v double, a double, s double, e double, duration_s double")
+    assert [(r.stream, r.kind, r.language, r.title, r.source_s) for r in mux.streams(four, "k", ["v", "a", "s", "e"]).orderBy("stream").collect()] == [
+        (0, "video", None, None, 4.0), (1, "audio", None, None, 3.0), (2, "subtitle", "spa", "Español", 2.0), (3, "subtitle", "eng", "English", 1.0)
+    ]
 
 
 def test_failures_are_rows(spark):
@@ -185,5 +254,13 @@ def test_failures_are_rows(spark):
 
     got = plugins.transformed(spark.range(3).withColumnRenamed("id", "k").coalesce(1), load, "k long, status string, error string")
     assert [tuple(r) for r in got.orderBy("k").collect()] == [(0, "ok", ""), (1, "error", "bad item"), (2, "ok", "")]
+    many = plugins.transformed(spark.range(1000).withColumnRenamed("id", "k").coalesce(1), load, "k long, status string, error string")
+    assert [r.k for r in many.where("status = 'error'").collect()] == [1] and many.count() == 1000
+
+    def load_telling():
+        return lambda batch: batch.assign(error=batch["k"].map(lambda k: "odd" if k % 2 else None))
+
+    told = plugins.transformed(spark.range(4).withColumnRenamed("id", "k"), load_telling, "k long, status string, error string").orderBy("k").collect()
+    assert [tuple(r) for r in told] == [(0, "ok", ""), (1, "error", "odd"), (2, "ok", ""), (3, "error", "odd")]
     s = summary.batch_summary(got.withColumn("batch", F.lit(1)), "batch", F.col("status") != "ok").first()
     assert (s.n_items, s.n_failed, s.n_ok, s.exit_status) == (3, 1, 2, 1)

@@ -29,14 +29,38 @@ def test_subtitles_and_json(spark, tmp_path):
 
 
 def test_wav(spark, tmp_path):
-    samples = [0, 1, -32768, 32767, 5, -5]
-    data = files.wav_bytes(48000, 2, samples)
-    assert files.wav_samples(data) == (48000, 2, samples)
-    (tmp_path / "a.wav").write_bytes(data)
-    got = files.wav_files(spark, str(tmp_path)).orderBy("pos", "channel").collect()
-    assert [round(r.v * 32768) for r in got] == samples and {r.sample_rate for r in got} == {48000}
+    import numpy as np
+
+    x = np.array([[0.0, 0.5, -1.0, 1.0, 2.0], [0.25, -0.25, 0.125, -2.0, 0.0]])
+    for floats in (False, True):
+        content = files.wav_bytes(48000, x, floats)
+        rate, got = files.wav_frames(content)
+        want = np.clip(x, -1, 1) if floats else np.rint(np.clip(x, -1, 1) * 32767) / 32768
+        assert rate == 48000 and got.dtype == np.float32 and got.shape == (2, 5) and np.array_equal(got, want.astype(np.float32))
+        assert np.array_equal(files.wav_frames(content, 1, 3)[1], got[:, 1:4]) and files.wav_frames(content, 9)[1].shape == (2, 0)
+    assert files.wav_frames(files.wav_bytes(8000, x[0]))[1].shape == (1, 5)
+    assert files.wav_info(files.wav_bytes(8000, np.zeros((20, 2))))[1] == 2
+    with pytest.raises(ValueError, match="dimensions"):
+        files.wav_bytes(8000, np.zeros((1, 2, 3)))
     with pytest.raises(ValueError, match="not a WAV"):
-        files.wav_samples(b"junk" * 10)
+        files.wav_info(b"junk" * 10)
+    signals = spark.createDataFrame([("in/a.b.wav", x.tolist())], "path string, channels array<array<double>>")
+    named = files.wav_encoded(signals, ["path"], "channels", 48000).withColumn("path", files.wav_name(F.col("path"), "enhanced", str(tmp_path)))
+    assert [(r.path, r["size"]) for r in files.write_wav_files(named, "path").collect()] == [(f"{tmp_path}/a.b_enhanced.wav", 44 + 20)]
+    assert [p.name for p in tmp_path.iterdir()] == ["a.b_enhanced.wav"]
+    got = {r.channel: r for r in files.wav_files(spark, str(tmp_path), 1, 3).collect()}
+    assert [round(v * 32768) for v in got[0].samples] == [16384, -32767, 32767] and got[1].sample_rate == 48000
+
+
+def test_no_local_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from lectern.sources import shared
+
+    conf = lambda **kv: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: kv.get(k.replace(".", "_"), d)))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.shared_folder(conf(spark_master="spark://host:7077"))
+    assert shared.shared_folder(conf(spark_master="yarn", spark_checkpoint_dir="s3a://x/y")) == "s3a://x/y"
 
 
 def test_streams(spark, sf, tmp_path):
