@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: All characters that Unicode counts as white space; Java's plain \s stops at ASCII.
 UNICODE_SPACE = r"(?U)[\s\x1c-\x1f]+"
+SPACE_CHARACTERS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 #: Fixed value: what stands for a line end while a text is translated.
 LINE_MARK = " __COPILOT_LINEBREAK__ "
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), where value is computed once although use names it many times."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def milliseconds(seconds: Column) -> Column:
     """Seconds as whole milliseconds, halves to even, never below 0; NaN raises."""
     return F.greatest(F.lit(0).cast("bigint"), F.rint(seconds * 1000).cast("bigint"))
@@ -25,10 +33,13 @@ def srt_time(seconds: Column) -> Column:
 
 def srt_milliseconds(time: Column) -> Column:
     """The milliseconds that a rendered time stands for; null if it is not one."""
-    parts = F.split(F.trim(time), "[:,.]")
-    part = lambda k, digits: F.when(F.length(F.get(parts, F.lit(k))) == digits, F.get(parts, F.lit(k))).try_cast("bigint")
-    hours = F.get(parts, F.lit(0)).try_cast("bigint")
-    return F.when(F.size(parts) == 4, hours * 3_600_000 + part(1, 2) * 60_000 + part(2, 2) * 1000 + part(3, 3))
+
+    def read(parts: Column) -> Column:
+        part = lambda k, digits: F.when(F.length(F.get(parts, F.lit(k))) == digits, F.get(parts, F.lit(k))).try_cast("bigint")
+        hours = F.get(parts, F.lit(0)).try_cast("bigint")
+        return F.when(F.size(parts) == 4, hours * 3_600_000 + part(1, 2) * 60_000 + part(2, 2) * 1000 + part(3, 3))
+
+    return let(F.split(F.trim(time), "[:,.]"), read)
 
 
 def collapsed(text: Column) -> Column:
@@ -38,13 +49,17 @@ def collapsed(text: Column) -> Column:
 
 def stripped(text: Column) -> Column:
     """Without Unicode white space at the ends."""
-    return F.regexp_replace(text, r"^(?U)[\s\x1c-\x1f]+|(?U)[\s\x1c-\x1f]+$", "")
+    return F.btrim(text, F.lit(SPACE_CHARACTERS))
+
+
+def blank(text: Column) -> Column:
+    return stripped(text) == ""
 
 
 def marked(text: Column) -> Column:
     """Line ends as LINE_MARK, stripped; a blank text as it was."""
     flat = stripped(F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\n"), F.lit(LINE_MARK)))
-    return F.when(flat == "", text).otherwise(flat)
+    return let(flat, lambda x: F.when(x == "", text).otherwise(x))
 
 
 def unmarked(text: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lectern.functions.text import collapsed, marked, srt_milliseconds, srt_time, unmarked
+from lectern.functions.text import blank, collapsed, let, marked, srt_milliseconds, srt_time, unmarked
 
 CHARS_A_SECOND = 16.0
 
@@ -48,29 +48,33 @@ def parsed(files: DataFrame, key: str, srt: str) -> DataFrame:
     A block is cut at its first two line ends, its second line at the arrow; blocks without a number or two times are not cues.
     """
     clean = F.replace(F.regexp_replace(F.col(srt), "^\ufeff", ""), F.lit("\r\n"), F.lit("\n"))
-    rows = files.select(key, F.posexplode(F.split(clean, r"\n{2,}(?=\d+[ \t]*\n\d+:)")).alias("pos", "block"))
-    lines = rows.select(key, "pos", F.split(F.regexp_replace("block", r"^\s+", ""), "\n", 3).alias("lines"))
-    times = lines.select(key, "pos", "lines", F.split(F.get("lines", F.lit(1)), r"[ \t]*-->[ \t]*", 2).alias("times"))
-    cut = times.select(
-        key,
-        "pos",
-        F.trim(F.get("lines", F.lit(0))).try_cast("bigint").alias("number"),
-        srt_milliseconds(F.get("times", F.lit(0))).alias("start_ms"),
-        srt_milliseconds(F.regexp_extract(F.get("times", F.lit(1)), r"^[0-9:.,]+", 0)).alias("end_ms"),
-        F.regexp_replace(F.coalesce(F.get("lines", F.lit(2)), F.lit("")), r"\n+\z", "").alias("content"),
-    )
-    return cut.where("number is not null and start_ms is not null and end_ms is not null")
+
+    def cue(lines: Column) -> Column:
+        return let(
+            F.split(F.get(lines, F.lit(1)), r"[ \t]*-->[ \t]*", 2),
+            lambda times: F.struct(
+                F.trim(F.get(lines, F.lit(0))).try_cast("bigint").alias("number"),
+                srt_milliseconds(F.get(times, F.lit(0))).alias("start_ms"),
+                srt_milliseconds(F.regexp_extract(F.get(times, F.lit(1)), r"^[0-9:.,]+", 0)).alias("end_ms"),
+                F.regexp_replace(F.coalesce(F.get(lines, F.lit(2)), F.lit("")), r"\n+\z", "").alias("content"),
+            ),
+        )
+
+    blocks = F.split(clean, r"\n{2,}(?=\d+[ \t]*\n\d+:)")
+    found = F.transform(blocks, lambda b: let(F.split(F.regexp_replace(b, r"^\s+", ""), "\n", 3), cue))
+    rows = files.select(key, F.posexplode(found).alias("pos", "cue"))
+    return rows.select(key, "pos", "cue.number", "cue.start_ms", "cue.end_ms", "cue.content").where("number is not null and start_ms is not null and end_ms is not null")
 
 
 def translated(cue_rows: DataFrame, text: str, translate: Callable[[Column], Column] = lambda x: x) -> DataFrame:
     """Content through a translator, with line ends kept; a blank text is left as it is. The default changes nothing."""
     flat = marked(F.col(text))
-    return cue_rows.withColumn(text, F.when(collapsed(F.col(text)) == "", F.col(text)).otherwise(unmarked(translate(flat))))
+    return cue_rows.withColumn(text, F.when(blank(F.col(text)), F.col(text)).otherwise(unmarked(translate(flat))))
 
 
 def recomposed(cue_rows: DataFrame, key: str) -> DataFrame:
     """Cues with content and a positive length, in order of time, numbered anew without gaps."""
-    good = cue_rows.where((collapsed(F.col("content")) != "") & (F.col("end_ms") > F.col("start_ms")))
+    good = cue_rows.where(~blank(F.col("content")) & (F.col("end_ms") > F.col("start_ms")))
     w = Window.partitionBy(key).orderBy("start_ms", "end_ms", "pos")
     return good.withColumn("number", F.row_number().over(w).cast("bigint")).withColumn("start_time", srt_time(F.col("start_ms") / 1000)).withColumn("end_time", srt_time(F.col("end_ms") / 1000))
 

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from lectern.functions.text import file_name, stem
 
+#: Samples that a task holds before it sends them on.
+SAMPLES_AT_ONCE = 1 << 20
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
@@ -117,8 +119,10 @@ def wav_encoded(signals: DataFrame, keys: list[str], channels: str, rate: int, f
     kind = T.StructType([*(signals.schema[k] for k in keys), T.StructField("content", T.BinaryType())])
 
     def run(batches):
+        import numpy as np
+
         for batch in batches:
-            yield batch[keys].assign(content=[wav_bytes(rate, [list(c) for c in x], floats) for x in batch[channels]])
+            yield batch[keys].assign(content=[wav_bytes(rate, np.stack(x), floats) for x in batch[channels]])
 
     return signals.select(*keys, channels).mapInPandas(run, kind)
 
@@ -126,16 +130,24 @@ def wav_encoded(signals: DataFrame, keys: list[str], channels: str, rate: int, f
 def wav_decoded(contents: DataFrame, keys: list[str], offset: int = 0, frames: int = -1, chunk: int = 1 << 16) -> DataFrame:
     """(keys, sample_rate, channel, start, samples): chunk rows of float samples, from offset and for at most frames frames."""
     kind = T.StructType([*(contents.schema[k] for k in keys), *T.StructType.fromDDL("sample_rate int, channel int, start long, samples array<float>").fields])
+    names = [f.name for f in kind.fields]
 
     def run(batches):
         import pandas as pd
 
         for batch in batches:
-            for _, row in batch.iterrows():
-                rate, x = wav_frames(bytes(row["content"]), offset, frames)
-                cuts = [(c, k, x[c, k : k + chunk]) for c in range(len(x)) for k in range(0, x.shape[1], chunk)]
-                if cuts:
-                    yield pd.DataFrame({**{k: [row[k]] * len(cuts) for k in keys}, "sample_rate": rate, "channel": [c[0] for c in cuts], "start": [c[1] for c in cuts], "samples": [c[2] for c in cuts]})
+            rows, held = [], 0
+            for *key, content in batch[[*keys, "content"]].itertuples(index=False):
+                rate, x = wav_frames(bytes(content), offset, frames)
+                for c in range(len(x)):
+                    for k in range(0, x.shape[1], chunk):
+                        rows.append((*key, rate, c, k, x[c, k : k + chunk]))
+                        held += len(rows[-1][-1])
+                        if held >= SAMPLES_AT_ONCE:
+                            yield pd.DataFrame(rows, columns=names)
+                            rows, held = [], 0
+            if rows:
+                yield pd.DataFrame(rows, columns=names)
 
     return contents.select(*keys, "content").mapInPandas(run, kind)
 
