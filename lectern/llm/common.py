@@ -1,13 +1,14 @@
-"""What the operators of this subpackage share: shared folders, written tables, word classes."""
+"""What the operators of this subpackage share: written tables, sizes of batches, word classes, free names."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.sources.shared import new_path, shared_folder, written
+
+__all__ = ["BATCH_BYTES", "BATCH_ROWS", "SPACES", "WORD", "new_path", "shared_folder", "table", "tuned", "unused", "words", "written"]
+
 #: Java and Python patterns of the white space that ends a word, as the contracts state it.
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -17,32 +18,14 @@ BATCH_ROWS, BATCH_BYTES = 512, 16 << 20
 
 
 def tuned(spark: SparkSession) -> SparkSession:
-    """The session, with Arrow batches small enough for whole texts of any length."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    """The session, with Arrow batches small enough for whole texts of any length. A smaller setting of the caller's stays."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(f"spark.sql.execution.arrow.{name}")
+        if not (now.isdigit() and 0 < int(now) <= most):
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", most)
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The same rows, read back from a table in the shared folder: lineage is cut and lost executors cost nothing."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -52,6 +35,10 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")
 
 
-def row_key(df: DataFrame) -> list[Column]:
-    """Tells rows apart by id and text; null ids compare equal to each other."""
-    return [F.col("doc_id"), F.xxhash64(F.coalesce(F.col("text"), F.lit("")))]
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names like those given that no column of df has, whatever its case."""
+    have = {c.lower() for c in df.columns}
+    tail = ""
+    while any((n + tail).lower() in have for n in names):
+        tail += "_"
+    return [n + tail for n in names]
