@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.sources.shared import new_path, shared_folder, written
 
-__all__ = ["BATCH_BYTES", "BATCH_ROWS", "SPACES", "WORD", "new_path", "shared_folder", "table", "tuned", "unused", "words", "written"]
+__all__ = ["BATCH_BYTES", "BATCH_ROWS", "SPACES", "WORD", "Words", "new_path", "shared_folder", "table", "tuned", "unused", "words", "written"]
 
 #: Java and Python patterns of the white space that ends a word, as the contracts state it.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -42,3 +43,27 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     while any((n + tail).lower() in have for n in names):
         tail += "_"
     return [n + tail for n in names]
+
+
+class Words:
+    """The words of a batch of texts: the distinct ones, which of these each word is, and how many words each text has."""
+
+    def __init__(self, texts, lower: bool = True):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        trimmed = pc.ascii_trim_whitespace(pc.ascii_lower(texts) if lower else texts)
+        # A text without a word would be cut into one empty word.
+        some = pc.not_equal(pc.binary_length(trimmed), 0).to_numpy(zero_copy_only=False)
+        split = pc.ascii_split_whitespace(trimmed.filter(pa.array(some)))
+        self.counts = np.zeros(len(some), dtype=np.int64)
+        self.counts[some] = pc.list_value_length(split).to_numpy()
+        coded = split.flatten().dictionary_encode()
+        self.index, self.dictionary = coded.indices.to_numpy(), coded.dictionary.cast(pa.large_binary())
+        ends = np.frombuffer(self.dictionary.buffers()[1], dtype=np.int64, count=len(self.dictionary) + 1).tolist() if len(self.dictionary) else [0]
+        text = self.dictionary.buffers()[2].to_pybytes() if len(self.dictionary) else b""
+        self.distinct = [text[x:y] for x, y in zip(ends, ends[1:])]
+
+    def times(self) -> np.ndarray:
+        return np.bincount(self.index, minlength=len(self.distinct))

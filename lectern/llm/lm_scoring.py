@@ -16,31 +16,22 @@ as all words that are in many places are in the broadcast, no key of that join i
 
 Edge cases: null and empty texts have 0 words and a log probability of 0; their mean is null. Words beyond either end of a
 text are a padding word. Repeated rows are scored each, and count each time. Extra columns are not read. An empty table
-gives an empty result. Weights depend, within rounding, on how the input is split into tasks.
+gives an empty result. Counts do not depend on how the input is split into tasks; weights do, and README says how much.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
-from itertools import chain
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import tuned, written
+from .common import Words, tuned, written
 
 LEXICON, HEAD, MEMBERS, RARE_ROWS, WIDTH, SIDE, SEED = 1 << 18, 4096, 64, 12288, 16, 2, 11
-RATE, STEP, CHUNK, COUNTED_AT_ONCE = 0.5, 16384, 32768, 1 << 17
-SMALL_BYTES = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-
-
-def words_of(texts: list[bytes | None]) -> tuple[list[bytes], np.ndarray]:
-    """All words, and how many each text has."""
-    split = [(t or b"").translate(SMALL_BYTES).split() for t in texts]
-    return list(chain.from_iterable(split)), np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+RATE, START, STEP, CHUNK, COUNTED_AT_ONCE = 0.3, 0.1, 8192, 16384, 1 << 17
 
 
 def counted(docs: DataFrame) -> DataFrame:
@@ -52,16 +43,18 @@ def counted(docs: DataFrame) -> DataFrame:
         def sent(counts):
             return pa.RecordBatch.from_arrays([pa.array(list(counts), type=pa.binary()), pa.array(list(counts.values()), type=pa.int64())], names=["word", "n"])
 
-        counts = Counter()
+        counts: dict[bytes, int] = {}
         for batch in batches:
-            counts.update(words_of(batch.column("text").to_pylist())[0])
+            words = Words(batch.column("text"))
+            for word, n in zip(words.distinct, words.times().tolist()):
+                counts[word] = counts.get(word, 0) + n
             if len(counts) >= COUNTED_AT_ONCE:
                 yield sent(counts)
-                counts = Counter()
+                counts = {}
         if counts:
             yield sent(counts)
 
-    return docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def group(word: bytes) -> int:
@@ -99,99 +92,117 @@ class Lexicon(dict):
     def __missing__(self, word: bytes) -> int:
         return self.size + self.place(word)
 
-    def codes(self, words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def codes(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """The codes of all words with SIDE paddings around each text; where words stand."""
-        at = np.arange(len(words)) + SIDE * (np.repeat(np.arange(len(counts)), counts) + 1)
-        padded = np.full(len(words) + SIDE * (len(counts) + 1), self.padding, dtype=np.int64)
-        padded[at] = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
+        counts, n = words.counts, len(words.index)
+        at = np.arange(n) + SIDE * (np.repeat(np.arange(len(counts)), counts) + 1)
+        padded = np.full(n + SIDE * (len(counts) + 1), self.padding, dtype=np.int32)
+        padded[at] = np.fromiter(map(self.__getitem__, words.distinct), dtype=np.int32, count=len(words.distinct))[words.index]
         return padded, at
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
-    """Over columns: numpy sums and compares whole rows much faster."""
-    z -= z.max(axis=0)
+    """Over rows, in place."""
+    if z.size and max(z.max(), -z.min()) > 60:  # exp is safe below
+        z -= z.max(axis=1, keepdims=True)
     np.exp(z, out=z)
-    z /= z.sum(axis=0)
+    z *= (1 / (z @ np.ones(z.shape[1], dtype=z.dtype)))[:, None]
     return z
 
 
 class Window:
-    """Tables of left and right neighbours, a softmax over classes, and one over the members of each class."""
+    """A table of the parts that words have as left and right neighbours, a softmax over classes, one over each class's members.
+
+    The hidden layer ends with a constant 1, so biases are weights like others. Steps are sized by the squares of the
+    gradients that a weight (in near: a row) has met so far, so what is met seldom moves as far as what is common.
+    """
 
     def __init__(self, lexicon: Lexicon):
         rng = np.random.default_rng(SEED)
         self.lexicon, m, classes = lexicon, lexicon.members, lexicon.rare_class + 1
-        self.left = rng.normal(0, 0.3, (lexicon.rows + 1, WIDTH)).astype(np.float32)
-        self.right = rng.normal(0, 0.3, (lexicon.rows + 1, WIDTH)).astype(np.float32)
-        self.out = np.zeros((classes, WIDTH), dtype=np.float32)
-        self.inner = np.zeros((classes * m, WIDTH), dtype=np.float32)
+        self.near = rng.normal(0, 0.3, (lexicon.rows + 1, 2 * WIDTH)).astype(np.float32)  # as a left neighbour, as a right one
+        self.out = np.zeros((WIDTH + 1, classes), dtype=np.float32)
+        self.inner = np.zeros((classes, WIDTH + 1, m), dtype=np.float32)
         of = lexicon.prior.sum(axis=1)
-        self.bias = np.zeros((-(-classes // WIDTH), WIDTH), dtype=np.float32)
-        self.bias.reshape(-1)[:classes] = np.log(of / of.sum())
-        self.tilt = np.log(lexicon.prior / of[:, None]).astype(np.float32).reshape(-1, WIDTH)
-
-    def tables(self) -> dict[str, np.ndarray]:
-        return {k: getattr(self, k) for k in ("left", "right", "out", "inner", "bias", "tilt")}
-
-    def hidden(self, rows: np.ndarray, at: np.ndarray) -> np.ndarray:
-        h = self.left[rows[at - 1]] + self.right[rows[at + 1]]
-        for d in range(2, SIDE + 1):
-            h += self.left[rows[at - d]] / d
-            h += self.right[rows[at + d]] / d
-        return np.tanh(h, out=h)
-
-    def classes(self, h: np.ndarray) -> np.ndarray:
-        """p(class | both sides), a column for each position."""
-        return softmax(self.out @ h.T + self.bias.reshape(-1)[: len(self.out), None])
-
-    def by_class(self, of: np.ndarray):
-        """(class, places of it, its member weights, its member biases) of each class that occurs."""
-        m, order = self.lexicon.members, np.argsort(of, kind="stable")
-        tilt = self.tilt.reshape(-1, m)
-        ends = np.cumsum(np.bincount(of, minlength=len(self.out)))
-        for c in np.flatnonzero(np.diff(ends, prepend=0)).tolist():
-            yield c, order[(ends[c - 1] if c else 0) : ends[c]], self.inner[c * m : c * m + m], tilt[c]
+        self.out[-1] = np.log(of / of.sum())
+        self.inner[:, -1] = np.log(lexicon.prior / of[:, None])
+        self.seen = {"near": np.full((lexicon.rows + 1, 1), START, dtype=np.float32), "out": np.full_like(self.out, START), "inner": np.full_like(self.inner, START)}
+
+    def rows(self) -> dict[str, np.ndarray]:
+        """The weights as tables with a row for each neighbour, class and member."""
+        return {"near": self.near, "out": self.out.T, "inner": self.inner.swapaxes(1, 2).reshape(-1, WIDTH + 1)}
+
+    def take(self, rows: dict[str, np.ndarray]) -> Window:
+        self.near, self.out = rows["near"], np.ascontiguousarray(rows["out"].T)
+        self.inner = np.ascontiguousarray(rows["inner"].reshape(len(self.inner), -1, WIDTH + 1).swapaxes(1, 2))
+        return self
+
+    def hidden(self, rows: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The rows from the first position's neighbours to the last's, where the positions are among them, and their hidden layer."""
+        span, where = rows[at[0] - SIDE : at[-1] + SIDE + 1], at - at[0]
+        near, n = self.near[span], len(span) - 2 * SIDE
+        left, right = near[:, :WIDTH], near[:, WIDTH:]
+        h = np.zeros((n, WIDTH), dtype=np.float32)
+        for d in range(1, SIDE + 1):
+            h += (left[SIDE - d : SIDE - d + n] + right[SIDE + d : SIDE + d + n]) / np.float32(d)
+        out = np.ones((len(at), WIDTH + 1), dtype=np.float32)
+        np.tanh(h[where], out=out[:, :-1])
+        return span, where, out
+
+    def members(self, h: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """p(member | class, both sides) for positions sorted by class; (class, from, to) of each class that occurs."""
+        ends = np.cumsum(np.bincount(of, minlength=len(self.inner)))
+        parts = [(c, int(ends[c - 1]) if c else 0, int(ends[c])) for c in np.flatnonzero(np.diff(ends, prepend=0)).tolist()]
+        z = np.empty((len(h), self.lexicon.members), dtype=np.float32)
+        for c, a, b in parts:
+            np.matmul(h[a:b], self.inner[c], out=z[a:b])
+        return softmax(z), parts
 
     def step(self, rows: np.ndarray, of: np.ndarray, member: np.ndarray, at: np.ndarray) -> None:
         """One step of gradient descent on the positions at, whose words have these classes and members."""
-        n, h = len(at), self.hidden(rows, at)
-        e = self.classes(h)
-        e[of, np.arange(n)] -= 1
-        back = e.T @ self.out
-        self.out -= RATE / n * (e @ h)
-        self.bias.reshape(-1)[: len(self.out)] -= RATE / n * e.sum(axis=1)
-        for _, where, weights, tilt in self.by_class(of):
-            k, some = len(where), h[where]
-            e = softmax(weights @ some.T + tilt[:, None])
-            e[member[where], np.arange(k)] -= 1
-            back[where] += e.T @ weights
-            # As for rows below: classes met seldom move by more than their share.
-            weights -= RATE / math.sqrt(n * k) * (e @ some)
-            tilt -= RATE / math.sqrt(n * k) * e.sum(axis=1)
-        back *= (1 - h * h) * np.float32(RATE / n)
-        for table, sign in ((self.left, -1), (self.right, 1)):
-            for d in range(1, SIDE + 1):
-                where = rows[at + sign * d]
-                order = np.argsort(where, kind="stable")
-                there = where[order]
-                starts = np.flatnonzero(np.concatenate(([True], there[1:] != there[:-1])))
-                # Rows met seldom move by their own share: without this, rare words would stay where they began.
-                sums = np.add.reduceat(back[order], starts, axis=0)
-                times = np.diff(np.append(starts, n))[:, None]
-                sums *= (np.sqrt(n / times) / d).astype(np.float32)
-                table[there[starts]] -= sums
+        order = np.argsort(of, kind="stable")
+        span, where, h = self.hidden(rows, at)
+        h, of, member, where, every = h[order], of[order], member[order], where[order], np.arange(len(at))
+        e = softmax(h @ self.out)
+        e[every, of] -= 1
+        back, out = e @ self.out.T, h.T @ e
+        e, parts = self.members(h, of)
+        e[every, member] -= 1
+        inner = np.empty((len(parts), *self.inner.shape[1:]), dtype=np.float32)
+        for k, (c, a, b) in enumerate(parts):
+            back[a:b] += e[a:b] @ self.inner[c].T
+            np.matmul(h[a:b].T, e[a:b], out=inner[k])
+        h = h[:, :-1]
+        back = back[:, :-1] * (1 - h * h)
+        self.seen["out"] += out * out
+        self.out -= RATE * out / np.sqrt(self.seen["out"])
+        touched = [c for c, _, _ in parts]
+        self.seen["inner"][touched] += inner * inner
+        self.inner[touched] -= RATE * inner / np.sqrt(self.seen["inner"][touched])
+        # What positions send back to their neighbours, summed for each row of the table.
+        sent, at_place = np.zeros((len(span), 2 * WIDTH), dtype=np.float32), np.zeros((len(span), WIDTH), dtype=np.float32)
+        at_place[where + SIDE] = back
+        for d in range(1, SIDE + 1):
+            sent[:-d, :WIDTH] += at_place[d:] / np.float32(d)
+            sent[d:, WIDTH:] += at_place[:-d] / np.float32(d)
+        order = np.argsort(span, kind="stable")
+        there = span[order]
+        starts = np.flatnonzero(np.concatenate(([True], there[1:] != there[:-1])))
+        sums, there = np.add.reduceat(sent[order], starts, axis=0), there[starts]
+        seen = self.seen["near"][there] + np.einsum("ij,ij->i", sums, sums)[:, None] / sums.shape[1]
+        self.seen["near"][there] = seen
+        self.near[there] -= RATE * sums / np.sqrt(seen)
 
     def log_probabilities(self, codes: np.ndarray, at: np.ndarray) -> np.ndarray:
         out, lexicon = np.empty(len(at)), self.lexicon
         rows = lexicon.row[codes]
         for k in range(0, len(at), CHUNK):
             a = at[k : k + CHUNK]
-            words = codes[a]
-            h, of, member = self.hidden(rows, a), lexicon.of[words], lexicon.member[words]
-            p = self.classes(h)[of, np.arange(len(a))].astype(np.float64)
-            for _, where, weights, tilt in self.by_class(of):
-                p[where] *= softmax(weights @ h[where].T + tilt[:, None])[member[where], np.arange(len(where))]
-            out[k : k + CHUNK] = np.log(np.maximum(p, 1e-60)) + lexicon.within[words]
+            order = np.argsort(lexicon.of[codes[a]], kind="stable")
+            words = codes[a][order]
+            h, of, every = self.hidden(rows, a)[2][order], lexicon.of[words], np.arange(len(a))
+            p = softmax(h @ self.out)[every, of].astype(np.float64) * self.members(h, of)[0][every, lexicon.member[words]]
+            out[k + order] = np.log(np.maximum(p, 1e-60)) + lexicon.within[words]
         return out
 
 
@@ -222,36 +233,31 @@ def trained(docs: DataFrame) -> tuple[tuple, dict[str, np.ndarray], DataFrame]:
         import pyarrow as pa
 
         lexicon = Lexicon(*shared.value)
-        net, m, steps = Window(lexicon), lexicon.members, 0
-        met = {"left": np.zeros(lexicon.rows + 1, dtype=np.int64), "right": np.zeros(lexicon.rows + 1, dtype=np.int64)}
-        classes = np.zeros(lexicon.rare_class + 1, dtype=np.int64)
+        net, steps = Window(lexicon), 0
+        near, classes = np.zeros(lexicon.rows + 1, dtype=np.int64), np.zeros(lexicon.rare_class + 1, dtype=np.int64)
         for batch in batches:
-            codes, at = lexicon.codes(*words_of(batch.column("text").to_pylist()))
-            rows = lexicon.row[codes]
+            codes, at = lexicon.codes(Words(batch.column("text")))
+            rows, of, member = lexicon.row[codes], lexicon.of[codes], lexicon.member[codes]
+            near += np.bincount(rows, minlength=len(near))
+            classes += np.bincount(of[at], minlength=len(classes))
             for k in range(0, len(at), STEP):
                 a = at[k : k + STEP]
-                of = lexicon.of[codes[a]]
-                net.step(rows, of, lexicon.member[codes[a]], a)
+                net.step(rows, of[a], member[a], a)
                 steps += 1
-                classes += np.bincount(of, minlength=len(classes))
-                for d in range(1, SIDE + 1):
-                    met["left"] += np.bincount(rows[a - d], minlength=lexicon.rows + 1)
-                    met["right"] += np.bincount(rows[a + d], minlength=lexicon.rows + 1)
         if not steps:
             return
-        met |= {"inner": np.repeat(classes, m), "tilt": np.repeat(classes, m // WIDTH)}
-        for name, table in net.tables().items():
-            weight = met.get(name, np.full(len(table), steps))
-            rows = np.flatnonzero(weight)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows)), pa.array(rows, type=pa.int64()), pa.array(weight[rows], type=pa.int64()), pa.array(list(table[rows]), type=pa.list_(pa.float32()))], names=["name", "row", "weight", "v"])
+        met = {"near": near, "out": np.full(len(classes), steps), "inner": np.repeat(classes, lexicon.members)}
+        for name, table in net.rows().items():
+            rows = np.flatnonzero(met[name])
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows)), pa.array(rows, type=pa.int64()), pa.array(met[name][rows], type=pa.int64()), pa.array(list(table[rows]), type=pa.list_(pa.float32()))], names=["name", "row", "weight", "v"])
 
-    sent = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "name string, row long, weight long, v array<float>")
+    sent = docs.select("text").mapInArrow(run, "name string, row long, weight long, v array<float>")
     share = F.col("weight").cast("double")
-    means = sent.groupBy("name", "row").agg(F.array(*[F.sum(F.get("v", F.lit(k)) * share) / F.sum(share) for k in range(WIDTH)]).alias("v"))
-    tables = Window(Lexicon(*parts)).tables()
-    # The size of the network in rows of WIDTH numbers, whatever the corpus.
+    means = sent.groupBy("name", "row").agg(F.array(*[F.sum(F.get("v", F.lit(k)) * share) / F.sum(share) for k in range(2 * WIDTH)]).alias("v"))
+    tables = {name: table.copy() for name, table in Window(Lexicon(*parts)).rows().items()}
+    # The size of the network in rows, whatever the corpus.
     for r in means.toLocalIterator():
-        tables[r["name"]][r["row"]] = r["v"]
+        tables[r["name"]][r["row"]] = r["v"][: tables[r["name"]].shape[1]]
     log_total = F.array(*[F.lit(float(x)) for x in np.log(totals + 1)])
     return parts, tables, counts.where(~common).select("word", (F.log("n") - F.get(log_total, group_column(F.col("word")))).alias("log_share"))
 
@@ -265,21 +271,19 @@ def scored(docs: DataFrame, model: tuple[tuple, dict[str, np.ndarray], DataFrame
         import pyarrow as pa
 
         parts, tables = shared.value
-        net = Window(lexicon := Lexicon(*parts))
-        for name, table in tables.items():
-            setattr(net, name, table)
+        net = Window(lexicon := Lexicon(*parts)).take(tables)
         for batch in batches:
-            words, counts = words_of(batch.column("text").to_pylist())
-            codes, at = lexicon.codes(words, counts)
+            words = Words(batch.column("text"))
+            codes, at = lexicon.codes(words)
             sums = np.concatenate(([0.0], np.cumsum(net.log_probabilities(codes, at))))
-            ends = np.cumsum(counts)
-            total = sums[ends] - sums[ends - counts]
+            ends = np.cumsum(words.counts)
+            total = sums[ends] - sums[ends - words.counts]
             rare = np.flatnonzero(codes[at] >= lexicon.size)
             offsets = np.concatenate(([0], np.searchsorted(rare, ends)))
-            others = pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), pa.array([words[i] for i in rare.tolist()], type=pa.binary()))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(counts, type=pa.int64()), pa.array(total, type=pa.float64()), others], names=["row", "doc_id", "n_words", "sum", "others"])
+            others = pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), words.dictionary.take(pa.array(words.index[rare])).cast(pa.binary()))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(words.counts, type=pa.int64()), pa.array(total, type=pa.float64()), others], names=["row", "doc_id", "n_words", "sum", "others"])
 
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = written(numbered.mapInArrow(run, "row long, doc_id long, n_words long, sum double, others array<binary>"), "lm-scores")
     least = F.coalesce("log_share", F.lit(-math.log(float(parts[2].sum()) + 1)))  # of a word that training has not met
     added = rows.select("row", F.explode("others").alias("word")).join(others, "word", "left").groupBy("row").agg(F.sum(least).alias("added"))
