@@ -2,12 +2,17 @@
 
 A page is read into blocks of text and the containers they lie in. Containers are scored by the running text of their
 blocks. Each page votes on the generalised path (tags and classes, digits as #) of its containers; Spark sums the votes of
-each host. Pages are then read again, and the blocks below the containers on the host's winning path are the text; a
-page without that path uses its own best container.
+each host. Pages are then read again: the text is what lies below the containers on the host's winning path (a page
+without that path uses its own best container), with what is running text beside them - a lead, a headline - as long as
+they are not an article or main element yet.
+
+Menus, forms, adverts, comments and the like are set aside by their tags and by whole words of their classes, ids and
+roles (sidebar, site-footer, comments-area; not with-sidebar, has-comments or search-result). What holds nearly all of a
+page's running text is taken back, whatever it is called.
 
 Edge cases: a null or empty html gives an empty text. A null url, or one without a host, belongs to the host "". Unclosed
 and stray tags are repaired as browsers commonly do; text outside any tag is a block. Repeated rows vote and are returned
-each; extra columns are not read. Nothing is cut off, however long a page is.
+each; extra columns are not read. Nothing is cut off, however long a page is, and time is linear in length and depth.
 """
 
 from __future__ import annotations
@@ -40,10 +45,19 @@ OTHER = frozenset(
     "footer header menu menubar nav navbar navigation newsletter notice notices popup promo promotion related search share sharing sidebar signup social sponsor "
     "sponsored subscribe toolbar widget widgets modal overlay paywall complementary contentinfo dialog alert reply replies respond masthead topbar skip gdpr login".split()
 )
+#: Such a word ends the name of what it is (site-footer), or begins it and only a place or a shape follows (sidebar-left).
+SHAPES = frozenset("left right top bottom middle center area section wrapper wrap container holder content box bar block panel list item items inner outer main primary secondary slot unit zone group row column col popup form links text body widget".split())
+#: Words before which it is only spoken of.
+SPOKEN_OF = frozenset("with without no not has have is are hide hidden show".split())
+ARTICLE_HEADERS = frozenset("entry post article story title content".split())
+COMMENTS = frozenset("comment comments reply replies respond".split())
+
+#: A page of which less than this part of a set-aside element's running text would be left takes that element back.
+LEAST_LEFT = 0.1
 
 
 def names_of(attributes: str) -> tuple[list[str], set[str]]:
-    """Generalised classes, and all words in class, id and role."""
+    """Generalised classes, and the words that name what the element is not the article for."""
     classes, said = [], set()
     if "=" in attributes:
         for name, *values in ATTRIBUTE.findall(attributes):
@@ -51,9 +65,13 @@ def names_of(attributes: str) -> tuple[list[str], set[str]]:
             if name.lower() == "class":
                 classes += [re.sub(r"\d+", "#", c) for c in value.split()]
             for token in value.split():
-                low = token.lower()
-                said.add(low)
-                said.update(re.split(r"[-_\d]+", low))
+                parts = [x for x in re.split(r"[-_\d]+", token.lower()) if x and x != "x"]
+                if not parts or not SPOKEN_OF.isdisjoint(parts):
+                    continue
+                if parts[-1] in OTHER and not (parts[-1] == "header" and parts[0] in ARTICLE_HEADERS):
+                    said.add(parts[-1])
+                elif parts[0] in OTHER and SHAPES.issuperset(parts[1:]):
+                    said.add(parts[0])
     return classes, said
 
 
@@ -62,144 +80,210 @@ def below(above: str, label: str) -> str:
     return f"{blake2b(above.encode(), digest_size=8).hexdigest()}>{label}"
 
 
-def blocks_of(html: str | None):
-    """Yields (path, text, link_length) for each block in page order; path: the open containers as (number, generalised path).
+class Page:
+    """Blocks in page order as (container, text, length of links, what they are set aside by); -1 for none of either.
 
-    Parts that are not the article (menus, forms, adverts, ...) are left out.
+    Containers and set-aside elements are numbered as they open and know the one around them.
     """
-    html = html or ""
-    stack: list[tuple[str, bool]] = []  # open tags other than inline ones; is it a container
-    containers: list[tuple[int, str]] = []
-    left_out = 0  # depth at which left-out content began
-    in_link = 0
-    made = 0
-    parts: list[str] = []
-    links = 0
-
-    def close_block():
-        nonlocal parts, links
-        text = " ".join(unescape("".join(parts)).split()) if parts else ""
-        got = (tuple(containers), text, links) if text else None
-        parts, links = [], 0
-        return got
-
-    def pop():
-        nonlocal left_out
-        _, container = stack.pop()
-        if container:
-            containers.pop()
-        if left_out > len(stack):
-            left_out = 0
-
-    at = 0
-    end = len(html)
-    low = None
-    while at < end:
-        m = TAG.search(html, at)
-        text = html[at : m.start()] if m else html[at:]
-        if text and not left_out:
-            parts.append(text)
-            links += len(text) if in_link else 0
-        if not m:
-            break
-        at = m.end()
-        tag = m[2]
-        if tag is None:
-            continue
-        tag = tag.lower()
-        closing = bool(m[1])
-        if tag in INLINE:
-            if tag == "a":
-                in_link = 0 if closing else 1
-            continue
-        if tag == "br" or tag == "wbr":
-            if tag == "br" and not left_out:
+
+    def __init__(self, html: str | None):
+        self.blocks: list[tuple[int, str, int, int]] = []
+        self.above: list[int] = []
+        self.path: list[str] = []
+        self.kind: list[str] = []
+        self.aside_above: list[int] = []
+        self._read(html or "")
+        self._take_back()
+
+    def _read(self, html: str) -> None:
+        stack: list[tuple[str, bool, bool]] = []  # open tags other than inline ones; is it a container; is it set aside
+        last: dict[str, list[int]] = {}  # where in the stack each tag is open
+        stops: list[int] = []
+        articles = 0  # open article and main elements
+        inside, aside = -1, -1
+        in_link = links = 0
+        parts: list[str] = []
+
+        def close_block():
+            nonlocal parts, links
+            text = " ".join(unescape("".join(parts)).split()) if parts else ""
+            if text:
+                self.blocks.append((inside, text, links, aside))
+            parts, links = [], 0
+
+        def pop_to(depth):
+            nonlocal inside, aside, articles
+            while len(stack) > depth:
+                tag, container, away = stack.pop()
+                last[tag].pop()
+                if stops and stops[-1] == len(stack):
+                    stops.pop()
+                articles -= tag in ("article", "main")
+                if container:
+                    inside = self.above[inside]
+                if away:
+                    aside = self.aside_above[aside]
+
+        def close(tags, within=True):
+            """Closes the innermost open element with one of these tags, if it lies within the innermost table, list or section."""
+            depth = max((last[t][-1] for t in tags if last.get(t)), default=-1)
+            if depth >= 0 and (not within or not stops or depth > stops[-1]):
+                pop_to(depth)
+                return True
+            return False
+
+        at, end, low = 0, len(html), None
+        while at < end:
+            m = TAG.search(html, at)
+            text = html[at : m.start()] if m else html[at:]
+            if text:
+                parts.append(text)
+                links += len(text) if in_link else 0
+            if not m:
+                break
+            at = m.end()
+            tag = m[2]
+            if tag is None:
+                continue
+            tag = tag.lower()
+            closing = bool(m[1])
+            if tag in INLINE:
+                if tag == "a":
+                    in_link = 0 if closing else 1
+                continue
+            if tag == "br":
                 parts.append(" ")
-            continue
-        if tag in RAW:
-            if not closing:
-                low = low or html.lower()
-                low = low if len(low) == end else html  # lower() may change lengths
-                stop = low.find(f"</{tag}", at)
-                shut = html.find(">", stop) if stop >= 0 else -1
-                at = shut + 1 if shut >= 0 else end
-            continue
-        if tag == "img" or tag == "input" or tag in VOID and tag != "hr":
-            continue
-        if got := close_block():
-            yield got
-        if tag == "hr":
-            continue
-        if closing:
-            if tag == "a":
-                in_link = 0
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == tag:
-                    while len(stack) > depth:
-                        pop()
-                    break
-                if tag not in STOPS and stack[depth][0] in STOPS:
-                    break
+                continue
+            if tag in RAW:
+                if not closing:
+                    low = low or html.lower()
+                    low = low if len(low) == end else html  # lower() may change lengths
+                    stop = low.find(f"</{tag}", at)
+                    shut = html.find(">", stop) if stop >= 0 else -1
+                    at = shut + 1 if shut >= 0 else end
+                continue
+            if tag in VOID and tag != "hr":
+                continue
+            close_block()
             in_link = 0
-            continue
-        in_link = 0
-        if tag in ENDS_P:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == "p":
-                    while len(stack) > depth:
-                        pop()
-                    break
-                if stack[depth][0] in STOPS:
-                    break
-        if tag in CLOSES:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] in CLOSES[tag]:
-                    while len(stack) > depth:
-                        pop()
-                    if tag != "tr":
-                        break
+            if tag == "hr":
+                continue
+            if closing:
+                close((tag,), tag not in STOPS)
+                continue
+            if tag in ENDS_P:
+                close(("p",))
+            if tag in CLOSES:
+                while close(CLOSES[tag]) and tag == "tr":
+                    pass
+            attributes = m[3] or ""
+            classes, said = names_of(attributes)
+            container = tag in CONTAINERS
+            if container:
+                label = ".".join([tag, *sorted(set(classes))])
+                self.path.append(below(self.path[inside] if inside >= 0 else "", label))
+                self.above.append(inside)
+                self.kind.append(tag)
+                inside = len(self.above) - 1
+            if articles:
+                said.discard("header")
+            away = not said.isdisjoint(COMMENTS) if tag == "article" else bool(said) or tag in LEFT_OUT and not (tag == "header" and articles) or bool(attributes and HIDDEN.search(attributes))
+            away = away and tag not in ("html", "body", "main")
+            if away:
+                self.aside_above.append(aside)
+                aside = len(self.aside_above) - 1
+            last.setdefault(tag, []).append(len(stack))
+            if tag in STOPS:
+                stops.append(len(stack))
+            stack.append((tag, container, away))
+            articles += tag in ("article", "main")
+            if attributes.endswith("/") and tag not in CONTAINERS and tag != "p":
+                pop_to(len(stack) - 1)
+        close_block()
+
+    def _take_back(self) -> None:
+        """Drops the blocks that are set aside, but for those in elements without which next to nothing would be left."""
+        n = len(self.aside_above)
+        own, left = [0.0] * n, 0.0
+        for _, text, links, aside in self.blocks:
+            if aside >= 0:
+                own[aside] += running(text, links)
+            else:
+                left += running(text, links)
+        whole = own[:]
+        for k in range(n - 1, -1, -1):
+            if self.aside_above[k] >= 0:
+                whole[self.aside_above[k]] += whole[k]
+        # An element is taken back only if the one around it is; elements are numbered from the outside in.
+        back = [False] * n
+        for k in sorted(range(n), key=lambda k: -whole[k]):
+            above = self.aside_above[k]
+            if whole[k] > 0 and (above < 0 or back[above]) and left < LEAST_LEFT * whole[k]:
+                back[k] = True
+                left += own[k]
+        self.blocks = [b for b in self.blocks if b[3] < 0 or back[b[3]]]
+
+    def votes(self) -> dict[str, float]:
+        """The running text of each container, most of that for the one above, and so on, by path; the largest is 1."""
+        carried = [0.0] * len(self.above)
+        for inside, text, links, _ in self.blocks:
+            if inside >= 0:
+                carried[inside] += running(text, links)
+        votes: dict[str, float] = {}
+        for k in range(len(carried) - 1, -1, -1):
+            if carried[k] > 0:
+                votes[self.path[k]] = votes.get(self.path[k], 0.0) + carried[k] * (1.5 if self.kind[k] in ("article", "main") else 1.0)
+                if self.above[k] >= 0:
+                    carried[self.above[k]] += 0.7 * carried[k]
+        top = max(votes.values(), default=0.0)
+        return {k: v / top for k, v in votes.items()} if top > 0 else {}
+
+    def text(self, wanted: str | None) -> str:
+        """What lies below the containers with the wanted path; without such, below the page's own best container."""
+        n = len(self.above)
+        length, links = [0] * n, [0] * n
+        for inside, text, in_links, _ in self.blocks:
+            if inside >= 0:
+                length[inside] += len(text)
+                links[inside] += min(in_links, len(text))
+        for k in range(n - 1, -1, -1):
+            if self.above[k] >= 0:
+                length[self.above[k]] += length[k]
+                links[self.above[k]] += links[k]
+        if wanted is None or not any(p == wanted and length[k] for k, p in enumerate(self.path)):
+            votes = self.votes()
+            wanted = min(votes, key=lambda k: (-votes[k], k)) if votes else None
+        if wanted is None:
+            return "\n".join(b[1] for b in self.blocks)
+        chosen = [False] * n
+        for k, path in enumerate(self.path):
+            chosen[k] = path == wanted or self.above[k] >= 0 and chosen[self.above[k]]
+        at = {k for k in range(n) if chosen[k] and length[k] and not (self.above[k] >= 0 and chosen[self.above[k]])}
+        # Up, while what lies beside the chosen ones is running text too.
+        moved = True
+        while moved:
+            moved = False
+            by: dict[int, list[int]] = {}
+            for k in at:
+                if self.kind[k] not in ("article", "main"):
+                    by.setdefault(self.above[k], []).append(k)
+            for up, below_ in by.items():
+                if up < 0 or self.kind[up] in ("body", "html"):
                     continue
-                if stack[depth][0] in STOPS:
-                    break
-        attributes = m[3] or ""
-        classes, said = names_of(attributes)
-        container = tag in CONTAINERS
-        if container:
-            above = containers[-1][1] if containers else ""
-            made += 1
-            containers.append((made, below(above, ".".join([tag, *sorted(set(classes))]))))
-        stack.append((tag, container))
-        if not left_out and tag not in ("html", "body") and (tag in LEFT_OUT or not said.isdisjoint(OTHER) or (attributes and HIDDEN.search(attributes))):
-            left_out = len(stack)
-        if attributes.endswith("/") and tag not in CONTAINERS and tag != "p":
-            pop()
-    if got := close_block():
-        yield got
-
-
-def path_scores(blocks) -> dict[str, float]:
-    """Votes of a page: the running text of each container, half of that for the one above, and so on; the largest is 1.
-
-    Links count against a block; a block counts more the longer it is, so lists of labels do not win.
-    """
-    votes: dict[str, float] = {}
-    for path, text, links in blocks:
-        worth = max(0.0, len(text) - 2.0 * links)
-        for _, where in reversed(path):
-            kind = where.rpartition(">")[2].partition(".")[0]
-            votes[where] = votes.get(where, 0.0) + worth * (1.5 if kind in ("article", "main") else 1.0)
-            worth *= 0.7
-    top = max(votes.values(), default=0.0)
-    return {k: v / top for k, v in votes.items()} if top > 0 else {}
-
-
-def text_below(blocks: list, wanted: str | None) -> str:
-    """All blocks below containers with the wanted path; without such, below the page's own best container."""
-    if wanted is None or not any(any(w == wanted for _, w in path) for path, _, _ in blocks):
-        votes = path_scores(blocks)
-        wanted = min(votes, key=lambda k: (-votes[k], k)) if votes else None
-    chosen = blocks if wanted is None else [b for b in blocks if any(w == wanted for _, w in b[0])]
-    return "\n".join(text for _, text, _ in chosen)
+                beside, in_links = length[up] - sum(length[k] for k in below_), links[up] - sum(links[k] for k in below_)
+                if 2 * (beside - in_links) >= beside:
+                    at.difference_update(below_)
+                    at.add(up)
+                    moved = True
+        chosen = [False] * n
+        for k in range(n):
+            chosen[k] = k in at or self.above[k] >= 0 and chosen[self.above[k]]
+        return "\n".join(text for inside, text, _, _ in self.blocks if inside >= 0 and chosen[inside])
+
+
+def running(text: str, links: int) -> float:
+    """How much of a block is running text: links count against it, so lists of labels do not win."""
+    return max(0.0, len(text) - 2.0 * links)
 
 
 def host(url: F.Column) -> F.Column:
@@ -216,7 +300,7 @@ def host_paths(pages: DataFrame) -> DataFrame:
         for batch in batches:
             votes: dict[tuple[str, str], float] = {}
             for name, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-                for path, v in path_scores(blocks_of(html)).items():
+                for path, v in Page(html).votes().items():
                     votes[name, path] = votes.get((name, path), 0.0) + v
             # Whole numbers, so that sums do not depend on their order.
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in votes], type=pa.string()), pa.array([k[1] for k in votes], type=pa.string()), pa.array([round(v * 1000) for v in votes.values()], type=pa.int64())], names=["host", "path", "votes"])
@@ -237,7 +321,7 @@ def extracted(pages: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            texts = [text_below(list(blocks_of(html)), path) for html, path in zip(batch.column("html").to_pylist(), batch.column("__path").to_pylist())]
+            texts = [Page(html).text(path) for html, path in zip(batch.column("html").to_pylist(), batch.column("__path").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, type=pa.string()), pa.array(list(map(len, texts)), type=pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     kind = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
