@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import tuned
+from .common import tuned, unused
 
 SPANS = "__pii"
 KINDS = ("email", "ip", "card", "phone")
@@ -48,9 +48,14 @@ SPELLED = re.compile(rf"(?i)(?<![^\W_])(?:plus[\x20-]+)?{_DIGIT_WORD}(?:[\x20-]{
 _PART = rf"(?:{_DIGIT_WORD}(?:[\x20-]{_DIGIT_WORD}){{0,2}}|[0-9]{{1,3}})"
 SPELLED_IP = re.compile(rf"(?i)(?<![^\W_]){_PART}(?:\x20(?:dot|point)\x20{_PART}){{3}}(?![^\W_])")
 SIGNS = re.compile(r"(?i)[\x20]{0,3}[\[({<][\x20]{0,3}(at|@|dot|\.)[\x20]{0,3}[\])}>][\x20]{0,3}")
-_LABEL = r"[A-Za-z0-9-]{1,63}"
-BARE = re.compile(rf"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}(?:\x20dot\x20[A-Za-z0-9_%+-]{{1,64}})?(\x20at\x20|@){_LABEL}(?:(?:\x20dot\x20|\.){_LABEL}){{0,4}}\x20dot\x20[A-Za-z]{{2,24}}(?![A-Za-z0-9-])")
+AT = re.compile(r"(?i)\x20at\x20|@")
+HOST_PARTS = re.compile(r"(?i)[A-Za-z0-9-]++(?:(?:\x20dot\x20|\.)[A-Za-z0-9-]++)*+")
+PART_END = re.compile(r"(?i)\x20dot\x20|\.")
 BARE_SIGN = re.compile(r"(?i)\x20(at|dot)\x20")
+TOP_LEVEL = re.compile(r"[A-Za-z]{2,24}\Z")
+#: Words that announce an address.
+CUE = re.compile(r"(?i)(?:\bmail|\bcontact|\bwrite\x20to|\breach|\baddress|\baddress\x20is)[:,]?\x20(?:(?:to|me|us|is)\x20)?\Z")
+CUE_CHARS = 24
 
 
 def luhn(digits: str) -> bool:
@@ -151,7 +156,42 @@ def _signs(text: str) -> list[tuple[int, int, str]]:
 
 
 def _bare_signs(text: str) -> list[tuple[int, int, str]]:
-    return [(m.start() + s.start(), m.start() + s.end(), "@" if s[1].lower() == "at" else ".") for m in BARE.finditer(text) for s in BARE_SIGN.finditer(m.group())]
+    """Signs of addresses such as jane dot doe at example dot com, or jane.doe at example.com.
+
+    From each at, the name is read to the left and the host to the right, so each place is read twice at most. Some dot has
+    to be spelled, or the name has to look like one (a digit or a sign in it, or a word before it that announces an address).
+    """
+    edits, free = [], 0
+    for m in AT.finditer(text):
+        if m.start() < free:
+            continue
+        start = m.start()
+        while True:
+            at = start
+            while at > free and text[at - 1] in LOCAL:
+                at -= 1
+            if at == start:
+                break
+            start = at
+            if start - 5 >= free and text[start - 5 : start].lower() == " dot " and text[start - 6 : start - 5] in LOCAL:
+                start -= 5
+            else:
+                break
+        host = HOST_PARTS.match(text, m.end())
+        if start == m.start() or not host:
+            continue
+        end, ends = host.end(), [x.span() for x in PART_END.finditer(text, host.start(), host.end())]
+        while ends and not TOP_LEVEL.match(text[ends[-1][1] : end]):
+            end = ends.pop()[0]
+        if not ends:
+            continue
+        name, written = text[start : m.start()], text[start:end]
+        spelled = BARE_SIGN.search(text, m.end() - 1, end + 1) or " dot " in name.lower()
+        named = m.group() != "@" and (any(c in "0123456789._%+-" for c in name.strip(".")) or CUE.search(text[max(0, start - CUE_CHARS) : start]))
+        if spelled or named:
+            edits += [(start + s.start(), start + s.end(), "@" if s[1].lower() == "at" else ".") for s in BARE_SIGN.finditer(written)]
+            free = end
+    return edits
 
 
 def disguised(text: str) -> list[tuple[str, int, int]]:
@@ -160,13 +200,13 @@ def disguised(text: str) -> list[tuple[str, int, int]]:
     if not text.isascii() and HIDING.search(text):
         r.apply(_look_alikes(text))
     low = r.text.lower()
-    if any(x in low for x in ("zero", "two", "three", "four", "five", "six", "seven", "eight", "nine")):
+    if any(x in low for x in DIGIT_WORDS):
         r.apply(_spelled(r.text))
     if " dot " in low or " point " in low:
         r.apply(_spelled_ip(r.text))
     if any(x in low for x in ("[", "(", "{", "<")) and any(x in low for x in ("at", "@", "dot")):
         r.apply(_signs(r.text))
-    if " dot " in low:
+    if " dot " in low or " at " in low:
         r.apply(_bare_signs(r.text))
     if r.new is None:
         return []
@@ -200,10 +240,10 @@ def masked(text: str | None, spans: list[tuple[str, int, int, bool]]) -> str | N
     return "".join([*out, text[at:]])
 
 
-def found(docs: DataFrame, mask: bool = False) -> DataFrame:
-    """docs with the column SPANS; with mask, identifiers in text are replaced by marks."""
+def found(docs: DataFrame, mask: bool = False, name: str = SPANS) -> DataFrame:
+    """docs with the spans in a column of this name; with mask, identifiers in text are replaced by marks."""
     tuned(docs.sparkSession)
-    names, at = docs.columns, docs.columns.index("text")
+    at = docs.columns.index("text")
 
     def run(batches):
         import pyarrow as pa
@@ -215,9 +255,9 @@ def found(docs: DataFrame, mask: bool = False) -> DataFrame:
             if mask:
                 columns[at] = pa.array([masked(x, s) for x, s in zip(texts, spans)], type=columns[at].type)
             rows = [[{"kind": k, "start": a, "end": b, "base": c} for k, a, b, c in s] for s in spans]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(rows, type=kind)], names=[*names, SPANS])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(rows, type=kind)], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(SPANS, SPAN_TYPE)]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, SPAN_TYPE)]))
 
 
 def joined(spans: F.Column) -> F.Column:
@@ -233,6 +273,7 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def redacted(docs: DataFrame) -> DataFrame:
-    """The documents with identifiers masked; n_chars, where present and known, follows the new text."""
-    out = found(docs, mask=True).drop(SPANS)
+    """The documents with identifiers masked and all columns of theirs; n_chars, where present and known, follows the new text."""
+    (spans,) = unused(docs, SPANS)
+    out = found(docs, mask=True, name=spans).drop(spans)
     return out.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text")).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
