@@ -1,12 +1,13 @@
 """A quality classifier: random-indexing word vectors, pooled for each document, and a two-layer network in numpy.
 
-Words are cut into lower-case letters, digits and signs, with marks for capitals and repeats. The vector of a piece is
-the sum of the random sparse vectors of its neighbours in the training texts; pieces that training did not see share
-vectors by shape. A document is the mean of its pieces' vectors. The network's probabilities are calibrated by a
-temperature that is fitted on training rows which the weights never saw.
+Words are cut into lower-case letters, digits and signs, with marks for capitals and repeats. The vector of a piece is its
+own random sparse vector, made from a hash of it, and, for pieces in the table, the sum of such vectors of its neighbours
+in the training texts: a piece that training did not see still has a vector of its own. A document is the mean of its
+pieces' vectors. The network's probabilities are calibrated by a temperature that is fitted on training rows which the
+weights never saw.
 
 Training rows are labelled documents with crc32(doc_id) mod 5 <> 0: SAMPLE of them at most, those with the smallest hash.
-VOCABULARY bounds the vectors. Every document is scored over its whole text.
+VOCABULARY is the size of the table of neighbour sums. Every document is scored over its whole text.
 
 Edge cases: null and empty texts have the zero vector and a score like any other. Null labels and ids are not learned
 from. With no training rows all scores are 0.5; with one class only they are near that class. Repeated rows get equal
@@ -17,44 +18,38 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import tuned, written
+from .common import Words, tuned, written
 
 SAMPLE, VOCABULARY, DIMENSIONS, NONZERO, HIDDEN, SEED = 20_000, 20_000, 64, 6, 32, 7
 THRESHOLD, FOLDS = 0.3, 5
-PIECE = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
+#: Words that a task pools at once, and words whose vectors it remembers.
+AT_ONCE, REMEMBERED = 1 << 16, 1 << 17
+#: Words of more bytes than this count for the marks of repeats.
+LONG = 5
+PIECE = re.compile(r"[^\W\d_]+|\d+|(?P<sign>[^\w\s]|_)(?P=sign)*")
 
 
 def pieces_of(word: str) -> list[str]:
-    """The pieces of a word; signs keep their kind and number up to three."""
+    """The pieces of a word; numbers and runs of a sign keep their length by powers of two."""
     out = []
-    for p in PIECE.findall(word):
+    for m in PIECE.finditer(word):
+        p = m.group()
         if p[0].isalpha():
             out.append(p.lower())
             if len(p) > 1 and p.isupper():
                 out.append("<upper>")
         elif p[0].isdigit():
-            out.append(f"<digits{min(len(p), 6)}>")
+            out.append(f"<digits{len(p).bit_length()}>")
         else:
-            out.append(p[:3])
+            out.append(f"{p[0]}<{len(p).bit_length()}>")
     return out
 
 
-def shape(piece: str) -> str:
-    return f"<letters{min(len(piece), 12)}>" if piece[0].isalpha() else "<signs>"
-
-
-def marks(words: list[str], counts: Counter) -> dict[str, int]:
-    """Pseudo-pieces for words that come again, which single words cannot show."""
-    long = [(w, n) for w, n in counts.items() if len(w) > 5]
-    return {"<again>": sum(n - 1 for _, n in long), "<new>": len(long)}
-
-
 def index_vectors(pieces: list[str]) -> np.ndarray:
     """The random sparse vector of each piece, from its hash alone."""
     out = np.zeros((len(pieces), DIMENSIONS), dtype=np.float32)
@@ -65,37 +60,62 @@ def index_vectors(pieces: list[str]) -> np.ndarray:
     return out
 
 
+def marks(words: Words) -> np.ndarray:
+    """For each text, how many long words come again and how many are new: what single words cannot show."""
+    n, long = len(words.counts), np.fromiter((len(w) > LONG for w in words.distinct), dtype=bool, count=len(words.distinct))
+    where = long[words.index] if len(long) else np.zeros(0, dtype=bool)
+    text = np.repeat(np.arange(n), words.counts)[where]
+    new = np.bincount(np.unique(text * max(1, len(long)) + words.index[where]) // max(1, len(long)), minlength=n)
+    return np.stack([np.bincount(text, minlength=n) - new, new], axis=1)
+
+
+MARKS = ["<again>", "<new>"]
+
+
 class Pooling:
-    """Mean vectors of documents; words seen before are not cut again."""
-
-    def __init__(self, ids: dict[str, int], vectors: np.ndarray):
-        self.ids, self.vectors, self.known = ids, vectors, {}
-
-    def ids_of(self, word: str) -> list[int]:
-        got = self.known.get(word)
-        if got is None:
-            if len(self.known) > 200_000:
-                self.known.clear()
-            got = self.known[word] = [i for p in pieces_of(word) if (i := self.ids.get(p, self.ids.get(shape(p), -1))) >= 0]
-        return got
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").split()
-        counts = Counter(words)
-        ids: list[int] = []
-        weights: list[int] = []
-        for w, n in counts.items():
-            got = self.ids_of(w)
-            ids += got
-            weights += [n] * len(got)
-        for mark, n in marks(words, counts).items():
-            if n and mark in self.ids:
-                ids.append(self.ids[mark])
-                weights.append(n)
-        if not ids:
-            return np.zeros(DIMENSIONS, dtype=np.float32)
-        w = np.asarray(weights, dtype=np.float32)
-        return (w / w.sum()) @ self.vectors[ids]
+    """Mean vectors of texts; the vectors of words met before are remembered."""
+
+    def __init__(self, pieces: list[str], vectors: np.ndarray):
+        self.ids, self.vectors = {p: i for i, p in enumerate(pieces)}, vectors
+        self.rows: dict[bytes, int] = {}
+        self.sums, self.sizes = np.zeros((REMEMBERED + AT_ONCE, DIMENSIONS), dtype=np.float32), np.zeros(REMEMBERED + AT_ONCE, dtype=np.float32)
+        self.marks = np.stack([self.vector(x) for x in MARKS])
+
+    def vector(self, piece: str) -> np.ndarray:
+        i = self.ids.get(piece)
+        return self.vectors[i] if i is not None else index_vectors([piece])[0] / np.float32(np.sqrt(NONZERO))
+
+    def rows_of(self, words: list[bytes]) -> np.ndarray:
+        """Where the sums of the words' pieces are."""
+        if len(self.rows) > REMEMBERED:
+            self.rows.clear()
+        out = np.empty(len(words), dtype=np.int64)
+        for k, w in enumerate(words):
+            i = self.rows.get(w)
+            if i is None:
+                i = self.rows[w] = len(self.rows)
+                pieces = pieces_of(w.decode(errors="replace"))
+                self.sums[i] = np.sum([self.vector(p) for p in pieces], axis=0) if pieces else 0
+                self.sizes[i] = len(pieces)
+            out[k] = i
+        return out
+
+    def __call__(self, texts) -> np.ndarray:
+        words = Words(texts, lower=False)
+        n = len(words.counts)
+        total, size = np.zeros((n, DIMENSIONS)), np.zeros(n)
+        text = np.repeat(np.arange(n), words.counts)
+        for k in range(0, len(text), AT_ONCE):
+            used, which = np.unique(words.index[k : k + AT_ONCE], return_inverse=True)
+            rows = self.rows_of([words.distinct[i] for i in used])[which]
+            of = text[k : k + AT_ONCE]
+            starts = np.flatnonzero(np.diff(of, prepend=-1))
+            total[of[starts]] += np.add.reduceat(self.sums[rows], starts, axis=0)
+            size[of[starts]] += np.add.reduceat(self.sizes[rows], starts)
+        found = marks(words)
+        total += found @ self.marks
+        size += found.sum(axis=1)
+        return (total / np.maximum(size, 1)[:, None]).astype(np.float32)
 
 
 def fold(doc_id: F.Column) -> F.Column:
@@ -113,49 +133,54 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def vocabulary(rows: DataFrame) -> list[str]:
-    """The VOCABULARY most frequent pieces, shapes and marks of the training texts."""
+    """The VOCABULARY most frequent pieces of the training texts."""
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            seen: Counter = Counter()
-            for text in batch.column("text").to_pylist():
-                counts = Counter((text or "").split())
-                for w, n in counts.items():
-                    for p in pieces_of(w):
-                        seen[p] += n
-                        seen[shape(p)] += n
-                seen.update(marks([], counts))
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen)), pa.array(list(seen.values()), type=pa.int64())], names=["piece", "n"])
+            seen: dict[str, int] = {}
+            words = Words(batch.column("text"), lower=False)
+            for w, n in zip(words.distinct, words.times().tolist()):
+                for p in pieces_of(w.decode(errors="replace")):
+                    seen[p] = seen.get(p, 0) + n
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), type=pa.string()), pa.array(list(seen.values()), type=pa.int64())], names=["piece", "n"])
 
     counts = rows.select("text").mapInArrow(run, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
     return [r["piece"] for r in counts.orderBy(F.desc("n"), "piece").limit(VOCABULARY).toLocalIterator()]
 
 
 def context_vectors(rows: DataFrame, pieces: list[str]) -> np.ndarray:
-    """Random indexing: each piece's sum of the vectors of its two neighbours on either side, as unit vectors, plus a part of its own."""
-    ids = rows.sparkSession.sparkContext.broadcast({p: i for i, p in enumerate(pieces)})
+    """Random indexing: each piece's sum of the vectors of its two neighbours on either side, as unit vectors, plus its own."""
+    shared = rows.sparkSession.sparkContext.broadcast(pieces)
 
     def run(batches):
         import pyarrow as pa
 
-        own = index_vectors(list(ids.value))
-        total = np.zeros_like(own)
+        own = index_vectors(shared.value)
+        ids, total = {p: i for i, p in enumerate(shared.value)}, np.zeros_like(own)
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                seq = [i for w in (text or "").split() for p in pieces_of(w) if (i := ids.value.get(p, ids.value.get(shape(p), -1))) >= 0]
-                s = np.asarray(seq, dtype=np.int64)
-                if len(s) < 2:
+            words = Words(batch.column("text"), lower=False)
+            cut = [[ids[p] for p in pieces_of(w.decode(errors="replace")) if p in ids] for w in words.distinct]
+            flat = np.fromiter((i for c in cut for i in c), dtype=np.int64)
+            sizes = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
+            starts = np.cumsum(sizes) - sizes
+            text = np.repeat(np.arange(len(words.counts)), words.counts)
+            for k in range(0, len(text), AT_ONCE):  # neighbours across two of these stretches are left out
+                index = words.index[k : k + AT_ONCE]
+                n = sizes[index]
+                seq = flat[np.arange(n.sum()) + np.repeat(starts[index] - (np.cumsum(n) - n), n)]
+                of = np.repeat(text[k : k + AT_ONCE], n)
+                if len(seq) < 3:
                     continue
-                vectors = own[s]
-                near = np.zeros_like(vectors)
+                near = np.zeros((len(seq), DIMENSIONS), dtype=np.float32)
                 for d in (1, 2):
-                    near[d:] += vectors[:-d]
-                    near[:-d] += vectors[d:]
-                order = np.argsort(s, kind="stable")
-                starts = np.flatnonzero(np.concatenate(([True], s[order][1:] != s[order][:-1])))
-                total[s[order][starts]] += np.add.reduceat(near[order], starts, axis=0)
+                    same = (of[d:] == of[:-d])[:, None]
+                    near[d:] += own[seq[:-d]] * same
+                    near[:-d] += own[seq[d:]] * same
+                order = np.argsort(seq, kind="stable")
+                first = np.flatnonzero(np.diff(seq[order], prepend=-1))
+                total[seq[order][first]] += np.add.reduceat(near[order], first, axis=0)
         used = np.flatnonzero(np.abs(total).sum(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(used, type=pa.int64()), pa.array(total[used].astype(np.float64).tolist(), type=pa.list_(pa.float64()))], names=["id", "v"])
 
@@ -217,9 +242,9 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray, Ne
     def run(batches):
         import pyarrow as pa
 
-        pool = Pooling({p: i for i, p in enumerate(shared.value[0])}, shared.value[1])
+        pool = Pooling(*shared.value)
         for batch in batches:
-            x = [pool(t).tolist() for t in batch.column("text").to_pylist()]
+            x = pool(batch.column("text")).tolist()
             yield pa.RecordBatch.from_arrays([pa.array(x, type=pa.list_(pa.float32())), batch.column("label"), batch.column("part")], names=["x", "label", "part"])
 
     # At most SAMPLE vectors come to the driver.
@@ -240,10 +265,9 @@ def scored(docs: DataFrame, model: tuple[list[str], np.ndarray, Network | None])
         import pyarrow as pa
 
         pieces, vectors, net = shared.value
-        pool = Pooling({p: i for i, p in enumerate(pieces)}, vectors)
+        pool = Pooling(pieces, vectors)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            scores = net.scores(np.array([pool(t) for t in texts])) if net and texts else np.full(len(texts), 0.5)
+            scores = net.scores(pool(batch.column("text"))) if net and len(batch) else np.full(len(batch), 0.5)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, type=pa.float64())], names=["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
