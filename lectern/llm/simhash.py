@@ -2,31 +2,34 @@
 
 Links are found in the embedding of fingerprints by the bit counts of 2-bit segments. The Manhattan distance of two such
 vectors never exceeds the Hamming distance of the fingerprints, so vectors of linked fingerprints are within 3 of each
-other and differ in at most 3 of 6 blocks of segments: they share the grid cell of some 3 blocks. All 20 cells of a
-fingerprint are made, and only members of a cell are compared: first by Manhattan distance, then exactly. A cell gives a
-spanning forest of its links, never its pairs; a cell of more than CELL fingerprints is cut into chunks which meet
-pairwise in tasks of their own. Components come from the forests by alternating large and small stars.
+other, and in one half of the segments within 1. The grid has a cell for each vector of a half; a range join within 1 is
+made by putting a fingerprint into its own cell and into the next higher one along each segment: of two vectors at
+distance 1 the lower one visits the higher one's cell. Members of a cell are compared by Manhattan distance, then exactly.
+Segments are narrow since cells are then many: 16 counts of 2 bits tell as much as 24 bits.
+
+A cell gives a spanning forest of its links, never its pairs; a cell of more than CELL fingerprints is cut into chunks
+which meet pairwise in tasks of their own. Components come from the forests by alternating large and small stars.
 
 Edge cases: a null or empty text, or one of white space, has no shingle and fingerprint zero, which links like any other.
-Equal texts share a fingerprint and are one vertex, however many there are. component_id is the smallest id that is not
-null; it is null if all ids of the component are. Repeated rows are kept. An empty table gives an empty result.
+Equal texts share a fingerprint and are one vertex, however many there are; fingerprints of very many documents are joined
+back by broadcast, as there can be only few of them. component_id is the smallest id that is not null; it is null if all
+ids of the component are. Repeated rows are kept (one_each keeps one). An empty table gives an empty result. Columns pass
+through one_each unchanged, whatever their names.
 """
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import tuned, written
+from .common import tuned, unused, written
 
 SHINGLE, DISTANCE, SEED = 3, 3, 42
 #: Fingerprints that are compared in one task at once.
 CELL = 4096
-#: 32 segments of 2 bits in 6 blocks: (first segment, end) of each.
-BLOCKS = [(0, 6), (6, 11), (11, 16), (16, 22), (22, 27), (27, 32)]
+#: A fingerprint with more than this part of all rows is joined by broadcast: at most HOT of them are.
+HOT = 1000
+SEGMENTS = 32
 LOW_BITS = 0x5555555555555555
 SMALL = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 SMALL_BYTES = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -75,13 +78,23 @@ def segment_counts(fp: Column) -> Column:
     return low.bitwiseOR(high).bitwiseAND(mask).bitwiseOR(F.shiftleft(low.bitwiseAND(high).bitwiseAND(mask), 1))
 
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
-
+def cells(counts: Column) -> Column:
+    """The cells of a vector: for each half, its own one and, for each segment below 2, the one with a count more there.
 
-def cell_masks() -> list[int]:
-    block = [sum(3 << (2 * s) for s in range(a, b)) for a, b in BLOCKS]
-    return [_signed(sum(block[i] for i in chosen)) for chosen in combinations(range(len(BLOCKS)), len(BLOCKS) - DISTANCE)]
+    Counts are written as 00, 01, 11, so one more is the lower bit, or else the upper bit, of the segment.
+    """
+    found = []
+    for half in (0, 1):
+        first = half * SEGMENTS // 2
+        mask = ((1 << SEGMENTS) - 1) << (2 * first)
+        own = counts.bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask))
+        cell = lambda c, half=half: F.struct(F.lit(half).alias("half"), c.alias("cell"))
+        found.append(cell(own))
+        for s in range(first, first + SEGMENTS // 2):
+            low, high = F.lit(1 << (2 * s)), F.lit((1 << (2 * s + 1)) - (1 << 64) if 2 * s + 1 == 63 else 1 << (2 * s + 1))
+            more = F.when(own.bitwiseAND(low) == 0, own.bitwiseOR(low)).when(own.bitwiseAND(high) == 0, own.bitwiseOR(high))
+            found.append(F.when(more.isNotNull(), cell(more)))
+    return F.filter(F.array(*found), lambda c: c.isNotNull())
 
 
 def forest(fps, counts):
@@ -109,7 +122,7 @@ def _forests(batches):
     import numpy as np
     import pyarrow as pa
 
-    names, kept = ["mask", "cell", "i", "j"], None
+    names, kept = ["half", "cell", "i", "j"], None
 
     def solve(rows):
         fps, counts = rows["fp"].to_numpy().view(np.uint64), rows["counts"].to_numpy().view(np.uint64)
@@ -138,20 +151,20 @@ def _forests(batches):
 
 def links(fps: DataFrame) -> DataFrame:
     """(a, b): links of distinct fingerprints, enough to connect all that are within DISTANCE bits."""
-    counts = segment_counts(F.col("fp"))
-    cells = fps.select("fp", counts.alias("counts")).select("fp", "counts", F.explode(F.array(*[F.struct(F.lit(m).alias("mask"), F.col("counts").bitwiseAND(F.lit(m)).alias("cell")) for m in cell_masks()])).alias("c")).select("fp", "counts", "c.mask", "c.cell")
-    shared = cells.groupBy("mask", "cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    vectors = fps.select("fp", segment_counts(F.col("fp")).alias("counts"))
+    placed = vectors.select("fp", "counts", F.explode(cells(F.col("counts"))).alias("c")).select("fp", "counts", "c.half", "c.cell")
+    shared = placed.groupBy("half", "cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     chunks = F.ceil(F.col("n") / CELL).cast("int")
     own = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
     other = F.explode(F.when(F.col("chunks") > 1, F.filter(F.sequence(F.lit(0), F.col("chunks") - 1), lambda x: x != F.col("own"))).otherwise(F.array(F.lit(0))))
     members = (
-        cells.join(shared, ["mask", "cell"])
-        .select("mask", "cell", "fp", "counts", chunks.alias("chunks"))
+        placed.join(shared, ["half", "cell"])
+        .select("half", "cell", "fp", "counts", chunks.alias("chunks"))
         .select("*", own.alias("own"))
-        .select("mask", "cell", "fp", "counts", "own", other.alias("other"))
-        .select("mask", "cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp", "counts")
+        .select("half", "cell", "fp", "counts", "own", other.alias("other"))
+        .select("half", "cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp", "counts")
     )
-    keys = ["mask", "cell", "i", "j"]
+    keys = ["half", "cell", "i", "j"]
     return members.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_forests, "a long, b long").distinct()
 
 
@@ -182,28 +195,30 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, fp, component_id): a row for each document."""
+    """(doc_id, text_hash, fp, component_id, root): a row for each document."""
     rows = written(fingerprints(docs), "fingerprints")
-    fps = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
+    fps = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")), "distinct-fingerprints")
     roots = written(components(links(fps)), "components")
     ids = roots.join(fps, roots["node"] == fps["fp"]).groupBy("root").agg(F.min("first_id").alias("root_id"))
-    named = fps.join(roots.join(ids, "root"), F.col("fp") == F.col("node"), "left").select("fp", F.when(F.col("node").isNotNull(), F.col("root_id")).otherwise(F.col("first_id")).alias("component_id"), F.coalesce("root", "fp").alias("root"))
-    # An equi-join that adaptive execution splits where one fingerprint has very many documents.
-    return rows.join(named, "fp").select("doc_id", "text_hash", "fp", "component_id", "root")
+    named = fps.join(roots.join(ids, "root"), F.col("fp") == F.col("node"), "left").select("fp", "n", F.when(F.col("node").isNotNull(), F.col("root_id")).otherwise(F.col("first_id")).alias("component_id"), F.coalesce("root", "fp").alias("root"))
+    named = written(named, "named-fingerprints")
+    total = fps.agg(F.sum("n")).first()[0] or 0
+    often = F.col("n") > total // HOT
+    # HOT rows at most, by their definition.
+    hot = F.broadcast(named.where(often).drop("n"))
+    out = rows.join(hot, "fp").unionByName(rows.join(hot.select("fp"), "fp", "left_anti").join(named.where(~often).drop("n"), "fp"))
+    return out.select("doc_id", "text_hash", "fp", "component_id", "root")
 
 
 def one_each(docs: DataFrame) -> DataFrame:
-    """The document with the smallest id of each component, with its columns unchanged."""
+    """The document with the smallest id of each component (the first by hash of its text, if all ids are null), with its columns unchanged."""
     best = near_duplicates(docs).groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))).alias("b"))
-    chosen = written(best.select(F.col("b.id").alias("__id"), F.col("b.hash").alias("__hash")).distinct(), "chosen")
+    none, some, text = keys = unused(docs, "none", "some", "text_hash")
+    chosen = best.select(F.col("b.none").alias(none), F.coalesce("b.id", F.lit(0)).alias(some), F.col("b.hash").alias(text)).distinct()
     names = [f"`{x}`" for x in docs.columns]
-    rows = docs.select(*names, F.xxhash64(F.coalesce("text", F.lit(""))).alias("__text_hash"))
-    kept = rows.join(chosen, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")), "left_semi")
-    # Repeated rows have the same id and text: one of them stays.
-    return kept.dropDuplicates(["doc_id", "__text_hash"]).select(*names)
-
-
-SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fingerprint", T.StringType()), T.StructField("component_id", T.LongType())])
+    rows = docs.select(*names, F.col("doc_id").isNull().alias(none), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias(some), F.xxhash64(F.coalesce("text", F.lit(""))).alias(text))
+    # Repeated rows have the same id and text: one of them stays. Both steps use one shuffle, as their keys are the same.
+    return rows.join(written(chosen, "chosen"), keys, "left_semi").dropDuplicates(keys).select(*names)
 
 
 def report(docs: DataFrame) -> DataFrame:
