@@ -1,27 +1,30 @@
 """Benchmark decontamination with one Aho-Corasick automaton over the windows of all benchmark items.
 
 Texts are normalised to lower-case words joined by single spaces; a pattern is a window of 10 item words between spaces.
-Each text is scanned once; matches are mapped to words and, on request, to the code points of the original text.
+Each text is scanned once; matches are mapped to words and to code points of the original text.
 
 The automaton is broadcast, so its size is checked before anything is collected: items whose patterns exceed
-PATTERN_CHARS are dealt by hash to several automata, which scan one after the other (with a written table between them).
+PATTERN_CHARS are dealt by hash to several automata. Each then scans the texts for itself; only what it finds is kept, by
+a hash of the text, and put together at the end, so no text is written again.
 
 Edge cases: null, empty or word-free texts have no words and no hit; such items have no window. Items of fewer than 10
 words are one window. A window that several items share counts for each; repeated rows of an item count once, and a null
 item id is written as an empty string. Repeated documents are scanned and returned each. Extra columns pass through: what
-is found lies in one struct column, HITS.
+is found lies in one struct column, whose name must be free; clean() chooses one.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+import re
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import tuned, written
+from .common import tuned, unused, written
 
 HITS = "__hits"
 WINDOW = 10
@@ -30,10 +33,12 @@ PATTERN_CHARS = 2_000_000
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _FLAT = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
+#: The automaton that this worker built last, by the name of its broadcast: tasks of one worker share it.
+_BUILT: dict = {}
 HIT_TYPE = T.StructType(
     [
         T.StructField("n_words", T.LongType()),
-        T.StructField("ranges", T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())]))),
+        T.StructField("ranges", T.ArrayType(T.StructType([T.StructField(x, T.LongType()) for x in ("first", "last", "start", "end")]))),
         T.StructField("items", T.ArrayType(T.StringType())),
     ]
 )
@@ -62,76 +67,90 @@ def windows(benchmark: DataFrame) -> DataFrame:
     return items.mapInArrow(run, "window string, item string").distinct()
 
 
-def scanned(docs: DataFrame, benchmark: DataFrame, pattern_chars: int = PATTERN_CHARS) -> DataFrame:
-    """docs with the struct HITS: the number of words, the word ranges of found windows and the items they come from."""
-    spark = tuned(docs.sparkSession)
+def scanned(docs: DataFrame, benchmark: DataFrame, pattern_chars: int = PATTERN_CHARS, name: str = HITS) -> DataFrame:
+    """docs with a struct of this name: the number of words, the word and code point ranges of found windows, the items they come from."""
+    tuned(docs.sparkSession)
     pairs = written(windows(benchmark), "windows")
     # An item's id takes room for each of its windows; so both are counted.
     size = pairs.agg(F.sum(F.length("window") + F.length("item"))).first()[0] or 0
     n = max(1, math.ceil(size / pattern_chars))
-    out = docs.select("*", F.lit(None).cast(HIT_TYPE).alias(HITS))
+    if n == 1:
+        return _scan(docs, _patterns(pairs), name)
+    found = None
+    key = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
     for k in range(n):
-        part = pairs if n == 1 else pairs.where(F.pmod(F.xxhash64("window"), F.lit(n)) == k)
-        by_window: dict[str, list[str]] = {}
-        for r in part.toLocalIterator():
-            by_window.setdefault(r["window"], []).append(r["item"])
-        out = _scan(out, spark.sparkContext.broadcast(by_window))
-        out = out if k == n - 1 else written(out, "scanned")
-    return out
-
-
-def _scan(docs: DataFrame, patterns) -> DataFrame:
-    def run(batches):
-        import ahocorasick
-        import numpy as np
-        import pyarrow as pa
-
+        hits = _scan(docs.select("text"), _patterns(pairs.where(F.pmod(F.xxhash64("window"), F.lit(n)) == k)), HITS)
+        some = hits.where(F.size(f"{HITS}.ranges") > 0).select(key.alias("key"), HITS).groupBy("key").agg(F.first(HITS).alias("h"))
+        some = written(some, "hits")
+        found = some if found is None else found.unionByName(some)
+    merged = found.groupBy("key").agg(F.flatten(F.collect_list("h.ranges")).alias("ranges"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("h.items")))).alias("items"))
+    (mark,) = unused(docs, "key")
+    whole = _scan(docs, _patterns(pairs.limit(0)), name).withColumn(mark, key)
+    joined = whole.join(merged.withColumnRenamed("key", mark).withColumnRenamed("ranges", mark + "_ranges").withColumnRenamed("items", mark + "_items"), mark, "left")
+    empty = F.col(f"{name}.ranges")
+    struct = F.struct(F.col(f"{name}.n_words").alias("n_words"), F.coalesce(mark + "_ranges", empty).alias("ranges"), F.coalesce(mark + "_items", F.col(f"{name}.items")).alias("items"))
+    return joined.select(*[f"`{c}`" for c in docs.columns], struct.alias(name))
+
+
+def _patterns(pairs: DataFrame):
+    """(name, window -> items), broadcast; its size was checked before."""
+    by_window: dict[str, list[str]] = {}
+    for r in pairs.toLocalIterator():
+        by_window.setdefault(r["window"], []).append(r["item"])
+    return pairs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, by_window))
+
+
+def _automaton(name: str, by_window: dict[str, list[str]]):
+    import ahocorasick
+
+    if name not in _BUILT:
         automaton = ahocorasick.Automaton()
-        for window, items in patterns.value.items():
+        for window, items in by_window.items():
             automaton.add_word(window, (window.count(" ") - 1, items))
         automaton.make_automaton()
-        ready = len(automaton) > 0
-        kind = pa.struct([("n_words", pa.int64()), ("ranges", pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))), ("items", pa.list_(pa.string()))])
+        _BUILT.clear()
+        _BUILT[name] = automaton if len(automaton) else None
+    return _BUILT[name]
+
+
+def hits_of(text: bytes | None, automaton) -> dict:
+    """HIT_TYPE of one text."""
+    import numpy as np
+
+    flat = flat_words(text)
+    found = list(automaton.iter(f" {flat.decode('latin-1')} ")) if automaton is not None and flat else []
+    ranges, items = [], set()
+    if found:
+        spaces = np.flatnonzero(np.frombuffer(flat, dtype=np.uint8) == 32) + 1
+        lasts = np.searchsorted(spaces, [end for end, _ in found], side="left").tolist()
+        # Normalising keeps the length in bytes, so words lie where they lay; code points are bytes that do not go on another.
+        spans = [m.span() for m in re.finditer(rb"[^ ]+", text.translate(_FLAT))]
+        points = np.concatenate(([0], np.cumsum((np.frombuffer(text, dtype=np.uint8) & 0xC0) != 0x80)))
+        for last, (_, (length, of)) in zip(lasts, found):
+            first = last - length + 1
+            ranges.append({"first": first, "last": last, "start": int(points[spans[first][0]]), "end": int(points[spans[last][1]])})
+            items.update(of)
+    return {"n_words": flat.count(b" ") + 1 if flat else 0, "ranges": ranges, "items": sorted(items)}
+
+
+def _scan(docs: DataFrame, patterns, name: str) -> DataFrame:
+    def run(batches):
+        import pyarrow as pa
+
+        automaton = _automaton(*patterns.value)
+        ranges = pa.list_(pa.struct([(x, pa.int64()) for x in ("first", "last", "start", "end")]))
+        kind = pa.struct([("n_words", pa.int64()), ("ranges", ranges), ("items", pa.list_(pa.string()))])
         for batch in batches:
-            hits = []
-            for text, before in zip(batch.column("__bytes").to_pylist(), batch.column(HITS).to_pylist()):
-                flat = flat_words(text)
-                ranges, items = (list(before["ranges"]), set(before["items"])) if before else ([], set())
-                found = list(automaton.iter(f" {flat.decode('latin-1')} ")) if ready and flat else []
-                if found:
-                    spaces = np.flatnonzero(np.frombuffer(flat, dtype=np.uint8) == 32) + 1
-                    lasts = np.searchsorted(spaces, [end for end, _ in found], side="left")
-                    for last, (_, (length, of)) in zip(lasts.tolist(), found):
-                        ranges.append({"first": last - length + 1, "last": last})
-                        items.update(of)
-                hits.append({"n_words": flat.count(b" ") + 1 if flat else 0, "ranges": ranges, "items": sorted(items)})
-            columns = [batch.column(i) for i, name in enumerate(batch.schema.names) if name not in (HITS, "__bytes")]
-            names = [x for x in batch.schema.names if x not in (HITS, "__bytes")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(hits, type=kind)], names=[*names, HITS])
-
-    plain = [f"`{x}`" for x in docs.columns if x != HITS]
-    schema = T.StructType([f for f in docs.schema.fields if f.name != HITS] + [T.StructField(HITS, HIT_TYPE)])
-    return docs.select(*plain, HITS, F.col("text").cast("binary").alias("__bytes")).mapInArrow(run, schema)
-
-
-def hit_spans(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Word ranges as merged spans of code points in the original text."""
-    import re
-
-    found = [m.span() for m in re.finditer(WORDS, text.translate({c: c + 32 for c in range(65, 91)}))]
-    spans: list[tuple[int, int]] = []
-    for first, last in sorted(ranges):
-        start, end = found[first][0], found[last][1]
-        if spans and start <= spans[-1][1]:
-            spans[-1] = (spans[-1][0], max(end, spans[-1][1]))
-        else:
-            spans.append((start, end))
-    return spans
+            hits = [hits_of(text, automaton) for text in batch.column(batch.num_columns - 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(hits, type=kind)], names=[*batch.schema.names[:-1], name])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, HIT_TYPE)])
+    return docs.select("*", F.col("text").cast("binary").alias(name)).mapInArrow(run, schema)
 
 
 def n_hit(ranges) -> F.Column:
     """How many words lie in any of the ranges, whose lengths may differ."""
-    ordered = F.sort_array(ranges)
+    ordered = F.array_sort(ranges)
     return F.aggregate(
         ordered,
         F.struct(F.lit(-1).cast("long").alias("to"), F.lit(0).cast("long").alias("n")),
@@ -155,7 +174,8 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a hit, unchanged."""
-    return scanned(docs, benchmark).where(F.size(f"{HITS}.ranges") == 0).drop(HITS)
+    (name,) = unused(docs, HITS)
+    return scanned(docs, benchmark, name=name).where(F.size(f"{name}.ranges") == 0).drop(name)
 
 
 def sha256_of(items: list[str]) -> str:
