@@ -5,11 +5,16 @@ is taken as it is. The fractional parts are paired: words are moved at random fr
 so that the expected copies stay as they are and the source's words stay exactly as they are, until one of the two is
 settled at 0 or 1; the other meets the next document. Buckets of documents (dealt by a hash of the id) do this in
 parallel, each streaming through its rows; what is left, one document for each bucket and source, meets in ever fewer
-buckets of a reduction tree. One document for each source is left at the root and is rounded at random.
+buckets of a reduction tree, dealt by bucket and source. One document for each source is left at its root and is rounded at
+random.
+
+Rows with the same id, text and source are alike: they are counted first and go through the tree as one row, of which
+so many as can be are settled at 1 at once; so rows that are repeated very often make no bucket large.
 
 Edge cases: a null text has size 0; documents of size 0 are taken 0 words. A null source is a source of its own, after
 all others. Repeated rows and ids are documents of their own. With no words at all every target is 0. An empty table gives
-an empty result. Draws come from hashes of ids, so reruns agree.
+an empty result. Draws come from hashes of ids, texts and sources, so reruns agree; which of several alike rows is taken
+is left open. mix() keeps all columns of the documents; where one begins like a new one, underscores are added to the new.
 """
 
 from __future__ import annotations
@@ -18,11 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, tuned, written
+from .common import WORD, tuned, unused, written
 
 WEIGHTS, MOST, SEED = (5, 2, 1), 3, 20250
+KEYS, NEW = ["doc_id", "text_hash", "source"], ["size", "source_size", "target", "copies", "taken"]
 #: Documents of a first bucket, on average, and how many buckets of one level meet in one of the next.
 BUCKET_ROWS, FAN_IN = 16384, 64
+#: So many sorts of repeated rows, some 100 bytes each, are joined by broadcast.
+FEW_SORTS = 100_000
 
 
 def weighed(sizes: DataFrame) -> DataFrame:
@@ -101,22 +109,35 @@ def _batch(pa, rows, schema):
     return pa.RecordBatch.from_arrays([pa.array([r[f.name] for r in rows], type=f.type) for f in fields], names=[f.name for f in fields])
 
 
-def mixed(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, source, size, source_size, target, copies, taken): a row for each document."""
-    tuned(docs.sparkSession)
-    sizes = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), F.col("source").cast("string").alias("source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "sizes")
+def _sizes(docs: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """docs with what tells a row from others that are not alike - id, hash of the text, source - and its size."""
+    id_, hash_, source = keys
+    return docs.select(
+        "*",
+        F.col("doc_id").cast("long").alias(id_),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias(hash_),
+        F.col("source").cast("string").alias(source),
+        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias(size),
+    )
+
+
+def plan(sizes: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, source, size, source_size, target, n, whole, more) of all sorts of rows: of n alike rows each is taken whole times, and more of them once more."""
     goal = written(targets(sizes), "targets")
     wanted = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    sorts = written(sizes.groupBy(*KEYS, "size").agg(F.count(F.lit(1)).alias("n")), "sorts")
     # The table of sources was written, so its size is known: Spark broadcasts it below its limit, else it shuffles and splits hot sources.
-    each = sizes.join(goal.withColumnRenamed("source", "__source"), F.col("source").eqNullSafe(F.col("__source"))).drop("__source").withColumn("whole", F.floor(wanted)).withColumn("p", wanted - F.col("whole"))
-    n = max(1, -(-sizes.count() // BUCKET_ROWS))
-    rows = each.withColumn("at", F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(SEED)), F.lit(n)))
-    done, level = [], 0
+    each = sorts.join(goal.withColumnRenamed("source", "__source"), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
+    each = each.withColumn("whole", F.floor(wanted)).withColumn("mass", (wanted - F.col("whole")) * F.col("n"))
+    each = each.withColumn("sure", F.floor("mass")).withColumn("p", F.col("mass") - F.col("sure")).drop("mass")
+    n = max(1, -(-sorts.count() // BUCKET_ROWS))
+    draw = lambda level: F.shiftrightunsigned(F.xxhash64(*KEYS, F.lit(SEED + level)), 11) * F.lit(2.0**-53)
+    rows = each.withColumn("at", F.pmod(F.xxhash64(*KEYS, F.lit(SEED)), F.lit(n)))
+    done, level = [], 1
     while True:
-        u = F.shiftrightunsigned(F.xxhash64("doc_id", "text_hash", F.lit(SEED + 1 + level)), 11) * F.lit(2.0**-53)
-        dealt = rows.withColumn("u", u).withColumn("bucket", F.col("at"))
+        parts = max(1, -(-rows.count() // BUCKET_ROWS)) if level > 1 else n
         # Large documents first: what is left of a bucket is small.
-        ordered = dealt.repartition(n, "bucket").sortWithinPartitions("bucket", "source", F.desc("size"), "doc_id", "text_hash")
+        ordered = rows.withColumn("u", draw(level)).withColumn("bucket", F.col("at")).repartition(parts, "bucket", "source").sortWithinPartitions("bucket", "source", F.desc("size"), "doc_id", "text_hash")
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ordered.schema.fields if f.name != "bucket") + ", settled boolean"
         out = written(ordered.mapInArrow(_pair, schema), "rounded")
         done.append(out.where("settled"))
@@ -125,12 +146,45 @@ def mixed(docs: DataFrame) -> DataFrame:
             break
         n, level = -(-n // FAN_IN), level + 1
         rows = rows.withColumn("at", F.floor(F.col("at") / FAN_IN))
-    u = F.shiftrightunsigned(F.xxhash64("doc_id", "text_hash", F.lit(SEED)), 11) * F.lit(2.0**-53)
-    every = rows.withColumn("p", (u < F.col("p")).cast("double"))
+    every = rows.withColumn("p", (draw(0) < F.col("p")).cast("double"))
     for x in done:
         every = every.unionByName(x.drop("settled", "u"))
-    copies = (F.col("whole") + F.col("p")).cast("long")
-    return every.select("doc_id", "text_hash", "source", "size", "source_size", "target", F.when(F.col("size") > 0, copies).otherwise(F.lit(0).cast("long")).alias("copies"), F.when(F.col("size") > 0, copies * F.col("size")).otherwise(F.lit(0).cast("long")).alias("taken"))
+    zero = F.lit(0).cast("long")
+    more = F.when(F.col("size") > 0, F.col("sure") + F.col("p").cast("long")).otherwise(zero)
+    return written(every.select(*KEYS, "size", "source_size", "target", "n", F.when(F.col("size") > 0, F.col("whole")).otherwise(zero).alias("whole"), more.alias("more")), "mixing-plan")
+
+
+def _with_copies(rows: DataFrame, sorts: DataFrame, keys: list[str], names: dict[str, str]) -> DataFrame:
+    """rows with source_size, target, copies and taken, under these names; more of n alike rows get one copy more."""
+    held = sorts.select(*[F.col(c).alias(names[c] if c in names else f"{names['copies']}_{c}") for c in ("source_size", "target", "n", "whole", "more", *KEYS)])
+    n, whole, more, *mine = (f"{names['copies']}_{c}" for c in ("n", "whole", "more", *KEYS))
+    alike = F.lit(True)
+    for a, b in zip(keys, mine):
+        alike = alike & F.col(a).eqNullSafe(F.col(b))
+    repeated = sorts.where("n > 1").count()
+    first = rows.join(held.where(f"`{n}` = 1") if repeated else held, alike).drop(*mine).withColumn(names["copies"], F.col(whole) + F.col(more))
+    if not repeated:
+        return first.drop(n, whole, more).withColumn(names["taken"], F.col(names["copies"]) * F.col(names["size"]))
+    # Alike rows are numbered in parts, so that no task sees all rows of one sort; they are written, so parts stay as they are.
+    often = held.where(f"`{n}` > 1")
+    often = F.broadcast(often) if repeated <= FEW_SORTS else often
+    part, turn, before = (f"{names['copies']}_{c}" for c in ("part", "turn", "before"))
+    many = written(rows.join(often, alike).drop(*mine).withColumn(part, F.pmod(F.monotonically_increasing_id(), F.lit(FAN_IN))), "alike")
+    counts = many.groupBy(*keys, part).agg(F.count(F.lit(1)).alias(turn))
+    counts = counts.select(*[F.col(k).alias(m) for k, m in zip(keys, mine)], F.col(part).alias(part + "_"), (F.sum(turn).over(Window.partitionBy(*keys).orderBy(part)) - F.col(turn)).alias(before))
+    many = many.withColumn(turn, F.row_number().over(Window.partitionBy(*keys, part).orderBy(F.lit(1)))).join(counts, alike & (F.col(part) == F.col(part + "_"))).drop(*mine, part + "_")
+    many = many.withColumn(names["copies"], F.col(whole) + (F.col(turn) + F.col(before) <= F.col(more)).cast("long")).drop(part, turn, before)
+    out = first.unionByName(many).drop(n, whole, more)
+    return out.withColumn(names["taken"], F.col(names["copies"]) * F.col(names["size"]))
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, source, size, source_size, target, copies, taken): a row for each document."""
+    tuned(docs.sparkSession)
+    keys = ["key_id", "key_hash", "key_source"]
+    sizes = written(_sizes(docs.select("doc_id", "text", "source"), keys, "size").select(*[F.col(a).alias(b) for a, b in zip(keys, KEYS)], "size"), "sizes")
+    names = {c: c for c in NEW}
+    return _with_copies(sizes, plan(sizes), KEYS, names).select(*KEYS, *NEW)
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -138,16 +192,11 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """The documents that the mix takes, with the number of copies and the words of all of them.
-
-    Rows that share id and text are matched in turn, so each gets the copies of one of them.
-    """
-    keys = ["__id", "__hash", "__turn"]
-    turn = F.row_number().over(Window.partitionBy("__id", "__hash").orderBy(F.lit(1)))
-    plan = mixed(docs).where("copies > 0")
-    plan = plan.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "size", "source_size", "target", "copies", "taken").withColumn("__turn", turn)
-    clash = {"size", "source_size", "target", "copies", "taken"}
-    names = [c for c in docs.columns if c not in clash]
-    rows = docs.select(*[f"`{c}`" for c in names], F.col("doc_id").cast("long").alias("__i"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("__h"))
-    rows = rows.withColumn("__t", F.row_number().over(Window.partitionBy("__i", "__h").orderBy(F.lit(1))))
-    return rows.join(plan, F.col("__i").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__hash")) & (F.col("__t") == F.col("__turn"))).drop(*keys, "__i", "__h", "__t")
+    """The documents that the mix takes, all their columns, and the number of copies and the words of all of them."""
+    tuned(docs.sparkSession)
+    names, keys = dict(zip(NEW, unused(docs, *NEW))), unused(docs, "key_id", "key_hash", "key_source")
+    rows = _sizes(docs, keys, names["size"])
+    sizes = written(rows.select(*[F.col(a).alias(b) for a, b in zip(keys, KEYS)], F.col(names["size"]).alias("size")), "sizes")
+    taken = plan(sizes).where("whole + more > 0")
+    out = _with_copies(rows, taken, keys, names).where(F.col(names["copies"]) > 0)
+    return out.select(*[f"`{c}`" for c in docs.columns], *[names[c] for c in NEW])
