@@ -1,9 +1,11 @@
 """WARC files with a Merkle fixity audit.
 
 Pages are laid out as WARC records: each task of the input fills files of about FILE_BYTES, so nothing is shuffled for
-the layout and no key gathers a third of the records. Records are hashed; 16 neighbours in offset order
-make a node, 16 nodes the next, up to a root for each file and one for the replica. Two replicas are compared from the
-root down: only the children of nodes that differ are read at the next level, down to the damaged offset ranges.
+the layout and no key gathers a third of the records. Records are hashed; 16 neighbours in offset order make a node, 16
+nodes the next, up to a root for each file: one task builds the tree of a file, whose size is bounded. Above the files
+Spark goes on, over the files of a task and then over tasks, to one root for the replica. All trees of two replicas have
+the height of the higher one. They are compared from the root down: only the children of nodes that differ are looked at,
+first among files, then, in one task for each file that differs, down to the damaged offset ranges.
 
 Edge cases: null url or html are written as empty; null ids too. Repeated rows are records of their own. A record that
 one replica lacks counts as damaged. An empty table has no files and an empty report. Each record is a gzip member that
@@ -22,7 +24,9 @@ from pyspark.sql import functions as F
 
 from .common import new_path, tuned, written
 
-FILE_BYTES, FAN_OUT, FILES_A_PART = 8 << 20, 16, 1 << 20
+FILE_BYTES, FAN_BITS, FILE_BITS = 8 << 20, 4, 20
+#: Children of a node; files of one task at most.
+FAN_OUT, FILES_A_PART = 1 << FAN_BITS, 1 << FILE_BITS
 END = "\r\n\r\n"
 #: Each member has less than 16 MB, so the last byte of its size is 0; larger records have several.
 MAGIC, MEMBER_BYTES, READ_BYTES = b"\x1f\x8b\x08\x04", (1 << 24) - 1, 1 << 13
@@ -151,62 +155,100 @@ def leaves(records: DataFrame, *also: str) -> DataFrame:
 
 def above(nodes: DataFrame, keys: list[str], number: str) -> DataFrame:
     """The next level: each node hashes the digests of up to 16 neighbours in order."""
-    up = F.floor(F.col(number) / FAN_OUT)
+    up = F.shiftright(number, FAN_BITS)
     joined = F.transform(F.sort_array(F.collect_list(F.struct(F.col(number).alias("n"), F.col("digest").alias("d")))), lambda x: x["d"])
     return nodes.groupBy(*keys, up.alias(number)).agg(F.sha2(F.array_join(joined, "").cast("binary"), 256).alias("digest"))
 
 
-def tree(leaf: DataFrame) -> list[tuple[str, DataFrame]]:
-    """Levels from the leaves to the root, each written: ("ordinal", nodes of files) and then ("file", nodes over files)."""
-    levels = [("ordinal", leaf.select("file", "ordinal", "digest"))]
-    while (levels[-1][1].agg(F.max("ordinal")).first()[0] or 0) > 0:
-        levels.append(("ordinal", written(above(levels[-1][1], ["file"], "ordinal"), "merkle")))
-    roots = levels[-1][1].select("file", "digest")
-    levels.append(("file", roots))
-    while (levels[-1][1].agg(F.max("file")).first()[0] or 0) > 0:
-        levels.append(("file", written(above(levels[-1][1], [], "file").select("file", "digest"), "merkle")))
+def height_of(most: int) -> int:
+    """Levels above the leaves if the largest number is most; at least one."""
+    levels = 1
+    while most >> (FAN_BITS * levels):
+        levels += 1
     return levels
 
 
-def audit(ours: list[tuple[str, DataFrame]], theirs: list[tuple[str, DataFrame]]) -> DataFrame:
-    """(file, ordinal) of the leaves in which two trees of equal height differ; branches that agree are never read."""
-    suspects = None
-    for (kind, a), (_, b) in zip(reversed(ours), reversed(theirs)):
-        keys = ["file", "ordinal"] if kind == "ordinal" else ["file"]
-        a, b = a.select(*keys, "digest"), b.select(*keys, F.col("digest").alias("other"))
+def file_trees(leaf: DataFrame, height: int) -> DataFrame:
+    """(file, level, number, digest): all nodes of each file's tree, leaves at level 0, its root at level height."""
+
+    def run(rows):
+        import pyarrow as pa
+
+        level = sorted(zip(rows.column("ordinal").to_pylist(), rows.column("digest").to_pylist()))
+        nodes = [(0, *x) for x in level]
+        for up in range(1, height + 1):
+            parts: dict[int, list[str]] = {}
+            for number, digest in level:
+                parts.setdefault(number >> FAN_BITS, []).append(digest)
+            level = [(number, hashlib.sha256("".join(d).encode()).hexdigest()) for number, d in parts.items()]
+            nodes += [(up, *x) for x in level]
+        columns = [pa.array([n[i] for n in nodes], type=t) for i, t in enumerate((pa.int32(), pa.int64(), pa.string()))]
+        return pa.Table.from_arrays([pa.array([rows.column("file")[0].as_py()] * len(nodes), type=pa.int64()), *columns], names=["file", "level", "number", "digest"])
+
+    return leaf.select("file", "ordinal", "digest").groupBy("file").applyInArrow(run, "file long, level int, number long, digest string")
+
+
+def upper_levels(roots: DataFrame, heights: tuple[int, int]) -> list[tuple[list[str], DataFrame]]:
+    """(keys, nodes) from the files' roots up to the replica's: over the files of a task, then over tasks."""
+    nodes = written(roots.select(F.shiftright("file", FILE_BITS).alias("task"), F.col("file").bitwiseAND(F.lit(FILES_A_PART - 1)).alias("file"), "digest"), "merkle")
+    levels = [(["task", "file"], nodes)]
+    for _ in range(heights[0]):
+        nodes = written(above(nodes, ["task"], "file"), "merkle")
+        levels.append((["task", "file"], nodes))
+    nodes = nodes.select("task", "digest")
+    for _ in range(heights[1]):
+        nodes = written(above(nodes, [], "task"), "merkle")
+        levels.append((["task"], nodes))
+    return levels
+
+
+def differing_files(ours: list[tuple[list[str], DataFrame]], theirs: list[tuple[list[str], DataFrame]]) -> DataFrame:
+    """(file) of the files whose roots differ or are missing; children of nodes that agree are not looked at."""
+    suspects, of = None, None
+    for (keys, a), (_, b) in zip(reversed(ours), reversed(theirs)):
+        b = b.withColumnRenamed("digest", "other")
         if suspects is not None:
-            over, of = suspects
-            if of == kind:
-                up = [(F.floor(F.col(kind) / FAN_OUT)).alias("up")]
-                match = ["up"] if kind == "file" else ["file", "up"]
-                named = over.select(*[c for c in over.columns if c != kind], F.col(kind).alias("up"))
-                a, b = (x.select("*", *up).join(named, match, "left_semi").drop("up") for x in (a, b))
-            else:  # from the roots of files into the files
-                a, b = (x.join(over, "file", "left_semi") for x in (a, b))
+            # Suspects are nodes one level up; from tasks into files, a task's node is the parent of the task's top node.
+            if of == keys:
+                named = suspects.select(*[F.col(k).alias(f"s_{k}") for k in of])
+                on = lambda x: [x[k] == named[f"s_{k}"] for k in of[:-1]] + [F.shiftright(x[of[-1]], FAN_BITS) == named[f"s_{of[-1]}"]]  # noqa: E731, B023
+            else:
+                named = suspects.select(F.col("task").alias("s_task"))
+                on = lambda x: [x["task"] == named["s_task"]]  # noqa: E731, B023
+            a, b = (x.join(named, on(x), "left_semi") for x in (a, b))
         differ = a.join(b, keys, "full").where(~F.col("digest").eqNullSafe(F.col("other"))).select(*keys)
-        suspects = (written(differ, "suspects"), kind)
-    return suspects[0]
+        suspects, of = written(differ, "suspects"), keys
+    return suspects.select((F.shiftleft("task", FILE_BITS) + F.col("file")).alias("file"))
+
+
+def differing_leaves(ours: DataFrame, theirs: DataFrame, files: DataFrame, height: int) -> DataFrame:
+    """(file, ordinal) of the leaves that differ, by a descent of both trees of each of these files at once."""
+
+    def run(key, a, b):
+        import pyarrow as pa
 
+        trees = [dict(zip(zip(t.column("level").to_pylist(), t.column("number").to_pylist()), t.column("digest").to_pylist())) for t in (a, b)]
+        stack, found = [(height, 0)], []
+        while stack:
+            level, number = node = stack.pop()
+            if trees[0].get(node) != trees[1].get(node):
+                if level:
+                    stack += [(level - 1, (number << FAN_BITS) + k) for k in range(FAN_OUT)]
+                else:
+                    found.append(number)
+        return pa.Table.from_arrays([pa.array([key[0].as_py()] * len(found), type=pa.int64()), pa.array(found, type=pa.int64())], names=["file", "ordinal"])
 
-def padded(levels: list, height: dict[str, int]) -> list:
-    """The same tree with its tops repeated up to a given number of levels of each kind."""
-    out = []
-    for kind in ("ordinal", "file"):
-        own = [x for x in levels if x[0] == kind]
-        out += own + [own[-1]] * (height[kind] - len(own))
-    return out
+    a, b = (x.join(files, "file", "left_semi").groupBy("file") for x in (ours, theirs))
+    return a.cogroup(b).applyInArrow(run, "file long, ordinal long")
 
 
 def compared(ours: DataFrame, theirs: DataFrame) -> DataFrame:
     """(file, ordinal) of the records in which two replicas' leaves differ."""
-    trees = [tree(ours), tree(theirs)]
-    height = {k: max(sum(x[0] == k for x in t) for t in trees) for k in ("ordinal", "file")}
-    a, b = trees
-    if [len([x for x in t if x[0] == "ordinal"]) for t in trees] != [height["ordinal"]] * 2 or [len(t) for t in trees] != [sum(height.values())] * 2:
-        # Trees of unequal height differ by lost or added records: their leaves are compared by file.
-        keys = ["file", "ordinal"]
-        return a[0][1].join(b[0][1].withColumnRenamed("digest", "other"), keys, "full").where(~F.col("digest").eqNullSafe(F.col("other"))).select(*keys)
-    return audit(a, b)
+    most = ours.select("file", "ordinal").unionByName(theirs.select("file", "ordinal")).agg(F.max("ordinal"), F.max(F.col("file").bitwiseAND(F.lit(FILES_A_PART - 1))), F.max(F.shiftright("file", FILE_BITS))).first()
+    height, *upper = (height_of(x or 0) for x in most)
+    a, b = (written(file_trees(x, height), "file-trees") for x in (ours, theirs))
+    files = differing_files(*(upper_levels(x.where(F.col("level") == height), tuple(upper)) for x in (a, b)))
+    return differing_leaves(a, b, files, height)
 
 
 def damaged(records: DataFrame, every: int = 97) -> DataFrame:
@@ -224,5 +266,5 @@ def report(pages: DataFrame) -> DataFrame:
     path = new_path(spark, "warc-replica")
     write_files(damaged(records), path)
     ours, theirs = written(leaves(records, "page_id", "url"), "leaves"), written(read_leaves(spark, path), "replica-leaves")
-    bad = compared(ours, theirs).distinct().withColumn("harmed", F.lit(True))
+    bad = written(compared(ours, theirs), "damage").withColumn("harmed", F.lit(True))
     return ours.join(bad, ["file", "ordinal"], "left").select("page_id", "url", "file", "ordinal", "offset", "length", F.col("digest").alias("sha256"), F.col("harmed").isNull().alias("intact"))
