@@ -11,7 +11,7 @@ it. Known harmless forms are suppressed. Of a candidate that overlaps plain matc
 The whole path is DataFrame functions: no Python runs on the executors.
 
 Edge cases: null is an empty text. A failing match of a pattern is dropped but still takes its characters. Repeated rows
-are treated each; extra columns pass through, and what is found lies in the column SPANS.
+are treated each; extra columns pass through, and what is found lies in one column, with whose name none may begin.
 """
 
 from __future__ import annotations
@@ -97,17 +97,18 @@ def dense_part(chars: Column, bits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.size(chars)), F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("first"), F.lit(0).alias("last")), step)
 
 
-def found(docs: DataFrame) -> DataFrame:
-    """docs with SPANS: plain matches and strings of high entropy, by start and kind."""
+def found(docs: DataFrame, name: str = SPANS) -> DataFrame:
+    """docs with a column of this name, which must be free: plain matches and strings of high entropy, by start and kind."""
     text = F.coalesce(F.col("text"), F.lit(""))
     names = [f"`{c}`" for c in docs.columns]
+    base, strings, candidates = (f"{name}_{x}" for x in ("base", "strings", "candidates"))
     plain = docs.select(
         *names,
-        F.concat(spans(text, ASSIGN, "assign", group=1, least=6), spans(text, ACCESS, "access"), spans(text, HEX, "hex")).alias("__base"),
-        F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("__strings"),
+        F.concat(spans(text, ASSIGN, "assign", group=1, least=6), spans(text, ACCESS, "access"), spans(text, HEX, "hex")).alias(base),
+        F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias(strings),
     )
     # The strings lie side by side with their spans; both are read twice below, so Catalyst keeps this projection apart.
-    held = plain.select(*names, "__base", F.when(F.size("__strings") > 0, F.arrays_zip(spans(text, CANDIDATE, "entropy").alias("span"), F.col("__strings").alias("string"))).alias("__candidates"))
+    held = plain.select(*names, base, F.when(F.size(strings) > 0, F.arrays_zip(spans(text, CANDIDATE, "entropy").alias("span"), F.col(strings).alias("string"))).alias(candidates))
     bits = lambda s: (
         F.when(s.rlike("^[0-9A-Fa-f]+$"), F.lit(HEX_BITS))
         .when(s.rlike(f"^[{GLUE}]*([0-9A-Z]+|[0-9a-z]+)[{GLUE}]*$"), F.lit(ONE_CASE_BITS))
@@ -118,7 +119,7 @@ def found(docs: DataFrame) -> DataFrame:
     def apart(c: Column) -> Column:
         """The parts of a candidate outside plain matches, without what glues them to these."""
         first, last = c["span"]["start"], c["span"]["end"]
-        over = F.array_sort(F.filter("__base", lambda b: (b["start"] < last) & (first < b["end"])))
+        over = F.array_sort(F.filter(base, lambda b: (b["start"] < last) & (first < b["end"])))
         part = lambda start, end: F.struct(start.alias("start"), end.alias("end"))
         none = F.array().cast("array<struct<start:bigint,end:bigint>>")
         between = F.aggregate(
@@ -150,9 +151,9 @@ def found(docs: DataFrame) -> DataFrame:
         part = lambda p: F.struct((at + p["first"] - 1).alias("start"), c["span"]["no"].alias("no"), (at + p["last"]).alias("end"), c["span"]["kind"].alias("kind"))
         return _let(_let(F.split(c["string"], ""), lambda chars: dense_part(chars, bits(c["string"]))), lambda p: F.when(p["first"] > 0, part(p)))
 
-    left = F.filter(F.flatten(F.transform("__candidates", apart)), lambda c: ~allowed(c["string"]))
+    left = F.filter(F.flatten(F.transform(candidates, apart)), lambda c: ~allowed(c["string"]))
     high = F.filter(F.transform(left, cut), lambda x: x.isNotNull())
-    return held.select(*names, F.sort_array(F.concat("__base", F.coalesce(high, F.filter("__base", lambda _: F.lit(False))))).alias(SPANS))
+    return held.select(*names, F.sort_array(F.concat(base, F.coalesce(high, F.filter(base, lambda _: F.lit(False))))).alias(name))
 
 
 def report(docs: DataFrame) -> DataFrame:
