@@ -37,10 +37,10 @@ def words(text: Column) -> Column:
 
 
 def unused(df: DataFrame, *names: str) -> list[str]:
-    """Names like those given that no column of df has, whatever its case."""
-    have = {c.lower() for c in df.columns}
+    """Names like those given with which no column of df begins, whatever its case; underscores are added to all where one does."""
+    have = [c.lower() for c in df.columns]
     tail = ""
-    while any((n + tail).lower() in have for n in names):
+    while any(c.startswith((n + tail).lower()) for n in names for c in have):
         tail += "_"
     return [n + tail for n in names]
 

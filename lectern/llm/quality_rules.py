@@ -1,18 +1,23 @@
 """Quality rules whose cutoffs are certified on labelled documents.
 
-Measures of a text (symbols, repeats, capitals, ...) are compared with cutoffs. A cutoff is used in a stratum (a
-language) only if an exact binomial test on all labelled good documents of that stratum shows that it rejects at most
-RISK of them; the level of the tests is divided by their number (Bonferroni over strata, rules and cutoffs), so all
-certified cutoffs hold at once with probability 1 - DELTA. Among the certified ones of a rule, the one that rejects most
-bad documents is taken (ties: the one that rejects fewest).
+Each rule compares a measure of a text (symbols, repeats, capitals, ...) with LEVELS cutoffs from mild to extreme, fixed
+before any label is seen. The severity of a text is the highest level that any rule gives it; rejecting from a level on
+rejects by all rules' cutoffs of that level at once, so levels are one nested family of joint cutoffs.
+
+A level is used in a stratum (a language) only if an exact binomial test on all labelled good documents of that stratum
+shows that it rejects at most RISK of them. Levels are tested in a fixed sequence from the extreme down, each at the whole
+level of its stratum: what is rejected only grows, so the first failing test ends the sequence and the number of levels
+costs nothing. DELTA is divided by the number of strata (Bonferroni): all certificates hold at once with probability
+1 - DELTA. Of the certified levels the one that rejects most bad documents is taken (ties: the one that rejects fewest).
+With no good document rejected, a stratum needs log(DELTA / strata) / log(1 - RISK) labelled good ones: 436 for 4 strata.
 
 The whole path is DataFrame functions: no Python runs on the executors.
 
 Edge cases: a null or empty text has no words and fails the base rule (n_words < 20). A null language is a stratum of
 its own. Labels without a document, with null quality or a null id are ignored; repeated labels of one id count once, as
 good only if all say so. A stratum without enough good labels certifies nothing, so only the base rule rejects there.
-Repeated rows get equal results. Input columns pass through unchanged, whatever their names: what is computed lies in one
-struct column, QUALITY (and, on the way, in columns that begin with it).
+Repeated rows get equal results. Input columns pass through unchanged: what is computed lies in one struct column, and on
+the way in columns that begin with its name, so no input column may begin with it; kept() chooses a free name.
 """
 
 from __future__ import annotations
@@ -23,27 +28,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, words, written
+from .common import WORD, unused, words, written
 
 QUALITY = "__quality"
-#: All rules together may reject this part of a stratum's good documents; the certificate fails with DELTA at most.
+#: All rules together may reject this part of a stratum's good documents; the certificates fail with DELTA at most.
 RISK, DELTA = 0.01, 0.05
-WINDOW = 8
+WINDOW, LEVELS = 8, 24
 
-#: Rule: a measure and the cutoffs tried for it, fixed before any label is seen. A text fails if the measure is greater.
+#: Rule: a measure and its cutoffs, level by level. A text has the levels whose cutoffs its measure exceeds.
 RULES = {
-    "symbols": [0.002 * 1.25**k for k in range(24)],
-    "repeats": [0.02 * k for k in range(1, 16)],
-    "dup_lines": [0.03 * k for k in range(1, 25)],
-    "capitals": [0.04 * k for k in range(1, 24)],
-    "exclaims": [0.002 * 1.25**k for k in range(24)],
-    "long_words": [8 + 0.5 * k for k in range(20)],
-    "short_words": [-4 + 0.1 * k for k in range(20)],
+    "symbols": [0.01 * 1.2**k for k in range(LEVELS)],
+    "repeats": [0.15 + 0.0125 * k for k in range(LEVELS)],
+    "dup_lines": [0.15 + 0.03 * k for k in range(LEVELS)],
+    "capitals": [0.05 + 0.03 * k for k in range(LEVELS)],
+    "exclaims": [0.01 * 1.2**k for k in range(LEVELS)],
+    "long_words": [8 + 0.5 * k for k in range(LEVELS)],
+    "short_words": [-3.5 + 0.1 * k for k in range(LEVELS)],
 }
 
 
-def measured(df: DataFrame, text: str = "text", keep_text: bool = True) -> DataFrame:
-    """df, without its text on request, with the struct QUALITY: the counts of the contract and the measures of RULES.
+def measured(df: DataFrame, text: str = "text", keep_text: bool = True, name: str = QUALITY) -> DataFrame:
+    """df, without its text on request, with the struct of this name: the counts of the contract and the measures of RULES.
 
     Each step is a projection over plain columns and uses a computed array at least twice: so Catalyst keeps the steps
     apart and moves the making of no array into a lambda. The rows are written to the shared folder: texts are read and
@@ -52,10 +57,10 @@ def measured(df: DataFrame, text: str = "text", keep_text: bool = True) -> DataF
     left = [f"`{x}`" for x in df.columns if keep_text or x != text]
     kept = [f"`{x}`" for x in df.columns]
     t = F.coalesce(F.col(text), F.lit(""))
-    c = lambda name: F.col(f"{QUALITY}_{name}")
+    c = lambda x: F.col(f"{name}_{x}")
 
     def step(frame: DataFrame, *carried: str, **columns: Column) -> DataFrame:
-        return frame.select(*kept, *[c(k) for k in carried], *[v.alias(f"{QUALITY}_{k}") for k, v in columns.items()])
+        return frame.select(*kept, *[c(k) for k in carried], *[v.alias(f"{name}_{k}") for k, v in columns.items()])
 
     df = step(
         df,
@@ -102,9 +107,12 @@ def measured(df: DataFrame, text: str = "text", keep_text: bool = True) -> DataF
         per("word_chars", "n_words").alias("long_words"),
         (-per("word_chars", "n_words")).alias("short_words"),
     )
+    df = df.select(*left, *[c(k) for k in (*counts, "n_repeat_words")], scores.alias(f"{name}_scores"))
+    level = lambda rule, grid: F.size(F.filter(F.array(*map(F.lit, grid)), lambda x: c("scores")[rule] > x))
+    severity = F.greatest(*[level(rule, grid) for rule, grid in RULES.items()])
     base_failed = (c("n_words") < 20) | (100 * c("n_repeat_words") > 30 * c("n_words"))
     fields = [c(k).alias(k) for k in (*counts, "n_repeat_words")]
-    return written(df.select(*left, F.struct(*fields, base_failed.alias("base_failed"), scores.alias("scores")).alias(QUALITY)), "measured")
+    return written(df.select(*left, F.struct(*fields, base_failed.alias("base_failed"), c("scores").alias("scores"), severity.alias("severity")).alias(name)), "measured")
 
 
 def binomial_tail(k: Column, n: Column, p: float) -> Column:
@@ -118,50 +126,48 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     )
 
 
-def certified(measures: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """(stratum, cutoffs): for each rule its certified cutoff, null where none is certified.
+def certified(measures: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA, name: str = QUALITY) -> DataFrame:
+    """(stratum, level, cutoffs): the level from which a stratum rejects, and the cutoff of each rule there; no row where none is certified.
 
-    measures: what measured() gives, with doc_id. A row for each stratum, rule and step of the grid is all that is
-    shuffled after the join with the labels.
+    measures: what measured() gives, with doc_id. A row for each stratum and level is all that is shuffled after the join
+    with the labels.
     """
     good = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("good"))
-    scores = F.col(f"{QUALITY}.scores")
-    passed = lambda score, grid: F.size(F.filter(F.array(*map(F.lit, grid)), lambda x: score > x))
-    steps = [F.struct(F.lit(rule).alias("rule"), passed(scores[rule], grid).alias("passed")) for rule, grid in RULES.items()]
     counts = (
-        measures.where(~F.col(f"{QUALITY}.base_failed"))
-        .select("doc_id", F.coalesce(F.col(stratum).cast("string"), F.lit("\0")).alias("stratum"), F.array(*steps).alias("steps"))
+        measures.where(~F.col(f"{name}.base_failed"))
+        .select("doc_id", F.col(stratum).cast("string").alias("stratum"), F.col(f"{name}.severity").alias("level"))
         .join(good, "doc_id")
-        .select("stratum", "good", F.explode("steps").alias("s"))
-        .groupBy("stratum", F.col("s.rule").alias("rule"), F.col("s.passed").alias("passed"))
+        .groupBy("stratum", "level")
         .agg(F.sum((F.col("good") > 0).cast("long")).alias("n_good"), F.sum((F.col("good") <= 0).cast("long")).alias("n_bad"))
     )
-    counts = written(counts, "rule-counts")
-    n_tests = max(1, counts.select("stratum").distinct().count()) * sum(map(len, RULES.values()))
-    share = risk / len(RULES)
-    above = Window.partitionBy("stratum", "rule").orderBy(F.desc("passed")).rowsBetween(Window.unboundedPreceding, 0)
-    everything = Window.partitionBy("stratum", "rule")
-    # Rejecting at step i rejects all documents that pass i or more cutoffs; steps without a document change nothing.
-    tests = counts.select(
-        "stratum", "rule", "passed", F.sum("n_good").over(above).alias("k"), F.sum("n_bad").over(above).alias("bad"), F.sum("n_good").over(everything).alias("n")
-    ).where((F.col("passed") > 0) & (F.col("k") <= F.col("n") * share))
-    sure = tests.where(binomial_tail(F.col("k"), F.col("n"), share) <= delta / n_tests).where(F.col("bad") > 0)
-    best = sure.groupBy("stratum", "rule").agg(F.max(F.struct(F.col("bad"), F.col("passed"))).alias("b"))
-    cutoff = F.coalesce(*[F.when(F.col("rule") == rule, F.get(F.array(*map(F.lit, grid)), F.col("b.passed") - 1)) for rule, grid in RULES.items()])
-    return written(best.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == rule, cutoff)).alias(rule) for rule in RULES]), "cutoffs")
-
-
-def judged(measures: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> DataFrame:
-    """measures with kept in QUALITY: not base_failed and no certified cutoff of its stratum passed.
+    counts = written(counts, "level-counts")
+    share = delta / max(1, counts.select("stratum").distinct().count())
+    # LEVELS + 1 rows at most in each window. Levels that no document has change nothing.
+    above = Window.partitionBy("stratum").orderBy(F.desc("level")).rowsBetween(Window.unboundedPreceding, 0)
+    everything = Window.partitionBy("stratum")
+    tests = counts.select("stratum", "level", F.sum("n_good").over(above).alias("k"), F.sum("n_bad").over(above).alias("bad"), F.sum("n_good").over(everything).alias("n"))
+    # k never falls from one level to the next, so neither do the tails: those up to the first failing one are those that pass.
+    sure = tests.where((F.col("level") > 0) & (F.col("k") <= F.col("n") * risk) & (F.col("bad") > 0)).where(binomial_tail(F.col("k"), F.col("n"), risk) <= share)
+    best = sure.groupBy("stratum").agg(F.max(F.struct("bad", "level")).alias("b")).select("stratum", F.col("b.level").alias("level"))
+    cutoffs = F.struct(*[F.get(F.array(*map(F.lit, grid)), F.col("level") - 1).alias(rule) for rule, grid in RULES.items()])
+    return written(best.select("stratum", "level", cutoffs.alias("cutoffs")), "cutoffs")
+
+
+def judged(measures: DataFrame, cutoffs: DataFrame, stratum: str = "lang", name: str = QUALITY) -> DataFrame:
+    """measures with kept in its struct: not base_failed and below the certified level of its stratum, if there is one.
 
     cutoffs has one short row for each stratum and was written before, so Spark knows its size: it is broadcast below
     Spark's own limit and joined by shuffle, with skewed strata split, above it.
     """
-    names = [f"`{x}`" for x in measures.columns if x != QUALITY]
-    limits = cutoffs.select(F.col("stratum").alias("__stratum"), F.struct(*RULES).alias("__limits"))
-    over = [F.coalesce(F.col(f"{QUALITY}.scores")[rule] > F.col("__limits")[rule], F.lit(False)) for rule in RULES]
-    rejected = F.col(f"{QUALITY}.base_failed")
-    for x in over:
-        rejected = rejected | x
-    joined = measures.join(limits, F.coalesce(F.col(stratum).cast("string"), F.lit("\0")) == F.col("__stratum"), "left")
-    return joined.select(*names, F.col(QUALITY).withField("kept", ~rejected).alias(QUALITY))
+    names = [f"`{x}`" for x in measures.columns if x != name]
+    limits = cutoffs.select(F.col("stratum").alias(f"{name}_stratum"), F.col("level").alias(f"{name}_level"))
+    joined = measures.join(limits, F.col(stratum).cast("string").eqNullSafe(F.col(f"{name}_stratum")), "left")
+    rejected = F.col(f"{name}.base_failed") | F.coalesce(F.col(f"{name}.severity") >= F.col(f"{name}_level"), F.lit(False))
+    return joined.select(*names, F.col(name).withField("kept", ~rejected).alias(name))
+
+
+def kept(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
+    """The documents that the rules keep, with their columns unchanged."""
+    (name,) = unused(docs, QUALITY)
+    rows = measured(docs, name=name)
+    return judged(rows, certified(rows, labels, stratum, name=name), stratum, name).where(F.col(name).kept).drop(name)

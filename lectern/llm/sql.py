@@ -25,12 +25,20 @@ FROM d LEFT JOIN words USING (rid) LEFT JOIN found USING (rid)
 
 
 def quality_rules() -> str:
-    grids = ", ".join(f"('{rule}', [{', '.join(f'{x!r}::DOUBLE' for x in grid)}])" for rule, grid in RULES.items())
-    share, size = RISK / len(RULES), sum(map(len, RULES.values()))
-    tail = f"list_sum(list_transform(range(0, k + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({share!r}::DOUBLE) + (n - j) * ln(1 - {share!r}::DOUBLE))))"
+    tail = f"list_sum(list_transform(range(0, k + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({RISK!r}::DOUBLE) + (n - j) * ln(1 - {RISK!r}::DOUBLE))))"
     per = lambda a, b: f"coalesce({a}::DOUBLE / nullif({b}, 0), 0.0::DOUBLE)"
+    scores = {
+        "symbols": per("n_symbols", "word_chars"),
+        "repeats": per("n_repeat_words", "n_words"),
+        "dup_lines": per("n_dup_lines", "n_lines"),
+        "capitals": per("n_upper", "word_chars"),
+        "exclaims": per("n_exclaims", "word_chars"),
+        "long_words": per("word_chars", "n_words"),
+        "short_words": "-" + per("word_chars", "n_words"),
+    }
+    levels = ", ".join(f"len(list_filter([{', '.join(f'{x!r}::DOUBLE' for x in RULES[rule])}], lambda g: {score} > g))" for rule, score in scores.items())
     return rf"""
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, chr(1)) AS stratum, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{SPLIT}') AS w FROM documents),
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang AS stratum, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{SPLIT}') AS w FROM documents),
 windows AS (SELECT rid, p, array_to_string(w[p : p + {WINDOW - 1}], ' ') AS win FROM (SELECT rid, w, unnest(range(1, len(w) - {WINDOW - 2})) AS p FROM d WHERE len(w) >= {WINDOW})),
 twice AS (SELECT rid, p FROM (SELECT rid, p, count(*) OVER (PARTITION BY rid, win) AS c FROM windows) WHERE c > 1),
 repeats AS (SELECT rid, count(DISTINCT q) AS n FROM (SELECT rid, unnest(range(p, p + {WINDOW})) AS q FROM twice) GROUP BY rid),
@@ -39,20 +47,14 @@ m AS (SELECT rid, doc_id, stratum, len(w)::BIGINT AS n_words, length(array_to_st
   (len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{SPLIT}'))) - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{SPLIT}')))))::BIGINT AS n_dup_lines,
   coalesce(r.n, 0)::BIGINT AS n_repeat_words, len(regexp_extract_all(t, '\p{{Lu}}')) AS n_upper, len(regexp_extract_all(t, '[!?]')) AS n_exclaims
   FROM d LEFT JOIN repeats r USING (rid)),
-s AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, unnest([
-  {{'rule': 'symbols', 'x': {per("n_symbols", "word_chars")}}}, {{'rule': 'repeats', 'x': {per("n_repeat_words", "n_words")}}}, {{'rule': 'dup_lines', 'x': {per("n_dup_lines", "n_lines")}}},
-  {{'rule': 'capitals', 'x': {per("n_upper", "word_chars")}}}, {{'rule': 'exclaims', 'x': {per("n_exclaims", "word_chars")}}}, {{'rule': 'long_words', 'x': {per("word_chars", "n_words")}}},
-  {{'rule': 'short_words', 'x': -{per("word_chars", "n_words")}}}]) AS score FROM m),
-grids(rule, grid) AS (VALUES {grids}),
-scores AS (SELECT s.*, grid, len(list_filter(grid, lambda g: score.x > g)) AS passed FROM s JOIN grids ON grids.rule = score.rule),
+s AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, greatest({levels}) AS level FROM m),
 good AS (SELECT doc_id, min(quality) AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
-counts AS (SELECT stratum, score.rule AS rule, any_value(grid) AS grid, passed, count(*) FILTER (good > 0) AS n_good, count(*) FILTER (good <= 0) AS n_bad FROM scores JOIN good USING (doc_id) WHERE NOT base_failed GROUP BY 1, 2, 4),
-tests AS (SELECT stratum, rule, grid, passed, (sum(n_good) OVER w)::BIGINT AS k, (sum(n_bad) OVER w)::BIGINT AS bad, (sum(n_good) OVER (PARTITION BY stratum, rule))::BIGINT AS n FROM counts WINDOW w AS (PARTITION BY stratum, rule ORDER BY passed DESC ROWS UNBOUNDED PRECEDING)),
-sure AS (SELECT * FROM tests WHERE passed > 0 AND k <= n * {share!r}::DOUBLE AND bad > 0 AND {tail} <= {DELTA!r}::DOUBLE / (greatest(1, (SELECT count(DISTINCT stratum) FROM counts)) * {size})),
-best AS (SELECT stratum, rule, any_value(grid) AS grid, max({{'bad': bad, 'passed': passed}}) AS b FROM sure GROUP BY 1, 2),
-cut AS (SELECT rid, bool_or(coalesce(score.x > best.grid[b.passed], false)) AS rejected FROM scores LEFT JOIN best ON best.stratum = scores.stratum AND best.rule = score.rule GROUP BY rid)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR rejected) AS kept FROM m JOIN cut USING (rid)
+counts AS (SELECT stratum, level, count(*) FILTER (good > 0) AS n_good, count(*) FILTER (good <= 0) AS n_bad FROM s JOIN good USING (doc_id) WHERE NOT base_failed GROUP BY 1, 2),
+tests AS (SELECT stratum, level, (sum(n_good) OVER w)::BIGINT AS k, (sum(n_bad) OVER w)::BIGINT AS bad, (sum(n_good) OVER (PARTITION BY stratum))::BIGINT AS n FROM counts WINDOW w AS (PARTITION BY stratum ORDER BY level DESC ROWS UNBOUNDED PRECEDING)),
+sure AS (SELECT * FROM tests WHERE level > 0 AND k <= n * {RISK!r}::DOUBLE AND bad > 0 AND {tail} <= {DELTA!r}::DOUBLE / greatest(1, (SELECT count(*) FROM (SELECT DISTINCT stratum FROM counts)))),
+best AS (SELECT stratum, max({{'bad': bad, 'level': level}}).level AS limit_ FROM sure GROUP BY 1)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR coalesce(s.level >= limit_, false)) AS kept
+FROM s LEFT JOIN best ON s.stratum IS NOT DISTINCT FROM best.stratum
 """
 
 
