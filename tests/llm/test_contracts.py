@@ -1,6 +1,7 @@
 """The contract queries against brute force over whole small tables."""
 
-from collections import defaultdict
+import math
+from collections import Counter, defaultdict
 
 import pytest
 from lectern.llm import queries as q
@@ -133,20 +134,21 @@ def test_op5(spark, sf):
 
 
 def test_op7(spark, sf, docs):
-    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     rows = q.op7_lm_scoring(spark, sf).collect()
     assert sorted(r.doc_id for r in rows) == sorted(docs)
+    words = {d: (x.text or "").encode().lower().split() for d, x in docs.items()}
     for r in rows:
-        n = len((docs[r.doc_id].text or "").encode().split())
+        n = len(words[r.doc_id])
         assert r.n_words == n and r.log_probability <= 0 and (r.mean is None) == (n == 0)
-    mean = lambda k: (lambda x: sum(x) / len(x))([r.mean for r in rows if labels.get(r.doc_id) == k and r.mean is not None])
-    assert mean(1) > mean(0)
+    # Both sides tell more than the words' shares of these very texts do. (Scores are of how predictable a text is, not of its
+    # quality: in this table repeated and separator-ridden junk is more predictable than prose.)
+    counts = Counter(w for ws in words.values() for w in ws)
+    total = sum(counts.values())
+    assert sum(r.log_probability for r in rows) > sum(n * math.log(n / total) for n in counts.values())
 
 
 @pytest.mark.parametrize("name", ["op4_decontamination", "op10_quality_rules"])
 def test_sql(spark, sf, name):
-    from collections import Counter
-
     import duckdb
 
     con = duckdb.connect()

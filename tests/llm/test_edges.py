@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing column names, for every operator."""
 
 import random
+import re
 
 import pytest
 from lectern.llm import decontamination, html_text, lm_scoring, mixing, pii, quality_classifier, quality_rules, secrets, simhash, warc
@@ -8,7 +9,9 @@ from pyspark.sql import functions as F
 
 from . import brute
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, n_words int, size string, fp string, bucket int, QUALITY_ string, score double, spans string, part int"
+#: Columns that are named as those that the operators use on their way.
+CLASHES = "n_words size fp bucket score spans part source_size target copies taken text_hash component_id root row at p u settled whole __quality __pii __secrets __hits __bytes __id __hash __h __i __t __text_hash __source".split()
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHES)
 
 
 def rows():
@@ -19,7 +22,7 @@ def rows():
     special = [None, "", " \t\n", text, text, text.replace(" ", "  "), text + " tail", long, "one two", "one two three", "x" * 50, "é" * 30, "a@b.cc " * 40, "0" * 40]
     out = [(k, t, "en" if k % 3 else None, f"s{k % 4}" if k % 5 else None) for k, t in enumerate(special)]
     out += [(3, text, "en", "s3"), (3, text, "en", "s3"), (None, text, "en", "s1"), (None, None, None, None)]
-    return [(*r, None if r[1] is None else len(r[1]), 1, "z", "f", 2, "q", 0.5, "s", 1) for r in out]
+    return [(*r, None if r[1] is None else len(r[1]), *CLASHES) for r in out]
 
 
 @pytest.fixture(scope="module")
@@ -38,17 +41,17 @@ def labels(spark):
 
 
 def test_quality_rules(docs, none, labels):
-    m = quality_rules.measured(docs)
-    out = quality_rules.judged(m, quality_rules.certified(m, labels))
-    assert out.drop(quality_rules.QUALITY).columns == docs.columns
-    q = quality_rules.QUALITY
+    q = "found"
+    m = quality_rules.measured(docs, name=q)
+    out = quality_rules.judged(m, quality_rules.certified(m, labels, name=q), name=q)
+    assert out.drop(q).columns == docs.columns == quality_rules.kept(docs, labels).columns
+    assert quality_rules.kept(docs, labels).count() == sum(not brute.quality(r[1])[-1] for r in rows())
     got = out.select("text", f"{q}.*").collect()
     assert len(got) == docs.count()
     for r in got:
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute.quality(r.text)
         assert r.kept == (not r.base_failed)  # so few labels certify nothing
-    m = quality_rules.measured(none)
-    assert quality_rules.judged(m, quality_rules.certified(m, labels.limit(0))).count() == 0
+    assert quality_rules.kept(none, labels.limit(0)).count() == 0
 
 
 def test_binomial_tail(spark):
@@ -61,16 +64,48 @@ def test_binomial_tail(spark):
 
 
 def test_certified_cutoffs_keep_their_promise(spark):
-    """On planted data the chosen cutoff rejects the bad rows and at most RISK of the good ones."""
+    """Cutoffs certified on one draw reject the bad rows of another, and at most RISK of its good ones; strata apart, null one of them."""
     rng = random.Random(1)
-    good = [(k, " ".join(rng.choice(("alpha", "beta", "gamma")) + str(rng.randint(0, 9999)) for _ in range(60)), "en") for k in range(6000)]
-    bad = [(6000 + k, " ".join("w" + str(rng.randint(0, 9999)) + "***" for _ in range(60)), "en") for k in range(600)]
-    docs = spark.createDataFrame(good + bad, "doc_id long, text string, lang string").repartition(8)
-    labels = spark.createDataFrame([(d, int(d < 6000)) for d, *_ in good + bad], "doc_id long, quality int")
-    m = quality_rules.measured(docs)
-    kept = {r.doc_id for r in quality_rules.judged(m, quality_rules.certified(m, labels)).where(f"{quality_rules.QUALITY}.kept").collect()}
+
+    def draw(first):
+        good = [(first + k, " ".join(rng.choice(("alpha", "beta", "gamma")) + str(rng.randint(0, 9999)) for _ in range(60)) + " #" * rng.choice((0, 0, 0, 1, 2)), "en" if k % 3 else None) for k in range(6000)]
+        bad = [(first + 6000 + k, " ".join("w" + str(rng.randint(0, 9999)) + "***" for _ in range(60)), "en" if k % 3 else None) for k in range(600)]
+        few = [(first + 7000 + k, " ".join("w" + str(rng.randint(0, 9999)) + "***" * (k % 2) for _ in range(60)), "\0") for k in range(100)]
+        return good + bad + few
+
+    schema = "doc_id long, text string, lang string"
+    labels = spark.createDataFrame([(d, int(d < 6000 or d >= 7000 and d % 2 == 0)) for d in range(7100)], "doc_id long, quality int")
+    cutoffs = quality_rules.certified(quality_rules.measured(spark.createDataFrame(draw(0), schema).repartition(8)), labels)
+    got = {r.stratum: r for r in cutoffs.collect()}
+    assert set(got) == {"en", None}  # 50 good rows are too few
+    assert all(r.cutoffs.symbols == quality_rules.RULES["symbols"][r.level - 1] for r in got.values())
+    kept = {r.doc_id - 10_000 for r in quality_rules.judged(quality_rules.measured(spark.createDataFrame(draw(10_000), schema)), cutoffs).where(f"{quality_rules.QUALITY}.kept").collect()}
     assert sum(d < 6000 for d in kept) >= 6000 * (1 - quality_rules.RISK)
-    assert not any(d >= 6000 for d in kept)
+    assert not any(6000 <= d < 7000 for d in kept) and sum(d >= 7000 for d in kept) == 100
+
+
+def test_levels_by_brute_force(spark):
+    """The level of each stratum against the definition: the least one up to which every test passes, by exact tails."""
+    from math import comb
+
+    rng = random.Random(4)
+    rows = [(k, "en" if k % 4 else None, min(24, int(rng.expovariate(1.5 if k % 5 else 0.15))), int(k % 5 > 0)) for k in range(9000)]
+    q = quality_rules.QUALITY
+    m = spark.createDataFrame(rows, "doc_id long, lang string, severity int, quality int")
+    measures = m.select("doc_id", "lang", F.struct("severity", F.lit(False).alias("base_failed")).alias(q))
+    got = {r.stratum: r.level for r in quality_rules.certified(measures, m.select("doc_id", "quality")).collect()}
+    want = {}
+    for s in ("en", None):
+        mine = [(v, g) for _, lang, v, g in rows if lang == s]
+        n, best = sum(g for _, g in mine), None
+        for level in range(24, 0, -1):
+            k, bad = sum(g for v, g in mine if v >= level), sum(1 - g for v, g in mine if v >= level)
+            if sum(comb(n, j) * 0.01**j * 0.99 ** (n - j) for j in range(k + 1)) > 0.05 / 2:
+                break
+            if bad and (best is None or bad > best[0]):
+                best = (bad, level)
+        want[s] = best and best[1]
+    assert got == want and all(want.values())
 
 
 def test_simhash(docs, none):
@@ -130,27 +165,30 @@ ITEMS = [(1, "one two"), (2, None), (3, "..."), (10, " ".join(f"w{k}" for k in r
 
 def test_decontamination(spark, docs, none):
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
-    more = docs.unionByName(spark.createDataFrame([(50, "W0 w1, w2 w3 w4 w5 w6 w7 w8 w9 (w10) w12 ONE-two three", "en", "s", 1, 1, "", "", 1, "", 0.0, "", 1)], DOCS))
+    more = docs.unionByName(spark.createDataFrame([(50, "W0 w1, w2 w3 w4 w5 w6 w7 w8 w9 (w10) w12 ONE-two three", "en", "s", 1, *CLASHES)], DOCS))
     items = [(x[0] if x[0] is not None else "", x[1]) for x in ITEMS]
     for limit in (decontamination.PATTERN_CHARS, 40):  # one automaton, and several in turn
-        out = decontamination.scanned(more, bench, limit)
-        assert out.drop(decontamination.HITS).columns == more.columns
-        h = decontamination.HITS
+        h = "found"
+        out = decontamination.scanned(more, bench, limit, h)
+        assert out.drop(h).columns == more.columns
         for r in out.select("text", F.col(f"{h}.n_words").alias("n"), decontamination.n_hit(F.col(f"{h}.ranges")).alias("hit"), F.col(f"{h}.items").alias("items"), F.col(f"{h}.ranges").alias("ranges")).collect():
             n, hit, n_items, sha, _ = brute.contamination(r.text, items)
             assert (r.n, r.hit, len(r["items"]), decontamination.sha256_of(r["items"])) == (n, hit, n_items, sha)
             if r.ranges and r.text.startswith("W0"):
-                spans = decontamination.hit_spans(r.text, [(x.first, x.last) for x in r.ranges])
-                assert [r.text[a:b] for a, b in spans] == ["W0 w1, w2 w3 w4 w5 w6 w7 w8 w9 (w10", "ONE-two three"]
-    assert decontamination.clean(none, bench).count() == 0
+                spans = {r.text[x.start : x.end] for x in r.ranges}
+                assert spans == {"W0 w1, w2 w3 w4 w5 w6 w7 w8 w9", "w1, w2 w3 w4 w5 w6 w7 w8 w9 (w10", "ONE-two", "ONE-two three"}
+            for x in r.ranges:
+                found = [m.span() for m in re.finditer(decontamination.WORDS, r.text.translate(brute.SMALL))]
+                assert (x.start, x.end) == (found[x.first][0], found[x.last][1])
+    assert decontamination.clean(none, bench).count() == 0 and decontamination.clean(more, bench).columns == more.columns
     assert decontamination.clean(docs, bench.limit(0)).count() == docs.count()
 
 
 def test_pii(docs, none):
-    out = pii.found(docs)
-    assert out.drop(pii.SPANS).columns == docs.columns
+    out = pii.found(docs, name="found")
+    assert out.drop("found").columns == docs.columns == pii.redacted(docs).columns
     for r in out.collect():
-        assert [(s.kind, s.start, s.end) for s in r[pii.SPANS] if s.base] == brute.pii(r.text)
+        assert [(s.kind, s.start, s.end) for s in r.found if s.base] == brute.pii(r.text)
     assert pii.redacted(none).count() == 0
     assert pii.redacted(docs).where("doc_id = 12").first().text == "[EMAIL] " * 40
 
@@ -169,6 +207,11 @@ def test_pii(docs, none):
         ("host 192 dot 168 dot 0 dot 12 up", "192 dot 168 dot 0 dot 12", "ip"),
         ("Write jane dot doe AT example DOT com!", "jane dot doe AT example DOT com", "email"),
         ("host 10​.20​.30​.40 up", "10​.20​.30​.40", "ip"),
+        ("call plus one oh one 5 5 5 1 2 3 4 now", "plus one oh one 5 5 5 1 2 3 4", "phone"),
+        ("mail jane at example.com now", "jane at example.com", "email"),
+        ("so jane.doe at example.com wrote", "jane.doe at example.com", "email"),
+        ("to a dot b dot c dot d at mail dot x dot y dot com ok", "a dot b dot c dot d at mail dot x dot y dot com", "email"),
+        ("to " + "n" * 90 + " at " + "h" * 90 + " dot com ok", "n" * 90 + " at " + "h" * 90 + " dot com", "email"),
     ],
 )
 def test_disguises(text, span, kind):
@@ -178,21 +221,21 @@ def test_disguises(text, span, kind):
 
 
 def test_clean_prose_has_no_pii():
-    for text in ("we met at noon. dot your eyes at the end", "one two three go", "a (dot) plot at 5 (at) home", "Привет, как дела? Это просто текст.", "see 1.2.3 and 12 34 56"):
+    for text in ("we met at noon. dot your eyes at the end", "one two three go", "a (dot) plot at 5 (at) home", "Привет, как дела? Это просто текст.", "see 1.2.3 and 12 34 56", "look at example.com now", "one of one oh one", "be at the bar.then go"):
         assert not pii.spans_of(text)
 
 
 def test_pii_takes_linear_time():
-    for text in ("a" * 1_000_000, "1" * 1_000_000, "1." * 500_000, "@" * 1_000_000, "a@" * 300_000, "+1 " * 300_000, "1 " * 500_000):
+    for text in ("a" * 1_000_000, "1" * 1_000_000, "1." * 500_000, "@" * 1_000_000, "a@" * 300_000, "+1 " * 300_000, "1 " * 500_000, "a dot " * 200_000, "a at " * 200_000, "a at b dot " * 100_000, "one " * 200_000):
         pii.spans_of(text)
 
 
 def test_secrets(docs, none):
-    out = secrets.found(docs)
-    assert out.drop(secrets.SPANS).columns == docs.columns
+    out = secrets.found(docs, "found")
+    assert out.drop("found").columns == docs.columns
     for r in out.collect():
-        assert [(s.kind, s.start, s.end) for s in r[secrets.SPANS] if s.kind != "entropy"] == brute.secrets(r.text)
-    assert secrets.found(none).count() == 0
+        assert [(s.kind, s.start, s.end) for s in r.found if s.kind != "entropy"] == brute.secrets(r.text)
+    assert secrets.found(none, "found").count() == 0
 
 
 def test_entropy(spark):
@@ -217,10 +260,29 @@ def test_mixing(docs, none):
     assert sorted(r.size for r in got) == sorted(len(brute.WORD.findall(r[1] or "")) for r in rows())
     assert all(0 <= r.taken <= 3 * r.size for r in got)
     out = mixing.mix(docs)
-    assert sum(r.taken for r in out.collect()) == sum(r.taken for r in got)
+    assert out.columns == [*docs.columns, *(c + "_" for c in mixing.NEW)]
+    taken = out.collect()
+    assert sum(r.taken_ for r in taken) == sum(r.taken for r in got) and all(r.size == "size" for r in taken)
     assert mixing.mixed(none).count() == mixing.mix(none).count() == 0
 
 
+def test_mixing_repeated_rows(spark):
+    """A third of all rows alike, others of the same id with another source: exact words for each source, reruns agree."""
+    data = [(7, "a b c", "x")] * 400 + [(7, "a b c", "y")] * 100 + [(k, "w " * (k % 9 + 1), "xyz"[k % 3]) for k in range(100, 800)]
+    df = spark.createDataFrame([(*r, k) for k, r in enumerate(data)], "doc_id long, text string, source string, other long").repartition(5)
+    got = mixing.mixed(df).collect()
+    assert len(got) == len(data) and sorted(got) == sorted(mixing.mixed(df).collect())
+    by = {}
+    for r in got:
+        assert r.copies in (int(r.target / r.source_size), int(r.target / r.source_size) + 1)
+        t = by.setdefault(r.source, [0, r.target])
+        t[0] += r.taken
+    assert all(abs(a - b) <= 9 for a, b in by.values())
+    taken = mixing.mix(df).collect()
+    assert len({r.other for r in taken}) == len(taken) and sum(r.taken for r in taken) == sum(r.taken for r in got)
+    assert all((r.doc_id, r.text, r.source) == data[r.other] for r in taken)
+
+
 def test_mixing_tree(spark, monkeypatch):
     """Many small buckets and a tree of several levels: each source stays within one small document of its target."""
     monkeypatch.setattr(mixing, "BUCKET_ROWS", 20)
