@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lectern.llm import decontamination, mixing, pii, quality_rules, simhash
 from lectern.llm.common import table, written
@@ -11,9 +10,7 @@ from lectern.llm.common import table, written
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    rows = quality_rules.measured(docs)
-    cutoffs = quality_rules.certified(rows, table(spark, sf_dir, "labels"))
-    return quality_rules.judged(rows, cutoffs).where(F.col(quality_rules.QUALITY).kept).drop(quality_rules.QUALITY)
+    return quality_rules.kept(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
