@@ -88,8 +88,8 @@ def cells(counts: Column) -> Column:
         first = half * SEGMENTS // 2
         mask = ((1 << SEGMENTS) - 1) << (2 * first)
         own = counts.bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask))
-        cell = lambda c, half=half: F.struct(F.lit(half).alias("half"), c.alias("cell"))
-        found.append(cell(own))
+        cell = lambda c, home=False, half=half: F.struct(F.lit(half).alias("half"), c.alias("cell"), F.lit(home).alias("home"))
+        found.append(cell(own, True))
         for s in range(first, first + SEGMENTS // 2):
             low, high = F.lit(1 << (2 * s)), F.lit((1 << (2 * s + 1)) - (1 << 64) if 2 * s + 1 == 63 else 1 << (2 * s + 1))
             more = F.when(own.bitwiseAND(low) == 0, own.bitwiseOR(low)).when(own.bitwiseAND(high) == 0, own.bitwiseOR(high))
@@ -152,8 +152,9 @@ def _forests(batches):
 def links(fps: DataFrame) -> DataFrame:
     """(a, b): links of distinct fingerprints, enough to connect all that are within DISTANCE bits."""
     vectors = fps.select("fp", segment_counts(F.col("fp")).alias("counts"))
-    placed = vectors.select("fp", "counts", F.explode(cells(F.col("counts"))).alias("c")).select("fp", "counts", "c.half", "c.cell")
-    shared = placed.groupBy("half", "cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    placed = vectors.select("fp", "counts", F.explode(cells(F.col("counts"))).alias("c")).select("fp", "counts", "c.half", "c.cell", "c.home")
+    # Two visitors of a cell that is nobody's own may be 2 apart in this half: they need not meet here.
+    shared = placed.groupBy("half", "cell").agg(F.count(F.lit(1)).alias("n"), F.bool_or("home").alias("own")).where("n > 1 and own").drop("own")
     chunks = F.ceil(F.col("n") / CELL).cast("int")
     own = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
     other = F.explode(F.when(F.col("chunks") > 1, F.filter(F.sequence(F.lit(0), F.col("chunks") - 1), lambda x: x != F.col("own"))).otherwise(F.array(F.lit(0))))
