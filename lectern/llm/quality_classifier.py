@@ -17,7 +17,6 @@ scores; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
-import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -28,7 +27,8 @@ from .common import Words, tuned, written
 SAMPLE, VOCABULARY, DIMENSIONS, NONZERO, HIDDEN, SEED = 20_000, 20_000, 64, 6, 32, 7
 THRESHOLD, FOLDS = 0.3, 5
 #: Words that a task pools at once, and words whose vectors it remembers.
-AT_ONCE, REMEMBERED = 1 << 16, 1 << 17
+AT_ONCE, REMEMBERED = 1 << 16, 1 << 18
+PLACE_BITS = (DIMENSIONS - 1).bit_length()
 #: Words of more bytes than this count for the marks of repeats.
 LONG = 5
 PIECE = re.compile(r"[^\W\d_]+|\d+|(?P<sign>[^\w\s]|_)(?P=sign)*")
@@ -36,6 +36,8 @@ PIECE = re.compile(r"[^\W\d_]+|\d+|(?P<sign>[^\w\s]|_)(?P=sign)*")
 
 def pieces_of(word: str) -> list[str]:
     """The pieces of a word; numbers and runs of a sign keep their length by powers of two."""
+    if word.isalpha():
+        return [word.lower(), "<upper>"] if len(word) > 1 and word.isupper() else [word.lower()]
     out = []
     for m in PIECE.finditer(word):
         p = m.group()
@@ -51,12 +53,15 @@ def pieces_of(word: str) -> list[str]:
 
 
 def index_vectors(pieces: list[str]) -> np.ndarray:
-    """The random sparse vector of each piece, from its hash alone."""
-    out = np.zeros((len(pieces), DIMENSIONS), dtype=np.float32)
-    for i, p in enumerate(pieces):
-        for k in range(NONZERO):
-            h = zlib.crc32(f"{k}:{p}".encode())
-            out[i, h % DIMENSIONS] += 1.0 if h >> 16 & 1 else -1.0
+    """The random sparse vector of each piece: places and signs of NONZERO ones, from the bits of one hash."""
+    from xxhash import xxh64_intdigest
+
+    h = np.fromiter((xxh64_intdigest(p, SEED) for p in pieces), dtype=np.uint64, count=len(pieces))
+    out, every = np.zeros((len(pieces), DIMENSIONS), dtype=np.float32), np.arange(len(pieces))
+    for k in range(NONZERO):
+        place = (h >> np.uint64(PLACE_BITS * k)) & np.uint64(DIMENSIONS - 1)
+        sign = (h >> np.uint64(PLACE_BITS * NONZERO + k)) & np.uint64(1)
+        out[every, place.astype(np.int64)] += 1 - 2 * sign.astype(np.float32)
     return out
 
 
@@ -79,25 +84,28 @@ class Pooling:
         self.ids, self.vectors = {p: i for i, p in enumerate(pieces)}, vectors
         self.rows: dict[bytes, int] = {}
         self.sums, self.sizes = np.zeros((REMEMBERED + AT_ONCE, DIMENSIONS), dtype=np.float32), np.zeros(REMEMBERED + AT_ONCE, dtype=np.float32)
-        self.marks = np.stack([self.vector(x) for x in MARKS])
+        self.marks = self.vectors_of(MARKS)
 
-    def vector(self, piece: str) -> np.ndarray:
-        i = self.ids.get(piece)
-        return self.vectors[i] if i is not None else index_vectors([piece])[0] / np.float32(np.sqrt(NONZERO))
+    def vectors_of(self, pieces: list[str]) -> np.ndarray:
+        rows = np.fromiter((self.ids.get(p, -1) for p in pieces), dtype=np.int64, count=len(pieces))
+        out, new = self.vectors[rows] if len(self.vectors) else np.empty((len(rows), DIMENSIONS), dtype=np.float32), np.flatnonzero(rows < 0)
+        out[new] = index_vectors([pieces[i] for i in new.tolist()]) / np.float32(np.sqrt(NONZERO))
+        return out
 
     def rows_of(self, words: list[bytes]) -> np.ndarray:
         """Where the sums of the words' pieces are."""
         if len(self.rows) > REMEMBERED:
             self.rows.clear()
-        out = np.empty(len(words), dtype=np.int64)
-        for k, w in enumerate(words):
-            i = self.rows.get(w)
-            if i is None:
-                i = self.rows[w] = len(self.rows)
-                pieces = pieces_of(w.decode(errors="replace"))
-                self.sums[i] = np.sum([self.vector(p) for p in pieces], axis=0) if pieces else 0
-                self.sizes[i] = len(pieces)
-            out[k] = i
+        first = len(self.rows)
+        out = np.fromiter((self.rows.setdefault(w, len(self.rows)) for w in words), dtype=np.int64, count=len(words))
+        new = [words[k] for k in np.flatnonzero(out >= first).tolist()]
+        if new:
+            cut = [pieces_of(w.decode(errors="replace")) for w in new]
+            sizes = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
+            vectors = np.concatenate([self.vectors_of([p for c in cut for p in c]), np.zeros((1, DIMENSIONS), dtype=np.float32)])
+            sums = np.add.reduceat(vectors, np.cumsum(sizes) - sizes, axis=0)
+            sums[sizes == 0] = 0
+            self.sums[first : first + len(new)], self.sizes[first : first + len(new)] = sums, sizes
         return out
 
     def __call__(self, texts) -> np.ndarray:
