@@ -1,10 +1,14 @@
+import math
 import random
+import re
 import string
+from collections import Counter
 
 import pytest
-
 from lectern.llm import secrets
 
+from . import brute
+
 KIND = "doc_id long, text string"
 
 
@@ -33,3 +37,41 @@ def test_keys_glued_to_plain_matches_are_found(spark):
     texts = [f"{akia}/{key} end", f"é {key}+{akia}", f"{digest}_{key}", f"{akia}={key}-{akia}", f"{akia}/short1"]
     want = [[(21, 52)], [(2, 33)], [(25, 56)], [(21, 52)], []]
     assert entropy_spans(spark, texts) == dict(enumerate(want))
+
+
+def test_entropy_windows_by_brute_force(spark):
+    """Each window's entropy from its own characters, over strings that are random in parts."""
+    rng = random.Random(9)
+    alphabets = [string.hexdigits.lower()[:16], string.ascii_uppercase + "234567", string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/"]
+    texts = []
+    for k in range(400):
+        a = alphabets[k % 4]
+        parts = ["".join(rng.choice(a) for _ in range(rng.randint(0, 40))), rng.choice("ab1") * rng.randint(0, 15), "".join(rng.choice(a[:8]) for _ in range(rng.randint(5, 30)))]
+        rng.shuffle(parts)
+        texts.append("é " * rng.randint(0, 2) + "".join(parts) + " end")
+
+    def bits(s):
+        core = s.strip(secrets.GLUE)
+        if re.fullmatch("[0-9A-Fa-f]+", s):
+            return secrets.HEX_BITS
+        if re.fullmatch("[0-9A-Z]+|[0-9a-z]+", core):
+            return secrets.ONE_CASE_BITS
+        return secrets.BOTH_CASES_BITS if re.fullmatch("[0-9A-Za-z]+", core) else secrets.BASE64_BITS
+
+    def entropy(window):
+        return -sum(n / len(window) * math.log2(n / len(window)) for n in Counter(window).values())
+
+    want = {}
+    for i, text in enumerate(texts):
+        want[i] = []
+        for m in re.finditer(secrets.CANDIDATE, text):
+            if any(re.search(p, m.group()) for p in secrets.ALLOWED):
+                continue
+            n = secrets.WINDOW
+            high = [k for k in range(len(m.group()) - n + 1) if entropy(m.group()[k : k + n]) >= bits(m.group())]
+            if high:
+                want[i].append((m.start() + high[0], m.start() + high[-1] + n))
+    plain = {i for i, t in enumerate(texts) if brute.secrets(t)}
+    got = entropy_spans(spark, texts)
+    assert {i: x for i, x in got.items() if i not in plain} == {i: x for i, x in want.items() if i not in plain}
+    assert len(plain) < 150 and sum(map(bool, want.values())) > 100
