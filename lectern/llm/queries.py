@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html_text, lm_scoring, mixing, pii, quality_classifier, quality_rules, secrets, simhash, warc
+from . import decontamination, divergence, html_text, lm_scoring, mixing, neighbours, pii, quality_classifier, quality_rules, secrets, simhash, spelling, warc
 from .common import table
 from .sql import oracle_sql
 
@@ -58,6 +58,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *map(q, ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_rows(table(spark, sf_dir, "embeddings"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
@@ -70,4 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_pii": op9_pii,
         "op10_quality_rules": op10_quality_rules,
+        "op11_spelling_variants": op11_spelling_variants,
+        "op12_nearest_vectors": op12_nearest_vectors,
+        "op13_source_divergence": op13_source_divergence,
     }

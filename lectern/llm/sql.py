@@ -58,5 +58,41 @@ FROM s LEFT JOIN best ON s.stratum IS NOT DISTINCT FROM best.stratum
 """
 
 
+#: 64 letters beyond ASCII as as many ASCII characters that words do not hold, for a distance that counts bytes.
+ACCENTED = "".join(map(chr, range(0xC0, 0x100)))
+ONE_BYTE = "".join(chr(c) for c in range(32, 127) if not chr(c).islower() and c not in (39, 92))[:64]
+
+SPELLING = rf"""
+WITH RECURSIVE tab AS (SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS t FROM range(256) r(n)),
+runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')), '{UPPER}', '{UPPER.lower()}') AS run FROM documents),
+occ AS (SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM runs WHERE length(run) >= 6 GROUP BY ALL),
+h AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, length(x) // 2), lambda i: ('0x' || x[2 * i + 1 : 2 * i + 2])::BIGINT)), lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295) AS h FROM occ, tab),
+w AS (SELECT CASE WHEN h % 199 = 0 THEN run[1 : h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word, n FROM h),
+v AS (SELECT word, sum(n)::BIGINT AS n, translate(word, '{ACCENTED}', '{ONE_BYTE}') AS one FROM w WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+keys AS (SELECT word, one, n, unnest(list_distinct(list_append(list_transform(range(0, length(one)), lambda i: one[1 : i] || one[i + 2 :]), one))) AS k FROM v),
+near AS (SELECT DISTINCT a.word, b.word AS other, b.n AS m FROM keys a JOIN keys b USING (k) WHERE a.one <> b.one AND levenshtein(a.one, b.one) = 1),
+best AS (SELECT word, count(*) AS n_near, max(m) AS m, arg_min(other, {{'a': -m, 'b': other}}) AS other FROM near GROUP BY word),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN best.m >= 5 * v.n THEN best.other END AS form, CASE WHEN best.m >= 5 * v.n THEN best.m::BIGINT END AS form_n FROM v LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS root, 0 AS d FROM f UNION ALL SELECT walk.word, f.form, d + 1 FROM walk JOIN f ON f.word = walk.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM f JOIN (SELECT word, arg_max(root, d) AS root FROM walk GROUP BY word) r USING (word)
+"""
+
+DIVERGENCE = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT rid, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS total FROM t GROUP BY 1, 2 HAVING count(DISTINCT rid) >= 3),
+c AS (SELECT lang, source, term, count(*) AS c FROM t SEMI JOIN kept USING (lang, term) GROUP BY 1, 2, 3),
+g AS (SELECT lang, source, coalesce(n, 0) AS n, coalesce(v, 0) AS v, coalesce(ln, 0) AS ln FROM (SELECT DISTINCT lang, source FROM d)
+  LEFT JOIN (SELECT lang, source, sum(c) AS n FROM c GROUP BY 1, 2) USING (lang, source) LEFT JOIN (SELECT lang, count(*) AS v, sum(total) AS ln FROM kept GROUP BY 1) USING (lang)),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c, 1 + 1000000000::HUGEINT * (coalesce(c.c, 0) + 1) // (g.n + g.v)::HUGEINT AS p, 1 + 1000000000::HUGEINT * (k.total + 1) // (g.ln + g.v)::HUGEINT AS q
+  FROM g JOIN kept k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p)::BIGINT AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+every AS (SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+own AS (SELECT lang, source, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM p WHERE c > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value, (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INT AS rank FROM every
+UNION ALL SELECT * FROM (SELECT lang, source, 'term' AS part, item, value, (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INT AS rank FROM own) WHERE rank <= 200
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontamination": DECONTAMINATION, "op10_quality_rules": quality_rules()}
+    return {"op4_decontamination": DECONTAMINATION, "op10_quality_rules": quality_rules(), "op11_spelling_variants": SPELLING, "op13_source_divergence": DIVERGENCE}
