@@ -19,6 +19,13 @@ def whole(df: DataFrame, keys: list[str], samples: str) -> DataFrame:
     return df.where(F.size(samples) > 0).select(*keys, F.lit(0).cast("bigint").alias("start"), F.col(samples).alias("samples"), F.size(samples).cast("bigint").alias("n"), F.lit(None).cast("double").alias("after"))
 
 
+def chunked(df: DataFrame, keys: list[str], samples: str, size: int) -> DataFrame:
+    """(keys, start, samples): arrays cut into chunks of so many samples; the last is shorter, an empty one has no row."""
+    starts = F.when(F.size(samples) > 0, F.sequence(F.lit(0), F.size(samples) - 1, F.lit(size))).otherwise(F.array().cast("array<int>"))
+    rows = df.select(*keys, samples, F.explode(starts).alias("start"))
+    return rows.select(*keys, F.col("start").cast("bigint").alias("start"), F.slice(samples, F.col("start") + 1, F.lit(size)).alias("samples"))
+
+
 def haloed(chunks: DataFrame, keys: list[str]) -> DataFrame:
     """Chunks with n, the samples of their whole signal, and after, the first sample of the next chunk (null for the last).
 
@@ -73,19 +80,33 @@ def normalised(chunks: DataFrame, keys: list[str], to_peak: float) -> DataFrame:
     return chunks.join(gains, keys).select(*keys, "start", F.transform("samples", lambda v: clamp(v * F.col("gain"))).alias("samples"))
 
 
-def crossfaded(chunks: DataFrame, key: str, idx: str, samples: str, overlap: int, last_idx: str) -> DataFrame:
-    """(key, pos, v): chunks of equal length laid over each other by overlap samples, fading linearly.
+def crossfade_plan(chunks: DataFrame, key: str, idx: str, samples: str, overlap: int) -> DataFrame:
+    """(key, idx, at, n, until): where chunks of any size begin when each is laid over the end of those before it.
+
+    A chunk fades in over n samples: the overlap, but no more than it has or than there is before it (at least the largest
+    chunk so far, and no fade is longer than that). It begins at the sum of size - n over those before it, less its own n.
+    Before until no later chunk begins. Only sizes are sorted here, no samples.
+    """
+    order = Window.partitionBy(key).orderBy(idx)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    heads = chunks.select(key, idx, F.size(samples).cast("bigint").alias("size"))
+    faded = heads.select("*", F.least(F.lit(overlap), "size", F.coalesce(F.max("size").over(before), F.lit(0))).cast("bigint").alias("n"))
+    placed = faded.select(key, idx, "n", (F.coalesce(F.sum(F.col("size") - F.col("n")).over(before), F.lit(0)) - F.col("n")).cast("bigint").alias("at"))
+    later = Window.partitionBy(key).orderBy(F.desc(idx)).rowsBetween(Window.unboundedPreceding, -1)
+    return placed.select("*", F.min("at").over(later).alias("until"))
+
+
+def crossfaded(chunks: DataFrame, key: str, idx: str, samples: str, overlap: int) -> DataFrame:
+    """(key, pos, v): chunks of any size, each laid over the end of those before it by overlap samples, fading linearly.
 
-    Each chunk is shifted to where it begins and weighted at its ends; a sum by position puts all together, with partial sums
-    before the shuffle. For chunks of at least twice the overlap. A chunk shorter than the overlap fades over what it has.
+    What only one chunk holds is passed on as it is; only the samples of fades are shuffled, and folded in order of chunks at
+    each position, so that fades may follow one another where chunks are shorter than two overlaps. A chunk's number must be
+    its own within the signal.
     """
-    n = F.least(F.lit(overlap), F.size(samples))
-    rows = chunks.select(key, idx, last_idx, n.alias("n"), F.size(samples).alias("size"), F.posexplode(samples).alias("p", "x"))
-    tail = F.col("p") - (F.col("size") - F.col("n"))
-    weight = (
-        F.when((F.col(idx) > 0) & (F.col("p") < F.col("n")), fade_in(F.col("p"), F.col("n")))
-        .when((F.col(idx) < F.col(last_idx)) & (tail >= 0), 1.0 - fade_in(tail, F.col("n")))
-        .otherwise(F.lit(1.0))
-    )
-    at = (F.col(idx) * (F.col("size") - F.col("n")) + F.col("p")).cast("bigint")
-    return rows.select(key, at.alias("pos"), (F.col("x") * weight).alias("x")).groupBy(key, "pos").agg(F.sum("x").alias("v"))
+    rows = chunks.join(crossfade_plan(chunks, key, idx, samples, overlap), [key, idx]).select(key, idx, "at", "n", "until", F.posexplode(samples).alias("p", "x"))
+    pos = (F.col("at") + F.col("p")).alias("pos")
+    alone = (F.col("p") >= F.col("n")) & (F.col("until").isNull() | (F.col("at") + F.col("p") < F.col("until")))
+    share = F.when(F.col("p") < F.col("n"), fade_in(F.col("p"), F.col("n"))).alias("share")
+    parts = rows.where(~alone).select(key, pos, F.struct(F.col(idx).alias("idx"), "x", share).alias("part")).groupBy(key, "pos").agg(F.array_sort(F.collect_list("part")).alias("parts"))
+    folded = F.aggregate("parts", F.lit(0.0), lambda a, c: F.when(c["share"].isNull(), c["x"]).otherwise(a * (1.0 - c["share"]) + c["x"] * c["share"]))
+    return rows.where(alone).select(key, pos, F.col("x").alias("v")).unionByName(parts.select(key, "pos", folded.alias("v")))

@@ -47,6 +47,8 @@ def one_decimal(x: str) -> str:
 
 
 WAVES = "waves AS (SELECT vec_id, label, list_transform(embedding, lambda v: v::DOUBLE) AS x FROM embeddings)"
+#: Four vectors after one another as one signal.
+SIGNALS = "signals AS (SELECT vec_id // 4 AS talk, flatten(list(list_transform(embedding, lambda v: v::DOUBLE) ORDER BY vec_id)) AS x, sum(len(embedding))::BIGINT AS n FROM embeddings GROUP BY 1)"
 STEM = r"regexp_replace(regexp_extract(url, '([^/?#]*)/?(?:[?#].*)?$', 1), '^(.+)\.[^.]*$', '\1')"
 CHUNK = "printf('chunk_%04d.wav', {0})"
 
@@ -108,10 +110,14 @@ SELECT vec_id, rms, peak, 0.5::DOUBLE / peak AS peak_gain, 0.1::DOUBLE / rms AS
     "q23_progress_eta": """WITH r AS (SELECT event_id, user_id, row_number() OVER w AS done, count(*) OVER (PARTITION BY user_id) AS total, (sum(value::DECIMAL(18,2)) OVER w)::DOUBLE AS elapsed_s
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING))
 SELECT *, elapsed_s / done AS mean_s, elapsed_s / done * (total - done) AS eta_s FROM r""",
-    "q24_crossfade_concat": f"""WITH {WAVES}, s AS (SELECT vec_id // 4 AS talk, (vec_id % 4)::INT AS idx, i, x[i + 1] AS v FROM waves, range(0, 64) t(i)),
-w AS (SELECT talk, idx * 56 + i AS pos, idx, v * CASE WHEN idx > 0 AND i < 8 THEN i / 7::DOUBLE WHEN idx < 3 AND i >= 56 THEN 1.0::DOUBLE - (i - 56) / 7::DOUBLE ELSE 1.0::DOUBLE END AS v FROM s)
-SELECT talk, pos, coalesce(max(v) FILTER (NOT late), 0) + coalesce(max(v) FILTER (late), 0) AS v
-FROM (SELECT *, row_number() OVER (PARTITION BY talk, pos ORDER BY idx) = 2 AS late FROM w) GROUP BY 1, 2""",
+    "q24_crossfade_concat": f"""WITH {SIGNALS}, d AS (SELECT *, n / 16.0::DOUBLE AS duration FROM signals),
+c AS (SELECT talk, x, idx::INT AS idx, greatest(0, idx * 5 - CASE WHEN idx > 0 THEN 2 ELSE 0 END) AS start, duration FROM d, range(0, 1000) r(idx) WHERE idx < ceil(duration / 5)),
+s AS (SELECT talk, x, idx, start, (least(5.0::DOUBLE + CASE WHEN idx > 0 THEN 2 ELSE 0 END, duration - start) * 16)::BIGINT AS size FROM c),
+f AS (SELECT *, least(32, size, coalesce(max(size) OVER (PARTITION BY talk ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS n FROM s),
+a AS (SELECT *, coalesce(sum(size - n) OVER (PARTITION BY talk ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT - n AS at_ FROM f),
+v AS (SELECT talk, idx, at_ + p AS pos, x[start * 16 + p + 1] * (1.0::DOUBLE + idx / 4.0::DOUBLE) AS v, CASE WHEN p < n THEN CASE WHEN n > 1 THEN p / (n - 1)::DOUBLE ELSE 0.0::DOUBLE END END AS share FROM a, range(0, 1000) r(p) WHERE p < size),
+l AS (SELECT talk, pos, list({{'v': v, 'share': share}} ORDER BY idx) AS parts FROM v GROUP BY 1, 2)
+SELECT talk, pos, list_reduce(list_prepend(0.0::DOUBLE, range(0, len(parts))::DOUBLE[]), lambda acc, k: CASE WHEN parts[k::INT + 1].share IS NULL THEN parts[k::INT + 1].v ELSE acc * (1.0::DOUBLE - parts[k::INT + 1].share) + parts[k::INT + 1].v * parts[k::INT + 1].share END) AS v FROM l""",
     "q25_segment_truncated": f"""WITH {TALKS}, c AS (SELECT doc_id, duration_s, unnest(range(0, ceil(duration_s / 300)::BIGINT))::INT AS idx FROM talks)
 SELECT doc_id, idx, (idx * 300)::DOUBLE AS start, least(300.0::DOUBLE, duration_s - idx * 300) AS length FROM c""",
     "q26_segment_overlap": f"""WITH {TALKS}, c AS (SELECT doc_id, duration_s, unnest(range(0, ceil(duration_s / 300)::BIGINT))::INT AS idx FROM talks),

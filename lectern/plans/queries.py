@@ -199,9 +199,27 @@ def q23_progress_eta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.eta(rows, "user_id", ["ts", "event_id"], "value").select("event_id", "user_id", "done", "total", "elapsed_s", "mean_s", "eta_s")
 
 
+RATE = 16
+
+
+def _talk_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(talk, x, duration_s): four vectors after one another are a signal of RATE samples a second."""
+    four = table(spark, sf_dir, "embeddings").select(F.floor(F.col("vec_id") / 4).cast("bigint").alias("talk"), "vec_id", sig.doubles(F.col("embedding")).alias("x"))
+    whole = four.groupBy("talk").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("vec_id", "x"))), lambda s: s["x"])).alias("x"))
+    return whole.withColumn("duration_s", F.size("x") / float(RATE))
+
+
+def _talk_chunks(spark: SparkSession, sf_dir: str, size: int) -> DataFrame:
+    """(talk, start, samples): the signals as chunk rows of so many samples; the last is shorter."""
+    return signal.chunked(_talk_signals(spark, sf_dir), ["talk"], "x", size)
+
+
 def q24_crossfade_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks = _waves(spark, sf_dir).select(F.floor(F.col("vec_id") / 4).cast("bigint").alias("talk"), (F.col("vec_id") % 4).cast("int").alias("idx"), F.lit(3).alias("last"), "x")
-    return signal.crossfaded(chunks, "talk", "idx", "x", 8, "last")
+    cut = segments.overlapping(_talk_signals(spark, sf_dir), "duration_s", 5, 2)
+    # Each chunk comes back from its own run of a model: here a little louder than the one before.
+    part = F.slice("x", (F.col("start") * RATE + 1).cast("int"), (F.col("length") * RATE).cast("int"))
+    chunks = cut.select("talk", "idx", F.transform(part, lambda v: v * (1.0 + F.col("idx") / 4.0)).alias("x"))
+    return signal.crossfaded(chunks, "talk", "idx", "x", 2 * RATE)
 
 
 def q25_segment_truncated(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -217,18 +217,36 @@ def test_shapes(spark):
     assert one(spark, sig.downmix(F.col("a"), F.col("b")), a=("array<double>", [1.0, 2.0]), b=("array<double>", [3.0, 0.0])) == [2.0, 1.0]
 
 
+def left_fold(chunks, overlap):
+    out = []
+    for c in chunks:
+        n = min(overlap, len(c), len(out))
+        w = [k / (n - 1) if n > 1 else 0.0 for k in range(n)]
+        out = out[: len(out) - n] + [a * (1 - v) + b * v for a, b, v in zip(out[len(out) - n :], c, w)] + c[n:]
+    return out
+
+
 def test_crossfade(spark):
     rng = random.Random(6)
-    chunks = [[rng.uniform(-1, 1) for _ in range(20)] for _ in range(4)]
-    n, out = 5, chunks[0]
-    for c in chunks[1:]:
-        w = [k / (n - 1) for k in range(n)]
-        out = out[:-n] + [a * (1 - v) + b * v for a, b, v in zip(out[-n:], c, w)] + c[n:]
-    df = spark.createDataFrame([(1, k, 3, c) for k, c in enumerate(chunks)], "talk long, idx int, last int, x array<double>")
-    got = [r.v for r in signal.crossfaded(df, "talk", "idx", "x", n, "last").orderBy("pos").collect()]
-    assert got == pytest.approx(out)
-    short = spark.createDataFrame([(1, 0, 1, [1.0, 1.0]), (1, 1, 1, [0.0, 0.0])], "talk long, idx int, last int, x array<double>")
-    assert [r.v for r in signal.crossfaded(short, "talk", "idx", "x", 2, "last").orderBy("pos").collect()] == [1.0, 0.0]
+    sets = [[20] * 4, [30, 35, 35, 15], [7, 3, 2, 9, 1, 1, 4, 12], [2, 1, 3, 2, 8], [1], [4, 4, 4, 4, 4], [5, 0, 6]]
+    sets += [[rng.randint(1, 14) for _ in range(rng.randint(1, 9))] for _ in range(40)]
+    talks = [[[rng.uniform(-1, 1) for _ in range(n)] for n in sizes] for sizes in sets]
+    df = spark.createDataFrame([(t, k, c) for t, chunks in enumerate(talks) for k, c in enumerate(chunks)], "talk long, idx int, x array<double>").repartition(5)
+    for overlap in (5, 1, 0):
+        got = {}
+        for r in signal.crossfaded(df, "talk", "idx", "x", overlap).collect():
+            got.setdefault(r.talk, {})[r.pos] = r.v
+        for t, chunks in enumerate(talks):
+            want = left_fold(chunks, overlap)
+            assert sorted(got[t]) == list(range(len(want))) and [got[t][k] for k in range(len(want))] == pytest.approx(want, abs=1e-12)
+
+
+def test_crossfade_of_overlapping_segments(spark):
+    df = spark.createDataFrame([(1, 100.0, [float(k) for k in range(100)])], "talk long, d double, x array<double>")
+    cut = segments.overlapping(df, "d", 30, 5)
+    chunks = cut.select("talk", "idx", F.slice("x", (F.col("start") + 1).cast("int"), F.col("length").cast("int")).alias("x"))
+    got = [r.v for r in signal.crossfaded(chunks, "talk", "idx", "x", 5).orderBy("pos").collect()]
+    assert got == pytest.approx([float(k) for k in range(100)])
 
 
 def test_mux_and_manifest(spark):
