@@ -52,6 +52,21 @@ SIGNALS = "signals AS (SELECT vec_id // 4 AS talk, flatten(list(list_transform(e
 STEM = r"regexp_replace(regexp_extract(url, '([^/?#]*)/?(?:[?#].*)?$', 1), '^(.+)\.[^.]*$', '\1')"
 CHUNK = "printf('chunk_%04d.wav', {0})"
 
+def sections(rows: str, rate: float) -> str:
+    """CTE sec(talk, k, b0, b1, b2, a1, a2) of second-order filters, from rows (talk, kind, f, q, place)."""
+    w = f"2 * pi() * f / {rate}::DOUBLE"
+    return f"""raw AS ({rows}),
+pre AS (SELECT talk, (row_number() OVER (PARTITION BY talk ORDER BY place, f) - 1) AS k, kind, cos({w}) AS c, sin({w}) / (2 * q) AS al FROM raw),
+sec AS (SELECT talk, k, CASE kind WHEN 'n' THEN 1 WHEN 'h' THEN (1 + c) / 2 ELSE (1 - c) / 2 END / (1 + al) AS b0, CASE kind WHEN 'n' THEN -2 * c WHEN 'h' THEN -(1 + c) ELSE 1 - c END / (1 + al) AS b1,
+  CASE kind WHEN 'n' THEN 1 WHEN 'h' THEN (1 + c) / 2 ELSE (1 - c) / 2 END / (1 + al) AS b2, -2 * c / (1 + al) AS a1, (1 - al) / (1 + al) AS a2 FROM pre)"""
+
+
+#: x through sections, each by its plain recurrence.
+RUN = """run AS (SELECT talk, 0::BIGINT AS k, x FROM signals UNION ALL
+  SELECT run.talk, run.k + 1, list_reduce(x, lambda s, v: {'l': list_append(s.l, b0 * v + s.p), 'p': b1 * v - a1 * (b0 * v + s.p) + s.q, 'q': b2 * v - a2 * (b0 * v + s.p)}, {'l': []::DOUBLE[], 'p': 0.0::DOUBLE, 'q': 0.0::DOUBLE}).l
+  FROM run JOIN sec ON sec.talk = run.talk AND sec.k = run.k),
+done AS (SELECT talk, arg_max(x, k) AS y FROM run GROUP BY talk)"""
+
 SQL: dict[str, str] = {
     "q01_discover_talks": f"""SELECT page_id, s AS stem, s || '_enhanced.wav' AS audio, s || '_es.srt' AS srt_es, s || '_en.srt' AS srt_en, s || '_final.mkv' AS video,
        {CHUNK.format("page_id")} AS chunk_name FROM (SELECT page_id, {STEM} AS s FROM pages WHERE contains(url, '.example.com/'))""",
@@ -151,6 +166,10 @@ UNION ALL SELECT conv_id, 2, 'subtitle', 'spa', 'Español', es_s, duration_s FRO
 UNION ALL SELECT conv_id, 3, 'subtitle', 'eng', 'English', en_s, duration_s FROM m""",
     "q36_done_table": "SELECT doc_id, n_chars FROM documents WHERE NOT ((doc_id % 2 = 0 OR doc_id % 3 = 0) AND n_chars > 1000)",
     "q37_report_texts": f"WITH {TALKS} SELECT doc_id, {one_decimal('(duration_s / 60)')} || ' min' AS minutes, {one_decimal('(n_chars * 1048576.0::DOUBLE / 1073741824.0::DOUBLE)')} || ' GB' AS size FROM talks",
+    "q39_filtered_samples": f"""WITH RECURSIVE {WAVES}, {SIGNALS}, {sections("""SELECT talk, 'h' AS kind, CASE talk % 3 WHEN 1 THEN 70.0 ELSE 75.0 END::DOUBLE AS f, 0.707::DOUBLE AS q, 0 AS place FROM signals WHERE talk % 3 > 0
+UNION ALL SELECT talk, 'l', 12000, 0.707, 1 FROM signals WHERE talk % 3 > 0 UNION ALL SELECT talk, 'n', 50 * h, 7 + h, 2 FROM signals, range(1, 11) r(h) WHERE talk % 3 = 2
+UNION ALL SELECT talk, 'n', 60 * h, 7 + h, 3 FROM signals, range(1, 11) r(h) WHERE talk % 3 = 2 AND talk % 2 = 0""", 48000)}, {RUN}
+SELECT talk, i AS pos, round_even(y[i + 1] * 1e6::DOUBLE, 0)::BIGINT AS micro FROM done, range(0, 256) r(i) WHERE i < len(y)""",
     "q38_settings": """SELECT event_id, CASE WHEN event_id % 3 = 1 THEN event_type ELSE 'safe' END AS audio_mode, '300' AS chunk_seconds,
        ['sinc_fast', 'sinc_best', 'kaiser_fast', 'kaiser_best'][user_id % 4 + 1] AS asked_method, 'linear' AS used_method FROM events""",
 }

@@ -9,12 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions import signal as sig
 from lectern.functions import text as txt
-from lectern.operators import filters, mux, pending, plugins, segments, signal, subtitles, summary
+from lectern.operators import filters, mux, pending, plugins, recurrent, segments, signal, subtitles, summary
 from lectern.sources import files
 from lectern.sources.files import table
 from lectern.sources.shared import new_path
@@ -317,13 +317,29 @@ def q38_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", txt.setting(given, "safe").alias("audio_mode"), txt.setting(F.lit(""), "300").alias("chunk_seconds"), asked.alias("asked_method"), sig.checked_method(asked).alias("used_method"))
 
 
+def micro(v: Column) -> Column:
+    """Millionths, halves to even: for sums that two engines add in different orders."""
+    return F.rint(v * 1e6).cast("bigint")
+
+
+def q39_filtered_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each signal through the recurrent filters of the chain of its profile."""
+    talk = F.col("talk")
+    profile = F.when(talk % 3 == 0, "none").when(talk % 3 == 1, "gentle").otherwise("hum")
+    chain = F.regexp_replace(filters.pre_clean(profile, F.lit(50), talk % 2 == 0, F.lit("")), ",?afftdn=[^,]*", "")
+    chunks = _talk_chunks(spark, sf_dir, 96).withColumn("chain", chain)
+    out = recurrent.filtered(chunks, ["talk"], 48000, F.col("chain"))
+    rows = out.select("talk", "start", F.posexplode("samples").alias("p", "v"))
+    return rows.select("talk", (F.col("start") + F.col("p")).alias("pos"), micro(F.col("v")).alias("micro"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         q01_discover_talks, q02_probe_duration, q03_segment_fixed, q04_chunk_progress, q05_skip_policies, q06_pending_chunks, q07_ordered_concat, q08_mux_two, q09_mux_four, q10_srt_document,
         q11_srt_cues, q12_srt_translate_roundtrip, q13_language_route, q14_package_lookup, q15_batch_summary, q15b_batch_json, q16_regen_decisions, q17_filter_chain, q18_container_path, q19_clamp_and_shape, q20_downmix,
         q20b_audio_metadata, q21_resample_linear, q21b_asr_audio, q22_level_normalise, q22b_normalised_samples, q23_progress_eta, q24_crossfade_concat, q25_segment_truncated, q26_segment_overlap, q27_slot_dispatch, q28_mini_batches, q29_prefix_limit, q30_external_transform,
-        q31_video_probe, q32_chunk_set_skip, q33_summary_document, q34_wav_round_trip, q35_final_streams, q36_done_table, q37_report_texts, q38_settings,
+        q31_video_probe, q32_chunk_set_skip, q33_summary_document, q34_wav_round_trip, q35_final_streams, q36_done_table, q37_report_texts, q38_settings, q39_filtered_samples,
     )
 }
 
