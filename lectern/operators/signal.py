@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from lectern.functions.signal import between, clamp, downmix, energy, fade_in, peak, resampled_length, source_position
@@ -26,6 +29,43 @@ def chunked(df: DataFrame, keys: list[str], samples: str, size: int) -> DataFram
     return rows.select(*keys, F.col("start").cast("bigint").alias("start"), F.slice(samples, F.col("start") + 1, F.lit(size)).alias("samples"))
 
 
+def tiled(chunks: DataFrame, keys: list[str], size: int, before: int, after: int) -> DataFrame:
+    """(keys, tile, start, samples): each run of size samples with those before and after it, as far as the signal goes.
+
+    Chunks may have any size; each sends to a tile only what the tile needs, in one shuffle. Tile t begins at t * size, start
+    is the place of the first sample given.
+    """
+    stop = F.col("start") + F.size("samples")
+    rows = chunks.where(F.size("samples") > 0).select(*keys, F.col("start").cast("bigint").alias("start"), F.col("samples").cast("array<double>").alias("samples"))
+    first, last = F.greatest(F.floor((F.col("start") - after) / size), F.lit(0)), F.floor((stop - 1 + before) / size)
+    dealt = rows.select("*", F.explode(F.sequence(first, last)).alias("tile"))
+    low, high = F.greatest("start", F.col("tile") * size - before), F.least(stop, (F.col("tile") + 1) * size + after)
+    part = F.struct(low.alias("start"), F.slice("samples", (low - F.col("start") + 1).cast("int"), (high - low).cast("int")).alias("samples"))
+    parts = dealt.where(low < high).groupBy(*keys, "tile").agg(F.array_sort(F.collect_list(part)).alias("parts"))
+    whole = parts.select(*keys, "tile", F.get("parts", F.lit(0))["start"].alias("start"), F.flatten(F.transform("parts", lambda p: p["samples"])).alias("samples"))
+    return whole.where(F.col("start") + F.size("samples") > F.col("tile") * size)
+
+
+def mapped(tiles: DataFrame, keys: list[str], size: int, use: Callable) -> DataFrame:
+    """(keys, start, samples) by use(samples, tile, at, core): at is where its first core sample lies in samples, core
+    how many there are; it gives back where its result begins, and the result."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+
+        for batch in batches:
+            starts, made = [], []
+            for tile, start, x in zip(batch["tile"], batch["start"], batch["samples"]):
+                at = int(tile * size - start)
+                first, y = use(np.asarray(x), int(tile), at, min(size, len(x) - at))
+                starts.append(first)
+                made.append(y)
+            yield batch[keys].assign(start=starts, samples=made)
+
+    kind = T.StructType([*(tiles.schema[k] for k in keys), *T.StructType.fromDDL("start bigint, samples array<double>").fields])
+    return tiles.mapInPandas(run, kind)
+
+
 def haloed(chunks: DataFrame, keys: list[str]) -> DataFrame:
     """Chunks with n, the samples of their whole signal, and after, the first sample of the next chunk (null for the last).
 

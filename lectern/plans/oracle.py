@@ -61,6 +61,15 @@ sec AS (SELECT talk, k, CASE kind WHEN 'n' THEN 1 WHEN 'h' THEN (1 + c) / 2 ELSE
   CASE kind WHEN 'n' THEN 1 WHEN 'h' THEN (1 + c) / 2 ELSE (1 - c) / 2 END / (1 + al) AS b2, -2 * c / (1 + al) AS a1, (1 - al) / (1 + al) AS a2 FROM pre)"""
 
 
+def sinc(source: str, old: int, new: int, crossings: int) -> str:
+    """(talk, pos, v): x of source (talk, x) at new / old of its rate, by a sinc in a Hann window; both rates without a common divisor."""
+    band, halo = min(old, new) * 0.99, crossings + 2
+    t = f"((k / {old}::DOUBLE - m / {new}::DOUBLE) * {band!r}::DOUBLE)"
+    return f"""SELECT talk, m AS pos, sum(x[k + 1] * CASE WHEN {t} = 0 THEN 1 ELSE sin(pi() * {t}) / (pi() * {t}) END * cos({t} * pi() / {crossings}::DOUBLE / 2) ** 2) * {band / old!r}::DOUBLE AS v
+FROM (SELECT talk, x, unnest(range(0, (len(x) * {new} + {old - 1}) // {old})) AS m FROM {source}) a, LATERAL (SELECT unnest(range(greatest(0, (m * {old} // {new}) - {-(-halo * old // min(old, new))}), least(len(x), (m * {old} // {new}) + {-(-halo * old // min(old, new))}))) AS k) b
+WHERE abs({t}) < {crossings} GROUP BY talk, m"""
+
+
 #: x through sections, each by its plain recurrence.
 RUN = """run AS (SELECT talk, 0::BIGINT AS k, x FROM signals UNION ALL
   SELECT run.talk, run.k + 1, list_reduce(x, lambda s, v: {'l': list_append(s.l, b0 * v + s.p), 'p': b1 * v - a1 * (b0 * v + s.p) + s.q, 'q': b2 * v - a2 * (b0 * v + s.p)}, {'l': []::DOUBLE[], 'p': 0.0::DOUBLE, 'q': 0.0::DOUBLE}).l
@@ -170,6 +179,21 @@ UNION ALL SELECT conv_id, 3, 'subtitle', 'eng', 'English', en_s, duration_s FROM
 UNION ALL SELECT talk, 'l', 12000, 0.707, 1 FROM signals WHERE talk % 3 > 0 UNION ALL SELECT talk, 'n', 50 * h, 7 + h, 2 FROM signals, range(1, 11) r(h) WHERE talk % 3 = 2
 UNION ALL SELECT talk, 'n', 60 * h, 7 + h, 3 FROM signals, range(1, 11) r(h) WHERE talk % 3 = 2 AND talk % 2 = 0""", 48000)}, {RUN}
 SELECT talk, i AS pos, round_even(y[i + 1] * 1e6::DOUBLE, 0)::BIGINT AS micro FROM done, range(0, 256) r(i) WHERE i < len(y)""",
+    "q40_resample_sinc": f"""WITH {SIGNALS} SELECT talk, 16000 AS rate, pos, round_even(v * 1e6::DOUBLE, 0)::BIGINT AS micro FROM ({sinc("signals", 3, 1, 16)})
+UNION ALL SELECT talk, 64000, pos, round_even(v * 1e6::DOUBLE, 0)::BIGINT FROM ({sinc("signals", 3, 4, 64)})""",
+    "q41_loudness": f"""WITH RECURSIVE signals AS (SELECT vec_id // 100 AS talk, flatten(list(list_transform(embedding, lambda v: v::DOUBLE * [1.0::DOUBLE, 0.3::DOUBLE, 0.02::DOUBLE, 0.00005::DOUBLE][vec_id // 16 % 4 + 1]) ORDER BY vec_id)) AS x FROM embeddings GROUP BY 1),
+k1 AS (SELECT tan(pi() * 1681.974450955533::DOUBLE / 4000) AS k, 10 ** (3.999843853973347::DOUBLE / 20) AS v, 0.7071752369554196::DOUBLE AS q), k2 AS (SELECT tan(pi() * 38.13547087602444::DOUBLE / 4000) AS k, 0.5003270373238773::DOUBLE AS q),
+sec AS (SELECT talk, 0 AS k, (v + u * k / q + k * k) / z AS b0, 2 * (k * k - v) / z AS b1, (v - u * k / q + k * k) / z AS b2, 2 * (k * k - 1) / z AS a1, (1 - k / q + k * k) / z AS a2 FROM signals, (SELECT *, v ** 0.4996667741545416::DOUBLE AS u, 1 + k / q + k * k AS z FROM k1)
+  UNION ALL SELECT talk, 1, 1, -2, 1, 2 * (k * k - 1) / (1 + k / q + k * k), (1 - k / q + k * k) / (1 + k / q + k * k) FROM signals, k2), {RUN},
+s AS (SELECT talk, unnest(range(0, len(y))) AS i, unnest(y) AS v FROM done), t AS (SELECT talk, i // 400 AS slot, sum(v * v) AS e, count(*) AS n FROM s GROUP BY 1, 2),
+b AS (SELECT talk, w, slot AS block, (sum(e) OVER f) / (400 * w) AS p, (sum(n) OVER f) AS n FROM (SELECT t.*, 4 AS w FROM t) WINDOW f AS (PARTITION BY talk ORDER BY slot ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING)
+  UNION ALL SELECT talk, w, slot, (sum(e) OVER f) / (400 * w), (sum(n) OVER f) FROM (SELECT t.*, 6 AS w FROM t) WINDOW f AS (PARTITION BY talk ORDER BY slot ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING)),
+o AS (SELECT *, -0.691::DOUBLE + 10 * log10(p) AS l FROM b WHERE n = 400 * w AND p > 0), g AS (SELECT talk, w, -0.691::DOUBLE + 10 * log10(avg(p)) - CASE w WHEN 4 THEN 10 ELSE 20 END AS gate FROM o WHERE l > -70 GROUP BY 1, 2),
+a AS (SELECT o.* FROM o JOIN g USING (talk, w) WHERE l > -70 AND l > gate),
+m AS (SELECT talk, -0.691::DOUBLE + 10 * log10(avg(p) FILTER (w = 4)) AS integrated, quantile_cont(round_even(l * 100, 0) / 100, 0.95) FILTER (w = 6) - quantile_cont(round_even(l * 100, 0) / 100, 0.1) FILTER (w = 6) AS range FROM a GROUP BY 1),
+p AS (SELECT talk, 20 * log10(max(abs(v))) AS true_peak FROM ({sinc("signals", 1, 4, 16)}) GROUP BY 1)
+SELECT talk, round_even(integrated * 1e6::DOUBLE, 0)::BIGINT AS integrated, round_even(range * 1e6::DOUBLE, 0)::BIGINT AS range, round_even(true_peak * 1e6::DOUBLE, 0)::BIGINT AS true_peak,
+  round_even(CASE WHEN integrated IS NULL OR true_peak IS NULL THEN 1 ELSE 10 ** (least(-24 - integrated, -3 - true_peak) / 20) END * 1e6::DOUBLE, 0)::BIGINT AS gain FROM p LEFT JOIN m USING (talk)""",
     "q38_settings": """SELECT event_id, CASE WHEN event_id % 3 = 1 THEN event_type ELSE 'safe' END AS audio_mode, '300' AS chunk_seconds,
        ['sinc_fast', 'sinc_best', 'kaiser_fast', 'kaiser_best'][user_id % 4 + 1] AS asked_method, 'linear' AS used_method FROM events""",
 }

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import signal as sig
 from lectern.functions import text as txt
-from lectern.operators import filters, mux, pending, plugins, recurrent, segments, signal, subtitles, summary
+from lectern.operators import filters, loudness, mux, pending, plugins, recurrent, resampling, segments, signal, subtitles, summary
 from lectern.sources import files
 from lectern.sources.files import table
 from lectern.sources.shared import new_path
@@ -333,13 +333,32 @@ def q39_filtered_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("talk", (F.col("start") + F.col("p")).alias("pos"), micro(F.col("v")).alias("micro"))
 
 
+def _long_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(talk, start, samples): a hundred vectors after one another are a signal of 4,000 samples a second, each vector a chunk.
+
+    Parts of it are quieter, some by far."""
+    scale = F.get(F.array(*map(F.lit, (1.0, 0.3, 0.02, 0.00005))), (F.floor(F.col("vec_id") / 16) % 4).cast("int"))
+    return _waves(spark, sf_dir).select(F.floor(F.col("vec_id") / 100).cast("bigint").alias("talk"), (F.col("vec_id") % 100 * 64).alias("start"), F.transform("x", lambda v: v * scale).alias("samples"))
+
+
+def q40_resample_sinc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = [resampling.sinc_resampled(_talk_chunks(spark, sf_dir, 100), ["talk"], 48000, rate, method).select("talk", F.lit(rate).alias("rate"), "start", F.posexplode("samples").alias("p", "v")) for rate, method in ((16000, "sinc_fast"), (64000, "sinc_best"))]
+    return made[0].unionByName(made[1]).select("talk", "rate", (F.col("start") + F.col("p")).alias("pos"), micro(F.col("v")).alias("micro"))
+
+
+def q41_loudness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = loudness.loudness(_long_signals(spark, sf_dir), ["talk"], 4000, long=6)
+    to = loudness.gain(F.col("integrated"), F.col("true_peak"), -24.0, -3.0)
+    return found.select("talk", micro(F.col("integrated")).alias("integrated"), micro(F.col("range")).alias("range"), micro(F.col("true_peak")).alias("true_peak"), micro(to).alias("gain"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         q01_discover_talks, q02_probe_duration, q03_segment_fixed, q04_chunk_progress, q05_skip_policies, q06_pending_chunks, q07_ordered_concat, q08_mux_two, q09_mux_four, q10_srt_document,
         q11_srt_cues, q12_srt_translate_roundtrip, q13_language_route, q14_package_lookup, q15_batch_summary, q15b_batch_json, q16_regen_decisions, q17_filter_chain, q18_container_path, q19_clamp_and_shape, q20_downmix,
         q20b_audio_metadata, q21_resample_linear, q21b_asr_audio, q22_level_normalise, q22b_normalised_samples, q23_progress_eta, q24_crossfade_concat, q25_segment_truncated, q26_segment_overlap, q27_slot_dispatch, q28_mini_batches, q29_prefix_limit, q30_external_transform,
-        q31_video_probe, q32_chunk_set_skip, q33_summary_document, q34_wav_round_trip, q35_final_streams, q36_done_table, q37_report_texts, q38_settings, q39_filtered_samples,
+        q31_video_probe, q32_chunk_set_skip, q33_summary_document, q34_wav_round_trip, q35_final_streams, q36_done_table, q37_report_texts, q38_settings, q39_filtered_samples, q40_resample_sinc, q41_loudness,
     )
 }
 
