@@ -10,6 +10,9 @@ it. Known harmless forms are suppressed. Of a candidate that overlaps plain matc
 
 The whole path is DataFrame functions: no Python runs on the executors.
 
+All of it takes time in proportion to the text (times the logarithm of the number of matches), and no pattern repeats a group:
+Java would take a frame of the stack for each turn.
+
 Edge cases: null is an empty text. A failing match of a pattern is dropped but still takes its characters. Repeated rows
 are treated each; extra columns pass through, and what is found lies in one column, with whose name none may begin.
 """
@@ -31,42 +34,61 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-
 #: of the smallest alphabet that a class may stand for (hex, 32 characters of one case, 62 of both) reach theirs 99 times of 100.
 WINDOW, HEX_BITS, ONE_CASE_BITS, BOTH_CASES_BITS, BASE64_BITS = 20, 2.9, 3.34, 3.64, 3.9
 GLUE = "/+=_-"
-#: Harmless forms: identifiers made of dashes and hex, paths and slugs of words, documentation values, runs of the alphabet.
+#: Harmless forms: paths and slugs of words; identifiers made of dashes and hex, documentation values, runs of the alphabet.
+SLUG, SLUG_PART = f"^[{GLUE}]*[A-Za-z]{{1,19}}[{GLUE}]", "^[A-Za-z]{0,15}[0-9]{0,4}$"
 ALLOWED = (
     r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
-    r"^[/_+=-]*[A-Za-z]{1,19}([/_+=-]+[A-Za-z]{0,15}[0-9]{0,4})+$",
     r"^[0-9A-Z]?[0-9_/+=-]+[A-Za-z]?$",
     r"(?i)example|sample|placeholder|changeme|your[_-]?(api|key|token|secret)|x{6,}|0123456789|1234567890|abcdefgh",
 )
 
 
+def _let(value: Column, use) -> Column:
+    """use(value), where value is computed once although use names it many times."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+#: Elements that a growing array may have before it is laid aside: adding one to an array copies it.
+AT_ONCE = 512
+
+
+def running(values: Column, both) -> Column:
+    """Each bigint of an array joined with all before it."""
+    none = F.array().cast("array<bigint>")
+    zero = F.struct(F.lit(None).cast("bigint").alias("last"), none.alias("some"), F.array().cast("array<array<bigint>>").alias("done"))
+
+    def step(a: Column, v: Column) -> Column:
+        new = F.when(a["last"].isNull(), v).otherwise(both(a["last"], v))
+        full = F.size(a["some"]) >= AT_ONCE
+        return F.struct(
+            new.alias("last"),
+            F.when(full, F.array(new)).otherwise(F.concat(a["some"], F.array(new))).alias("some"),
+            F.when(full, F.concat(a["done"], F.array(a["some"]))).otherwise(a["done"]).alias("done"),
+        )
+
+    return F.aggregate(values, zero, step, lambda a: F.flatten(F.concat(a["done"], F.array(a["some"]))))
+
+
 def spans(text: Column, pattern: str, kind: str, group: int = 0, least: int = 0) -> Column:
     """All matches as structs (start, no, end, kind), in order; those whose group is shorter than least are dropped."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    parts = F.arrays_zip(F.split(text, pattern, -1).alias("between"), whole.alias("whole"), value.alias("value"))
-    one = lambda start, end: F.struct(start.cast("long").alias("start"), F.lit(KINDS.index(kind)).alias("no"), end.cast("long").alias("end"), F.lit(kind).alias("kind"))
+    size = lambda a: F.transform(a, lambda x: F.length(x).cast("bigint"))
+    # Behind the last match there is one more piece of text, whose length nothing needs.
+    parts = F.arrays_zip(F.slice(size(F.split(text, pattern, -1)), 1, F.size(whole)).alias("between"), size(whole).alias("whole"), size(value).alias("value"))
+    ends = lambda p: running(F.transform(p, lambda x: x["between"] + x["whole"]), lambda u, v: u + v)
+    one = lambda x, end: F.struct((end - x["whole"]).alias("start"), F.lit(KINDS.index(kind)).alias("no"), end.alias("end"), F.lit(kind).alias("kind"))
+    placed = _let(parts, lambda p: F.zip_with(p, ends(p), lambda x, end: F.when(x["value"] >= least, one(x, end))))
     none = F.array().cast("array<struct<start:bigint,no:int,end:bigint,kind:string>>")
-    found = F.aggregate(
-        parts,
-        F.struct(F.lit(0).cast("long").alias("at"), none.alias("found")),
-        lambda a, x: F.struct(
-            (a["at"] + F.length(x["between"]) + F.coalesce(F.length(x["whole"]), F.lit(0))).alias("at"),
-            F.when(
-                F.length(x["value"]) >= least,
-                F.concat(a["found"], F.array(one(a["at"] + F.length(x["between"]), a["at"] + F.length(x["between"]) + F.length(x["whole"])))),
-            )
-            .otherwise(a["found"])
-            .alias("found"),
-        ),
-        lambda a: a["found"],
-    )
-    return F.when(F.size(whole) > 0, found).otherwise(none)
+    return F.when(F.size(whole) > 0, F.filter(placed, lambda x: x.isNotNull())).otherwise(none)
 
 
-def _let(value: Column, use) -> Column:
-    """use(value), where value is computed once although use names it many times."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+def ranks(points: Column, at: Column, equal: bool) -> Column:
+    """For each element of a sorted array how many points of another are smaller (or equal): both are merged and counted."""
+    point, asked = (0, 1) if equal else (1, 0)
+    rows = F.array_sort(F.concat(F.transform(points, lambda p: F.struct(p.alias("at"), F.lit(point).alias("what"))), F.transform(at, lambda a: F.struct(a.alias("at"), F.lit(asked).alias("what")))))
+    counts = lambda m: running(F.transform(m, lambda x: F.when(x["what"] == point, 1).otherwise(0).cast("bigint")), lambda u, v: u + v)
+    return _let(rows, lambda m: F.filter(F.zip_with(m, counts(m), lambda x, n: F.when(x["what"] == asked, n)), lambda n: n.isNotNull()))
 
 
 def dense_part(chars: Column, bits: Column) -> Column:
@@ -78,23 +100,25 @@ def dense_part(chars: Column, bits: Column) -> Column:
     f = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(WINDOW + 2)])
     count = lambda part, x: F.size(part) - F.size(F.array_remove(part, x))
 
-    def step(a: Column, i: Column) -> Column:
-        enters = F.get(chars, i - 1)
-        leaves = F.get(chars, i - 1 - WINDOW)
-        both = F.slice(chars, F.greatest(i - WINDOW + 1, F.lit(1)), F.least(i - 1, F.lit(WINDOW - 1)))
+    def step(a: Column, enters: Column) -> Column:
+        i, full = a["i"] + 1, a["i"] >= WINDOW
+        leaves = F.get(a["window"], F.lit(0))
+        both = F.when(full, F.slice(a["window"], 2, WINDOW - 1)).otherwise(a["window"])
 
         def moved(part: Column) -> Column:
             gone, come = count(part, leaves), count(part, enters)
-            less = F.when(i > WINDOW, F.get(f, gone + 1) - F.get(f, gone)).otherwise(F.lit(0.0))
-            return a["sum"] - less + F.get(f, come + 1) - F.get(f, come)
+            less = F.when(full, F.get(f, gone + 1) - F.get(f, gone)).otherwise(F.lit(0.0))
+            return F.struct((a["sum"] - less + F.get(f, come + 1) - F.get(f, come)).alias("sum"), F.concat(part, F.array(enters)).alias("window"))
 
-        def state(total: Column) -> Column:
-            high = (i >= WINDOW) & (math.log2(WINDOW) - total / WINDOW >= bits)
-            return F.struct(total.alias("sum"), F.when(high & (a["first"] == 0), i - WINDOW + 1).otherwise(a["first"]).alias("first"), F.when(high, i).otherwise(a["last"]).alias("last"))
+        def state(new: Column) -> Column:
+            high = (i >= WINDOW) & (math.log2(WINDOW) - new["sum"] / WINDOW >= bits)
+            return F.struct(i.alias("i"), new["sum"].alias("sum"), F.when(high & (a["first"] == 0), i - WINDOW + 1).otherwise(a["first"]).alias("first"), F.when(high, i).otherwise(a["last"]).alias("last"), new["window"].alias("window"))
 
         return _let(_let(both, moved), state)
 
-    return F.aggregate(F.sequence(F.lit(1), F.size(chars)), F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("first"), F.lit(0).alias("last")), step)
+    # The window goes along: a slice of all characters would copy them each time.
+    zero = F.struct(F.lit(0).alias("i"), F.lit(0.0).alias("sum"), F.lit(0).alias("first"), F.lit(0).alias("last"), F.array().cast("array<string>").alias("window"))
+    return F.aggregate(chars, zero, step)
 
 
 def found(docs: DataFrame, name: str = SPANS) -> DataFrame:
@@ -109,6 +133,22 @@ def found(docs: DataFrame, name: str = SPANS) -> DataFrame:
     )
     # The strings lie side by side with their spans; both are read twice below, so Catalyst keeps this projection apart.
     held = plain.select(*names, base, F.when(F.size(strings) > 0, F.arrays_zip(spans(text, CANDIDATE, "entropy").alias("span"), F.col(strings).alias("string"))).alias(candidates))
+    none_over = F.array().cast("array<struct<start:bigint,no:int,end:bigint,kind:string>>")
+
+    # Plain matches of one kind do not overlap, nor do candidates: those of a kind that lie over a candidate follow one another.
+    def over(kind: str) -> Column:
+        own = F.filter(base, lambda b: b["kind"] == kind)
+        of = lambda field: F.transform(candidates, lambda c: c["span"][field])
+        cuts = lambda o: F.arrays_zip(ranks(F.transform(o, lambda b: b["end"]), of("start"), True).alias("low"), ranks(F.transform(o, lambda b: b["start"]), of("end"), False).alias("high"))
+        return _let(own, lambda o: F.when(F.size(o) > 0, F.transform(cuts(o), lambda r: F.when(r["low"] < r["high"], F.transform(F.sequence(r["low"].cast("int"), r["high"].cast("int") - 1), lambda k: F.get(o, k))).otherwise(none_over))))
+
+    overs = [f"{name}_over_{k}" for k in KINDS[:3]]
+    held = held.select("*", *[F.when(F.size(candidates) > 0, over(k)).alias(o) for k, o in zip(KINDS, overs)])
+    # Side by side, not by number: within a function of one candidate, a column might be made anew for each.
+    no_lists = F.array().cast("array<array<struct<start:bigint,no:int,end:bigint,kind:string>>>")
+    zipped = F.arrays_zip(F.col(candidates).alias("c"), *[F.coalesce(F.col(o), no_lists).alias(f"over{k}") for k, o in enumerate(overs)])
+    lists = lambda z: F.array_sort(F.concat(*[F.coalesce(z[f"over{k}"], none_over) for k in range(len(overs))]))
+    with_over = F.transform(zipped, lambda z: F.struct(z["c"]["span"].alias("span"), z["c"]["string"].alias("string"), lists(z).alias("over")))
     bits = lambda s: (
         F.when(s.rlike("^[0-9A-Fa-f]+$"), F.lit(HEX_BITS))
         .when(s.rlike(f"^[{GLUE}]*([0-9A-Z]+|[0-9a-z]+)[{GLUE}]*$"), F.lit(ONE_CASE_BITS))
@@ -118,30 +158,29 @@ def found(docs: DataFrame, name: str = SPANS) -> DataFrame:
 
     def apart(c: Column) -> Column:
         """The parts of a candidate outside plain matches, without what glues them to these."""
-        first, last = c["span"]["start"], c["span"]["end"]
-        over = F.array_sort(F.filter(base, lambda b: (b["start"] < last) & (first < b["end"])))
-        part = lambda start, end: F.struct(start.alias("start"), end.alias("end"))
-        none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-        between = F.aggregate(
-            over,
-            F.struct(first.alias("at"), none.alias("parts")),
-            lambda a, b: F.struct(F.greatest(a["at"], b["end"]).alias("at"), F.when(b["start"] > a["at"], F.concat(a["parts"], F.array(part(a["at"], b["start"])))).otherwise(a["parts"]).alias("parts")),
-            lambda a: F.when(a["at"] < last, F.concat(a["parts"], F.array(part(a["at"], last)))).otherwise(a["parts"]),
-        )
-
-        def trimmed(p: Column) -> Column:
-            string = F.substring(c["string"], (p["start"] - first + 1).cast("int"), (p["end"] - p["start"]).cast("int"))
-            head = F.when(p["start"] > first, F.regexp_extract(string, f"^[{GLUE}]*", 0)).otherwise(F.lit(""))
-            tail = F.when(p["end"] < last, F.regexp_extract(string, f"[{GLUE}]*$", 0)).otherwise(F.lit(""))
-            start, end = p["start"] + F.length(head), p["end"] - F.length(tail)
-            kept = F.substring(c["string"], (start - first + 1).cast("int"), F.greatest(end - start, F.lit(0)).cast("int"))
-            return F.struct(F.struct(start.alias("start"), c["span"]["no"].alias("no"), end.alias("end"), c["span"]["kind"].alias("kind")).alias("span"), kept.alias("string"))
+        first, last, over = c["span"]["start"], c["span"]["end"], c["over"]
+        reach = running(F.transform(over, lambda b: b["end"]), lambda u, v: F.greatest(u, v))
+        starts = F.concat(F.array(first), F.transform(reach, lambda r: F.greatest(r, first)))
+        between = F.filter(F.arrays_zip(starts.alias("start"), F.concat(F.transform(over, lambda b: b["start"]), F.array(last)).alias("end")), lambda p: p["end"] > p["start"])
+        # Candidates are ASCII: as bytes, a part is found without counting characters from the beginning.
+        part_of = lambda data, start, end: F.substring(data, (start - first + 1).cast("int"), F.greatest(end - start, F.lit(0)).cast("int")).cast("string")
+
+        def trimmed(data: Column, p: Column) -> Column:
+            string = part_of(data, p["start"], p["end"])
+            head = F.when(p["start"] > first, F.length(F.regexp_extract(string, f"^[{GLUE}]*", 0))).otherwise(F.lit(0))
+            tail = F.when(p["end"] < last, F.length(F.regexp_extract(string, f"(?<![{GLUE}])[{GLUE}]*+$", 0))).otherwise(F.lit(0))
+            start, end = p["start"] + head, p["end"] - tail
+            return F.struct(F.struct(start.alias("start"), c["span"]["no"].alias("no"), end.alias("end"), c["span"]["kind"].alias("kind")).alias("span"), part_of(data, start, end).alias("string"))
 
         long_enough = lambda x: (F.length(x["string"]) >= WINDOW) & x["string"].rlike("[0-9]") & x["string"].rlike("[A-Za-z]")
-        return F.when(F.size(over) == 0, F.array(c)).otherwise(F.filter(F.transform(between, trimmed), long_enough))
+        cut_up = _let(c["string"].cast("binary"), lambda data: F.filter(F.transform(between, lambda p: trimmed(data, p)), long_enough))
+        return F.when(F.size(over) == 0, F.array(F.struct(c["span"].alias("span"), c["string"].alias("string")))).otherwise(cut_up)
 
     def allowed(s: Column) -> Column:
-        any_of = F.lit(False)
+        # A path or slug: a short word, and behind glue only short words with a short number. Cut up, as a repeated group would
+        # take a frame of the stack for each turn.
+        parts = F.split(F.regexp_replace(s, f"^[{GLUE}]+", ""), f"[{GLUE}]+")
+        any_of = s.rlike(SLUG) & F.forall(F.slice(parts, 2, F.size(parts)), lambda p: p.rlike(SLUG_PART))
         for pattern in ALLOWED:
             any_of = any_of | s.rlike(pattern)
         return any_of
@@ -149,9 +188,9 @@ def found(docs: DataFrame, name: str = SPANS) -> DataFrame:
     def cut(c: Column) -> Column:
         at = c["span"]["start"]
         part = lambda p: F.struct((at + p["first"] - 1).alias("start"), c["span"]["no"].alias("no"), (at + p["last"]).alias("end"), c["span"]["kind"].alias("kind"))
-        return _let(_let(F.split(c["string"], ""), lambda chars: dense_part(chars, bits(c["string"]))), lambda p: F.when(p["first"] > 0, part(p)))
+        return _let(_let(bits(c["string"]), lambda least: _let(F.split(c["string"], ""), lambda chars: dense_part(chars, least))), lambda p: F.when(p["first"] > 0, part(p)))
 
-    left = F.filter(F.flatten(F.transform(candidates, apart)), lambda c: ~allowed(c["string"]))
+    left = F.filter(F.flatten(F.transform(with_over, apart)), lambda c: ~allowed(c["string"]))
     high = F.filter(F.transform(left, cut), lambda x: x.isNotNull())
     return held.select(*names, F.sort_array(F.concat(base, F.coalesce(high, F.filter(base, lambda _: F.lit(False))))).alias(name))
 

@@ -2,10 +2,12 @@ import math
 import random
 import re
 import string
+import time
 from collections import Counter
 
 import pytest
 from lectern.llm import secrets
+from pyspark.sql import functions as F
 
 from . import brute
 
@@ -75,3 +77,38 @@ def test_entropy_windows_by_brute_force(spark):
     got = entropy_spans(spark, texts)
     assert {i: x for i, x in got.items() if i not in plain} == {i: x for i, x in want.items() if i not in plain}
     assert len(plain) < 150 and sum(map(bool, want.values())) > 100
+
+
+def test_long_texts_take_no_stack_and_little_time(spark):
+    """Texts of half a megabyte of each kind, with the JVM's own stack."""
+    rng, size = random.Random(9), 1 << 19
+    whole = lambda unit: unit * (size // len(unit))
+    digits = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    texts = [
+        whole("/docs/b1") + " 12345/",
+        whole("/docs/b1") + "/x",
+        whole("-"),
+        whole("some-slug-of-words_"),
+        whole("a-----b1"),
+        "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(size)),
+        whole("token=abcdefgh "),
+        whole("token=abcdefgh"),
+        "-".join(digits(24) for _ in range(size // 25)),
+        " ".join(digits(24) for _ in range(size // 25)),
+        whole("AKIA" + "Q2W3E4R5T6Y7U8I9" + "/"),
+        whole("é"),
+    ]
+    start = time.time()
+    got = {r.doc_id: r for r in secrets.report(spark.createDataFrame(list(enumerate(texts)), KIND).repartition(8)).collect()}
+    assert time.time() - start < 150
+    assert got[6].n_assign == size // 15 and got[8].n_hex == got[9].n_hex == size // 25 and got[10].n_access == size // 21
+    assert got[5].spans.startswith("entropy:0:") and not got[0].spans and not got[3].spans
+
+
+def test_running(spark):
+    sizes = [0, 1, 2, 3, 7, 64, 65, 1000]
+    df = spark.createDataFrame([([k % 5 for k in range(n)],) for n in sizes], "x array<bigint>")
+    for (x,), (got,) in zip(df.collect(), df.select(secrets.running(F.col("x"), lambda a, b: a + b)).collect()):
+        assert got == [sum(x[: k + 1]) for k in range(len(x))]
+    cut = spark.createDataFrame([([1, 3, 3, 8], [0, 3, 4, 9]), ([], [5]), ([5], [])], "p array<bigint>, a array<bigint>")
+    assert [(list(r[0]), list(r[1])) for r in cut.select(secrets.ranks(F.col("p"), F.col("a"), True), secrets.ranks(F.col("p"), F.col("a"), False)).collect()] == [([0, 3, 3, 4], [0, 1, 3, 4]), ([0], [0]), ([], [])]
