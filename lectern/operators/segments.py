@@ -72,3 +72,29 @@ def prefix(df: DataFrame, key: str, ts: str, seconds: int) -> DataFrame:
     first = df.groupBy(key).agg(F.min(ts).alias("first_ts"))
     rows = df.join(first, key)
     return rows.where(micros(ts) - micros("first_ts") < seconds * 1_000_000)
+
+
+def cut_at_keyframes(wanted: DataFrame, keyframes: DataFrame, key: str, at: str) -> DataFrame:
+    """wanted (key, at, ...) with cut: the first keyframe (key, at) of its signal at or after each wanted time, null if none.
+
+    Both are put together and sorted by time, latest first; each wanted time takes the last keyframe passed. One shuffle, and
+    no pair of a time and a keyframe is made.
+    """
+    w = Window.partitionBy(key).orderBy(F.desc(at), F.desc("__keyframe")).rowsBetween(Window.unboundedPreceding, 0)
+    both = wanted.withColumn("__keyframe", F.lit(False)).unionByName(keyframes.select(key, at, F.lit(True).alias("__keyframe")), allowMissingColumns=True)
+    cut = F.last(F.when(F.col("__keyframe"), F.col(at)), ignorenulls=True).over(w)
+    return both.withColumn("cut", cut).where(~F.col("__keyframe")).drop("__keyframe")
+
+
+def keyframe_chunks(durations: DataFrame, keyframes: DataFrame, key: str, chunk: int) -> DataFrame:
+    """(key, idx, start, stop): chunks of wanted length that begin at keyframes, numbered from 0; times in whole units.
+
+    durations (key, duration). Cuts are wanted at multiples of chunk and made at the next keyframe; wanted times that lead to
+    the same one, or to none before the end, make no chunk of their own. The first chunk begins at 0.
+    """
+    last = F.col("duration") - 1
+    times = durations.where("duration > 0").select(key, "duration", F.explode(F.sequence(F.lit(0).cast("bigint"), last - F.pmod(last, F.lit(chunk)), F.lit(chunk).cast("bigint"))).alias("at"))
+    cuts = cut_at_keyframes(times.where("at > 0"), keyframes, key, "at").where("cut < duration").select(key, "duration", F.col("cut").alias("start")).distinct()
+    starts = cuts.unionByName(times.where("at = 0").select(key, "duration", F.col("at").alias("start")))
+    w = Window.partitionBy(key).orderBy("start")
+    return starts.distinct().select(key, (F.row_number().over(w) - 1).cast("bigint").alias("idx"), "start", F.coalesce(F.lead("start").over(w), F.col("duration")).alias("stop"))
