@@ -194,6 +194,29 @@ m AS (SELECT talk, -0.691::DOUBLE + 10 * log10(avg(p) FILTER (w = 4)) AS integra
 p AS (SELECT talk, 20 * log10(max(abs(v))) AS true_peak FROM ({sinc("signals", 1, 4, 16)}) GROUP BY 1)
 SELECT talk, round_even(integrated * 1e6::DOUBLE, 0)::BIGINT AS integrated, round_even(range * 1e6::DOUBLE, 0)::BIGINT AS range, round_even(true_peak * 1e6::DOUBLE, 0)::BIGINT AS true_peak,
   round_even(CASE WHEN integrated IS NULL OR true_peak IS NULL THEN 1 ELSE 10 ** (least(-24 - integrated, -3 - true_peak) / 20) END * 1e6::DOUBLE, 0)::BIGINT AS gain FROM p LEFT JOIN m USING (talk)""",
+    "q42_keyframe_chunks": """WITH e AS (SELECT user_id, event_id, epoch_us(ts) // 1000000 AS s FROM events), u AS (SELECT user_id, min(s) AS f, max(s) - min(s) + 1 AS duration FROM e GROUP BY 1),
+t AS (SELECT user_id, duration, unnest(range(86400, duration, 86400)) AS at_ FROM u), k AS (SELECT DISTINCT user_id, s - f AS at_ FROM e JOIN u USING (user_id) WHERE event_id % 3 = 0),
+c AS (SELECT DISTINCT t.user_id, t.duration, k.at_ AS start FROM t ASOF JOIN k ON t.user_id = k.user_id AND t.at_ <= k.at_ WHERE k.at_ < t.duration UNION SELECT user_id, duration, 0 FROM u)
+SELECT user_id, row_number() OVER w - 1 AS idx, start, coalesce(lead(start) OVER w, duration) AS stop FROM c WINDOW w AS (PARTITION BY user_id ORDER BY start)""",
+    "q43_limited_samples": f"""WITH {SIGNALS}, p AS (SELECT talk, i, CASE WHEN i BETWEEN 0 AND n - 1 THEN x[i + 1] * 4 END AS v FROM signals, range(-12, 300) r(i) WHERE i < n + 12),
+g AS (SELECT *, CASE WHEN abs(v) > 0.95 THEN 0.95::DOUBLE / abs(v) ELSE 1.0::DOUBLE END AS need FROM p),
+l AS (SELECT *, min(need) OVER (PARTITION BY talk ORDER BY i ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING) AS least_ FROM g),
+m AS (SELECT *, avg(least_) OVER (PARTITION BY talk ORDER BY i ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING) AS gain FROM l)
+SELECT talk, i AS pos, round_even(v * gain * 1e6::DOUBLE, 0)::BIGINT AS micro FROM m WHERE v IS NOT NULL""",
+    "q44_speech_segments": f"""WITH {WAVES}, s AS (SELECT vec_id // 100 AS talk, vec_id % 100 * 64 + i AS pos, round_even(greatest(-1.0::DOUBLE, least(1.0::DOUBLE, x[i + 1] * [1.0::DOUBLE, 0.3::DOUBLE, 0.02::DOUBLE, 0.00005::DOUBLE][vec_id // 16 % 4 + 1])) * 32767.0::DOUBLE, 0)::BIGINT AS v FROM waves, range(0, 64) r(i)),
+f AS (SELECT talk, pos // 80 AS frame, sum(v * v)::BIGINT AS e, count(*) AS n FROM s GROUP BY 1, 2),
+h AS (SELECT *, CASE WHEN e >= 2000000 * n THEN 1 WHEN e < 20000 * n THEN 0 END AS ev FROM f),
+o AS (SELECT *, coalesce(last_value(ev IGNORE NULLS) OVER (PARTITION BY talk ORDER BY frame), 0) AS on_ FROM h),
+g AS (SELECT *, frame - lag(frame) OVER (PARTITION BY talk ORDER BY frame) - 1 AS gap FROM o WHERE on_ = 1),
+r AS (SELECT *, sum(CASE WHEN gap > 3 THEN 1 ELSE 0 END) OVER (PARTITION BY talk ORDER BY frame) AS run FROM g)
+SELECT talk, min(frame) AS first, max(frame) AS last, sum(e)::BIGINT AS energy FROM r GROUP BY talk, run HAVING max(frame) - min(frame) + 1 >= 4""",
+    "q45_denoised_samples": f"""WITH {SIGNALS}, w AS (SELECT list(sin(pi() * (j + 0.5::DOUBLE) / 16) ORDER BY j) AS w FROM range(0, 16) r(j)),
+c AS (SELECT *, 10 ** (-12.0::DOUBLE / 10) * (list_sum(w) / 2) ** 2 AS noise, 10 ** (-6.0::DOUBLE / 20) AS least_ FROM w),
+v AS (SELECT talk, f, j, CASE WHEN f * 4 + j BETWEEN 0 AND s.n - 1 THEN x[f * 4 + j + 1] ELSE 0 END * w[j + 1] AS v FROM signals s, c, range(-3, 64) a(f), range(0, 16) b(j) WHERE f * 4 < s.n),
+d AS (SELECT talk, f, k, sum(v * cos(2 * pi() * k * j / 16)) AS re, -sum(v * sin(2 * pi() * k * j / 16)) AS im FROM v, range(0, 9) r(k) GROUP BY 1, 2, 3),
+g AS (SELECT talk, f, k, re, im, CASE WHEN k IN (0, 8) THEN 1 ELSE 2 END * greatest(sqrt(greatest(0, 1 - noise / greatest(re * re + im * im, 1e-300))), least_) AS g FROM d, c),
+y AS (SELECT talk, f * 4 + j AS pos, sum(g * (re * cos(2 * pi() * k * j / 16) - im * sin(2 * pi() * k * j / 16))) / 16 * any_value(w[j + 1]) AS y FROM g, c, range(0, 16) r(j) GROUP BY talk, f, j)
+SELECT talk, pos, round_even(sum(y) / any_value(w[pos % 4 + 1] ** 2 + w[pos % 4 + 5] ** 2 + w[pos % 4 + 9] ** 2 + w[pos % 4 + 13] ** 2) * 1e6::DOUBLE, 0)::BIGINT AS micro FROM y JOIN signals USING (talk), c WHERE pos BETWEEN 0 AND n - 1 GROUP BY talk, pos""",
     "q38_settings": """SELECT event_id, CASE WHEN event_id % 3 = 1 THEN event_type ELSE 'safe' END AS audio_mode, '300' AS chunk_seconds,
        ['sinc_fast', 'sinc_best', 'kaiser_fast', 'kaiser_best'][user_id % 4 + 1] AS asked_method, 'linear' AS used_method FROM events""",
 }

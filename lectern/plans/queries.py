@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import signal as sig
 from lectern.functions import text as txt
-from lectern.operators import filters, loudness, mux, pending, plugins, recurrent, resampling, segments, signal, subtitles, summary
+from lectern.operators import dynamics, filters, loudness, mux, pending, plugins, recurrent, resampling, segments, signal, spectral, speech, subtitles, summary
 from lectern.sources import files
 from lectern.sources.files import table
 from lectern.sources.shared import new_path
@@ -328,9 +328,7 @@ def q39_filtered_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     profile = F.when(talk % 3 == 0, "none").when(talk % 3 == 1, "gentle").otherwise("hum")
     chain = F.regexp_replace(filters.pre_clean(profile, F.lit(50), talk % 2 == 0, F.lit("")), ",?afftdn=[^,]*", "")
     chunks = _talk_chunks(spark, sf_dir, 96).withColumn("chain", chain)
-    out = recurrent.filtered(chunks, ["talk"], 48000, F.col("chain"))
-    rows = out.select("talk", "start", F.posexplode("samples").alias("p", "v"))
-    return rows.select("talk", (F.col("start") + F.col("p")).alias("pos"), micro(F.col("v")).alias("micro"))
+    return _samples(recurrent.filtered(chunks, ["talk"], 48000, F.col("chain")))
 
 
 def _long_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -352,6 +350,32 @@ def q41_loudness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("talk", micro(F.col("integrated")).alias("integrated"), micro(F.col("range")).alias("range"), micro(F.col("true_peak")).alias("true_peak"), micro(to).alias("gain"))
 
 
+def _samples(chunks: DataFrame) -> DataFrame:
+    rows = chunks.select("talk", "start", F.posexplode("samples").alias("p", "v"))
+    return rows.select("talk", (F.col("start") + F.col("p")).alias("pos"), micro(F.col("v")).alias("micro"))
+
+
+def q42_keyframe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's events are a video, every third a keyframe; chunks of a day that begin at keyframes."""
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", F.floor(segments.micros("ts") / 1_000_000).alias("s"))
+    whole = e.groupBy("user_id").agg(F.min("s").alias("first"), (F.max("s") - F.min("s") + 1).alias("duration"))
+    keyframes = e.where("event_id % 3 = 0").join(whole, "user_id").select("user_id", (F.col("s") - F.col("first")).alias("at")).distinct()
+    return segments.keyframe_chunks(whole.select("user_id", "duration"), keyframes, "user_id", 86400)
+
+
+def q43_limited_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    loud = _talk_chunks(spark, sf_dir, 96).withColumn("samples", F.transform("samples", lambda v: v * 4))
+    return _samples(dynamics.limited(loud, ["talk"], 1000.0, attack=0.006))
+
+
+def q44_speech_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return speech.speech_segments(_long_signals(spark, sf_dir), ["talk"], 80, 2_000_000, 20_000, pause=3, least=4)
+
+
+def q45_denoised_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _samples(spectral.denoised(_talk_chunks(spark, sf_dir, 96), ["talk"], 6.0, -12.0, frame=16))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -359,6 +383,7 @@ QUERIES: dict[str, Query] = {
         q11_srt_cues, q12_srt_translate_roundtrip, q13_language_route, q14_package_lookup, q15_batch_summary, q15b_batch_json, q16_regen_decisions, q17_filter_chain, q18_container_path, q19_clamp_and_shape, q20_downmix,
         q20b_audio_metadata, q21_resample_linear, q21b_asr_audio, q22_level_normalise, q22b_normalised_samples, q23_progress_eta, q24_crossfade_concat, q25_segment_truncated, q26_segment_overlap, q27_slot_dispatch, q28_mini_batches, q29_prefix_limit, q30_external_transform,
         q31_video_probe, q32_chunk_set_skip, q33_summary_document, q34_wav_round_trip, q35_final_streams, q36_done_table, q37_report_texts, q38_settings, q39_filtered_samples, q40_resample_sinc, q41_loudness,
+        q42_keyframe_chunks, q43_limited_samples, q44_speech_segments, q45_denoised_samples,
     )
 }
 
