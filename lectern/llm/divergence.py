@@ -32,14 +32,14 @@ BLOCK, TILE, LEAF = 2048, 256, 8
 HELD_COUNTS, HELD_BYTES = 1 << 21, 64 << 20
 
 
-def counted(docs: DataFrame) -> DataFrame:
+def counted(docs: DataFrame, most: int = HELD_COUNTS) -> DataFrame:
     """(lang, source, term, c, d): occurrences and documents, once or a few times from each task."""
     tuned(docs.sparkSession)
     text = lambda name: F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name)
-    return docs.select(text("text"), text("lang"), text("source")).mapInArrow(_counted, "lang string, source string, term string, c bigint, d bigint")
+    return docs.select(text("text"), text("lang"), text("source")).mapInArrow(lambda batches: _counted(batches, most), "lang string, source string, term string, c bigint, d bigint")
 
 
-def _counted(batches):
+def _counted(batches, most: int):
     import numpy as np
     import pyarrow as pa
 
@@ -84,18 +84,18 @@ def _counted(batches):
         pairs, times = np.unique(doc << 40 | found.index, return_counts=True)
         parts.append(summed([(of[pairs >> 40] << 40 | ids[pairs & ((1 << 40) - 1)], times, np.ones(len(pairs)))]))
         held += len(parts[-1][0])
-        if held > HELD_COUNTS:
+        if held > most:
             parts = [summed(parts)]
             held = len(parts[0][0])
-        if held > HELD_COUNTS // 2 and len(parts) == 1 or size > HELD_BYTES:
+        if held > most // 2 and len(parts) == 1 or size > HELD_BYTES:
             yield from out()
     if parts:
         yield from out()
 
 
-def cells(docs: DataFrame) -> DataFrame:
+def cells(docs: DataFrame, most: int = HELD_COUNTS) -> DataFrame:
     """(lang, source, term, id, c, total, head): kept terms by group with their counts; id and one head for each term of a language."""
-    rows = counted(docs).repartition("lang", "term").groupBy("lang", "term", "source").agg(F.sum("c").alias("c"), F.sum("d").alias("d"))
+    rows = counted(docs, most).repartition("lang", "term").groupBy("lang", "term", "source").agg(F.sum("c").alias("c"), F.sum("d").alias("d"))
     term = Window.partitionBy("lang", "term")
     rows = rows.withColumn("at", F.monotonically_increasing_id()).select("*", F.sum("d").over(term).alias("docs"), F.sum("c").over(term).alias("total"), F.min("at").over(term).alias("id"))
     return rows.where(F.col("docs") >= LEAST_DOCS).select("lang", "source", "term", "id", "c", "total", (F.col("at") == F.col("id")).alias("head"))
@@ -174,7 +174,7 @@ def together(p, filled):
     return sums[: p.shape[0], : p.shape[0]], empty[: p.shape[0], : p.shape[0]]
 
 
-def _priced(key, part):
+def _priced(key, part, tile: int):
     """Sums of one block for the pairs of groups of two tiles: (lang, g, h, value, seen)."""
     import numpy as np
     import pandas as pd
@@ -188,17 +188,17 @@ def _priced(key, part):
     row = np.searchsorted(groups, rows["g"].to_numpy())
     p[row, at], filled[row, at] = rows["zero"].to_numpy().astype(np.int64), True
     sums, empty = together(p, filled)
-    g, h = np.nonzero((groups[:, None] // TILE == first) & (groups[None, :] // TILE == second) & (groups[:, None] != groups[None, :]))
+    g, h = np.nonzero((groups[:, None] // tile == first) & (groups[None, :] // tile == second) & (groups[:, None] != groups[None, :]))
     return pd.DataFrame({"lang": lang, "g": groups[g], "h": groups[h], "value": sums[g, h], "seen": len(terms) - empty[g, h]})
 
 
-def pairs(kept: DataFrame, groups: DataFrame) -> DataFrame:
+def pairs(kept: DataFrame, groups: DataFrame, block: int = BLOCK, tile: int = TILE) -> DataFrame:
     """(lang, source, item, value): for each group and each other one of its language, the sum of prices over all kept terms."""
     p = probability(F.col("c"), F.col("n"), F.col("v"))
-    many = F.greatest(F.lit(1), F.ceil(F.col("v") / BLOCK)).cast("bigint")
-    tiles = F.floor((F.max("g").over(Window.partitionBy("lang"))) / TILE).cast("int")
+    many = F.greatest(F.lit(1), F.ceil(F.col("v") / block)).cast("bigint")
+    tiles = F.floor((F.max("g").over(Window.partitionBy("lang"))) / tile).cast("int")
     placed = groups.withColumn("tiles", tiles)
-    mine = F.floor(F.col("g") / TILE).cast("int")
+    mine = F.floor(F.col("g") / tile).cast("int")
     # A group takes part in the pairs of tiles of which one is its own.
     both = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.col("tiles")), lambda t: F.array(F.struct(mine.alias("a"), t.alias("b")), F.struct(t.alias("a"), mine.alias("b"))))))
     rows = kept.select("lang", "source", "id", "c").join(placed, ["lang", "source"])
@@ -206,7 +206,7 @@ def pairs(kept: DataFrame, groups: DataFrame) -> DataFrame:
     heads = placed.where("v > 0").select("lang", "g", F.lit(-1).cast("bigint").alias("id"), "zero", F.explode(F.sequence(F.lit(0).cast("bigint"), many - 1)).alias("block"), both.alias("ts"))
     heads = heads.select("lang", "g", "id", "zero", "block", F.explode("ts").alias("t"))
     blocks = numbers.unionByName(heads).select("lang", "t.a", "t.b", "block", "g", "id", "zero")
-    sums = blocks.groupBy("lang", "a", "b", "block").applyInPandas(_priced, "lang string, g int, h int, value bigint, seen bigint")
+    sums = blocks.groupBy("lang", "a", "b", "block").applyInPandas(lambda key, part: _priced(key, part, tile), "lang string, g int, h int, value bigint, seen bigint")
     summed = sums.groupBy("lang", "g", "h").agg(F.sum("value").alias("value"), F.sum("seen").alias("seen"))
     side = lambda g, source, zero: groups.select("lang", F.col("g").alias(g), F.col("source").alias(source), F.col("zero").alias(zero), *(["v"] if g == "g" else []))
     every = side("g", "source", "p0").join(side("h", "item", "q0"), "lang").where(F.col("g") != F.col("h"))
@@ -221,9 +221,9 @@ def own_terms(kept: DataFrame, groups: DataFrame) -> DataFrame:
     return priced.where("p > q").select("lang", "source", "item", price(F.col("p"), F.col("q")).alias("value"))
 
 
-def report(docs: DataFrame, top: int = TOP) -> DataFrame:
-    kept = written(cells(docs), "term-counts")
+def report(docs: DataFrame, top: int = TOP, block: int = BLOCK, tile: int = TILE, most: int = HELD_COUNTS) -> DataFrame:
+    kept = written(cells(docs, most), "term-counts")
     groups = written(grouped(docs, kept), "term-groups")
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     ranked = lambda rows, part: rows.select("lang", "source", F.lit(part).alias("part"), "item", "value", F.row_number().over(order).alias("rank"))
-    return ranked(pairs(kept, groups), "pair").unionByName(ranked(own_terms(kept, groups), "term").where(F.col("rank") <= top))
+    return ranked(pairs(kept, groups, block, tile), "pair").unionByName(ranked(own_terms(kept, groups), "term").where(F.col("rank") <= top))
