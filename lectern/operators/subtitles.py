@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lectern.functions.text import blank, collapsed, let, marked, srt_milliseconds, srt_time, unmarked
+from lectern.sources.shared import written
 
 CHARS_A_SECOND = 16.0
 
@@ -72,6 +74,28 @@ def translated(cue_rows: DataFrame, text: str, translate: Callable[[Column], Col
     return cue_rows.withColumn(text, F.when(blank(F.col(text)), F.col(text)).otherwise(unmarked(translate(flat))))
 
 
+def translated_once(cue_rows: DataFrame, text: str, load: Callable[[], Callable[[pd.Series], pd.Series]]) -> DataFrame:
+    """As translated, by a model on batches of texts: load is called once in each task, and each distinct text is translated
+    once, however often it is said. Blank and null texts are left as they are, and no model sees them.
+
+    The distinct texts are a table of their own, shuffled by text; their translations are joined back. Both shuffles deal by
+    text, so a text said very often is one row before the model; rows that say it are split by Spark where they pile up.
+    """
+
+    @F.pandas_udf("string")
+    def model(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        translate = load()
+        for batch in batches:
+            yield translate(batch)
+
+    flat, new = "__flat", "__translation"
+    rows = cue_rows.withColumn(flat, F.when(~blank(F.col(text)), marked(F.col(text))))
+    distinct = written(rows.where(F.col(flat).isNotNull()).select(flat).distinct(), "texts")
+    dictionary = written(distinct.select(flat, model(flat).alias(new)), "translations")
+    done = rows.join(dictionary, flat, "left")
+    return done.withColumn(text, F.when(F.col(flat).isNull(), F.col(text)).otherwise(unmarked(F.col(new)))).select(*cue_rows.columns)
+
+
 def recomposed(cue_rows: DataFrame, key: str) -> DataFrame:
     """Cues with content and a positive length, in order of time, numbered anew without gaps."""
     good = cue_rows.where(~blank(F.col("content")) & (F.col("end_ms") > F.col("start_ms")))

@@ -217,6 +217,10 @@ d AS (SELECT talk, f, k, sum(v * cos(2 * pi() * k * j / 16)) AS re, -sum(v * sin
 g AS (SELECT talk, f, k, re, im, CASE WHEN k IN (0, 8) THEN 1 ELSE 2 END * greatest(sqrt(greatest(0, 1 - noise / greatest(re * re + im * im, 1e-300))), least_) AS g FROM d, c),
 y AS (SELECT talk, f * 4 + j AS pos, sum(g * (re * cos(2 * pi() * k * j / 16) - im * sin(2 * pi() * k * j / 16))) / 16 * any_value(w[j + 1]) AS y FROM g, c, range(0, 16) r(j) GROUP BY talk, f, j)
 SELECT talk, pos, round_even(sum(y) / any_value(w[pos % 4 + 1] ** 2 + w[pos % 4 + 5] ** 2 + w[pos % 4 + 9] ** 2 + w[pos % 4 + 13] ** 2) * 1e6::DOUBLE, 0)::BIGINT AS micro FROM y JOIN signals USING (talk), c WHERE pos BETWEEN 0 AND n - 1 GROUP BY talk, pos""",
+    "q46_wav_ranges": f"""WITH {WAVES}, s AS (SELECT vec_id // 40 AS talk, c::INT AS channel, vec_id % 40 * 32 + i AS frame, x[c * 32 + i + 1] AS v FROM waves, range(0, 2) a(c), range(0, 32) b(i))
+SELECT talk, 48000 AS sample_rate, channel, frame - 100 AS pos, (round_even(greatest(-1.0::DOUBLE, least(1.0::DOUBLE, v * 4)) * 32767.0::DOUBLE, 0)::FLOAT / 32768::FLOAT)::DOUBLE AS v FROM s WHERE frame >= 100 AND frame < 1000""",
+    "q47_translated_texts": f"""WITH t AS (SELECT conv_id, turn::INT AS turn, text AS content FROM conversations UNION ALL SELECT doc_id, -1, concat_ws(chr(10), lang, source) FROM documents)
+SELECT conv_id, turn, trim(translate(content, 'aeiou', 'uoiea'), chr(10) || ' ') AS content FROM t""",
     "q38_settings": """SELECT event_id, CASE WHEN event_id % 3 = 1 THEN event_type ELSE 'safe' END AS audio_mode, '300' AS chunk_seconds,
        ['sinc_fast', 'sinc_best', 'kaiser_fast', 'kaiser_best'][user_id % 4 + 1] AS asked_method, 'linear' AS used_method FROM events""",
 }

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from lectern.functions import signal as sig
 from lectern.functions import text as txt
 from lectern.operators import dynamics, filters, loudness, mux, pending, plugins, recurrent, resampling, segments, signal, spectral, speech, subtitles, summary
-from lectern.sources import files
+from lectern.sources import files, media
 from lectern.sources.files import table
 from lectern.sources.shared import new_path
 
@@ -376,6 +376,28 @@ def q45_denoised_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _samples(spectral.denoised(_talk_chunks(spark, sf_dir, 96), ["talk"], 6.0, -12.0, frame=16))
 
 
+def q46_wav_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signals of two channels written as WAV files of forty vectors each, committed together, and read again from a frame on, by ranges."""
+    chunks = _waves(spark, sf_dir).select(F.floor(F.col("vec_id") / 40).cast("bigint").alias("talk"), (F.col("vec_id") % 40 * 32).alias("start"), F.posexplode(sig.channels(F.transform("x", lambda v: v * 4), 2, 32)).alias("channel", "samples"))
+    folder = new_path(spark, "wav")
+    media.write_wav_chunks(chunks, "talk", 48000, folder)
+    read = media.wav_ranges(spark, folder, offset=100, frames=900, range_bytes=2000)
+    rows = read.select(F.regexp_extract("path", r"(\d+)\.wav$", 1).cast("bigint").alias("talk"), "sample_rate", "channel", "start", F.posexplode("samples").alias("p", "v"))
+    return rows.select("talk", "sample_rate", "channel", (F.col("start") + F.col("p")).alias("pos"), F.col("v").cast("double").alias("v"))
+
+
+def q47_translated_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each turn's text through a translator that is loaded once a task and sees each distinct text once."""
+
+    def load():
+        """Stands for a model: other vowels."""
+        return lambda texts: texts.map(lambda t: t.translate(str.maketrans("aeiou", "uoiea")))
+
+    turns = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("int").alias("turn"), F.col("text").alias("content"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("conv_id"), F.lit(-1).alias("turn"), F.concat_ws("\n", F.col("lang"), F.col("source")).alias("content"))
+    return subtitles.translated_once(turns.unionByName(docs), "content", load).select("conv_id", "turn", "content")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -383,7 +405,7 @@ QUERIES: dict[str, Query] = {
         q11_srt_cues, q12_srt_translate_roundtrip, q13_language_route, q14_package_lookup, q15_batch_summary, q15b_batch_json, q16_regen_decisions, q17_filter_chain, q18_container_path, q19_clamp_and_shape, q20_downmix,
         q20b_audio_metadata, q21_resample_linear, q21b_asr_audio, q22_level_normalise, q22b_normalised_samples, q23_progress_eta, q24_crossfade_concat, q25_segment_truncated, q26_segment_overlap, q27_slot_dispatch, q28_mini_batches, q29_prefix_limit, q30_external_transform,
         q31_video_probe, q32_chunk_set_skip, q33_summary_document, q34_wav_round_trip, q35_final_streams, q36_done_table, q37_report_texts, q38_settings, q39_filtered_samples, q40_resample_sinc, q41_loudness,
-        q42_keyframe_chunks, q43_limited_samples, q44_speech_segments, q45_denoised_samples,
+        q42_keyframe_chunks, q43_limited_samples, q44_speech_segments, q45_denoised_samples, q46_wav_ranges, q47_translated_texts,
     )
 }
 

@@ -60,6 +60,26 @@ def test_translation_keeps_blank_text(spark):
     assert [r.t for r in subtitles.translated(df, "t").collect()] == ["  ", "a\nb"]
 
 
+def test_distinct_texts_are_translated_once(spark):
+    """Calls and loads are counted; blank and null texts stay."""
+    seen, loads = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def load():
+        loads.add(1)
+
+        def model(texts):
+            seen.add(len(texts))
+            return texts.str.upper()
+
+        return model
+
+    rows = [(k, f" line {k % 7}\nend ", "x") for k in range(500)] + [(500, "  ", "x"), (501, None, "x")]
+    df = spark.createDataFrame(rows, "k long, t string, __other string").repartition(8)
+    got = {r.k: r.t for r in subtitles.translated_once(df, "t", load).collect()}
+    assert got == {k: f"LINE {k % 7}\nEND" for k in range(500)} | {500: "  ", 501: None}
+    assert seen.value == 7 and 1 <= loads.value <= 8
+
+
 def test_languages(spark):
     rows = [('{"result": {"language": "en"}}',), ('{"result":{"language":"es"}}',), ('{"result":{"language":"fr"}}',), ("{}",), ("not json",), (None,)]
     got = spark.createDataFrame(rows, "j string").select(subtitles.detected_language(F.col("j")).alias("l")).select("l", *subtitles.routes(F.col("l"))).collect()
