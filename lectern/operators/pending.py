@@ -61,3 +61,8 @@ def decisions(force_audio: Column, force_asr: Column, force_remux: Column, audio
         (~srt | ~json).alias("transcribe"),
         (force_remux | ~final).alias("remux"),
     ]
+
+
+def fatal(n_rows: Column, mode: Column, modes: tuple[str, ...]) -> Column:
+    """Why an item must not go on: nothing to work on, or a mode that is none; null where it may."""
+    return F.when(F.coalesce(n_rows, F.lit(0)) == 0, F.lit("no chunks")).when(~F.coalesce(mode.isin(*modes), F.lit(False)), F.concat(F.lit("invalid mode: "), F.coalesce(mode, F.lit("null"))))

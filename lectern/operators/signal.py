@@ -103,9 +103,10 @@ def resampled(chunks: DataFrame, keys: list[str], old_rate: int, new_rates: list
 
 
 def asr_ready(stereo: DataFrame, keys: list[str], left: str, right: str, old_rate: int = 48000, new_rate: int = 16000) -> DataFrame:
-    """(keys, rate, pos, v): what a recogniser takes - the mean of both channels, at its rate. One chunk for each signal."""
-    mono = stereo.select(*keys, downmix(F.col(left), F.col(right)).alias("mono"))
-    return resampled(whole(mono, keys, "mono"), keys, old_rate, [new_rate])
+    """(keys, rate, pos, v): what a recogniser takes - the mean of both channels, at its rate - from chunk rows (keys, start,
+    left, right) of signals of any length."""
+    mono = stereo.select(*keys, F.col("start").cast("bigint").alias("start"), downmix(F.col(left), F.col(right)).alias("samples"))
+    return resampled(haloed(mono, keys), keys, old_rate, [new_rate])
 
 
 def levels(chunks: DataFrame, keys: list[str]) -> DataFrame:

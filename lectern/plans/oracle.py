@@ -221,6 +221,8 @@ SELECT talk, pos, round_even(sum(y) / any_value(w[pos % 4 + 1] ** 2 + w[pos % 4
 SELECT talk, 48000 AS sample_rate, channel, frame - 100 AS pos, (round_even(greatest(-1.0::DOUBLE, least(1.0::DOUBLE, v * 4)) * 32767.0::DOUBLE, 0)::FLOAT / 32768::FLOAT)::DOUBLE AS v FROM s WHERE frame >= 100 AND frame < 1000""",
     "q47_translated_texts": f"""WITH t AS (SELECT conv_id, turn::INT AS turn, text AS content FROM conversations UNION ALL SELECT doc_id, -1, concat_ws(chr(10), lang, source) FROM documents)
 SELECT conv_id, turn, trim(translate(content, 'aeiou', 'uoiea'), chr(10) || ' ') AS content FROM t""",
+    "q48_fatal_checks": """WITH c AS (SELECT doc_id, count(*) AS n FROM labels GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_chunks, CASE WHEN n IS NULL THEN 'no chunks' WHEN lang IN ('en', 'es', 'de') THEN NULL ELSE 'invalid mode: ' || coalesce(lang, 'null') END AS fatal FROM documents LEFT JOIN c USING (doc_id)""",
     "q38_settings": """SELECT event_id, CASE WHEN event_id % 3 = 1 THEN event_type ELSE 'safe' END AS audio_mode, '300' AS chunk_seconds,
        ['sinc_fast', 'sinc_best', 'kaiser_fast', 'kaiser_best'][user_id % 4 + 1] AS asked_method, 'linear' AS used_method FROM events""",
 }

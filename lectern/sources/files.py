@@ -20,13 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def discovered(spark: SparkSession, folder: str, pattern: str, min_bytes: int = 0, required: bool = True) -> DataFrame:
-    """(path, name, stem, size) of the files of a folder that match and are larger than min_bytes. None at all is an error.
+    """(path, name, stem, size) of the files of a folder that match and are larger than min_bytes, by path. None is an error.
 
     Only the listing is read, not the contents.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).where(F.col("length") > min_bytes)
-    out = files.select("path", file_name(F.col("path")).alias("name"), stem(F.col("path")).alias("stem"), F.col("length").alias("size"))
-    if required and out.isEmpty():
+    out = files.select("path", file_name(F.col("path")).alias("name"), stem(F.col("path")).alias("stem"), F.col("length").alias("size")).orderBy("path")
+    if required and files.isEmpty():
         raise FileNotFoundError(f"no files match {pattern} in {folder}")
     return out
 
