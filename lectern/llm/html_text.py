@@ -3,8 +3,9 @@
 A page is read into blocks of text and the containers they lie in. Containers are scored by the running text of their
 blocks. Each page votes on the generalised path (tags and classes, digits as #) of its containers; Spark sums the votes of
 each host. Pages are then read again: the text is what lies below the containers on the host's winning path (a page
-without that path uses its own best container), with what is running text beside them - a lead, a headline - as long as
-they are not an article or main element yet.
+on which these hold little of what its own best container does uses that one), with what is running text beside them - a
+lead, a headline - as long as they are not an article or main element yet. Directly below body, containers of about the
+same size as the largest belong to it.
 
 Menus, forms, adverts, comments and the like are set aside by their tags and by whole words of their classes, ids and
 roles (sidebar, site-footer, comments-area; not with-sidebar, has-comments or search-result). What holds nearly all of a
@@ -28,6 +29,7 @@ from .common import tuned, written
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^<>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*+)>""", re.DOTALL)
 ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+ANCHOR = re.compile(r"\b(?:name|id)\s*=", re.IGNORECASE)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
 
 #: Tag names of the HTML standard by what they mean here.
@@ -54,6 +56,11 @@ COMMENTS = frozenset("comment comments reply replies respond".split())
 
 #: A page of which less than this part of a set-aside element's running text would be left takes that element back.
 LEAST_LEFT = 0.1
+#: The same for elements whose names say little of what they hold.
+WEAK, MOST_LEFT = frozenset("widget widgets search".split()), 0.5
+#: The host's path is left for the page's own best container where it holds less than this part of what that one holds. As
+#: much of the largest, and at most twice it, must another container beside it hold, directly below body, to belong to it.
+LEAST_OF_BEST = 0.3
 
 
 def names_of(attributes: str) -> tuple[list[str], set[str]]:
@@ -92,6 +99,7 @@ class Page:
         self.path: list[str] = []
         self.kind: list[str] = []
         self.aside_above: list[int] = []
+        self.aside_weak: list[bool] = []
         self._read(html or "")
         self._take_back()
 
@@ -101,7 +109,7 @@ class Page:
         stops: list[int] = []
         articles = 0  # open article and main elements
         inside, aside = -1, -1
-        in_link = links = 0
+        in_link = links = link_depth = 0
         parts: list[str] = []
 
         def close_block():
@@ -112,7 +120,9 @@ class Page:
             parts, links = [], 0
 
         def pop_to(depth):
-            nonlocal inside, aside, articles
+            nonlocal inside, aside, articles, in_link
+            if depth < link_depth:  # a link goes no further than the element it began in
+                in_link = 0
             while len(stack) > depth:
                 tag, container, away = stack.pop()
                 last[tag].pop()
@@ -149,7 +159,7 @@ class Page:
             closing = bool(m[1])
             if tag in INLINE:
                 if tag == "a":
-                    in_link = 0 if closing else 1
+                    in_link, link_depth = 0 if closing else int("href" in (m[3] or "").lower() or not ANCHOR.search(m[3] or "")), len(stack)
                 continue
             if tag == "br":
                 parts.append(" ")
@@ -165,7 +175,6 @@ class Page:
             if tag in VOID and tag != "hr":
                 continue
             close_block()
-            in_link = 0
             if tag == "hr":
                 continue
             if closing:
@@ -191,6 +200,7 @@ class Page:
             away = away and tag not in ("html", "body", "main")
             if away:
                 self.aside_above.append(aside)
+                self.aside_weak.append(tag not in LEFT_OUT and bool(said) and WEAK.issuperset(said))
                 aside = len(self.aside_above) - 1
             last.setdefault(tag, []).append(len(stack))
             if tag in STOPS:
@@ -207,9 +217,9 @@ class Page:
         own, left = [0.0] * n, 0.0
         for _, text, links, aside in self.blocks:
             if aside >= 0:
-                own[aside] += running(text, links)
+                own[aside] += running(len(text), links)
             else:
-                left += running(text, links)
+                left += running(len(text), links)
         whole = own[:]
         for k in range(n - 1, -1, -1):
             if self.aside_above[k] >= 0:
@@ -218,7 +228,7 @@ class Page:
         back = [False] * n
         for k in sorted(range(n), key=lambda k: -whole[k]):
             above = self.aside_above[k]
-            if whole[k] > 0 and (above < 0 or back[above]) and left < LEAST_LEFT * whole[k]:
+            if whole[k] > 0 and (above < 0 or back[above]) and left < (MOST_LEFT if self.aside_weak[k] else LEAST_LEFT) * whole[k]:
                 back[k] = True
                 left += own[k]
         self.blocks = [b for b in self.blocks if b[3] < 0 or back[b[3]]]
@@ -228,7 +238,7 @@ class Page:
         carried = [0.0] * len(self.above)
         for inside, text, links, _ in self.blocks:
             if inside >= 0:
-                carried[inside] += running(text, links)
+                carried[inside] += running(len(text), links)
         votes: dict[str, float] = {}
         for k in range(len(carried) - 1, -1, -1):
             if carried[k] > 0:
@@ -238,6 +248,16 @@ class Page:
         top = max(votes.values(), default=0.0)
         return {k: v / top for k, v in votes.items()} if top > 0 else {}
 
+    def _held(self, path: str | None, length: list[int], links: list[int]) -> float:
+        """Running text below the outermost containers with a path."""
+        inside, total = [False] * len(self.path), 0.0
+        for k, p in enumerate(self.path):
+            above = self.above[k] >= 0 and inside[self.above[k]]
+            inside[k] = above or p == path
+            if p == path and not above:
+                total += running(length[k], links[k])
+        return total
+
     def text(self, wanted: str | None) -> str:
         """What lies below the containers with the wanted path; without such, below the page's own best container."""
         n = len(self.above)
@@ -250,9 +270,11 @@ class Page:
             if self.above[k] >= 0:
                 length[self.above[k]] += length[k]
                 links[self.above[k]] += links[k]
-        if wanted is None or not any(p == wanted and length[k] for k, p in enumerate(self.path)):
-            votes = self.votes()
-            wanted = min(votes, key=lambda k: (-votes[k], k)) if votes else None
+        votes = self.votes()
+        best = min(votes, key=lambda k: (-votes[k], k)) if votes else None
+        there = wanted is not None and any(p == wanted and length[k] for k, p in enumerate(self.path))
+        if not there or best is not None and self._held(wanted, length, links) <= LEAST_OF_BEST * self._held(best, length, links):
+            wanted = best
         if wanted is None:
             return "\n".join(b[1] for b in self.blocks)
         chosen = [False] * n
@@ -269,6 +291,9 @@ class Page:
                     by.setdefault(self.above[k], []).append(k)
             for up, below_ in by.items():
                 if up < 0 or self.kind[up] in ("body", "html"):
+                    most = max(running(length[k], links[k]) for k in below_)
+                    more = [k for k in range(n) if self.above[k] == up and k not in at and max(1.0, LEAST_OF_BEST * most) <= running(length[k], links[k]) <= 2 * most]
+                    at.update(more)
                     continue
                 beside, in_links = length[up] - sum(length[k] for k in below_), links[up] - sum(links[k] for k in below_)
                 if 2 * (beside - in_links) >= beside:
@@ -281,9 +306,9 @@ class Page:
         return "\n".join(text for inside, text, _, _ in self.blocks if inside >= 0 and chosen[inside])
 
 
-def running(text: str, links: int) -> float:
+def running(length: int, links: int) -> float:
     """How much of a block is running text: links count against it, so lists of labels do not win."""
-    return max(0.0, len(text) - 2.0 * links)
+    return max(0.0, length - 2.0 * links)
 
 
 def host(url: F.Column) -> F.Column:

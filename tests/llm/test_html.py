@@ -52,9 +52,63 @@ def test_leads_and_headlines_stay(html):
 
 
 def test_the_hosts_path_wins():
-    page = Page("<body><div class=a><p>Short text.</p></div><div class=b><p>" + "Much longer text. " * 20 + "</p></div></body>")
+    page = Page("<body><div class=a><p>" + "Short text. " * 12 + "</p></div><div class=b><p>" + "Much longer text. " * 20 + "</p></div></body>")
     path = next(p for p in page.path if p.endswith(".a"))
-    assert page.text(path) == "Short text."
+    assert page.text(path) == " ".join(["Short text."] * 12)
+
+
+ARTICLE = [f"Paragraph {k} of the article goes on for a while, so that it is plainly running text and nothing else here." for k in range(13)]
+PARAS = "".join(f"<p>{p}</p>" for p in ARTICLE)
+
+
+def test_the_article_is_elsewhere_than_on_the_host():
+    page = Page(f"<body><div class=content><p>Short teaser.</p></div><div class=story>{PARAS}</div></body>")
+    path = next(p for p in page.path if p.endswith(".content"))
+    assert page.text(path) == "\n".join(ARTICLE)
+
+
+def test_names_that_say_little():
+    rest = "<p>" + "Other words. " * 16 + "</p>"
+    for html in (f"<div class=text-widget>{PARAS}</div><div>{rest}</div>", f"<div class=search>{PARAS}</div>{rest}"):
+        assert "\n".join(ARTICLE) in Page(f"<body>{html}</body>").text(None)
+
+
+def test_an_article_in_two_containers_below_body():
+    html = f"<body>{MENU}<div class=one>{''.join(f'<p>{p}</p>' for p in ARTICLE[:7])}</div><div class=ad>Buy.</div><div class=two>{''.join(f'<p>{p}</p>' for p in ARTICLE[7:])}</div></body>"
+    assert Page(html).text(None) == "\n".join(ARTICLE)
+
+
+def test_links_around_blocks_are_links():
+    for card in ("<a href=/x><div class=card>Title of another story</div></a>", "<div><a href=/x>Title of another story</a></div>"):
+        html = f"<body><div class=page><div class=post>{PARAS}</div><div class=more>{card * 12}</div></div></body>"
+        assert Page(html).text(None) == "\n".join(ARTICLE)
+    # An anchor that is never closed is no link; one with an address ends with the element it is in.
+    assert Page(f"<body><a name=top><div class=post>{PARAS}</div></body>").text(None) == "\n".join(ARTICLE)
+    assert Page(f"<body><p><a href=/x>Home<div class=post>{PARAS}</div></body>").text(None) == "\n".join(ARTICLE)
+
+
+def test_varied_layouts():
+    """Words of the article found, and words found that are of it, over random layouts of several hosts."""
+    import random
+    from collections import Counter
+
+    rng, scores = random.Random(3), []
+    for _ in range(300):
+        words = lambda n: " ".join(rng.choice("lorem ipsum dolor sit amet one two three four".split()) for _ in range(n))  # noqa: E731, B023
+        paras = [f"w{rng.randrange(10**6)} {words(rng.randint(8, 60))}." for _ in range(rng.randint(3, 12))]
+        cut = rng.randint(1, len(paras) - 1)
+        body = lambda ps: "".join(f"<p>{p}</p>" for p in ps)
+        kept = rng.choice([
+            f"<article>{body(paras)}</article>", f"<div class=post><div class=lead>{body(paras[:cut])}</div><div class=body>{body(paras[cut:])}</div></div>", f"<main><section>{body(paras[:cut])}</section><section>{body(paras[cut:])}</section></main>",
+            f"<div id=content><div class=text-widget>{body(paras)}</div></div>", f"<table><tr><td class=main-cell>{body(paras)}</td></tr></table>", f"<div class=story>{body(paras[:cut])}<div class=ad>{words(5)}</div>{body(paras[cut:])}</div>",
+        ])
+        links = "".join(f"<li><a href=/{k}>{words(4)}</a></li>" for k in range(rng.randint(3, 20)))
+        around = [f"<nav><ul>{links}</ul></nav>", f"<div class=sidebar><h3>{words(3)}</h3><p>{words(40)}</p></div>", f"<ul class=menu>{links}</ul>", f"<div class=links>{links}</div>", f"<footer><p>{words(20)}</p></footer>", f"<div class=cookie-notice><p>{words(25)}</p></div>", f"<section class=comments>{body([words(30)] * 5)}</section>", f"<form><p>{words(12)}</p></form>"]
+        before, after = rng.sample(around, 2), rng.sample(around, 3)
+        got, want = Counter(Page(f"<html><body>{''.join(before)}{kept}{''.join(after)}</body></html>").text(None).split()), Counter(" ".join(paras).split())
+        same = sum((got & want).values())
+        scores.append(2 * same / (got.total() + want.total()))
+    assert sum(scores) / len(scores) >= 0.97 and sum(s >= 0.999 for s in scores) >= 0.9 * len(scores)
 
 
 def test_depth_takes_linear_time():
