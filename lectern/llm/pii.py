@@ -7,12 +7,17 @@ identifier.
 
 Edge cases: null is an empty text. Spans of one kind never overlap, those of different kinds may. Repeated rows are
 treated each; extra columns pass through, and what is found lies in the column SPANS. All scans take time in proportion
-to the text: no pattern starts anew inside a run that it has failed on.
+to the text (times the logarithm of the number of spans): no pattern starts anew inside a run that it has failed on.
+
+What counts as a disguise is bounded: at most three spaces on either side of a bracketed sign and of its bracket; one space
+around a bare "at" or "dot"; one to three spaces or dashes between spelled digits; words that announce an address right
+before it, within CUE_CHARS characters. Wider ones are not taken for disguises.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -223,7 +228,19 @@ def spans_of(text: str | None) -> list[tuple[str, int, int, bool]]:
     """(kind, start, end, base) by kind as listed and start."""
     text = text or ""
     base = plain(text)
-    extra = [(k, a, b) for k, a, b in disguised(text) if not any(a < y and x < b for _, x, y in base)]
+    starts, ends = [], []  # of what base spans cover, without overlaps
+    for _, a, b in sorted(base, key=lambda x: x[1]):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+
+    def over(a: int, b: int) -> bool:
+        k = bisect_left(starts, b) - 1
+        return k >= 0 and ends[k] > a
+
+    extra = [(k, a, b) for k, a, b in disguised(text) if not over(a, b)]
     every = [(*x, True) for x in base] + [(*x, False) for x in dict.fromkeys(extra)]
     return sorted(every, key=lambda x: (KINDS.index(x[0]), x[1], x[2]))
 

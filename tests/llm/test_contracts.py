@@ -161,3 +161,16 @@ def test_sql(spark, sf, name):
     assert Counter(tuple(r[c] for c in want.columns) for r in rows) == Counter(want.fetchall())
     # sf0.1 has labels enough for certificates.
     assert name != "op10_quality_rules" or any(r.kept == r.base_failed for r in rows) == sf.endswith("sf0.1")
+
+
+def test_personal_data_in_linear_time():
+    """A megabyte of plain and disguised addresses, and of other identifiers side by side."""
+    import time
+
+    from lectern.llm.pii import spans_of
+
+    start = time.time()
+    found = spans_of("jane at example dot com and bob@site.org " * 26_000)
+    assert [x[:3] for x in found[:2]] == [("email", 0, 23), ("email", 28, 40)] and len(found) == 52_000
+    assert len(spans_of("+1 555 123 4567, 10.0.0.1 or five five five one two three four five six seven; " * 13_000)) >= 26_000
+    assert time.time() - start < 20
