@@ -7,16 +7,16 @@ whose members are groups of words by how they end; log p(word | group) is the wo
 over all words is the log pseudo-likelihood of a document, and the probabilities of all words of the corpus, given any
 two sides, add up to 1 less a count kept in each group for words not met.
 
-Training is data-parallel: each task takes one pass of gradient steps over all positions of all of its documents from a
-common start, the shares of the counts; Spark averages the rows of the weight tables, weighted by how often each task has
-met them. The counts grow with the corpus; the network has a fixed size: rare neighbours share rows by hash.
+Training is data-parallel: the texts are dealt by hash to shards of about SHARD_WORDS words, in order of hash; each shard
+takes one pass of gradient steps over all positions of all of its documents from a common start, the shares of the counts;
+Spark averages the rows of the weight tables, weighted by how often each shard has met them. The counts grow with the corpus; the network has a fixed size: rare neighbours share rows by hash.
 
 The LEXICON most frequent words are broadcast; the counts of the others are joined to the words of the documents, and
 as all words that are in many places are in the broadcast, no key of that join is large.
 
 Edge cases: null and empty texts have 0 words and a log probability of 0; their mean is null. Words beyond either end of a
 text are a padding word. Repeated rows are scored each, and count each time. Extra columns are not read. An empty table
-gives an empty result. Counts do not depend on how the input is split into tasks; weights do, and README says how much.
+gives an empty result. Neither counts nor weights depend on how the input is split into tasks.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from .common import Words, tuned, written
 
 LEXICON, HEAD, MEMBERS, RARE_ROWS, WIDTH, SIDE, SEED = 1 << 18, 4096, 64, 12288, 16, 2, 11
+#: Words that are trained on one after the other; the number of shards follows from the words of the corpus.
+SHARD_WORDS = 1 << 20
 RATE, START, STEP, CHUNK, COUNTED_AT_ONCE = 0.3, 0.1, 8192, 16384, 1 << 17
 
 
@@ -251,7 +253,12 @@ def trained(docs: DataFrame) -> tuple[tuple, dict[str, np.ndarray], DataFrame]:
             rows = np.flatnonzero(met[name])
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows)), pa.array(rows, type=pa.int64()), pa.array(met[name][rows], type=pa.int64()), pa.array(list(table[rows]), type=pa.list_(pa.float32()))], names=["name", "row", "weight", "v"])
 
-    sent = docs.select("text").mapInArrow(run, "name string, row long, weight long, v array<float>")
+    # Which texts train together, and in which order, follows from their hashes and the number of words, not from how the
+    # input is split: more machines or files leave the model as it is.
+    shards = max(1, -(-(counts.agg(F.sum("n")).first()[0] or 0) // SHARD_WORDS))
+    place = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit("")))
+    texts = docs.select("text", place.alias("place")).where(F.col("text").isNotNull()).repartition(shards, "place").sortWithinPartitions("place").select("text")
+    sent = texts.mapInArrow(run, "name string, row long, weight long, v array<float>")
     share = F.col("weight").cast("double")
     means = sent.groupBy("name", "row").agg(F.array(*[F.sum(F.get("v", F.lit(k)) * share) / F.sum(share) for k in range(2 * WIDTH)]).alias("v"))
     tables = {name: table.copy() for name, table in Window(Lexicon(*parts)).rows().items()}

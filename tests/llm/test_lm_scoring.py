@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from lectern.llm import common, lm_scoring
 
@@ -93,10 +94,18 @@ def test_scores_by_brute_force(spark, monkeypatch):
         assert math.isclose(got[d].log_probability, total, rel_tol=1e-4), d
 
 
-def test_the_input_split_matters_little(spark):
-    df = spark.createDataFrame(topical(2000, 3), KIND)
-    one, four = ({r.doc_id: r.mean for r in lm_scoring.report(df.repartition(k, "doc_id")).collect()} for k in (1, 4))
-    assert max(abs(one[k] - four[k]) for k in one) < 0.6
+@pytest.mark.parametrize("words", [1 << 20, 20_000])
+def test_the_input_split_does_not_matter(spark, monkeypatch, words):
+    """The same scores for 1, 4 and 16 tasks, with one shard and with several."""
+    monkeypatch.setattr(lm_scoring, "SHARD_WORDS", words)
+    rng = random.Random(8)
+    topics = [[f"t{t}w{k}" for k in range(40)] for t in range(6)]
+    docs = [(i, " ".join(rng.choice(topics[i % 6]) for _ in range(60))) for i in range(1200)]
+    found = []
+    for parts in (1, 4, 16):
+        df = spark.createDataFrame(docs, "doc_id long, text string").repartition(parts)
+        found.append({r.doc_id: r["mean"] for r in lm_scoring.report(df).collect()})
+    assert all(max(abs(found[0][k] - x[k]) for k in x) < 1e-6 for x in found[1:])
 
 
 def test_words_of_one_hash_have_their_own_counts(spark):
