@@ -162,14 +162,18 @@ def _with_copies(rows: DataFrame, sorts: DataFrame, keys: list[str], names: dict
     for a, b in zip(keys, mine):
         alike = alike & F.col(a).eqNullSafe(F.col(b))
     repeated = sorts.where("n > 1").count()
-    first = rows.join(held.where(f"`{n}` = 1") if repeated else held, alike).drop(*mine).withColumn(names["copies"], F.col(whole) + F.col(more))
+    # The most repeated sorts, whose number is bounded, are told apart before any shuffle; no other has many rows.
+    often = held.where(f"`{n}` > 1")
+    top = F.broadcast(often.orderBy(F.desc(n), *mine).limit(FEW_SORTS)) if repeated > FEW_SORTS else F.broadcast(often)
+    others = rows.join(top, alike, "left_anti") if repeated else rows
+    first = others.join(held.where(f"`{n}` = 1") if repeated else held, alike).drop(*mine).withColumn(names["copies"], F.col(whole) + F.col(more))
     if not repeated:
         return first.drop(n, whole, more).withColumn(names["taken"], F.col(names["copies"]) * F.col(names["size"]))
     # Alike rows are numbered in parts, so that no task sees all rows of one sort; they are written, so parts stay as they are.
-    often = held.where(f"`{n}` > 1")
-    often = F.broadcast(often) if repeated <= FEW_SORTS else often
     part, turn, before = (f"{names['copies']}_{c}" for c in ("part", "turn", "before"))
-    many = written(rows.join(often, alike).drop(*mine).withColumn(part, F.pmod(F.monotonically_increasing_id(), F.lit(FAN_IN))), "alike")
+    many = rows.join(top, alike)
+    many = many.unionByName(others.join(often, alike)) if repeated > FEW_SORTS else many
+    many = written(many.drop(*mine).withColumn(part, F.pmod(F.monotonically_increasing_id(), F.lit(FAN_IN))), "alike")
     counts = many.groupBy(*keys, part).agg(F.count(F.lit(1)).alias(turn))
     counts = counts.select(*[F.col(k).alias(m) for k, m in zip(keys, mine)], F.col(part).alias(part + "_"), (F.sum(turn).over(Window.partitionBy(*keys).orderBy(part)) - F.col(turn)).alias(before))
     many = many.withColumn(turn, F.row_number().over(Window.partitionBy(*keys, part).orderBy(F.lit(1)))).join(counts, alike & (F.col(part) == F.col(part + "_"))).drop(*mine, part + "_")

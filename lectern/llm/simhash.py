@@ -218,8 +218,9 @@ def one_each(docs: DataFrame) -> DataFrame:
     chosen = best.select(F.col("b.none").alias(none), F.coalesce("b.id", F.lit(0)).alias(some), F.col("b.hash").alias(text)).distinct()
     names = [f"`{x}`" for x in docs.columns]
     rows = docs.select(*names, F.col("doc_id").isNull().alias(none), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias(some), F.xxhash64(F.coalesce("text", F.lit(""))).alias(text))
-    # Repeated rows have the same id and text: one of them stays. Both steps use one shuffle, as their keys are the same.
-    return rows.join(written(chosen, "chosen"), keys, "left_semi").dropDuplicates(keys).select(*names)
+    # Repeated rows have the same id and text: one of them stays, and of a task's own only one leaves it, however many there
+    # are. Both steps use one shuffle, as their keys are the same.
+    return rows.dropDuplicates(keys).join(written(chosen, "chosen"), keys, "left_semi").select(*names)
 
 
 def report(docs: DataFrame) -> DataFrame:
