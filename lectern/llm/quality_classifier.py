@@ -173,22 +173,23 @@ def context_vectors(rows: DataFrame, pieces: list[str]) -> np.ndarray:
             flat = np.fromiter((i for c in cut for i in c), dtype=np.int64)
             sizes = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
             starts = np.cumsum(sizes) - sizes
-            text = np.repeat(np.arange(len(words.counts)), words.counts)
-            for k in range(0, len(text), AT_ONCE):  # neighbours across two of these stretches are left out
-                index = words.index[k : k + AT_ONCE]
-                n = sizes[index]
-                seq = flat[np.arange(n.sum()) + np.repeat(starts[index] - (np.cumsum(n) - n), n)]
-                of = np.repeat(text[k : k + AT_ONCE], n)
-                if len(seq) < 3:
-                    continue
-                near = np.zeros((len(seq), DIMENSIONS), dtype=np.float32)
+            n = sizes[words.index]
+            seq = flat[np.arange(n.sum()) + np.repeat(starts[words.index] - (np.cumsum(n) - n), n)]
+            of = np.repeat(np.repeat(np.arange(len(words.counts)), words.counts), n)
+            for k in range(0, len(seq), AT_ONCE):
+                # A stretch of pieces, with the two before it and behind it as neighbours only.
+                low, high = max(0, k - 2), min(len(seq), k + AT_ONCE + 2)
+                part, text = seq[low:high], of[low:high]
+                near = np.zeros((len(part), DIMENSIONS), dtype=np.float32)
                 for d in (1, 2):
-                    same = (of[d:] == of[:-d])[:, None]
-                    near[d:] += own[seq[:-d]] * same
-                    near[:-d] += own[seq[d:]] * same
-                order = np.argsort(seq, kind="stable")
-                first = np.flatnonzero(np.diff(seq[order], prepend=-1))
-                total[seq[order][first]] += np.add.reduceat(near[order], first, axis=0)
+                    if len(part) > d:
+                        same = (text[d:] == text[:-d])[:, None]
+                        near[d:] += own[part[:-d]] * same
+                        near[:-d] += own[part[d:]] * same
+                part, near = part[k - low : k - low + AT_ONCE], near[k - low : k - low + AT_ONCE]
+                order = np.argsort(part, kind="stable")
+                first = np.flatnonzero(np.diff(part[order], prepend=-1))
+                total[part[order][first]] += np.add.reduceat(near[order], first, axis=0)
         used = np.flatnonzero(np.abs(total).sum(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(used, type=pa.int64()), pa.array(total[used].astype(np.float64).tolist(), type=pa.list_(pa.float64()))], names=["id", "v"])
 
