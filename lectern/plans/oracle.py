@@ -223,6 +223,15 @@ SELECT talk, 48000 AS sample_rate, channel, frame - 100 AS pos, (round_even(grea
 SELECT conv_id, turn, trim(translate(content, 'aeiou', 'uoiea'), chr(10) || ' ') AS content FROM t""",
     "q48_fatal_checks": """WITH c AS (SELECT doc_id, count(*) AS n FROM labels GROUP BY 1)
 SELECT doc_id, coalesce(n, 0) AS n_chunks, CASE WHEN n IS NULL THEN 'no chunks' WHEN lang IN ('en', 'es', 'de') THEN NULL ELSE 'invalid mode: ' || coalesce(lang, 'null') END AS fatal FROM documents LEFT JOIN c USING (doc_id)""",
+    "q49_chain_samples": f"""WITH RECURSIVE {SIGNALS.replace("signals AS", "plain AS")}, signals AS (SELECT talk, list_transform(x, lambda v: v * 4) AS x FROM plain),
+{sections("SELECT talk, 'h' AS kind, 70.0::DOUBLE AS f, 0.707::DOUBLE AS q, 0 AS place FROM signals UNION ALL SELECT talk, 'l', 300, 0.707, 1 FROM signals", 1000)}, {RUN},
+p AS (SELECT talk, i, CASE WHEN i BETWEEN 0 AND len(y) - 1 THEN y[i + 1] END AS v FROM done, range(-10, 300) r(i) WHERE i < len(y) + 10),
+g AS (SELECT *, CASE WHEN abs(v) > 0.5 THEN 0.5::DOUBLE / abs(v) ELSE 1.0::DOUBLE END AS need FROM p),
+l AS (SELECT *, min(need) OVER (PARTITION BY talk ORDER BY i ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING) AS least_ FROM g),
+m AS (SELECT *, avg(least_) OVER (PARTITION BY talk ORDER BY i ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING) AS gain FROM l),
+x2 AS (SELECT talk, list(v * gain ORDER BY i) AS x FROM m WHERE v IS NOT NULL GROUP BY 1), c AS (SELECT cos(2 * pi() * 50 / 1000::DOUBLE) AS c, sin(2 * pi() * 50 / 1000::DOUBLE) / 16 AS al),
+z AS (SELECT talk, list_reduce(x, lambda s, v: {{'l': list_append(s.l, v / (1 + al) + s.p), 'p': -2 * c / (1 + al) * v + 2 * c / (1 + al) * (v / (1 + al) + s.p) + s.q, 'q': v / (1 + al) - (1 - al) / (1 + al) * (v / (1 + al) + s.p)}}, {{'l': []::DOUBLE[], 'p': 0.0::DOUBLE, 'q': 0.0::DOUBLE}}).l AS y FROM x2, c)
+SELECT talk, i AS pos, round_even(y[i + 1] * 1e6::DOUBLE, 0)::BIGINT AS micro FROM z, range(0, 256) r(i) WHERE i < len(y)""",
     "q38_settings": """SELECT event_id, CASE WHEN event_id % 3 = 1 THEN event_type ELSE 'safe' END AS audio_mode, '300' AS chunk_seconds,
        ['sinc_fast', 'sinc_best', 'kaiser_fast', 'kaiser_best'][user_id % 4 + 1] AS asked_method, 'linear' AS used_method FROM events""",
 }

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import signal as sig
 from lectern.functions import text as txt
-from lectern.operators import dynamics, filters, loudness, mux, pending, plugins, recurrent, resampling, segments, signal, spectral, speech, subtitles, summary
+from lectern.operators import chains, dynamics, filters, loudness, mux, pending, plugins, recurrent, resampling, segments, signal, spectral, speech, subtitles, summary
 from lectern.sources import files, media
 from lectern.sources.files import table
 from lectern.sources.shared import new_path
@@ -407,6 +407,12 @@ def q48_fatal_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.coalesce("n", F.lit(0)).alias("n_chunks"), pending.fatal(F.col("n"), F.col("lang"), ("en", "es", "de")).alias("fatal"))
 
 
+def q49_chain_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loud signals through a chain with recurrent filters before and after a limiter."""
+    loud = _talk_chunks(spark, sf_dir, 96).withColumn("samples", F.transform("samples", lambda v: v * 4))
+    return _samples(chains.applied(loud, ["talk"], 1000, "highpass=f=70,lowpass=f=300,alimiter=limit=0.5,anull,bandreject=f=50:w=8"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -414,7 +420,7 @@ QUERIES: dict[str, Query] = {
         q11_srt_cues, q12_srt_translate_roundtrip, q13_language_route, q14_package_lookup, q15_batch_summary, q15b_batch_json, q16_regen_decisions, q17_filter_chain, q18_container_path, q19_clamp_and_shape, q20_downmix,
         q20b_audio_metadata, q21_resample_linear, q21b_asr_audio, q22_level_normalise, q22b_normalised_samples, q23_progress_eta, q24_crossfade_concat, q25_segment_truncated, q26_segment_overlap, q27_slot_dispatch, q28_mini_batches, q29_prefix_limit, q30_external_transform,
         q31_video_probe, q32_chunk_set_skip, q33_summary_document, q34_wav_round_trip, q35_final_streams, q36_done_table, q37_report_texts, q38_settings, q39_filtered_samples, q40_resample_sinc, q41_loudness,
-        q42_keyframe_chunks, q43_limited_samples, q44_speech_segments, q45_denoised_samples, q46_wav_ranges, q47_translated_texts, q48_fatal_checks,
+        q42_keyframe_chunks, q43_limited_samples, q44_speech_segments, q45_denoised_samples, q46_wav_ranges, q47_translated_texts, q48_fatal_checks, q49_chain_samples,
     )
 }
 

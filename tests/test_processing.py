@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from lectern.operators import dynamics, segments, spectral, speech
+from lectern.operators import chains, dynamics, loudness, recurrent, segments, spectral, speech
 
 from tests.test_loudness import cut, joined
 
@@ -89,3 +89,24 @@ def test_keyframes(spark):
             if after and after[0] < d and after[0] not in starts:
                 starts.append(after[0])
         assert got.get(k, []) == [(i, a, b) for i, (a, b) in enumerate(zip(starts, starts[1:] + [d]))]
+
+
+def test_chains_are_their_stages_one_after_the_other(spark):
+    rng = np.random.default_rng(6)
+    x = {1: rng.normal(0, 0.3, 24000) + np.sin(np.arange(24000) * 0.01), 2: rng.normal(0, 0.01, 9000)}
+    df, rate = cut(spark, x, 3000, rng), 16000
+    for chain in (chains.SAFE, chains.POST, chains.OLDER_POST, "anull", "lowpass=f=3000,alimiter"):
+        want = df
+        for part in chain.split(","):
+            if part.startswith(("highpass", "lowpass")):
+                want = recurrent.filtered(want, ["k"], rate, part)
+            elif part.startswith("afftdn"):
+                want = spectral.denoised(want, ["k"], 6.0, -35.0)
+            elif part.startswith("loudnorm"):
+                want = loudness.normalised(want, ["k"], rate, *((-16.0, -1.5) if "-16" in part else (-24.0, -3.0)))
+            elif part.startswith("alimiter"):
+                want = dynamics.limited(want, ["k"], rate)
+        got, want = joined(chains.applied(df, ["k"], rate, chain)), joined(want)
+        assert set(got) == set(want) == set(x) and all(got[k] == pytest.approx(want[k], abs=1e-9) for k in x)
+    with pytest.raises(ValueError):
+        chains.applied(df, ["k"], rate, "highpass=f=70,echo=1")
