@@ -45,14 +45,16 @@ def overlapping(df: DataFrame, duration: str, chunk: int, overlap: int) -> DataF
 
 
 def ranked(df: DataFrame, order: str, name: str, rows_a_range: int = 1 << 20) -> DataFrame:
-    """df with name: each row's place (from 0) in the order of a column, nulls first, ties by chance; no task sees all rows.
+    """df with name: each row's place (from 0) in the order of a column, nulls first, ties by a hash of the whole row; no
+    task sees all rows, and however the input is split, places are the same (but among rows that are the same throughout).
 
-    Rows are dealt to sorted ranges - rows of one value too, by a random second key - and written once, each with its range
+    Rows are dealt to sorted ranges - rows of one value too, by the hash, and equal ones by chance - and written once, each with its range
     and its number in it. Counts and places then come from the same table; the counts, one short row for each range of
     rows_a_range rows, give where a range starts.
     """
     parts = max(1, -(-df.count() // rows_a_range))
-    dealt = df.withColumn("__tie", F.rand(7)).repartitionByRange(parts, order, "__tie").sortWithinPartitions(order, "__tie").drop("__tie")
+    hashed = F.xxhash64(*[c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind])
+    dealt = df.withColumn("__hash", hashed).withColumn("__tie", F.rand(7)).repartitionByRange(parts, order, "__hash", "__tie").sortWithinPartitions(order, "__hash").drop("__hash", "__tie")
     ranged = written(dealt.withColumn("__at", F.monotonically_increasing_id()), "ranged")
     part, inside = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
     counts = ranged.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))

@@ -21,8 +21,31 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: The session's setting with the name of its own folder for scratch tables.
+RUN = "spark.lectern.run"
+
+
+def run_folder(spark: SparkSession) -> str:
+    """The session's own folder in the shared one; all scratch tables lie below it."""
+    name = spark.conf.get(RUN, None)
+    if not name:
+        name = f"run-{uuid.uuid4().hex}"
+        spark.conf.set(RUN, name)
+    return f"{shared_folder(spark)}/{name}"
+
+
+def drop_run(spark: SparkSession) -> bool:
+    """Deletes the session's scratch tables; whether there were any. Results that have not been written elsewhere go with
+    them. A new folder is begun when it is needed."""
+    if not spark.conf.get(RUN, None):
+        return False
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    spark.conf.unset(RUN)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -110,6 +110,12 @@ def test_ranked_and_batches(spark):
     assert [(r.i, r.place, r.batch_id) for r in sorted(got)] == [(v, k, k // 200) for k, v in enumerate(sorted(ids))]
 
 
+def test_ties_have_the_same_places_however_the_input_is_split(spark):
+    df = spark.range(3000).select(F.col("id"), (F.col("id") % 3).alias("k"))
+    one, other = ({r.id: r.place for r in segments.ranked(df.repartition(n), "k", "place", 700).collect()} for n in (1, 7))
+    assert one == other and sorted(one.values()) == list(range(3000))
+
+
 def test_ranks_with_a_payload(spark):
     """Three million rows, a third of them with one value: each place once, in order."""
     n = 3_000_000

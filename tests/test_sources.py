@@ -1,5 +1,7 @@
 """Files in and out, and the streams."""
 
+import os
+
 import pytest
 from lectern.sources import files
 from lectern.streaming import chunks
@@ -74,3 +76,16 @@ def test_streams(spark, sf, tmp_path):
     once = chunks.pending_once(rows, "event_id").writeStream.format("memory").queryName("once").option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start()
     once.awaitTermination(120)
     assert spark.table("once").count() == events.count()
+
+
+def test_scratch_can_be_dropped(spark):
+    from lectern.sources import shared
+
+    spark = spark.newSession()  # the other tests' tables stay
+    at = shared.new_path(spark, "x")
+    assert at.startswith(shared.run_folder(spark) + "/x-")
+    spark.range(3).write.parquet(at)
+    assert spark.read.parquet(at).count() == 3
+    assert shared.drop_run(spark) and not shared.drop_run(spark)
+    assert not os.path.exists(at.removeprefix("file://"))
+    assert shared.new_path(spark, "x").rsplit("/", 1)[0] != at.rsplit("/", 1)[0]
