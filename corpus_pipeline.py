@@ -1,4 +1,10 @@
-"""The corpus pipeline: five operators of the llm subpackage, one after the other over all documents."""
+"""The corpus pipeline: five operators of the llm subpackage, one after the other over all documents.
+
+Each stage takes any table with doc_id, text, lang and source. A null or empty text fails the quality rules; in the other
+stages it is kept like any text (of several documents without words one stays, as their fingerprints are equal). Null ids,
+languages and sources are values of their own. Repeated rows: all pass quality or none, one stays after near-dedup. Extra
+columns pass through all stages; stages choose names for their own that no column has. An empty table gives an empty one,
+with the columns of the stage. Rows that a stage keeps are unchanged, but for masking, which changes text and n_chars."""
 
 from __future__ import annotations
 

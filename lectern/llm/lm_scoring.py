@@ -17,6 +17,7 @@ as all words that are in many places are in the broadcast, no key of that join i
 Edge cases: null and empty texts have 0 words and a log probability of 0; their mean is null. Words beyond either end of a
 text are a padding word. Repeated rows are scored each, and count each time. Extra columns are not read. An empty table
 gives an empty result. Neither counts nor weights depend on how the input is split into tasks.
+Ids must be whole numbers, or texts of such: any other ends the job.
 """
 
 from __future__ import annotations

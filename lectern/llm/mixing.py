@@ -15,6 +15,7 @@ Edge cases: a null text has size 0; documents of size 0 are taken 0 words. A nul
 all others. Repeated rows and ids are documents of their own. With no words at all every target is 0. An empty table gives
 an empty result. Draws come from hashes of ids, texts and sources, so reruns agree; which of several alike rows is taken
 is left open. mix() keeps all columns of the documents; where one begins like a new one, underscores are added to the new.
+Ids must be whole numbers, or texts of such: any other ends the job.
 """
 
 from __future__ import annotations

@@ -12,6 +12,7 @@ VOCABULARY is the size of the table of neighbour sums. Every document is scored
 Edge cases: null and empty texts have the zero vector and a score like any other. Null labels and ids are not learned
 from. With no training rows all scores are 0.5; with one class only they are near that class. Repeated rows get equal
 scores; an empty table gives an empty result.
+Ids must be whole numbers, or texts of such: any other ends the job.
 """
 
 from __future__ import annotations

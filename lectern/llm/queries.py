@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontamination, divergence, html_text, lm_scoring, mixing, neighbours, pii, quality_classifier, quality_rules, secrets, simhash, spelling, warc
-from .common import table
+from .common import SPACES, table
 from .sql import oracle_sql
 
 __all__ = ["oracle_sql", "queries"]
@@ -50,14 +50,26 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
-def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+def _judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = quality_rules.measured(docs.select("doc_id", "lang", "text"), keep_text=False)
     q = lambda name: F.col(f"{quality_rules.QUALITY}.{name}").alias(name)
-    out = quality_rules.judged(rows, quality_rules.certified(rows, table(spark, sf_dir, "labels")))
+    out = quality_rules.judged(rows, quality_rules.certified(rows, labels))
     return out.select("doc_id", *map(q, ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10b_certified_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As op10, with a label for each document: bad where more than a twentieth of the characters are signs. So
+    a language has enough labels for certificates in small tables too."""
+    docs = table(spark, sf_dir, "documents")
+    text = F.coalesce("text", F.lit(""))
+    loud = F.regexp_count(text, F.lit("[#*$%&|<>]")) * 20 > F.char_length(F.regexp_replace(text, SPACES, ""))
+    return _judged(docs, docs.select("doc_id", F.when(loud, 0).otherwise(1).alias("quality")))
+
+
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
@@ -82,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_pii": op9_pii,
         "op10_quality_rules": op10_quality_rules,
+        "op10b_certified_rules": op10b_certified_rules,
         "op11_spelling_variants": op11_spelling_variants,
         "op12_nearest_vectors": op12_nearest_vectors,
         "op13_source_divergence": op13_source_divergence,

@@ -15,6 +15,7 @@ Equal texts share a fingerprint and are one vertex, however many there are; fing
 back by broadcast, as there can be only few of them. component_id is the smallest id that is not null; it is null if all
 ids of the component are. Repeated rows are kept (one_each keeps one). An empty table gives an empty result. Columns pass
 through one_each unchanged, whatever their names.
+Ids must be whole numbers, or texts of such: any other ends the job.
 """
 
 from __future__ import annotations

@@ -94,5 +94,14 @@ UNION ALL SELECT * FROM (SELECT lang, source, 'term' AS part, item, value, (row_
 """
 
 
+PLANTED = rf"""
+WITH planted AS (SELECT doc_id, CASE WHEN len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]')) * 20 > length(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) THEN 0 ELSE 1 END AS quality FROM documents),
+"""
+
+
+def certified_rules() -> str:
+    return PLANTED + quality_rules().replace("WITH d AS", "d AS", 1).replace("FROM labels", "FROM planted")
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontamination": DECONTAMINATION, "op10_quality_rules": quality_rules(), "op11_spelling_variants": SPELLING, "op13_source_divergence": DIVERGENCE}
+    return {"op4_decontamination": DECONTAMINATION, "op10_quality_rules": quality_rules(), "op10b_certified_rules": certified_rules(), "op11_spelling_variants": SPELLING, "op13_source_divergence": DIVERGENCE}
