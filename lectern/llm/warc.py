@@ -24,9 +24,10 @@ from pyspark.sql import functions as F
 
 from .common import new_path, tuned, written
 
-FILE_BYTES, FAN_BITS, FILE_BITS = 8 << 20, 4, 20
+FILE_BYTES, FAN_BITS, FILE_BITS = 64 << 20, 4, 20
 #: Children of a node; files of one task at most.
 FAN_OUT, FILES_A_PART = 1 << FAN_BITS, 1 << FILE_BITS
+FILES_A_TASK = 16
 END = "\r\n\r\n"
 #: Each member has less than 16 MB, so the last byte of its size is 0; larger records have several.
 MAGIC, MEMBER_BYTES, READ_BYTES = b"\x1f\x8b\x08\x04", (1 << 24) - 1, 1 << 13
@@ -93,7 +94,10 @@ def member(data: bytes, ordinal: int, part: int) -> bytes:
 
 def write_files(records: DataFrame, path: str) -> None:
     """One WARC file for each file number, below file=N, with a gzip member for each record. A file never spans two tasks."""
-    n = max(1, records.select("file").distinct().count())  # so that a task has a few files, however many there are
+    # A task for each file, as long as they are few; of many, a task has FILES_A_TASK, of about a gigabyte together. Layout is
+    # read from its table, not made again: a second scan may be split otherwise once an executor is lost.
+    files = records.select("file").distinct().count()
+    n = max(1, min(files, max(int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")), files // FILES_A_TASK)))
 
     def run(batches):
         import pyarrow as pa
