@@ -70,6 +70,21 @@ def op10b_certified_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(docs, docs.select("doc_id", F.when(loud, 0).otherwise(1).alias("quality")))
 
 
+# Those columns of op6, op8 and op9 that SQL can say, from the same rows.
+
+
+def op6b_base_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_secrets(spark, sf_dir).drop("spans")
+
+
+def op8b_mixing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_mixing(spark, sf_dir).select("doc_id", "size", "source_size", "target")
+
+
+def op9b_base_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_pii(spark, sf_dir).drop("spans")
+
+
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
@@ -95,6 +110,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_pii": op9_pii,
         "op10_quality_rules": op10_quality_rules,
         "op10b_certified_rules": op10b_certified_rules,
+        "op6b_base_secrets": op6b_base_secrets,
+        "op8b_mixing_targets": op8b_mixing_targets,
+        "op9b_base_personal_data": op9b_base_personal_data,
         "op11_spelling_variants": op11_spelling_variants,
         "op12_nearest_vectors": op12_nearest_vectors,
         "op13_source_divergence": op13_source_divergence,

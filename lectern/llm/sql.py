@@ -103,5 +103,51 @@ def certified_rules() -> str:
     return PLANTED + quality_rules().replace("WITH d AS", "d AS", 1).replace("FROM labels", "FROM planted")
 
 
+def places(name: str, pattern: str, no: int, kept: str = "true", group: int = 0) -> str:
+    """Rows (rid, no, kind, s, e) of the matches of a pattern in t, with value as what a group of it holds."""
+    return rf"""SELECT rid, {no} AS no, '{name}' AS kind, x.s, x.e FROM (SELECT rid, v, unnest(list_reduce(range(1, len(m) + 1), lambda a, i: {{'at': a.at + length(p[i]) + length(m[i]),
+  'l': list_append(a.l, {{'s': a.at + length(p[i]), 'e': a.at + length(p[i]) + length(m[i]), 'i': i}})}}, {{'at': 0::BIGINT, 'l': []::STRUCT(s BIGINT, e BIGINT, i BIGINT)[]}}).l) AS x
+  FROM (SELECT rid, string_split_regex(t, '{pattern}') AS p, regexp_extract_all(t, '{pattern}') AS m, regexp_extract_all(t, '{pattern}', {group}) AS v FROM d)) y, LATERAL (SELECT v[x.i] AS value) z WHERE {kept}"""
+
+
+def base(found: list[str], kinds: list[str], order: str) -> str:
+    counts = ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in kinds)
+    named = ", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in kinds)
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents), f AS ({" UNION ALL ".join(found)}),
+g AS (SELECT rid, {counts}, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY {order}) AS spans FROM f GROUP BY rid)
+SELECT doc_id, {named}, sha256(coalesce(spans, '')) AS base_sha256 FROM d LEFT JOIN g USING (rid)
+"""
+
+
+def base_secrets() -> str:
+    assign = r"(?i:password|passwd|secret|token|api_?key)[\x22\x27]?\x20*[:=]\x20*[\x22\x27]?([A-Za-z0-9+/_.=-]+)"
+    found = [places("assign", assign, 0, "length(value) >= 6", 1), places("access", "AKIA[A-Z0-9]+", 1, "length(value) >= 20"), places("hex", "[0-9a-f]{24,}", 2)]
+    return base(found, ["assign", "access", "hex"], "s, no")
+
+
+def base_personal_data() -> str:
+    digits = "regexp_replace(value, '[^0-9]', '', 'g')"
+    luhn = f"list_sum(list_transform(range(0, length({digits})), lambda k: CASE WHEN k % 2 = 0 THEN {digits}[-1 - k]::INT WHEN {digits}[-1 - k]::INT > 4 THEN 2 * {digits}[-1 - k]::INT - 9 ELSE 2 * {digits}[-1 - k]::INT END)) % 10 = 0"
+    found = [
+        places("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", 0),
+        places("ip", r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", 1, "len(list_filter(string_split(value, '.'), lambda q: length(ltrim(q, '0')) > 3 OR coalesce(try_cast(nullif(ltrim(q, '0'), '') AS INT), 0) > 255)) = 0"),
+        places("card", r"[0-9](?:[\x20-]?[0-9])+", 2, f"CASE WHEN length({digits}) BETWEEN 13 AND 19 THEN {luhn} ELSE false END"),
+        places("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 3, f"length({digits}) BETWEEN 9 AND 15"),
+    ]
+    return base(found, ["email", "ip", "card", "phone"], "no, s")
+
+
+MIXING_TARGETS = r"""
+WITH RECURSIVE d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM d GROUP BY source),
+it AS (SELECT 0 AS k, (SELECT sum(source_size)::DOUBLE / sum(w)::DOUBLE FROM s) AS level, -1::BIGINT AS n
+  UNION ALL SELECT k + 1, (t.total - t.words)::DOUBLE / t.rest::DOUBLE, t.n FROM it, LATERAL (SELECT count(*) FILTER (source_size * 3 < w * it.level) AS n, coalesce(sum(source_size * 3) FILTER (source_size * 3 < w * it.level), 0) AS words,
+    coalesce(sum(w) FILTER (NOT source_size * 3 < w * it.level), 0) AS rest, sum(source_size) AS total FROM s) t WHERE t.n <> it.n AND t.rest > 0),
+l AS (SELECT arg_max(level, k) AS level FROM it)
+SELECT doc_id, size, source_size, least(source_size * 3.0::DOUBLE, w * level) AS target FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source, l
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontamination": DECONTAMINATION, "op10_quality_rules": quality_rules(), "op10b_certified_rules": certified_rules(), "op11_spelling_variants": SPELLING, "op13_source_divergence": DIVERGENCE}
+    return {"op4_decontamination": DECONTAMINATION, "op10_quality_rules": quality_rules(), "op10b_certified_rules": certified_rules(), "op6b_base_secrets": base_secrets(), "op8b_mixing_targets": MIXING_TARGETS, "op9b_base_personal_data": base_personal_data(), "op11_spelling_variants": SPELLING, "op13_source_divergence": DIVERGENCE}
