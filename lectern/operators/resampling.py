@@ -5,6 +5,9 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lectern.functions.signal import downmix
 
 from .signal import mapped, tiled
 
@@ -58,3 +61,9 @@ def sinc_resampled(chunks: DataFrame, keys: list[str], old_rate: int, new_rate:
         return number * blocks * new, (windows @ weights.T).ravel()[: -(-core * new // old)]
 
     return mapped(tiled(chunks, keys, size, halo, halo), keys, size, made)
+
+
+def converted(stereo: DataFrame, keys: list[str], left: str, right: str, old_rate: int, new_rate: int = 48000, method: str = "sinc_fast") -> DataFrame:
+    """(keys, start, samples): the audio that is worked on, from chunk rows (keys, start, left, right): one channel, at one rate."""
+    mono = stereo.select(*keys, F.col("start").cast("bigint").alias("start"), downmix(F.col(left), F.col(right)).alias("samples"))
+    return sinc_resampled(mono, keys, old_rate, new_rate, method)

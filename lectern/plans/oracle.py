@@ -232,6 +232,8 @@ m AS (SELECT *, avg(least_) OVER (PARTITION BY talk ORDER BY i ROWS BETWEEN 5 PR
 x2 AS (SELECT talk, list(v * gain ORDER BY i) AS x FROM m WHERE v IS NOT NULL GROUP BY 1), c AS (SELECT cos(2 * pi() * 50 / 1000::DOUBLE) AS c, sin(2 * pi() * 50 / 1000::DOUBLE) / 16 AS al),
 z AS (SELECT talk, list_reduce(x, lambda s, v: {{'l': list_append(s.l, v / (1 + al) + s.p), 'p': -2 * c / (1 + al) * v + 2 * c / (1 + al) * (v / (1 + al) + s.p) + s.q, 'q': v / (1 + al) - (1 - al) / (1 + al) * (v / (1 + al) + s.p)}}, {{'l': []::DOUBLE[], 'p': 0.0::DOUBLE, 'q': 0.0::DOUBLE}}).l AS y FROM x2, c)
 SELECT talk, i AS pos, round_even(y[i + 1] * 1e6::DOUBLE, 0)::BIGINT AS micro FROM z, range(0, 256) r(i) WHERE i < len(y)""",
+    "q50_converted_audio": f"""WITH {WAVES}, mono AS (SELECT vec_id AS talk, list_transform(range(1, 33), lambda i: (x[i] + x[i + 32]) / 2) AS x FROM waves)
+SELECT talk, pos, round_even(v * 1e6::DOUBLE, 0)::BIGINT AS micro FROM ({sinc("mono", 147, 160, 16)})""",
     "q38_settings": """SELECT event_id, CASE WHEN event_id % 3 = 1 THEN event_type ELSE 'safe' END AS audio_mode, '300' AS chunk_seconds,
        ['sinc_fast', 'sinc_best', 'kaiser_fast', 'kaiser_best'][user_id % 4 + 1] AS asked_method, 'linear' AS used_method FROM events""",
 }

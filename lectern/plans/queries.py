@@ -180,11 +180,14 @@ def q21_resample_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signal.resampled(signal.whole(_waves(spark, sf_dir), ["vec_id"], "x"), ["vec_id"], 48000, [16000, 96000])
 
 
-def q21b_asr_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Chunks of ten samples, so that signals lie over several.
+def _stereo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(vec_id, start, left, right): chunks of ten samples, so that signals lie over several."""
     two = _waves(spark, sf_dir).select("vec_id", "x", F.explode(F.sequence(F.lit(0), F.lit(31), F.lit(10))).alias("start"))
-    two = two.select("vec_id", "start", *[F.slice("x", F.col("start") + 1 + first, F.least(F.lit(10), 32 - F.col("start"))).alias(name) for name, first in (("left", 0), ("right", 32))])
-    return signal.asr_ready(two, ["vec_id"], "left", "right")
+    return two.select("vec_id", "start", *[F.slice("x", F.col("start") + 1 + first, F.least(F.lit(10), 32 - F.col("start"))).alias(name) for name, first in (("left", 0), ("right", 32))])
+
+
+def q21b_asr_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signal.asr_ready(_stereo(spark, sf_dir), ["vec_id"], "left", "right")
 
 
 def q22_level_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -413,6 +416,10 @@ def q49_chain_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _samples(chains.applied(loud, ["talk"], 1000, "highpass=f=70,lowpass=f=300,alimiter=limit=0.5,anull,bandreject=f=50:w=8"))
 
 
+def q50_converted_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _samples(resampling.converted(_stereo(spark, sf_dir).withColumnRenamed("vec_id", "talk"), ["talk"], "left", "right", 44100))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -420,7 +427,7 @@ QUERIES: dict[str, Query] = {
         q11_srt_cues, q12_srt_translate_roundtrip, q13_language_route, q14_package_lookup, q15_batch_summary, q15b_batch_json, q16_regen_decisions, q17_filter_chain, q18_container_path, q19_clamp_and_shape, q20_downmix,
         q20b_audio_metadata, q21_resample_linear, q21b_asr_audio, q22_level_normalise, q22b_normalised_samples, q23_progress_eta, q24_crossfade_concat, q25_segment_truncated, q26_segment_overlap, q27_slot_dispatch, q28_mini_batches, q29_prefix_limit, q30_external_transform,
         q31_video_probe, q32_chunk_set_skip, q33_summary_document, q34_wav_round_trip, q35_final_streams, q36_done_table, q37_report_texts, q38_settings, q39_filtered_samples, q40_resample_sinc, q41_loudness,
-        q42_keyframe_chunks, q43_limited_samples, q44_speech_segments, q45_denoised_samples, q46_wav_ranges, q47_translated_texts, q48_fatal_checks, q49_chain_samples,
+        q42_keyframe_chunks, q43_limited_samples, q44_speech_segments, q45_denoised_samples, q46_wav_ranges, q47_translated_texts, q48_fatal_checks, q49_chain_samples, q50_converted_audio,
     )
 }
 
