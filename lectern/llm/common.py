@@ -52,6 +52,8 @@ class Words:
         import pyarrow as pa
         import pyarrow.compute as pc
 
+        # A part of an array is copied first: what lies before it in memory must not be read as its text.
+        texts = texts.take(pa.array(np.arange(len(texts)))) if texts.offset else texts
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         trimmed = pc.ascii_trim_whitespace(pc.ascii_lower(texts) if lower else texts)
         # A text without a word would be cut into one empty word.

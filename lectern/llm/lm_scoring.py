@@ -33,7 +33,7 @@ from .common import Words, tuned, written
 
 LEXICON, HEAD, MEMBERS, RARE_ROWS, WIDTH, SIDE, SEED = 1 << 18, 4096, 64, 12288, 16, 2, 11
 #: Words that are trained on one after the other; the number of shards follows from the words of the corpus.
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 21
 RATE, START, STEP, CHUNK, COUNTED_AT_ONCE = 0.3, 0.1, 8192, 16384, 1 << 17
 
 
@@ -235,31 +235,42 @@ def trained(docs: DataFrame) -> tuple[tuple, dict[str, np.ndarray], DataFrame]:
     def run(batches):
         import pyarrow as pa
 
-        lexicon = Lexicon(*shared.value)
-        net, steps = Window(lexicon), 0
-        near, classes = np.zeros(lexicon.rows + 1, dtype=np.int64), np.zeros(lexicon.rare_class + 1, dtype=np.int64)
+        lexicon, shard, net = None, None, None
+
+        def learned():
+            """The tables of the shard that ends here, with how often it has met each row."""
+            if net is None or not steps:
+                return
+            met = {"near": near, "out": np.full(len(classes), steps), "inner": np.repeat(classes, lexicon.members)}
+            for name, table in net.rows().items():
+                rows = np.flatnonzero(met[name])
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows)), pa.array(rows, type=pa.int64()), pa.array(met[name][rows], type=pa.int64()), pa.array(list(table[rows]), type=pa.list_(pa.float32()))], names=["name", "row", "weight", "v"])
+
         for batch in batches:
-            codes, at = lexicon.codes(Words(batch.column("text")))
-            rows, of, member = lexicon.row[codes], lexicon.of[codes], lexicon.member[codes]
-            near += np.bincount(rows, minlength=len(near))
-            classes += np.bincount(of[at], minlength=len(classes))
-            for k in range(0, len(at), STEP):
-                a = at[k : k + STEP]
-                net.step(rows, of[a], member[a], a)
-                steps += 1
-        if not steps:
-            return
-        met = {"near": near, "out": np.full(len(classes), steps), "inner": np.repeat(classes, lexicon.members)}
-        for name, table in net.rows().items():
-            rows = np.flatnonzero(met[name])
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows)), pa.array(rows, type=pa.int64()), pa.array(met[name][rows], type=pa.int64()), pa.array(list(table[rows]), type=pa.list_(pa.float32()))], names=["name", "row", "weight", "v"])
+            shards_here = batch.column("shard").to_numpy()
+            for low, high in zip(cuts := np.flatnonzero(np.diff(shards_here, prepend=-1)), [*cuts[1:], len(shards_here)]):
+                if shards_here[low] != shard:
+                    yield from learned()
+                    lexicon = lexicon or Lexicon(*shared.value)
+                    shard, net, steps = shards_here[low], Window(lexicon), 0
+                    near, classes = np.zeros(lexicon.rows + 1, dtype=np.int64), np.zeros(lexicon.rare_class + 1, dtype=np.int64)
+                codes, at = lexicon.codes(Words(batch.column("text").slice(low, high - low)))
+                rows, of, member = lexicon.row[codes], lexicon.of[codes], lexicon.member[codes]
+                near += np.bincount(rows, minlength=len(near))
+                classes += np.bincount(of[at], minlength=len(classes))
+                for k in range(0, len(at), STEP):
+                    a = at[k : k + STEP]
+                    net.step(rows, of[a], member[a], a)
+                    steps += 1
+        yield from learned()
 
     # Which texts train together, and in which order, follows from their hashes and the number of words, not from how the
     # input is split: more machines or files leave the model as it is.
     shards = max(1, -(-(counts.agg(F.sum("n")).first()[0] or 0) // SHARD_WORDS))
     place = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit("")))
-    texts = docs.select("text", place.alias("place")).where(F.col("text").isNotNull()).repartition(shards, "place").sortWithinPartitions("place").select("text")
-    sent = texts.mapInArrow(run, "name string, row long, weight long, v array<float>")
+    texts = docs.select("text", place.alias("place"), F.pmod(place, F.lit(shards)).alias("shard")).where(F.col("text").isNotNull())
+    # More partitions than shards, so that seldom two shards meet in one.
+    sent = texts.repartition(4 * shards, "shard").sortWithinPartitions("shard", "place").select("shard", "text").mapInArrow(run, "name string, row long, weight long, v array<float>")
     share = F.col("weight").cast("double")
     means = sent.groupBy("name", "row").agg(F.array(*[F.sum(F.get("v", F.lit(k)) * share) / F.sum(share) for k in range(2 * WIDTH)]).alias("v"))
     tables = {name: table.copy() for name, table in Window(Lexicon(*parts)).rows().items()}

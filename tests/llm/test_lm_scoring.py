@@ -94,6 +94,16 @@ def test_scores_by_brute_force(spark, monkeypatch):
         assert math.isclose(got[d].log_probability, total, rel_tol=1e-4), d
 
 
+def test_words_of_a_part_of_an_array():
+    import pyarrow as pa
+
+    texts = [f"Some words {k} of {k % 7}" for k in range(500)] + [None, ""]
+    for low, n in ((0, 502), (300, 202), (7, 1), (501, 1), (10, 0)):
+        part = common.Words(pa.array(texts, pa.string()).slice(low, n))
+        assert [part.distinct[k].decode() for k in part.index] == [w.lower() for t in texts[low : low + n] for w in (t or "").split()]
+        assert part.counts.tolist() == [len((t or "").split()) for t in texts[low : low + n]]
+
+
 @pytest.mark.parametrize("words", [1 << 20, 20_000])
 def test_the_input_split_does_not_matter(spark, monkeypatch, words):
     """The same scores for 1, 4 and 16 tasks, with one shard and with several."""
