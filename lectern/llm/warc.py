@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 
 from .common import new_path, tuned, written
 
-FILE_BYTES, FAN_BITS, FILE_BITS = 64 << 20, 4, 20
+FILE_BYTES, FAN_BITS, FILE_BITS = 16 << 20, 4, 20
 #: Children of a node; files of one task at most.
 FAN_OUT, FILES_A_PART = 1 << FAN_BITS, 1 << FILE_BITS
-FILES_A_TASK = 16
+FILES_A_TASK = 64
 END = "\r\n\r\n"
 #: Each member has less than 16 MB, so the last byte of its size is 0; larger records have several.
 MAGIC, MEMBER_BYTES, READ_BYTES = b"\x1f\x8b\x08\x04", (1 << 24) - 1, 1 << 13
