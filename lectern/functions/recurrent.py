@@ -69,7 +69,7 @@ class StateSpace:
             b[rows] = into * d
             c, d = b0 * c, b0 * d
             c[2 * k] += 1.0
-        self.a, self.b, self.c, self.d = a, b, c, d
+        self.a, self.b, self.c, self.d, self.powers = a, b, c, d, {}
         powers = [np.eye(n)]
         for _ in range(BLOCK):
             powers.append(a @ powers[-1])
@@ -81,8 +81,12 @@ class StateSpace:
         self.direct = np.where(lag >= 0, answer[np.maximum(lag, 0)], 0.0)  # inputs to outputs
 
     def power(self, n: int) -> np.ndarray:
-        """What n samples of silence make of a state."""
-        return np.linalg.matrix_power(self.a, n)
+        """What n samples of silence make of a state. Most chunks of a signal have the same length."""
+        if n not in self.powers:
+            if len(self.powers) >= 256:
+                self.powers.clear()
+            self.powers[n] = np.linalg.matrix_power(self.a, n)
+        return self.powers[n]
 
     def run(self, x: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Outputs, and the state behind the last sample."""

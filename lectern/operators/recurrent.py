@@ -30,10 +30,10 @@ def _composed(rows, rate: float, start=None):
     import numpy as np
 
     space = compiled(rows["__chain"].iloc[0], rate)
-    state, states, matrices = np.zeros(space.size) if start is None else np.asarray(start), [], {}
+    state, states = np.zeros(space.size) if start is None else np.asarray(start), []
     for n, left in zip(rows["n"], rows["left"]):
         states.append(state)
-        state = matrices.setdefault(n, space.power(int(n))) @ state + np.asarray(left)
+        state = space.power(int(n)) @ state + np.asarray(left)
     return states, state
 
 
