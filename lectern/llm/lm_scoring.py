@@ -104,6 +104,16 @@ class Lexicon(dict):
         return padded, at
 
 
+_LATEST: list = [None, None]
+
+
+def lexicon_of(parts: tuple) -> Lexicon:
+    """The lexicon of a broadcast; a worker that does several tasks makes it once."""
+    if _LATEST[0] is not parts:
+        _LATEST[:] = [parts, Lexicon(*parts)]
+    return _LATEST[1]
+
+
 def softmax(z: np.ndarray) -> np.ndarray:
     """Over rows, in place."""
     if z.size and max(z.max(), -z.min()) > 60:  # exp is safe below
@@ -251,7 +261,7 @@ def trained(docs: DataFrame) -> tuple[tuple, dict[str, np.ndarray], DataFrame]:
             for low, high in zip(cuts := np.flatnonzero(np.diff(shards_here, prepend=-1)), [*cuts[1:], len(shards_here)]):
                 if shards_here[low] != shard:
                     yield from learned()
-                    lexicon = lexicon or Lexicon(*shared.value)
+                    lexicon = lexicon_of(shared.value)
                     shard, net, steps = shards_here[low], Window(lexicon), 0
                     near, classes = np.zeros(lexicon.rows + 1, dtype=np.int64), np.zeros(lexicon.rare_class + 1, dtype=np.int64)
                 codes, at = lexicon.codes(Words(batch.column("text").slice(low, high - low)))
@@ -290,7 +300,7 @@ def scored(docs: DataFrame, model: tuple[tuple, dict[str, np.ndarray], DataFrame
         import pyarrow as pa
 
         parts, tables = shared.value
-        net = Window(lexicon := Lexicon(*parts)).take(tables)
+        net = Window(lexicon := lexicon_of(parts)).take(tables)
         for batch in batches:
             words = Words(batch.column("text"))
             codes, at = lexicon.codes(words)
