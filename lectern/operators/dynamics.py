@@ -38,10 +38,11 @@ def limited(chunks: DataFrame, keys: list[str], rate: float, limit: float = LIMI
     def made(x, number, at, core):
         size = np.abs(x)
         need = np.ones(len(x) + 2 * reach)
-        # Rounded down a little: a mean of many equal gains may come out a last digit above them.
-        need[reach : reach + len(x)] = np.where(size > limit, limit / np.where(size > limit, size, 1.0) * (1 - 1e-12), 1.0)
+        need[reach : reach + len(x)] = np.where(size > limit, limit / np.where(size > limit, size, 1.0), 1.0)
         least = sliding_least(need, reach)
         windows = np.lib.stride_tricks.sliding_window_view(least[at : at + core + 2 * reach], 2 * reach + 1)
-        return number * tile, x[at : at + core] * np.where(windows.min(axis=1) < 1.0, windows.mean(axis=1), 1.0)
+        gain, own = windows.mean(axis=1), x[at : at + core]
+        # A mean of many equal gains may come out a last digit above them: what that puts above the limit is cut to it.
+        return number * tile, np.where(windows.min(axis=1) < 1.0, np.clip(own * gain, -limit, limit), own)
 
     return mapped(tiled(chunks, keys, tile, 2 * reach, 2 * reach), keys, tile, made)

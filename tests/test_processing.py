@@ -23,6 +23,15 @@ def test_limiter(spark, size, tile):
     assert got[3].tolist() == x[3].tolist() and np.abs(got[5][:100]).tolist() == [0.5] * 100
 
 
+def test_limiter_to_the_last_digits(spark):
+    """Within a plateau the gain is limit / peak and nothing less, so that millionths come out as by the plain formula."""
+    x = np.full(61, 2.0)
+    x[30] = (400_000.5 + 1e-7) / 475_000
+    got = joined(dynamics.limited(cut(spark, {1: x}, 25), ["k"], 1000, 0.95, 0.012))[1]
+    assert np.rint(got[30] * 1e6) == 400_001
+    assert got[24:37] == pytest.approx(x[24:37] * 0.475, rel=1e-15, abs=0) and np.abs(got).max() <= 0.95
+
+
 def test_sliding_least():
     rng = np.random.default_rng(2)
     for n, reach in ((1, 1), (5, 3), (100, 7), (64, 0)):
