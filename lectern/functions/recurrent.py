@@ -69,7 +69,7 @@ class StateSpace:
             b[rows] = into * d
             c, d = b0 * c, b0 * d
             c[2 * k] += 1.0
-        self.a, self.b, self.c, self.d, self.powers = a, b, c, d, {}
+        self.a, self.b, self.c, self.d, self.powers, self.sections = a, b, c, d, {}, sections
         powers = [np.eye(n)]
         for _ in range(BLOCK):
             powers.append(a @ powers[-1])
@@ -104,6 +104,45 @@ class StateSpace:
         return y, state
 
 
+#: Samples that lanes run side by side hold together.
+SIDE_BY_SIDE = 1 << 22
+
+
+def plain(sections: tuple[tuple[float, ...], ...], lanes: list, states: list) -> list:
+    """Lanes through sections by their plain recurrence, each from its state (two numbers a section; zero if None).
+
+    Every sample is made by the same operations in the same order as one after the other, so results are equal to the last
+    digit. Lanes run side by side, and so do sections: when the first is at a sample, the next is at the one before.
+    """
+    out, n = list(lanes), len(sections)
+    order = sorted((i for i, x in enumerate(lanes) if n and len(x)), key=lambda i: -len(lanes[i]))
+    while order:
+        longest = len(lanes[order[0]])
+        some = [i for i in order[: max(1, SIDE_BY_SIDE // longest)] if 2 * len(lanes[i]) >= longest]
+        order = order[len(some) :]
+        x = np.zeros((longest + n - 1, len(some)))
+        for j, i in enumerate(some):
+            x[: len(lanes[i]), j] = lanes[i]
+        b0, b1, b2, a1, a2 = (np.array(c)[:, None] for c in zip(*sections))
+        start = np.array([np.zeros(2 * n) if states[i] is None else states[i] for i in some], dtype=np.float64).T
+        p, q = start[0::2].copy(), start[1::2].copy()
+        v = np.zeros((n + 1, len(some)))  # what goes into each section, and out of the last
+        for t in range(longest + n - 1):
+            low, high = max(0, t - longest + 1), min(n, t + 1)
+            v[0] = x[t]
+            at = slice(low, high)
+            into = v[at]
+            y = b0[at] * into + p[at]
+            p[at] = b1[at] * into - a1[at] * y + q[at]
+            q[at] = b2[at] * into - a2[at] * y
+            v[low + 1 : high + 1] = y
+            if high == n:
+                x[t - n + 1] = v[n]
+        for j, i in enumerate(some):
+            out[i] = x[: len(lanes[i]), j].copy()
+    return out
+
+
 def stages(chain: str) -> list[tuple[str, dict[str, str]]]:
     """The filters of a chain, name=key=value:key=value and so on, with commas between them; one without effect is left out."""
     found = []

@@ -1,10 +1,12 @@
 """Recurrent filters over chunk rows of signals of any length, by an associative scan of their states.
 
-What a chunk does to the state of a filter is affine: it multiplies it by a matrix that depends on the chunk's length only,
-and adds what the chunk alone would leave. Each task works that out for its chunks from a state of zero. These short rows are
-composed by spans of SPAN samples, then over the spans of a signal, and give the state at the start of each chunk, from which
-a second pass makes the samples. No task holds more of a signal than a chunk, or more than SPAN / chunk size short rows of it
-and one row for each of its spans.
+Chunks are dealt into lanes of LANE samples. What a lane does to the state of a filter is affine: it multiplies it by a matrix
+that depends on the lane's length only, and adds what the lane alone would leave. Each task works that out for its lanes from a
+state of zero. These short rows are composed by spans of SPAN samples, then over the spans of a signal, and give the state at
+the start of each lane. From there a second pass makes the samples by the plain recurrence, all lanes of a task side by side.
+So a signal of one lane is, to the last digit, what one sample after the other gives; the first sample of another lane begins
+from a state that is summed up in another order. No task holds more of a signal than its lanes of a batch, or more than
+SPAN / LANE short rows of it and one row for each of its spans.
 """
 
 from __future__ import annotations
@@ -15,10 +17,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.functions.recurrent import compiled
+from lectern.functions.recurrent import compiled, plain
 
-#: Samples whose chunks are composed to one row.
-SPAN = 1 << 26
+from .signal import tiled
+
+#: Samples of a lane, and samples whose lanes are composed to one row.
+LANE, SPAN = 1 << 16, 1 << 26
 
 
 def _kind(df: DataFrame, keys: list[str], rest: str) -> T.StructType:
@@ -26,7 +30,7 @@ def _kind(df: DataFrame, keys: list[str], rest: str) -> T.StructType:
 
 
 def _composed(rows, rate: float, start=None):
-    """Chunks in order: the states at their starts, and behind the last one, from start (zero if None)."""
+    """Lanes in order: the states at their starts, and behind the last one, from start (zero if None)."""
     import numpy as np
 
     space = compiled(rows["__chain"].iloc[0], rate)
@@ -37,23 +41,24 @@ def _composed(rows, rate: float, start=None):
     return states, state
 
 
-def filtered(chunks: DataFrame, keys: list[str], rate: float, chain: str | Column, span: int = SPAN) -> DataFrame:
+def filtered(chunks: DataFrame, keys: list[str], rate: float, chain: str | Column, span: int = SPAN, lane: int = LANE) -> DataFrame:
     """(keys, start, samples): chunk rows through the filters of a chain, a text or a column that is the same in all chunks of
-    a signal. Chunks must follow one another without gaps; empty ones are left out. A null chain changes nothing."""
+    a signal. Chunks must follow one another without gaps; empty ones are left out. A null chain changes nothing. Rows that
+    come back begin at multiples of lane, or where the signal begins."""
     import pandas as pd
 
     chain = F.lit(chain) if isinstance(chain, str) else chain
-    rows = chunks.where(F.size("samples") > 0).select(*keys, F.col("start").cast("bigint").alias("start"), F.col("samples").cast("array<double>").alias("samples"), F.coalesce(chain, F.lit("")).alias("__chain"))
+    lanes = tiled(chunks.withColumn("__chain", F.coalesce(chain, F.lit(""))), [*keys, "__chain"], lane, 0, 0)
 
     def leave(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import numpy as np
 
         for batch in batches:
             left = [(space := compiled(c, rate)).run(np.asarray(x), np.zeros(space.size))[1].tolist() for c, x in zip(batch["__chain"], batch["samples"])]
-            yield batch[[*keys, "start", "__chain"]].assign(n=[len(x) for x in batch["samples"]], left=left)
+            yield batch[[*keys, "__chain", "tile"]].assign(n=[len(x) for x in batch["samples"]], left=left)
 
     def spans(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("start")
+        group = group.sort_values("tile")
         return group.iloc[:1][[*keys, "__span", "__chain"]].assign(n=group["n"].sum(), left=[_composed(group, rate)[1].tolist()])
 
     def over_spans(group: pd.DataFrame) -> pd.DataFrame:
@@ -61,18 +66,30 @@ def filtered(chunks: DataFrame, keys: list[str], rate: float, chain: str | Colum
         return group[[*keys, "__span"]].assign(state=[s.tolist() for s in _composed(group, rate)[0]])
 
     def within(key: tuple, group: pd.DataFrame, starts: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("start")
-        return group[[*keys, "start"]].assign(state=[s.tolist() for s in _composed(group, rate, starts["state"].iloc[0])[0]])
+        group = group.sort_values("tile")
+        states, last = _composed(group, rate, starts["state"].iloc[0])
+        # The state behind a lane is that at the start of the next.
+        return group[[*keys]].assign(__next=group["tile"] + 1, state=[s.tolist() for s in [*states[1:], last]])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import numpy as np
 
         for batch in batches:
-            made = [compiled(c, rate).run(np.asarray(x), np.asarray(s))[0].tolist() for c, x, s in zip(batch["__chain"], batch["samples"], batch["state"])]
+            made = np.empty(len(batch), dtype=object)
+            for c, at in batch.reset_index(drop=True).groupby("__chain").indices.items():
+                done = plain(compiled(c, rate).sections, [np.asarray(batch["samples"].iloc[i]) for i in at], [batch["state"].iloc[i] for i in at])
+                for i, y in zip(at, done):
+                    made[i] = y
             yield batch[[*keys, "start"]].assign(samples=made)
 
-    short = rows.mapInPandas(leave, _kind(rows, keys, "start bigint, __chain string, n bigint, left array<double>")).withColumn("__span", F.floor(F.col("start") / span))
-    by_span = short.groupBy(*keys, "__span").applyInPandas(spans, _kind(rows, keys, "__span bigint, __chain string, n bigint, left array<double>"))
-    starts = by_span.groupBy(*keys).applyInPandas(over_spans, _kind(rows, keys, "__span bigint, state array<double>"))
-    states = short.groupBy(*keys, "__span").cogroup(starts.groupBy(*keys, "__span")).applyInPandas(within, _kind(rows, keys, "start bigint, state array<double>"))
-    return rows.join(states, [*keys, "start"]).mapInPandas(run, _kind(rows, keys, "start bigint, samples array<double>"))
+    # A lane that is not full is the last of its signal: nothing comes after it.
+    full = lanes.where(F.col("start") + F.size("samples") == (F.col("tile") + 1) * lane)
+    short = full.mapInPandas(leave, _kind(lanes, keys, "__chain string, tile bigint, n bigint, left array<double>")).withColumn("__span", F.floor(F.col("tile") * lane / span))
+    by_span = short.groupBy(*keys, "__span").applyInPandas(spans, _kind(lanes, keys, "__span bigint, __chain string, n bigint, left array<double>"))
+    starts = by_span.groupBy(*keys).applyInPandas(over_spans, _kind(lanes, keys, "__span bigint, state array<double>"))
+    states = short.groupBy(*keys, "__span").cogroup(starts.groupBy(*keys, "__span")).applyInPandas(within, _kind(lanes, keys, "__next bigint, state array<double>"))
+    states = states.select(*(F.col(k).alias(f"__of_{k}") for k in keys), "__next", "state")
+    same = F.col("tile") == F.col("__next")
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"__of_{k}"))
+    return lanes.join(states, same, "left").select(*keys, "__chain", "start", "samples", "state").mapInPandas(run, _kind(lanes, keys, "start bigint, samples array<double>"))

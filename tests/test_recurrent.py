@@ -79,6 +79,35 @@ def test_scan_over_chunks(spark):
         assert np.concatenate([parts[s] for s in sorted(parts)]) == pytest.approx(want[k], abs=1e-10)
 
 
+def as_sql_says(x, sections):
+    """Each section's recurrence with two numbers of memory, in the order of operations of the queries' SQL."""
+    for b0, b1, b2, a1, a2 in sections:
+        out, p, q = [], 0.0, 0.0
+        for v in x:
+            y = b0 * v + p
+            p, q = b1 * v - a1 * y + q, b2 * v - a2 * y
+            out.append(y)
+        x = out
+    return [float(v) for v in x]
+
+
+def test_short_signals_are_the_plain_recurrence_to_the_last_digit(spark):
+    """Chunks of any size, signals of several lengths and chains in a task, one of them without a key; a lane begins from the
+    state behind the one before."""
+    rng, rate = np.random.default_rng(5), 48000
+    made = {k: (rng.uniform(-1, 1, n), c) for k, n, c in ((1, 256, HUM), (2, 128, HUM), (3, 256, "highpass=f=70"), (4, 1, HUM), (5, 97, "lowpass=f=30000"), (None, 300, HUM))}
+    rows = [(k, a, x[a : a + 96].tolist(), c) for k, (x, c) in made.items() for a in range(0, len(x), 96)]
+    df = spark.createDataFrame(rows, "k long, start long, samples array<double>, chain string").repartition(3)
+    for lane in (1 << 16, 64):
+        got = {}
+        for r in recurrent.filtered(df, ["k"], rate, F.col("chain"), span=128, lane=lane).collect():
+            got.setdefault(r.k, {})[r.start] = r.samples
+        assert set(got) == set(made)
+        for k, (x, c) in made.items():
+            y, want = np.concatenate([got[k][a] for a in sorted(got[k])]), as_sql_says(x, sections(c, rate))
+            assert y.tolist() == want if lane > 300 else y == pytest.approx(want, abs=1e-10)
+
+
 def test_a_long_signal_through_the_chain_of_a_profile(spark):
     """Ten million samples through the chain that pre_clean builds, without its last stage, against one run over all."""
     n, size = 10_000_000, 1 << 16
