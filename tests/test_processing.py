@@ -1,5 +1,6 @@
 """The limiter, noise reduction, speech segments and cuts at keyframes, against plain versions over whole signals."""
 
+import math
 import random
 
 import numpy as np
@@ -7,6 +8,7 @@ import pytest
 from lectern.operators import chains, dynamics, loudness, recurrent, segments, spectral, speech
 
 from tests.test_loudness import cut, joined
+from tests.test_recurrent import as_sql_says, sections
 
 
 @pytest.mark.parametrize("size,tile", [(7, 50), (900, 1 << 16)])
@@ -100,6 +102,20 @@ def test_keyframes(spark):
         assert got.get(k, []) == [(i, a, b) for i, (a, b) in enumerate(zip(starts, starts[1:] + [d]))]
 
 
+def test_a_chain_to_the_last_digits(spark):
+    """The chain of q49, by plain formulas: filters before and after a limiter, with no more than errors of the last digits."""
+    rng, rate, limit, reach = np.random.default_rng(8), 1000, 0.5, 5
+    x = {k: rng.normal(0, 0.6, n) for k, n in ((1, 256), (2, 128))}
+    got = joined(chains.applied(cut(spark, x, 96), ["k"], rate, "highpass=f=70,lowpass=f=300,alimiter=limit=0.5,anull,bandreject=f=50:w=8"))
+    assert set(got) == set(x)
+    for k, v in x.items():
+        v = np.array(as_sql_says(v, sections("highpass=f=70,lowpass=f=300", rate)))
+        need = np.r_[np.ones(2 * reach), np.minimum(1, limit / np.abs(v)), np.ones(2 * reach)]
+        least = np.array([need[i : i + 2 * reach + 1].min() for i in range(len(v) + 2 * reach)])
+        v = v * np.array([math.fsum(least[i : i + 2 * reach + 1]) / (2 * reach + 1) for i in range(len(v))])
+        assert got[k] == pytest.approx(np.array(as_sql_says(v, sections("bandreject=f=50:w=8", rate))), rel=0, abs=1e-14)
+
+
 def test_chains_are_their_stages_one_after_the_other(spark):
     rng = np.random.default_rng(6)
     x = {1: rng.normal(0, 0.3, 24000) + np.sin(np.arange(24000) * 0.01), 2: rng.normal(0, 0.01, 9000)}
