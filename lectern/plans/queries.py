@@ -387,7 +387,9 @@ def q46_wav_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_path(spark, "wav")
     media.write_wav_chunks(chunks, "talk", 48000, folder)
     read = media.wav_ranges(spark, folder, offset=100, frames=900, range_bytes=2000)
-    rows = read.select(F.regexp_extract("path", r"(\d+)\.wav$", 1).cast("bigint").alias("talk"), "sample_rate", "channel", "start", F.posexplode("samples").alias("p", "v"))
+    # The talk is found once a row of the file, not once a sample.
+    named = read.select(F.regexp_extract("path", r"(\d+)\.wav$", 1).cast("bigint").alias("talk"), "sample_rate", "channel", "start", "samples")
+    rows = named.select("talk", "sample_rate", "channel", "start", F.posexplode("samples").alias("p", "v"))
     return rows.select("talk", "sample_rate", "channel", (F.col("start") + F.col("p")).alias("pos"), F.col("v").cast("double").alias("v"))
 
 

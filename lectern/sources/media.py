@@ -1,7 +1,8 @@
 """Media files as Spark data sources: WAV samples by ranges, and files written with a commit.
 
-Reading: a partition is a range of bytes of a file, so one file feeds many tasks, and a task reads the header and its own
-range only. Writing: each attempt of a task writes below a hidden folder of the job; the driver moves what the attempts that
+Reading: files are cut into ranges of bytes, so one file feeds many tasks, and a task reads headers and its own ranges only.
+Where there are more than PARTITIONS ranges, those that follow one another share a partition, so that many small files are not
+as many tasks. Writing: each attempt of a task writes below a hidden folder of the job; the driver moves what the attempts that
 count have written to its place, and drops the rest. A task that dies midway leaves nothing that a reader sees.
 """
 
@@ -19,6 +20,9 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWrite
 
 #: Bytes of a range, and frames of a row.
 RANGE_BYTES, ROW_FRAMES = 64 << 20, 1 << 16
+#: Up to so many ranges are a partition each; beyond, partitions grow with the ranges, but not beyond RANGE_BYTES. A file that
+#: is opened counts as so many bytes.
+PARTITIONS, OPEN_BYTES = 256, 1 << 16
 #: Bytes read at once for the parts of a header, each of which is short.
 HEADER = 64
 
@@ -79,15 +83,45 @@ def header_of(file, size: int) -> Wave:
 
 
 @dataclass
-class ByteRange(InputPartition):
+class ByteRange:
+    """Bytes from low up to high of a file of so many bytes."""
+
     path: str
     size: int
     low: int
     high: int
 
-    def __init__(self, path: str, size: int, low: int, high: int):
+
+@dataclass
+class ByteRanges(InputPartition):
+    ranges: list[ByteRange]
+
+    def __init__(self, ranges: list[ByteRange]):
         super().__init__(None)
-        self.path, self.size, self.low, self.high = path, size, low, high
+        self.ranges = ranges
+
+
+def shared_out(files: list[tuple[str, int]], size: int) -> list[ByteRanges]:
+    """Files (path, bytes), in ranges of size, as partitions. Ranges of a partition that are neighbours in a file become one."""
+    count = sum(-(-n // size) for _, n in files)
+    share = 0 if count <= PARTITIONS else min(max(size, RANGE_BYTES), -(-sum(n + OPEN_BYTES for _, n in files) // PARTITIONS))
+    parts, held = [], 0
+    for path, n in files:
+        for low in range(0, n, size):
+            high = min(low + size, n)
+            last = parts[-1].ranges[-1] if parts else None
+            opened = last is None or last.path != path
+            cost = high - low + (OPEN_BYTES if opened else 0)
+            if last is None or held + cost > share:
+                parts.append(ByteRanges([ByteRange(path, n, low, high)]))
+                held = high - low + OPEN_BYTES
+                continue
+            held += cost
+            if opened:
+                parts[-1].ranges.append(ByteRange(path, n, low, high))
+            else:
+                last.high = high
+    return parts
 
 
 class WavReader(DataSourceReader):
@@ -106,13 +140,17 @@ class WavReader(DataSourceReader):
         files = [info] if info.type == fs.FileType.File else store.get_file_info(fs.FileSelector(path))
         scheme = self.path[: len(self.path) - len(path)] if self.path.endswith(path) else ""
         found = sorted((f.path, f.size) for f in files if f.type == fs.FileType.File and f.base_name.lower().endswith(".wav") and f.base_name[0] not in "._")
-        return [ByteRange(scheme + p, n, a, min(a + self.range, n)) for p, n in found for a in range(0, n, self.range)]
+        return shared_out([(scheme + p, n) for p, n in found], self.range)
 
-    def read(self, part: ByteRange) -> Iterator:
-        """Batches of the frames that begin within the range, a row for each channel and run of frames."""
+    def read(self, part: ByteRange | ByteRanges) -> Iterator:
+        """Batches of the frames that begin within the ranges, a row for each channel and run of frames."""
         import numpy as np
         import pyarrow as pa
 
+        if isinstance(part, ByteRanges):
+            for one in part.ranges:
+                yield from self.read(one)
+            return
         store, path = store_of(part.path)
         with store.open_input_file(path) as file:
             wave = header_of(file, part.size)
@@ -168,18 +206,19 @@ class FilesWriter(DataSourceWriter):
 
     def write(self, rows: Iterator) -> Files:
         store, folder = store_of(self.folder)
-        attempt, names, out = f"{self.job}/{uuid.uuid4().hex}", [], None
+        attempt, names, seen, out = f"{self.job}/{uuid.uuid4().hex}", [], set(), None
         try:
             for row in rows:
                 if not names or names[-1] != row.name:
                     if out:
                         out.close()
-                    if row.name != posixpath.normpath(row.name) or row.name[0] in "/." or row.name in names:
+                    if row.name != posixpath.normpath(row.name) or row.name[0] in "/." or row.name in seen:
                         raise ValueError(f"not a name for a file, or not in order: {row.name}")
                     at = f"{folder}/{attempt}/{row.name}"
                     store.create_dir(posixpath.dirname(at), recursive=True)
                     out = store.open_output_stream(at)
                     names.append(row.name)
+                    seen.add(row.name)
                 out.write(bytes(row.content))
         finally:
             if out:

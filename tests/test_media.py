@@ -89,6 +89,29 @@ def test_headers():
             media.header_of(Watched(bad), len(bad))
 
 
+def test_many_small_files_share_partitions(spark, tmp_path):
+    """Ranges are dealt in order, each byte once, to a bounded number of partitions; few ranges have one each."""
+    for count, size in ((2000, 5000), (50, 5000), (300, 10_000_000), (3, 1 << 31)):
+        found = [(f"{k:04d}.wav", size + k) for k in range(count)]
+        parts = media.shared_out(found, size * 2 // 5)
+        assert [(r.path, b) for p in parts for r in p.ranges for b in (r.low, r.high)] == sorted((r.path, b) for p in parts for r in p.ranges for b in (r.low, r.high))
+        held = {}
+        for r in (r for p in parts for r in p.ranges):
+            assert held.get(r.path, 0) == r.low < r.high
+            held[r.path] = r.high
+        assert held == dict(found) and len(parts) == 3 * count if count <= 50 else held == dict(found) and len(parts) < 2 * media.PARTITIONS
+        assert all(len({r.path for r in p.ranges}) == len(p.ranges) for p in parts)
+    assert len(media.shared_out([("long.wav", 1 << 40)], media.RANGE_BYTES)) == (1 << 40) // media.RANGE_BYTES
+    rng = np.random.default_rng(4)
+    x = {f"{k}.wav": rng.uniform(-1, 1, (2, 300 + k)) for k in range(300)}
+    for name, v in x.items():
+        (tmp_path / name).write_bytes(files.wav_bytes(8000, v))
+    df = media.wav_ranges(spark, str(tmp_path), 7, 250, 500)
+    assert df.rdd.getNumPartitions() < 600
+    got, want = joined(df), {(n, c): files.wav_frames(files.wav_bytes(8000, v), 7, 250)[1][c] for n, v in x.items() for c in range(2)}
+    assert got.keys() == want.keys() and all(np.array_equal(got[k], want[k]) for k in want)
+
+
 def test_wav_sink(spark, tmp_path):
     rng = np.random.default_rng(2)
     x = {"one": rng.uniform(-2, 2, (2, 700)), "sub/two": rng.uniform(-1, 1, (1, 64))}
