@@ -16,8 +16,8 @@ BLOCK = 128
 PASSES, REJECT, BUTTERWORTH, REJECT_QUALITY = {"highpass": 1, "lowpass": -1}, "bandreject", 0.707, 0.5
 
 
-def section(name: str, args: dict[str, str], rate: float) -> tuple[float, ...] | None:
-    """b0, b1, b2, a1, a2 of a filter with centre f and width w by type t (q: quality, h: hertz); None for one without effect."""
+def unscaled(name: str, args: dict[str, str], rate: float) -> tuple[tuple[float, ...], float, float, float] | None:
+    """(b0, b1, b2), a0, a1, a2 of a filter with centre f and width w by type t (q: quality, h: hertz); None for one without effect."""
     f = float(args["f"])
     if name in PASSES and f >= rate / 2:
         if name == "lowpass":
@@ -35,8 +35,15 @@ def section(name: str, args: dict[str, str], rate: float) -> tuple[float, ...] |
     else:
         s = PASSES[name]
         b = ((1 + s * cos) / 2, -s * (1 + s * cos), (1 + s * cos) / 2)
-    a0 = 1 + alpha
-    return (*(x / a0 for x in b), -2 * cos / a0, (1 - alpha) / a0)
+    return b, 1 + alpha, -2 * cos, 1 - alpha
+
+
+def section(name: str, args: dict[str, str], rate: float) -> tuple[float, ...] | None:
+    """b0, b1, b2, a1, a2 of a filter, all by a0; None for one without effect."""
+    if (found := unscaled(name, args, rate)) is None:
+        return None
+    b, a0, a1, a2 = found
+    return (*(x / a0 for x in b), a1 / a0, a2 / a0)
 
 
 def weighting(rate: float) -> tuple[tuple[float, ...], ...]:
@@ -56,7 +63,7 @@ def weighting(rate: float) -> tuple[tuple[float, ...], ...]:
 class StateSpace:
     """Sections one after the other: s' = A s + B x, y = C s + D x, with blocks of samples made by matrix products."""
 
-    def __init__(self, sections: tuple[tuple[float, ...], ...]):
+    def __init__(self, sections: tuple[tuple[float, ...], ...], over: tuple[float | None, ...] = ()):
         self.size = n = 2 * len(sections)
         a, b, c, d = np.zeros((n, n)), np.zeros(n), np.zeros(n), 1.0
         for k, (b0, b1, b2, a1, a2) in enumerate(sections):
@@ -69,7 +76,7 @@ class StateSpace:
             b[rows] = into * d
             c, d = b0 * c, b0 * d
             c[2 * k] += 1.0
-        self.a, self.b, self.c, self.d, self.powers, self.sections = a, b, c, d, {}, sections
+        self.a, self.b, self.c, self.d, self.powers, self.sections, self.over = a, b, c, d, {}, sections, over
         powers = [np.eye(n)]
         for _ in range(BLOCK):
             powers.append(a @ powers[-1])
@@ -108,9 +115,12 @@ class StateSpace:
 SIDE_BY_SIDE = 1 << 22
 
 
-def plain(sections: tuple[tuple[float, ...], ...], lanes: list, states: list) -> list:
+def plain(sections: tuple[tuple[float, ...], ...], lanes: list, states: list, over: tuple[float | None, ...] = ()) -> list:
     """Lanes through sections by their plain recurrence, each from its state (two numbers a section; zero if None).
 
+    A section that has a number in over is one with outer numerators of 1: samples are divided by that number, with one
+    rounding, instead of multiplied by b0 and b2, which are rounded themselves.
+
     Every sample is made by the same operations in the same order as one after the other, so results are equal to the last
     digit. Lanes run side by side, and so do sections: when the first is at a sample, the next is at the one before.
     """
@@ -124,6 +134,10 @@ def plain(sections: tuple[tuple[float, ...], ...], lanes: list, states: list) ->
         for j, i in enumerate(some):
             x[: len(lanes[i]), j] = lanes[i]
         b0, b1, b2, a1, a2 = (np.array(c)[:, None] for c in zip(*sections))
+        divided = [k for k, a0 in enumerate(over) if a0 is not None]
+        by = np.ones((n, 1))
+        for k in divided:
+            b0[k], b2[k], by[k] = 1.0, 1.0, over[k]
         start = np.array([np.zeros(2 * n) if states[i] is None else states[i] for i in some], dtype=np.float64).T
         p, q = start[0::2].copy(), start[1::2].copy()
         v = np.zeros((n + 1, len(some)))  # what goes into each section, and out of the last
@@ -132,9 +146,12 @@ def plain(sections: tuple[tuple[float, ...], ...], lanes: list, states: list) ->
             v[0] = x[t]
             at = slice(low, high)
             into = v[at]
-            y = b0[at] * into + p[at]
+            first, last = b0[at] * into, b2[at] * into
+            if divided:
+                first, last = first / by[at], last / by[at]
+            y = first + p[at]
             p[at] = b1[at] * into - a1[at] * y + q[at]
-            q[at] = b2[at] * into - a2[at] * y
+            q[at] = last - a2[at] * y
             v[low + 1 : high + 1] = y
             if high == n:
                 x[t - n + 1] = v[n]
@@ -161,12 +178,14 @@ def compiled(chain: str, rate: float) -> StateSpace:
     """The state space of the recurrent filters of a chain; any other filter in it is an error."""
     if chain == WEIGHTING:
         return StateSpace(weighting(rate))
-    sections = []
+    sections, over = [], []
     for name, args in stages(chain):
         if name not in LINEAR:
             raise ValueError(f"not a recurrent filter: {name}")
-        sections.append(section(name, args, rate))
-    return StateSpace(tuple(s for s in sections if s))
+        if found := section(name, args, rate):
+            sections.append(found)
+            over.append(unscaled(name, args, rate)[1] if name == REJECT else None)
+    return StateSpace(tuple(sections), tuple(over))
 
 
 #: A chain of its own: the weighting before loudness is measured.

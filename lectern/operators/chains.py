@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from lectern.functions.recurrent import LINEAR, stages
+from lectern.functions.recurrent import LINEAR, section, stages
 
 from .dynamics import LIMIT, limited
 from .loudness import normalised
@@ -24,6 +24,8 @@ def applied(chunks: DataFrame, keys: list[str], rate: int, chain: str, frame: in
     Recurrent filters that follow one another are one pass (operators.recurrent), whatever their number. afftdn turns noise
     down in the spectrum, loudnorm is one gain to a loudness within a true peak (its range, LRA, is measured, not changed),
     alimiter limits peaks. What a stage takes but does not know of is left out, as its other settings are of no effect here.
+    Samples of a signal of one lane come out of filters and limiters as plain formulas give them, to the last digit. A limiter
+    with stages behind it may therefore be a last digit above its limit, which they change anyway; at the end of a chain it never is.
     """
 
     def setting(args: dict[str, str], name: str) -> float:
@@ -35,9 +37,10 @@ def applied(chunks: DataFrame, keys: list[str], rate: int, chain: str, frame: in
     def through(rows: DataFrame) -> DataFrame:
         nonlocal linear
         text, linear = ",".join(linear), []
-        return filtered(rows, keys, rate, text) if text else rows
+        return filtered(rows, keys, rate, text, divided=True) if text else rows
 
-    for name, args in stages(chain):
+    found = [(name, args) for name, args in stages(chain) if name not in LINEAR or section(name, args, rate)]
+    for place, (name, args) in enumerate(found, 1):
         if name in LINEAR:
             linear.append(name + "=" + ":".join(f"{k}={v}" for k, v in args.items()))
             continue
@@ -47,7 +50,7 @@ def applied(chunks: DataFrame, keys: list[str], rate: int, chain: str, frame: in
         elif name == "loudnorm":
             out = normalised(out, keys, rate, setting(args, "I"), setting(args, "TP"))
         elif name == "alimiter":
-            out = limited(out, keys, rate, float(args.get("limit", LIMIT)))
+            out = limited(out, keys, rate, float(args.get("limit", LIMIT)), cut=place == len(found))
         else:
             raise ValueError(f"unknown stage of a chain: {name}")
     return through(out)

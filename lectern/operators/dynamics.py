@@ -24,12 +24,14 @@ def sliding_least(x, reach: int):
     return np.minimum(backward[: len(x)], forward[width - 1 : width - 1 + len(x)])
 
 
-def limited(chunks: DataFrame, keys: list[str], rate: float, limit: float = LIMIT, attack: float = ATTACK, tile: int = TILE) -> DataFrame:
+def limited(chunks: DataFrame, keys: list[str], rate: float, limit: float = LIMIT, attack: float = ATTACK, tile: int = TILE, cut: bool = True) -> DataFrame:
     """(keys, start, samples): each sample times the mean, over attack seconds on either side, of the least gains there.
 
     The gain that a sample needs is limit / |x|, or 1; the least of these within reach is at most what each of them needs, and
     so is a mean of such, so nothing passes the limit. Where nothing within two reaches is above it, samples stay as they are.
-    Beyond the ends of a signal the gain is 1. A tile takes two reaches of samples on both sides.
+    Beyond the ends of a signal the gain is 1. A tile takes two reaches of samples on both sides. The mean adds from the left to
+    the right, so results are to the last digit what the plain formula gives; a mean of many equal gains may come out a last
+    digit above them, and what that puts above the limit is cut to it, unless cut is false.
     """
     import numpy as np
 
@@ -41,8 +43,10 @@ def limited(chunks: DataFrame, keys: list[str], rate: float, limit: float = LIMI
         need[reach : reach + len(x)] = np.where(size > limit, limit / np.where(size > limit, size, 1.0), 1.0)
         least = sliding_least(need, reach)
         windows = np.lib.stride_tricks.sliding_window_view(least[at : at + core + 2 * reach], 2 * reach + 1)
-        gain, own = windows.mean(axis=1), x[at : at + core]
-        # A mean of many equal gains may come out a last digit above them: what that puts above the limit is cut to it.
-        return number * tile, np.where(windows.min(axis=1) < 1.0, np.clip(own * gain, -limit, limit), own)
+        total, own = np.zeros(core), x[at : at + core]
+        for gains in windows.T:
+            total += gains
+        y = own * (total / (2 * reach + 1))
+        return number * tile, np.where(windows.min(axis=1) < 1.0, np.clip(y, -limit, limit) if cut else y, own)
 
     return mapped(tiled(chunks, keys, tile, 2 * reach, 2 * reach), keys, tile, made)

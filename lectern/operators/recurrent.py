@@ -41,10 +41,11 @@ def _composed(rows, rate: float, start=None):
     return states, state
 
 
-def filtered(chunks: DataFrame, keys: list[str], rate: float, chain: str | Column, span: int = SPAN, lane: int = LANE) -> DataFrame:
+def filtered(chunks: DataFrame, keys: list[str], rate: float, chain: str | Column, span: int = SPAN, lane: int = LANE, divided: bool = False) -> DataFrame:
     """(keys, start, samples): chunk rows through the filters of a chain, a text or a column that is the same in all chunks of
     a signal. Chunks must follow one another without gaps; empty ones are left out. A null chain changes nothing. Rows that
-    come back begin at multiples of lane, or where the signal begins."""
+    come back begin at multiples of lane, or where the signal begins. If divided, samples are divided by a0 where a notch has
+    numerators of 1, else they are multiplied by 1 / a0: the same but for the last digits."""
     import pandas as pd
 
     chain = F.lit(chain) if isinstance(chain, str) else chain
@@ -77,7 +78,8 @@ def filtered(chunks: DataFrame, keys: list[str], rate: float, chain: str | Colum
         for batch in batches:
             made = np.empty(len(batch), dtype=object)
             for c, at in batch.reset_index(drop=True).groupby("__chain").indices.items():
-                done = plain(compiled(c, rate).sections, [np.asarray(batch["samples"].iloc[i]) for i in at], [batch["state"].iloc[i] for i in at])
+                space = compiled(c, rate)
+                done = plain(space.sections, [np.asarray(batch["samples"].iloc[i]) for i in at], [batch["state"].iloc[i] for i in at], space.over if divided else ())
                 for i, y in zip(at, done):
                     made[i] = y
             yield batch[[*keys, "start"]].assign(samples=made)

@@ -116,6 +116,38 @@ def test_a_chain_to_the_last_digits(spark):
         assert got[k] == pytest.approx(np.array(as_sql_says(v, sections("bandreject=f=50:w=8", rate))), rel=0, abs=1e-14)
 
 
+def test_a_chain_to_the_last_bit(spark):
+    """Equal to the arithmetic of the SQL of q49: means of gains from the left, no cut between stages, notches divided by a0."""
+    rng, rate, limit, reach = np.random.default_rng(9), 1000, 0.5, 5
+    x = {k: v for k, v in enumerate((rng.normal(0, 0.6, 256), rng.normal(0, 0.6, 128), rng.normal(0, 3, 1), np.zeros(70), np.full(300, 2.0), rng.normal(0, 0.01, 200)))}
+    got = joined(chains.applied(cut(spark, x, 96), ["k"], rate, "highpass=f=70,lowpass=f=300,alimiter=limit=0.5,anull,bandreject=f=50:w=8"))
+    assert set(got) == set(x)
+    c, al = math.cos(2 * math.pi * 50 / rate), math.sin(2 * math.pi * 50 / rate) / 16
+    over = 0
+    for k, v in x.items():
+        v = as_sql_says(v, sections("highpass=f=70,lowpass=f=300", rate))
+        need = [1.0] * 2 * reach + [limit / abs(s) if abs(s) > limit else 1.0 for s in v] + [1.0] * 2 * reach
+        least, want, p, q = [min(need[i : i + 2 * reach + 1]) for i in range(len(v) + 2 * reach)], [], 0.0, 0.0
+        for i, s in enumerate(v):
+            gain = 0.0
+            for g in least[i : i + 2 * reach + 1]:
+                gain += g
+            s = s * (gain / (2 * reach + 1))
+            over += abs(s) > limit
+            y = s / (1 + al) + p
+            p, q = -2 * c / (1 + al) * s + 2 * c / (1 + al) * y + q, s / (1 + al) - (1 - al) / (1 + al) * y
+            want.append(y)
+        assert got[k].tolist() == want
+    assert over
+
+
+def test_a_chain_that_ends_in_a_limiter_keeps_its_limit(spark):
+    """Also where what follows has no effect, at 11 gains whose mean comes out above them."""
+    x = {1: np.random.default_rng(9).normal(0, 2, 4000)}
+    for rest in ("", ",anull", ",lowpass=f=600"):
+        assert np.abs(joined(chains.applied(cut(spark, x, 500), ["k"], 1000, "lowpass=f=300,alimiter=limit=0.5" + rest))[1]).max() <= 0.5
+
+
 def test_chains_are_their_stages_one_after_the_other(spark):
     rng = np.random.default_rng(6)
     x = {1: rng.normal(0, 0.3, 24000) + np.sin(np.arange(24000) * 0.01), 2: rng.normal(0, 0.01, 9000)}
