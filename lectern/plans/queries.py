@@ -208,8 +208,8 @@ RATE = 16
 
 
 def _talk_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(talk, x, duration_s): four vectors after one another are a signal of RATE samples a second."""
-    four = table(spark, sf_dir, "embeddings").select(F.floor(F.col("vec_id") / 4).cast("bigint").alias("talk"), "vec_id", sig.doubles(F.col("embedding")).alias("x"))
+    """(talk, x, duration_s): four vectors after one another are a signal of RATE samples a second; a null one adds nothing."""
+    four = table(spark, sf_dir, "embeddings").where(F.col("embedding").isNotNull()).select(F.floor(F.col("vec_id") / 4).cast("bigint").alias("talk"), "vec_id", sig.doubles(F.col("embedding")).alias("x"))
     whole = four.groupBy("talk").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("vec_id", "x"))), lambda s: s["x"])).alias("x"))
     return whole.withColumn("duration_s", F.size("x") / float(RATE))
 
